@@ -1,0 +1,92 @@
+"""Sinks: partitioned tables, keyed documents (upsert by id), topic fan-out, raw log archive, previews.
+
+Upsert without a table format: every write appends rows with ``doc_id`` and ``batch_id``; readers see the latest row
+per ``doc_id`` (``latest_documents``); ``compact`` rewrites a folder to that view.  Appending the same batch twice
+changes nothing a reader sees, so retried tasks and replayed micro-batches are harmless.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shoplens.functions.columns import record_json
+from shoplens.operators.dau import LOG_COLUMNS
+from shoplens.operators.keyed import latest_by_key
+
+DAU_TABLE_COLUMNS = LOG_COLUMNS + ("logdate", "loghour", "ts")
+
+
+def write_dau_table(dau_rows: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK1: DAU rows (11 columns) partitioned by ``logdate`` so a day's dashboard reads one folder."""
+    dau_rows.select(*DAU_TABLE_COLUMNS).write.mode(mode).partitionBy("logdate").parquet(path)
+
+
+def read_dau_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read side of SNK1: one row per (mid, logdate) even if a device-day was appended twice (earliest wins)."""
+    from shoplens.operators.dau import first_log_per_device
+    return first_log_per_device(spark.read.parquet(path))
+
+
+def write_order_table(orders_clean: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK2: all order fields, names upper-cased, partitioned by ``CREATE_DATE``."""
+    from shoplens.operators.gmv import table_columns
+    table_columns(orders_clean).write.mode(mode).partitionBy("CREATE_DATE").parquet(path)
+
+
+def with_doc_keys(docs: DataFrame, batch_id: int | F.Column, id_col: str = "doc_id") -> DataFrame:
+    """SNK3 keys: a generated id where the document has none (such documents are never overwritten) and the
+    writing batch."""
+    bid = batch_id if isinstance(batch_id, F.Column) else F.lit(batch_id).cast("long")
+    return (docs.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()")))
+            .withColumn("batch_id", bid))
+
+
+def upsert_documents(docs: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
+    """SNK3 / SNK4 / SNK9: append keyed documents; same id → the later batch wins on read.  Empty input writes
+    nothing."""
+    out = with_doc_keys(docs, batch_id)
+    w = out.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+
+
+def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+    """Read side of SNK3: the latest row per ``doc_id``."""
+    return latest_by_key(spark.read.parquet(path), ["doc_id"], list(order))
+
+
+def compact(spark: SparkSession, path: str, out_path: str, order: tuple[str, ...] = ("batch_id",),
+            partition_by: str | None = None) -> None:
+    """Rewrite a document folder to its latest view (a new folder; swap it in when done)."""
+    w = latest_documents(spark, path, order).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(out_path)
+
+
+def write_topics(routed: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK7 (file form): one folder per topic of (value) JSON lines."""
+    routed.select("topic", "value").write.mode(mode).partitionBy("topic").text(path)
+
+
+def write_kafka(routed: DataFrame, bootstrap: str) -> None:
+    """SNK7 (Kafka form): the ``topic`` column picks each row's topic."""
+    (routed.select("topic", F.col("value").cast("string"))
+     .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
+
+
+def archive_logs(logs: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK8: each stamped log as one JSON line, partitioned by its day."""
+    from shoplens.functions.columns import log_date
+    (logs.select(log_date("ts").alias("dt"), record_json(*logs.columns).alias("value"))
+     .write.mode(mode).partitionBy("dt").text(path))
+
+
+def batch_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, object]:
+    """SNK10: a per-batch row count observed while the data flows (no second pass); returns the observed frame
+    and its Observation (read ``.get`` after an action)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("count")), obs

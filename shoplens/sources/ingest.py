@@ -49,9 +49,12 @@ def values(messages: DataFrame) -> DataFrame:
 def parse_records(messages: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC3: typed records from JSON text; a ``_corrupt_record`` column holds the raw text of malformed rows."""
     with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    parsed = F.from_json(F.col("value").cast("string"), with_corrupt,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(*keep, parsed.alias("r")).select(*keep, "r.*")
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # an empty or null message parses to a null struct: malformed as well
+    corrupt = F.when(F.col("r").isNull(), F.coalesce(F.col("_raw"), F.lit(""))).otherwise(F.col(f"r.{CORRUPT}"))
+    return (messages.select(*keep, text.alias("_raw"), parsed.alias("r"))
+            .select(*keep, *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], corrupt.alias(CORRUPT)))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
