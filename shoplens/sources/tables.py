@@ -1,4 +1,11 @@
-"""SRC5: table reads.  Parquet only; Catalyst prunes columns and pushes filters into the scan."""
+"""SRC5: table reads.  Parquet only; Catalyst prunes columns and pushes filters into the scan.
+
+Scan parallelism comes from files and row groups.  A table stored as fewer files than the session has cores (the
+test tables are one file, one row group each) would run every step up to the first shuffle in one task, so such a
+table is spread by a hash of its key over ``spark.default.parallelism`` slots.  The decision is taken per table
+from its file listing; a table of thousands of files (the cluster case) is read as is, with no extra shuffle.
+Filters and column pruning still reach the scan (they pass through the repartition).
+"""
 
 from __future__ import annotations
 
@@ -8,23 +15,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Key used to spread a table with too few files; tiny dimensions (nation, region) are never spread.
+SPREAD_KEYS = {"events": "event_id", "orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey",
+               "part": "p_partkey", "supplier": "s_suppkey"}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(table_path(sf_dir, name))
+    key = SPREAD_KEYS.get(name)
+    if spread and key is not None:
+        slots = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < slots:
+            df = df.repartition(slots, key)
+    return df
 
 
 class Tables:
-    """Lazy handle on the test tables of one scale directory."""
+    """Lazy handle on the test tables of one scale directory (each table read once per handle)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._cache:
+            self._cache[name] = read_table(self.spark, self.sf_dir, name, self.spread)
+        return self._cache[name]
