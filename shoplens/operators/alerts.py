@@ -44,16 +44,13 @@ def candidate_buckets(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SE
                       min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:
     """(mid, bucket) pairs that may hold a firing window; a superset of every firing window's rows."""
     w_ms = window_seconds * 1000
-    coupon = (events.where(F.col("evid") == COUPON)
-              .select("mid", F.floor(F.col("ts") / w_ms).alias("bucket"), "uid")
-              .distinct())
-    # a pair (p, p+1) sees the users of bucket p and of bucket p+1
-    pair_users = (coupon.select("mid", F.col("bucket").alias("p"), "uid")
-                  .unionByName(coupon.select("mid", (F.col("bucket") - 1).alias("p"), "uid")))
+    bucket = F.floor(F.col("ts") / w_ms)
+    # one scan: each coupon user of bucket b counts for the pairs (b-1, b) and (b, b+1), named by their first bucket
+    pair_users = (events.where(F.col("evid") == COUPON)
+                  .select("mid", "uid", F.explode(F.array(bucket - 1, bucket)).alias("p")))
     hot = (pair_users.groupBy("mid", "p").agg(F.count_distinct("uid").alias("n"))
            .where(F.col("n") >= min_uids))
-    return (hot.select("mid", F.explode(F.array(F.col("p"), F.col("p") + 1)).alias("bucket"))
-            .distinct())
+    return hot.select("mid", F.explode(F.array(F.col("p"), F.col("p") + 1)).alias("bucket"))
 
 
 def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
@@ -67,7 +64,8 @@ def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                 F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("has_click"),
                 F.count(F.lit(1)).alias("n_events"),
                 *counts))
-    events_text = F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"), F.col(f"n_{e}")))
+    events_text = F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"),
+                                                                          F.col(f"n_{e}").cast("string")))
                                      for e in EVENT_IDS])
     return agg.select(
         "mid",
@@ -76,6 +74,44 @@ def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
         "uids", "item_ids", "has_click", "n_events", events_text.alias("events"))
 
 
+def _windows(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """Each row once per sliding window holding it, keyed by the window's start (epoch ms, a fixed-width key)."""
+    w = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    return events.select("mid", "uid", "evid", "itemid", F.unix_millis(w.start).alias("window_start"))
+
+
+def firing_windows(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
+                   slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:
+    """WIN1 + AGG6 + FLT5 in two phases (batch).
+
+    Phase 1 decides which (window, device) pairs fire using fixed-width aggregates only — event counts per event id
+    and the number of distinct coupon users (a distinct over (window, device, user), then a count) — all combined
+    map-side, so a device with a third of all rows never gathers its rows in one task.  Phase 2 collects the user
+    and item sets for the firing pairs alone.  Same result as ``firing(window_fold(...))``.
+    """
+    keys = ["window_start", "mid"]
+    ex = _windows(events, window_seconds, slide_seconds)
+    counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
+    stats = (ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"), *counts)
+             .where(F.col(f"n_{CLICK}") == 0))
+    coupons = ex.where(F.col("evid") == COUPON)
+    n_uids = (coupons.select(*keys, "uid").distinct()
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_uids"))
+              .where(F.col("n_uids") >= min_uids))
+    fired = stats.join(n_uids, keys, "inner")
+    sets = (coupons.join(fired.select(*keys), keys, "left_semi")
+            .groupBy(*keys)
+            .agg(F.array_sort(F.collect_set("uid")).alias("uids"),
+                 F.array_sort(F.collect_set("itemid")).alias("item_ids")))
+    out = fired.join(sets, keys, "inner")
+    events_text = F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"),
+                                                                          F.col(f"n_{e}").cast("string")))
+                                     for e in EVENT_IDS])
+    return out.select(
+        "mid", "window_start", (F.col("window_start") + window_seconds * 1000).alias("ts"),
+        "uids", "item_ids", "n_events", events_text.alias("events"))
+
+
 def firing(folded: DataFrame, min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:
     """FLT5: at least ``min_uids`` distinct coupon users and no click (``min_uids`` 4 gives the strict '> 3' rule)."""
     return folded.where((F.size("uids") >= min_uids) & ~F.col("has_click")).drop("has_click")
@@ -89,15 +125,25 @@ def as_documents(alerts: DataFrame, prefix: str = ALERT_INDEX_PREFIX) -> DataFra
 
 def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                   slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int = DEFAULT_MIN_UIDS,
-                  prefilter: bool = True) -> DataFrame:
-    """WIN2 in batch: one alert document per (device, minute) — the last firing window ending in that minute."""
+                  prefilter: bool = True, two_phase: bool = False) -> DataFrame:
+    """WIN2 in batch: one alert document per (device, minute) — the last firing window ending in that minute.
+
+    ``prefilter`` expands only candidate (device, bucket) rows.  The default fold is one aggregate over one scan;
+    its only collections are the coupon users / items of a (window, device), merged map-side first.
+    ``two_phase`` instead decides firing with fixed-width aggregates and collects sets for firing windows only —
+    for feeds where a single device carries a large share of all coupon users — at the price of reading the
+    candidate rows three times.  All forms give the same result.
+    """
     base = _base(events)
     if prefilter:
         w_ms = window_seconds * 1000
         cands = candidate_buckets(base, window_seconds, min_uids)
         base = (base.withColumn("bucket", F.floor(F.col("ts") / w_ms))
                 .join(cands, ["mid", "bucket"], "left_semi").drop("bucket"))
-    fired = firing(window_fold(base, window_seconds, slide_seconds), min_uids)
+    if two_phase:
+        fired = firing_windows(base, window_seconds, slide_seconds, min_uids)
+    else:
+        fired = firing(window_fold(base, window_seconds, slide_seconds), min_uids)
     docs = as_documents(fired)
     return latest_by_key(docs, ["doc_id"], ["ts"])
 
