@@ -149,6 +149,14 @@ def product_top(details: DataFrame, n: int = 10) -> DataFrame:
     return per.orderBy(F.col("num").desc(), F.col("sku_name").asc()).limit(n)
 
 
+def match_search(docs: DataFrame, text_col: str, query: str, order_by: str, n: int = 10) -> DataFrame:
+    """FLT6: documents whose ``text_col`` matches ``query`` — the first ``n`` hits in ``order_by`` order, each with
+    the total hit count (relevance ranking of a search engine is not reproduced; the order is a stable key)."""
+    hits = docs.where(matches(text_col, query))
+    total = hits.agg(F.count(F.lit(1))).scalar()
+    return hits.orderBy(order_by).limit(n).withColumn("total", total)
+
+
 def match_max(docs: DataFrame, text_col: str, query: str, metric: str) -> DataFrame:
     """FLT6 + AGG7: number of documents matching ``query`` and the max of ``metric`` over them."""
     return (docs.where(matches(text_col, query))

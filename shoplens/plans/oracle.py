@@ -329,6 +329,10 @@ FROM per LEFT JOIN dim ON per.province_id = dim.province_id""",
         "product_top": _with("order_detail") + f"""
 SELECT sku_name, CAST(sum(CAST(sku_num AS BIGINT)) AS BIGINT) AS num FROM order_detail
 GROUP BY sku_name ORDER BY num DESC, sku_name ASC LIMIT {P.TOP_N}""",
+        "match_search": f"""
+WITH hits AS (SELECT * FROM customer
+  WHERE list_has_any({_TOKENS.format(c='c_mktsegment')}, ['building', 'machinery']))
+SELECT *, (SELECT count(*) FROM hits) AS total FROM hits ORDER BY c_custkey LIMIT {P.TOP_N}""",
         "match_max": f"""
 SELECT count(*) AS total, max(c_acctbal) AS max_c_acctbal FROM customer
 WHERE list_has_any({_TOKENS.format(c='c_mktsegment')}, ['building', 'machinery'])""",

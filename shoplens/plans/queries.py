@@ -204,6 +204,10 @@ def q_product_top(spark, sf_dir):
     return dashboard.product_top(staging.order_detail(_t(spark, sf_dir)), TOP_N)
 
 
+def q_match_search(spark, sf_dir):
+    return dashboard.match_search(_t(spark, sf_dir).customer, "c_mktsegment", MATCH_QUERY, "c_custkey", TOP_N)
+
+
 def q_match_max(spark, sf_dir):
     return dashboard.match_max(_t(spark, sf_dir).customer, "c_mktsegment", MATCH_QUERY, "c_acctbal")
 
@@ -266,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "age_share": q_age_share,
     "region_sales": q_region_sales,
     "product_top": q_product_top,
+    "match_search": q_match_search,
     "match_max": q_match_max,
     "route_logs": q_route_logs,
     "route_changes": q_route_changes,

@@ -52,6 +52,18 @@ def upsert_documents(docs: DataFrame, path: str, batch_id: int, partition_by: st
     w.parquet(path)
 
 
+def documents_from_json(messages: DataFrame, schema, id_col: str = "doc_id") -> DataFrame:
+    """SNK9, literal-JSON form: documents given as JSON text (``value``) plus an optional id column, typed by
+    ``schema`` before the keyed write."""
+    from pyspark.sql.types import StructType
+    parsed = F.from_json(F.col("value"), schema if isinstance(schema, StructType) else schema)
+    keep = [id_col] if id_col in messages.columns else []
+    out = messages.select(*keep, parsed.alias("d")).select(*keep, "d.*")
+    if id_col not in out.columns:
+        out = out.withColumn(id_col, F.lit(None).cast("string"))
+    return out
+
+
 def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",)) -> DataFrame:
     """Read side of SNK3: the latest row per ``doc_id``."""
     return latest_by_key(spark.read.parquet(path), ["doc_id"], list(order))

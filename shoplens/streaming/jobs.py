@@ -89,6 +89,13 @@ def alert_stream(event_msgs: DataFrame, delay: str = "10 seconds",
     return alerts.as_documents(alerts.firing(folded, min_uids))
 
 
+# ---- orders (GMV job: PRJ2-4 + SNK2) ------------------------------------------------------------------------------
+
+def orders_table_stream(order_msgs: DataFrame, mask: str = "prefix4") -> DataFrame:
+    """Cleaned orders with the order table's upper-case column names; write with ``partition_by='CREATE_DATE'``."""
+    return gmv.table_columns(gmv.clean_orders(parsed(order_msgs, ORDER_INFO), mask))
+
+
 # ---- user dimension (DIM1) and routing ----------------------------------------------------------------------------
 
 def user_changes(user_msgs: DataFrame) -> DataFrame:
@@ -96,6 +103,13 @@ def user_changes(user_msgs: DataFrame) -> DataFrame:
     return parsed(user_msgs, USER_INFO)
 
 
+def user_latest_stream(user_msgs: DataFrame) -> DataFrame:
+    """DIM1 kept live: latest version per user id (update / complete output mode).  State: one row per user — the
+    size of the dimension itself."""
+    from shoplens.operators.dims import latest_users
+    return latest_users(user_changes(user_msgs))
+
+
 def routed_logs(raw_msgs: DataFrame, stamp: bool = False) -> DataFrame:
     """FLT1 + PRJ6: raw logs with their topic and JSON value (receive-time stamp optional)."""
     logs = parsed(raw_msgs, RAW_LOG)

@@ -299,3 +299,34 @@ def test_hour_map_and_region_sales(spark):
     region = spark.createDataFrame([(1, "R1")], "r_regionkey int, r_name string")
     r = dashboard.region_sales(o, nation, region).collect()[0]
     assert (r["n_name"], r["r_name"], r["n_orders"], r["amount"], r["class_lo"]) == ("N3", "R1", 1, 1.5, 0)
+
+
+def test_documents_from_json_and_archive(spark, scratch):
+    from shoplens import sinks
+    msgs = spark.createDataFrame([("m1", '{"movie": "a", "id": 1}'), (None, '{"movie": "b", "id": 2}')],
+                                 "doc_id string, value string")
+    docs = sinks.documents_from_json(msgs, "movie string, id int")
+    sinks.upsert_documents(docs, scratch + "/idx", batch_id=0)
+    got = sinks.latest_documents(spark, scratch + "/idx").collect()
+    assert sorted(r["movie"] for r in got) == ["a", "b"]
+    assert all(r["doc_id"] for r in got)
+    logs = spark.createDataFrame([("startup", "m1", T0), ("event", "m2", T0 + 86_400_000)],
+                                 "type string, mid string, ts long")
+    sinks.archive_logs(logs, scratch + "/archive")
+    arch = spark.read.text(scratch + "/archive")
+    assert sorted(str(r["dt"]) for r in arch.select("dt").collect()) == ["2024-01-01", "2024-01-02"]
+    routed = routing.route_logs(logs)
+    sinks.write_topics(routed, scratch + "/topics")
+    assert {r["topic"] for r in spark.read.text(scratch + "/topics").select("topic").collect()} == {
+        "TOPIC_START", "TOPIC_EVENT"}
+
+
+def test_match_search_total_and_hits(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["我是中国人", "red bolt", "Bolt", "gear", "中国"])],
+                                 "id long, text string")
+    hits = dashboard.match_search(docs, "text", "bolt", "id", 1).collect()
+    assert [(r["id"], r["total"]) for r in hits] == [(1, 2)]
+    cjk = dashboard.match_search(docs, "text", "中国", "id", 10).collect()
+    assert [r["id"] for r in cjk] == [0, 4]
+    mx = dashboard.match_max(docs, "text", "bolt gear", "id").collect()[0]
+    assert (mx["total"], mx["max_id"]) == (3, 3)
