@@ -32,7 +32,8 @@ def compare_hours(rows: DataFrame, date: str, day_col: str, hour_col: str, value
     """JOI8: (hour, today, yesterday) on the 00–23 axis, missing hour → 0.
 
     ``value`` None counts rows, else it is summed as money.  One filtered scan, one aggregate, then a left join
-    of the 24-row axis with the (at most 24-row) result.
+    of the 24-row axis with the per-hour result.  No broadcast hint: AQE picks the join from the result's measured
+    size (the number of distinct hour texts is not bounded by the code when times are malformed).
     """
     yday = _yesterday(date)
     two_days = rows.where(F.col(day_col).isin(date, yday))
@@ -46,7 +47,7 @@ def compare_hours(rows: DataFrame, date: str, day_col: str, hour_col: str, value
                .agg(agg(date).alias("today"), agg(yday).alias("yesterday")))
     axis = hour_axis(rows.sparkSession)
     zero = F.lit(0).cast(out_type)
-    return (axis.join(F.broadcast(by_hour), "hour", "left")
+    return (axis.join(by_hour, "hour", "left")
             .select("hour", F.coalesce(F.col("today").cast(out_type), zero).alias("today"),
                     F.coalesce(F.col("yesterday").cast(out_type), zero).alias("yesterday")))
 

@@ -43,8 +43,13 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
 
 # ---- daily active devices -------------------------------------------------------------------------------------
 
-def _dau_rows(t: Tables) -> DataFrame:
-    return dau.daily_active(staging.startup(t))
+def _dau_rows(t: Tables, days: staging.Days | None = None) -> DataFrame:
+    return dau.daily_active(staging.startup(t, days))
+
+
+def _two_days(date: str) -> staging.Days:
+    from shoplens.operators.dashboard import _yesterday
+    return (_yesterday(date), date)
 
 
 def q_dau_first_log(spark, sf_dir):
@@ -56,11 +61,11 @@ def q_dau_first_log_window(spark, sf_dir):
 
 
 def q_dau_total(spark, sf_dir):
-    return dau.dau_total(_dau_rows(_t(spark, sf_dir)), EVENT_DATE)
+    return dau.dau_total(_dau_rows(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
 
 
 def q_dau_hours(spark, sf_dir):
-    return dau.dau_hours(_dau_rows(_t(spark, sf_dir)), EVENT_DATE)
+    return dau.dau_hours(_dau_rows(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
 
 
 def q_dau_seen_filter(spark, sf_dir):
@@ -71,22 +76,22 @@ def q_dau_seen_filter(spark, sf_dir):
 
 
 def q_dau_new_devices(spark, sf_dir):
-    return dau.new_devices(_dau_rows(_t(spark, sf_dir)), NEW_DEVICE_DATE)
+    return dau.new_devices(_dau_rows(_t(spark, sf_dir), (None, NEW_DEVICE_DATE)), NEW_DEVICE_DATE)
 
 
 def q_dau_compare_hours(spark, sf_dir):
-    return dashboard.compare_hours(_dau_rows(_t(spark, sf_dir)), EVENT_DATE, "logdate", "loghour", None, "long")
+    return dashboard.compare_hours(_dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE)), EVENT_DATE, "logdate", "loghour", None, "long")
 
 
 def q_dau_hour_map(spark, sf_dir):
-    return dashboard.hour_map(_dau_rows(_t(spark, sf_dir)), EVENT_DATE, "logdate", "loghour", None) \
+    return dashboard.hour_map(_dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE)), EVENT_DATE, "logdate", "loghour", None) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 
 # ---- orders / GMV -----------------------------------------------------------------------------------------------
 
-def _orders_clean(t: Tables, mask: str = "prefix4") -> DataFrame:
-    return gmv.clean_orders(staging.order_info(t), mask)
+def _orders_clean(t: Tables, mask: str = "prefix4", days: staging.Days | None = None) -> DataFrame:
+    return gmv.clean_orders(staging.order_info(t, days), mask)
 
 
 def q_orders_clean(spark, sf_dir):
@@ -98,27 +103,28 @@ def q_orders_clean_middle4(spark, sf_dir):
 
 
 def q_gmv_total(spark, sf_dir):
-    return gmv.gmv_total(_orders_clean(_t(spark, sf_dir)), ORDER_DATE)
+    return gmv.gmv_total(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE)), ORDER_DATE)
 
 
 def q_gmv_hours(spark, sf_dir):
-    return gmv.gmv_hours(_orders_clean(_t(spark, sf_dir)), ORDER_DATE)
+    return gmv.gmv_hours(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE)), ORDER_DATE)
 
 
 def q_gmv_compare_hours(spark, sf_dir):
-    return dashboard.compare_hours(_orders_clean(_t(spark, sf_dir)), ORDER_DATE, "create_date", "create_hour",
+    return dashboard.compare_hours(_orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE)), ORDER_DATE, "create_date", "create_hour",
                                    F.col("total_amount"), "double")
 
 
 def q_gmv_hour_map(spark, sf_dir):
-    return dashboard.hour_map(_orders_clean(_t(spark, sf_dir)), ORDER_DATE, "create_date", "create_hour",
+    return dashboard.hour_map(_orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE)), ORDER_DATE, "create_date", "create_hour",
                               F.col("total_amount")) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 
 def q_kpi_total(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return dashboard.kpi_total(_dau_rows(t), _orders_clean(t), EVENT_DATE, ORDER_DATE)
+    return dashboard.kpi_total(_dau_rows(t, (None, EVENT_DATE)), _orders_clean(t, days=(ORDER_DATE, ORDER_DATE)),
+                               EVENT_DATE, ORDER_DATE)
 
 
 # ---- coupon alert ------------------------------------------------------------------------------------------------

@@ -27,6 +27,23 @@ DATABASE = "shop"
 BIRTHDAY_BASE = "1960-01-01"
 
 
+Days = tuple[str | None, str | None]
+
+
+def _within_days(ntz_col: str, days: Days | None) -> Column | None:
+    """Day range [first, last] (inclusive, ``yyyy-MM-dd``, either end open) as a predicate on a raw TIMESTAMP_NTZ
+    column, so parquet receives it as a pushed filter."""
+    if days is None:
+        return None
+    first, last = days
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (F.col(ntz_col) >= F.expr(f"TIMESTAMP_NTZ '{first} 00:00:00'"))
+    if last is not None:
+        cond = cond & (F.col(ntz_col) < F.expr(f"TIMESTAMP_NTZ '{last} 00:00:00' + INTERVAL 1 DAY"))
+    return cond
+
+
 def _pick(values: list[str], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
 
@@ -46,9 +63,13 @@ def _device_fields(user_id: Column) -> dict[str, Column]:
     }
 
 
-def startup(t: Tables) -> DataFrame:
-    """Start logs: one per test event, device ``mid_<user_id>``."""
+def startup(t: Tables, days: Days | None = None) -> DataFrame:
+    """Start logs: one per test event, device ``mid_<user_id>``.  ``days`` keeps logs whose ``logdate`` is in the
+    range (the UTC date of the raw time, so the filter is pushed to the scan)."""
     e = t.events
+    cond = _within_days("ts", days)
+    if cond is not None:
+        e = e.where(cond)
     uid = F.col("user_id")
     dev = _device_fields(uid)
     return e.select(
@@ -101,9 +122,13 @@ def _create_ts(orderkey: Column, orderdate: Column) -> Column:
     return F.timestamp_add("SECOND", (orderkey * 7919) % 86400, orderdate)
 
 
-def order_info(t: Tables) -> DataFrame:
-    """Orders enriched with their customer; create_time = order date + a key-derived time of day."""
+def order_info(t: Tables, days: Days | None = None) -> DataFrame:
+    """Orders enriched with their customer; create_time = order date + a key-derived time of day (under 24 h), so
+    ``days`` on ``create_date`` is the same range on the raw order date, pushed to the scan."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    cond = _within_days("o_orderdate", days)
+    if cond is not None:
+        o = o.where(cond)
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     tel = F.concat(F.lit("1"), F.lpad(((F.col("c_custkey") * 7919 + 3456789) % 10000000000).cast("string"), 10, "0"))
