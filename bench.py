@@ -14,7 +14,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,14 +33,15 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from shoplens.plans.queries import QUERIES
-    from shoplens.session import build_session
+    from shoplens.session import build_session, checkpoint_path
     from shoplens.sources import staging
     from shoplens.sources.ingest import file_stream
     from shoplens.sources.tables import Tables
     from shoplens.streaming import jobs
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
-    scratch = tempfile.mkdtemp(prefix="shoplens-bench-")
+    # staged topics and stream checkpoints live in the shared checkpoint folder the session names (a fresh one per run)
+    scratch = checkpoint_path(spark, f"bench-{uuid.uuid4().hex}")
 
     def timed(fn) -> float:
         t0 = time.perf_counter()

@@ -1,8 +1,8 @@
 """Sinks: partitioned tables, keyed documents (upsert by id), topic fan-out, raw log archive, previews.
 
-Upsert without a table format: every write appends rows with ``doc_id`` and ``batch_id``; readers see the latest row
-per ``doc_id`` (``latest_documents``); ``compact`` rewrites a folder to that view.  Appending the same batch twice
-changes nothing a reader sees, so retried tasks and replayed micro-batches are harmless.
+Upsert without a table format: every write stores rows with ``doc_id`` under its own ``batch_id`` folder; readers see
+the latest row per ``doc_id`` (``latest_documents``); ``compact`` rewrites a folder to that view.  Writing the same
+batch twice replaces that batch's folder, so retried jobs and replayed micro-batches are harmless.
 """
 
 from __future__ import annotations
@@ -34,22 +34,17 @@ def write_order_table(orders_clean: DataFrame, path: str, mode: str = "append")
     table_columns(orders_clean).write.mode(mode).partitionBy("CREATE_DATE").parquet(path)
 
 
-def with_doc_keys(docs: DataFrame, batch_id: int | F.Column, id_col: str = "doc_id") -> DataFrame:
-    """SNK3 keys: a generated id where the document has none (such documents are never overwritten) and the
-    writing batch."""
-    bid = batch_id if isinstance(batch_id, F.Column) else F.lit(batch_id).cast("long")
-    return (docs.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()")))
-            .withColumn("batch_id", bid))
-
-
 def upsert_documents(docs: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
-    """SNK3 / SNK4 / SNK9: append keyed documents; same id → the later batch wins on read.  Empty input writes
-    nothing."""
-    out = with_doc_keys(docs, batch_id)
-    w = out.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    """SNK3 / SNK4 / SNK9: write keyed documents as batch ``batch_id``; same id → the later batch wins on read.
+
+    Each batch owns the folder ``batch_id=<n>`` and replaces it (dynamic partition overwrite), so writing a batch
+    again — a retried job, a replayed micro-batch — gives exactly the same stored rows.  Documents without an id are
+    kept as they are and never overwritten.  Empty input writes nothing.
+    """
+    out = docs.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    parts = ([partition_by] if partition_by else []) + ["batch_id"]
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
 
 
 def documents_from_json(messages: DataFrame, schema, id_col: str = "doc_id") -> DataFrame:
@@ -65,8 +60,10 @@ def documents_from_json(messages: DataFrame, schema, id_col: str = "doc_id") ->
 
 
 def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",)) -> DataFrame:
-    """Read side of SNK3: the latest row per ``doc_id``."""
-    return latest_by_key(spark.read.parquet(path), ["doc_id"], list(order))
+    """Read side of SNK3: the latest row per ``doc_id``, plus every document written without an id."""
+    df = spark.read.parquet(path)
+    keyed = latest_by_key(df.where(F.col("doc_id").isNotNull()), ["doc_id"], list(order))
+    return keyed.unionByName(df.where(F.col("doc_id").isNull()))
 
 
 def compact(spark: SparkSession, path: str, out_path: str, order: tuple[str, ...] = ("batch_id",),

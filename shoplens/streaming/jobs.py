@@ -25,7 +25,7 @@ from shoplens.functions.columns import event_time
 from shoplens.operators import alerts, dau, gmv, routing, sales
 from shoplens.schemas import CHANGE_EVENT, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, RAW_LOG, STARTUP_LOG, USER_INFO
 from shoplens.session import checkpoint_path
-from shoplens.sinks import with_doc_keys
+from shoplens.sinks import upsert_documents
 from shoplens.sources.ingest import good_records, parse_records
 
 BATCH_INTERVAL = "5 seconds"
@@ -141,13 +141,10 @@ def start_file_sink(df: DataFrame, path: str, name: str, fmt: str = "parquet", p
 
 def start_document_sink(docs: DataFrame, path: str, name: str, partition_by: str | None = None,
                         trigger: str = BATCH_INTERVAL, checkpoint: str | None = None) -> StreamingQuery:
-    """SNK3 for streams: each micro-batch appended with its batch id; a replayed batch appends the same rows with
-    the same batch id, which the latest-per-key read side absorbs."""
+    """SNK3 for streams: each micro-batch stored under its batch id; a replayed batch (after a failure, on restart
+    from the checkpoint) replaces its own folder with the same rows."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = with_doc_keys(batch, batch_id).write.mode("append")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
+        upsert_documents(batch, path, batch_id, partition_by)
 
     w = (docs.writeStream.outputMode("append").queryName(name).foreachBatch(write)
          .option("checkpointLocation", checkpoint or checkpoint_path(docs.sparkSession, name)))
