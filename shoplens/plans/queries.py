@@ -80,11 +80,13 @@ def q_dau_new_devices(spark, sf_dir):
 
 
 def q_dau_compare_hours(spark, sf_dir):
-    return dashboard.compare_hours(_dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE)), EVENT_DATE, "logdate", "loghour", None, "long")
+    rows = _dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE))
+    return dashboard.compare_hours(rows, EVENT_DATE, "logdate", "loghour", None, "long")
 
 
 def q_dau_hour_map(spark, sf_dir):
-    return dashboard.hour_map(_dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE)), EVENT_DATE, "logdate", "loghour", None) \
+    rows = _dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE))
+    return dashboard.hour_map(rows, EVENT_DATE, "logdate", "loghour", None) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 
@@ -111,13 +113,13 @@ def q_gmv_hours(spark, sf_dir):
 
 
 def q_gmv_compare_hours(spark, sf_dir):
-    return dashboard.compare_hours(_orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE)), ORDER_DATE, "create_date", "create_hour",
-                                   F.col("total_amount"), "double")
+    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE))
+    return dashboard.compare_hours(orders, ORDER_DATE, "create_date", "create_hour", F.col("total_amount"), "double")
 
 
 def q_gmv_hour_map(spark, sf_dir):
-    return dashboard.hour_map(_orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE)), ORDER_DATE, "create_date", "create_hour",
-                              F.col("total_amount")) \
+    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE))
+    return dashboard.hour_map(orders, ORDER_DATE, "create_date", "create_hour", F.col("total_amount")) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 

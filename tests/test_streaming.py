@@ -186,3 +186,38 @@ def test_dau_table_partition_pruning(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-15" in plan
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, dau.dau_hours(rows, day).collect()))
+
+
+def test_publisher_over_stored_tables(spark, scratch):
+    from shoplens.operators import dashboard, publisher
+    t = Tables(spark, SF_MID)
+    rows = dau.daily_active(staging.startup(t))
+    orders = gmv.clean_orders(staging.order_info(t))
+    dpath, opath = os.path.join(scratch, "dau"), os.path.join(scratch, "orders")
+    sinks.write_dau_table(rows, dpath)
+    sinks.write_order_table(orders, opath)
+    day = "2024-01-15"
+    kpi = {r["id"]: r["value"] for r in publisher.realtime_total(spark, dpath, opath, day).collect()}
+    want = {r["id"]: r["value"] for r in dashboard.kpi_total(rows, orders, day).collect()}
+    assert kpi == want and kpi["dau"] > 0
+    hours = publisher.realtime_hours(spark, dpath, opath, "dau", day)
+    plan = hours._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    assert sorted(map(tuple, hours.collect())) == sorted(map(tuple, dashboard.compare_hours(
+        rows, day, "logdate", "loghour", None, "long").collect()))
+    od = "1996-09-17"
+    got = sorted(map(tuple, publisher.realtime_hours(spark, dpath, opath, "order_amount", od).collect()))
+    assert got == sorted(map(tuple, dashboard.compare_hours(orders, od, "create_date", "create_hour",
+                                                            F.col("total_amount"), "double").collect()))
+    assert publisher.realtime_hours(spark, dpath, opath, "other", day).count() == 0
+
+
+def test_apps_run_once(spark, scratch):
+    from shoplens.streaming import apps
+    t = Tables(spark, SF_SMALL)
+    logs = staging.startup(t)
+    src = write_chunks(logs, F.col("ts"), os.path.join(scratch, "start"), n=2)
+    out = os.path.join(scratch, "dau")
+    q = apps.dau_app(spark, src, out, trigger="availableNow", checkpoint=os.path.join(scratch, "ck"))
+    jobs.run_to_end(q)
+    assert sinks.read_dau_table(spark, out).count() == dau.daily_active(logs).count()
