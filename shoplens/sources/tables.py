@@ -5,6 +5,10 @@ test tables are one file, one row group each) would run every step up to the fir
 table is spread by a hash of its key over ``spark.default.parallelism`` slots.  The decision is taken per table
 from its file listing; a table of thousands of files (the cluster case) is read as is, with no extra shuffle.
 Filters and column pruning still reach the scan (they pass through the repartition).
+
+Session setting ``spark.shoplens.scan.spread``: ``auto`` (default, decide from the file count), ``always`` or
+``never``.  ``auto`` lists the table's files on the driver; on a cluster whose tables have very many files, set
+``never`` and let the scan's own splits give the parallelism.
 """
 
 from __future__ import annotations
@@ -20,6 +24,9 @@ SPREAD_KEYS = {"events": "event_id", "orders": "o_orderkey", "lineitem": "l_orde
                "part": "p_partkey", "supplier": "s_suppkey"}
 
 
+SPREAD_SETTING = "spark.shoplens.scan.spread"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -27,10 +34,12 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     key = SPREAD_KEYS.get(name)
-    if spread and key is not None:
-        slots = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < slots:
-            df = df.repartition(slots, key)
+    mode = spark.conf.get(SPREAD_SETTING, "auto")
+    if not spread or key is None or mode == "never":
+        return df
+    slots = spark.sparkContext.defaultParallelism
+    if mode == "always" or len(df.inputFiles()) < slots:
+        df = df.repartition(slots, key)
     return df
 
 
