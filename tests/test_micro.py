@@ -332,3 +332,19 @@ def test_match_search_total_and_hits(spark):
     assert [r["id"] for r in cjk] == [0, 4]
     mx = dashboard.match_max(docs, "text", "bolt gear", "id").collect()[0]
     assert (mx["total"], mx["max_id"]) == (3, 3)
+
+
+def test_small_helpers(spark):
+    from shoplens import sinks
+    from shoplens.functions.columns import previous_day, receive_stamp
+    df = spark.createDataFrame([("2024-03-01",), ("2024-01-01",)], "d string")
+    got = sorted(r["p"] for r in df.select(previous_day("d").alias("p")).collect())
+    assert got == ["2023-12-31", "2024-02-29"]
+    stamp = df.select(receive_stamp().alias("ts")).first()["ts"]
+    assert stamp > T0
+    observed, obs = sinks.batch_count(df)
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get["count"] == 2
+    assert alerts.preview(spark.range(500), 100).count() == 100
+    msgs = spark.createDataFrame([(bytearray(b'{"a":1}'),)], "value binary")
+    assert ingest.values(msgs).first()["value"] == '{"a":1}'
