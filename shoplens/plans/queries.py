@@ -157,8 +157,10 @@ def q_order_detail_pairs(spark, sf_dir):
     return sales.detail_pairs(staging.order_info(t), staging.order_detail(t))
 
 
-def _sale_details(t: Tables, ttl: int = sales.DEFAULT_TTL_SECONDS) -> DataFrame:
-    return sales.sale_details(gmv.clean_orders(staging.order_info(t)), staging.order_detail(t), ttl)
+def _sale_details(t: Tables, ttl: int = sales.DEFAULT_TTL_SECONDS, days: staging.Days | None = None) -> DataFrame:
+    """Sale details; ``days`` restricts both sides to orders created in the range (a sale's ``dt`` is its order's
+    create date, so a day's search needs no other order or line)."""
+    return sales.sale_details(gmv.clean_orders(staging.order_info(t, days)), staging.order_detail(t, days), ttl)
 
 
 def q_sale_detail(spark, sf_dir):
@@ -178,8 +180,8 @@ def q_user_latest(spark, sf_dir):
     return latest_users(staging.user_log(_t(spark, sf_dir)))
 
 
-def _sale_detail_user(t: Tables) -> DataFrame:
-    return sales.with_user(_sale_details(t), latest_users(staging.user_log(t)), AS_OF)
+def _sale_detail_user(t: Tables, days: staging.Days | None = None) -> DataFrame:
+    return sales.with_user(_sale_details(t, days=days), latest_users(staging.user_log(t)), AS_OF)
 
 
 def q_sale_detail_user(spark, sf_dir):
@@ -187,11 +189,13 @@ def q_sale_detail_user(spark, sf_dir):
 
 
 def q_sale_search(spark, sf_dir):
-    return dashboard.sale_search(_sale_detail_user(_t(spark, sf_dir)), SEARCH_DATE, SEARCH_KEYWORD)
+    rows = _sale_detail_user(_t(spark, sf_dir), (SEARCH_DATE, SEARCH_DATE))
+    return dashboard.sale_search(rows, SEARCH_DATE, SEARCH_KEYWORD)
 
 
 def q_sale_search_page(spark, sf_dir):
-    hits = dashboard.sale_search(_sale_detail_user(_t(spark, sf_dir)), SEARCH_DATE, SEARCH_KEYWORD)
+    rows = _sale_detail_user(_t(spark, sf_dir), (SEARCH_DATE, SEARCH_DATE))
+    hits = dashboard.sale_search(rows, SEARCH_DATE, SEARCH_KEYWORD)
     return dashboard.page(hits, PAGE_START, PAGE_SIZE)
 
 

@@ -151,11 +151,15 @@ def order_info(t: Tables, days: Days | None = None) -> DataFrame:
         null.alias("out_trade_no"), null.alias("trade_body"))
 
 
-def order_detail(t: Tables) -> DataFrame:
-    """Order lines; ``detail_time`` = the order's create time ± up to 150 s (about 2/3 inside a 100 s TTL)."""
+def order_detail(t: Tables, days: Days | None = None) -> DataFrame:
+    """Order lines; ``detail_time`` = the order's create time ± up to 150 s (about 2/3 inside a 100 s TTL).
+    ``days`` keeps lines of orders created in the range (pushed to the orders scan)."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                            "l_extendedprice")
     o = t.orders.select("o_orderkey", "o_orderdate")
+    cond = _within_days("o_orderdate", days)
+    if cond is not None:
+        o = o.where(cond)
     p = t.part.select("p_partkey", "p_name")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "left")
     qty = F.col("l_quantity").cast("long").cast("string")
