@@ -24,9 +24,10 @@ def order_table(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: str) -> DataFrame:
-    """AGG8: dau, new_mid, order_amount for one day."""
-    return dashboard.kpi_total(dau_table(spark, dau_path), order_table(spark, orders_path), date)
+def realtime_total(spark: SparkSession, dau_path: str, orders_path: str, date: str,
+                   order_date: str | None = None) -> DataFrame:
+    """AGG8: dau, new_mid, order_amount for one day (``order_date`` defaults to ``date``)."""
+    return dashboard.kpi_total(dau_table(spark, dau_path), order_table(spark, orders_path), date, order_date)
 
 
 def realtime_hours(spark: SparkSession, dau_path: str, orders_path: str, kpi_id: str, date: str) -> DataFrame:

@@ -262,6 +262,19 @@ SELECT {key}, n, n / sum(n) OVER () AS share FROM (
   SELECT {key_expr} AS {key}, count(*) AS n FROM sale_detail_user GROUP BY 1)"""
 
 
+_RAW_LOG_COLS = ("type", "mid", "uid", "appid", "area", "os", "ch", "vs", "evid", "pgid", "npgid", "itemid")
+
+
+def _archive() -> str:
+    # a JSON object of the non-null fields in column order, as Spark's to_json writes it
+    fields = ", ".join(f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":' || CAST(to_json({c}) AS VARCHAR) END"""
+                       for c in _RAW_LOG_COLS)
+    return _with("raw_logs") + f"""
+SELECT strftime(epoch_ms(ts), '%Y-%m-%d') AS dt,
+  '{{' || concat_ws(',', {fields}, '"ts":' || CAST(ts AS VARCHAR)) || '}}' AS value
+FROM raw_logs"""
+
+
 def oracle_sql() -> dict[str, str]:
     d, nd, od = P.EVENT_DATE, P.NEW_DEVICE_DATE, P.ORDER_DATE
     out = {
@@ -302,6 +315,7 @@ FROM orders_clean WHERE create_date = '{od}'""",
         "coupon_alert": _alert(3),
         "coupon_alert_naive": _alert(3),
         "coupon_alert_strict": _alert(4),
+        "alert_preview": f"SELECT * FROM ({_alert(3)}) ORDER BY doc_id LIMIT {P.PREVIEW_ROWS}",
         "order_detail_pairs": _with("order_info", "order_detail") + """
 SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS order_detail_id,
   CASE WHEN o.id IS NOT NULL AND d.order_id IS NOT NULL THEN 'both'
@@ -339,6 +353,7 @@ WHERE list_has_any({_TOKENS.format(c='c_mktsegment')}, ['building', 'machinery']
         "route_logs": _with("raw_logs") + """
 SELECT CASE WHEN type = 'startup' THEN 'TOPIC_START' ELSE 'TOPIC_EVENT' END AS topic, type, mid, uid, evid, ts
 FROM raw_logs""",
+        "raw_archive": _archive(),
         "route_changes": _with("change_log") + f""",
   routed AS (
     SELECT CASE WHEN table_name = 'order_info' AND event_type = 'INSERT' THEN 'TOPIC_ORDER_INFO'
@@ -356,4 +371,9 @@ SELECT doc_id, batch_id, ts, mid, uid, evid, note FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id
     ORDER BY batch_id DESC, ts DESC, mid DESC, uid DESC, evid DESC, note DESC) AS rn FROM doc_versions) WHERE rn = 1""",
     }
+    # the publisher's questions over the stored tables answer exactly what the same questions answer over the
+    # tables they were written from
+    out["stored_kpi_total"] = out["kpi_total"]
+    out["stored_dau_hours"] = out["dau_compare_hours"]
+    out["stored_gmv_hours"] = out["gmv_compare_hours"]
     return out

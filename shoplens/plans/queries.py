@@ -7,16 +7,19 @@ arrays and maps are emitted as sorted joined text.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.operators import alerts, dashboard, dau, gmv, routing, sales
+from shoplens import sinks
+from shoplens.operators import alerts, dashboard, dau, gmv, publisher, routing, sales
 from shoplens.operators.dims import latest_users
 from shoplens.operators.keyed import latest_by_key
 from shoplens.schemas import ORDER_INFO
-from shoplens.session import ensure_utc
+from shoplens.session import checkpoint_path, ensure_utc
 from shoplens.sources import ingest, staging
 from shoplens.sources.tables import Tables
 
@@ -32,6 +35,7 @@ PAGE_SIZE = 5
 TOP_N = 10
 MATCH_QUERY = "building machinery"
 TWIN_TTL_SECONDS = 1000
+PREVIEW_ROWS = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +133,41 @@ def q_kpi_total(spark, sf_dir):
                                EVENT_DATE, ORDER_DATE)
 
 
+# ---- the dashboard over the stored tables ----------------------------------------------------------------------
+
+# (application id, checkpoint folder, sf_dir) → the stored tables written from that directory in this application
+_STORED: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """SNK1 + SNK2: write the whole DAU table and order table, day-partitioned, into a fresh folder of the shared
+    checkpoint folder; the publisher queries read them back (SRC5), pruned to the days they ask for (FLT3).
+
+    The test tables are read-only, so the tables written from one directory are written once per application and
+    shared by the three publisher queries (the stored tables play the part of the streaming jobs' output)."""
+    t = _t(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, checkpoint_path(spark, ""), os.path.abspath(sf_dir))
+    if key not in _STORED:
+        root = checkpoint_path(spark, f"stored-{uuid.uuid4().hex}")
+        dau_path, orders_path = os.path.join(root, "dau"), os.path.join(root, "order_info")
+        sinks.write_dau_table(_dau_rows(t), dau_path)
+        sinks.write_order_table(_orders_clean(t), orders_path)
+        _STORED[key] = (dau_path, orders_path)
+    return _STORED[key]
+
+
+def q_stored_kpi_total(spark, sf_dir):
+    return publisher.realtime_total(spark, *_stored_tables(spark, sf_dir), EVENT_DATE, ORDER_DATE)
+
+
+def q_stored_dau_hours(spark, sf_dir):
+    return publisher.realtime_hours(spark, *_stored_tables(spark, sf_dir), "dau", EVENT_DATE)
+
+
+def q_stored_gmv_hours(spark, sf_dir):
+    return publisher.realtime_hours(spark, *_stored_tables(spark, sf_dir), "order_amount", ORDER_DATE)
+
+
 # ---- coupon alert ------------------------------------------------------------------------------------------------
 
 def _alert_out(df: DataFrame) -> DataFrame:
@@ -150,6 +189,12 @@ def q_coupon_alert_strict(spark, sf_dir):
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), min_uids=4))
 
 
+def q_alert_preview(spark, sf_dir):
+    """ORD2: the first 100 alert documents (in document-id order, so the preview is the same on every run)."""
+    docs = _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir))))
+    return alerts.preview(docs.orderBy("doc_id"), PREVIEW_ROWS)
+
+
 # ---- order / detail joins and the user dimension ----------------------------------------------------------------
 
 def q_order_detail_pairs(spark, sf_dir):
@@ -231,6 +276,11 @@ def q_route_logs(spark, sf_dir):
     return routed.select("topic", "type", "mid", "uid", "evid", "ts")
 
 
+def q_raw_archive(spark, sf_dir):
+    """SNK8 payload: every raw log as (day, JSON line)."""
+    return sinks.archive_lines(staging.raw_logs(_t(spark, sf_dir)))
+
+
 def q_route_changes(spark, sf_dir):
     return routing.route_changes(staging.change_log(_t(spark, sf_dir)), staging.DATABASE)
 
@@ -267,9 +317,13 @@ QUERIES: dict[str, Query] = {
     "gmv_compare_hours": q_gmv_compare_hours,
     "gmv_hour_map": q_gmv_hour_map,
     "kpi_total": q_kpi_total,
+    "stored_kpi_total": q_stored_kpi_total,
+    "stored_dau_hours": q_stored_dau_hours,
+    "stored_gmv_hours": q_stored_gmv_hours,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_naive": q_coupon_alert_naive,
     "coupon_alert_strict": q_coupon_alert_strict,
+    "alert_preview": q_alert_preview,
     "order_detail_pairs": q_order_detail_pairs,
     "sale_detail": q_sale_detail,
     "sale_detail_ttl1000": q_sale_detail_ttl1000,
@@ -285,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "match_search": q_match_search,
     "match_max": q_match_max,
     "route_logs": q_route_logs,
+    "raw_archive": q_raw_archive,
     "route_changes": q_route_changes,
     "parse_json": q_parse_json,
     "parse_json_quarantine": q_parse_json_quarantine,

@@ -17,9 +17,16 @@ from shoplens.operators.keyed import latest_by_key
 DAU_TABLE_COLUMNS = LOG_COLUMNS + ("logdate", "loghour", "ts")
 
 
+def _by_day(df: DataFrame, day_col: str) -> DataFrame:
+    """Cluster rows by their day before a day-partitioned write, so each task writes few day folders (not one file
+    per day per task).  ``rebalance`` lets AQE split a day that holds a large share of all rows over several tasks
+    and merge small days, so no single task writes a hot day alone."""
+    return df.hint("rebalance", day_col)
+
+
 def write_dau_table(dau_rows: DataFrame, path: str, mode: str = "append") -> None:
     """SNK1: DAU rows (11 columns) partitioned by ``logdate`` so a day's dashboard reads one folder."""
-    dau_rows.select(*DAU_TABLE_COLUMNS).write.mode(mode).partitionBy("logdate").parquet(path)
+    _by_day(dau_rows.select(*DAU_TABLE_COLUMNS), "logdate").write.mode(mode).partitionBy("logdate").parquet(path)
 
 
 def read_dau_table(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +38,7 @@ def read_dau_table(spark: SparkSession, path: str) -> DataFrame:
 def write_order_table(orders_clean: DataFrame, path: str, mode: str = "append") -> None:
     """SNK2: all order fields, names upper-cased, partitioned by ``CREATE_DATE``."""
     from shoplens.operators.gmv import table_columns
-    table_columns(orders_clean).write.mode(mode).partitionBy("CREATE_DATE").parquet(path)
+    _by_day(table_columns(orders_clean), "CREATE_DATE").write.mode(mode).partitionBy("CREATE_DATE").parquet(path)
 
 
 def upsert_documents(docs: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
@@ -86,11 +93,15 @@ def write_kafka(routed: DataFrame, bootstrap: str) -> None:
      .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
 
 
+def archive_lines(logs: DataFrame) -> DataFrame:
+    """SNK8 payload: (dt, value) — the log's UTC day and the log as one JSON line (null fields left out)."""
+    from shoplens.functions.columns import log_date
+    return logs.select(log_date("ts").alias("dt"), record_json(*logs.columns).alias("value"))
+
+
 def archive_logs(logs: DataFrame, path: str, mode: str = "append") -> None:
     """SNK8: each stamped log as one JSON line, partitioned by its day."""
-    from shoplens.functions.columns import log_date
-    (logs.select(log_date("ts").alias("dt"), record_json(*logs.columns).alias("value"))
-     .write.mode(mode).partitionBy("dt").text(path))
+    _by_day(archive_lines(logs), "dt").write.mode(mode).partitionBy("dt").text(path)
 
 
 def batch_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, object]:

@@ -57,3 +57,12 @@ def test_scans_read_only_needed_columns(spark, name, table, unused):
         schema = re.search(r"ReadSchema: struct<([^>]*)>", ln).group(1)
         for col in unused:
             assert f"{col}:" not in schema, f"{name} reads {table}.{col}"
+
+
+@pytest.mark.parametrize("name,column", [
+    ("stored_dau_hours", "logdate"), ("stored_gmv_hours", "CREATE_DATE"), ("stored_kpi_total", "logdate"),
+])
+def test_stored_tables_prune_to_the_asked_days(spark, name, column):
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any(column in f for f in filters), f"{name}: no partition filter on {column}"
