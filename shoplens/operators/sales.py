@@ -1,6 +1,6 @@
 """Order / order-detail joins and the sale-detail record.
 
-- JOI1 ``detail_pairs``: full outer equi-join with a ``match_state`` label.
+- JOI1 ``detail_pairs``: the full outer equi-join with a ``match_state`` label, as a left join plus an anti join.
 - JOI4 ``sale_details``: inner interval join — a detail meets its order when their times are within ``ttl``
   (both bounds inclusive); unmatched rows are never emitted.  Each (order, detail) pair appears exactly once.
 - JOI5 ``sale_details_all``: plain inner join.
@@ -63,13 +63,25 @@ def sale_details_all(orders: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def detail_pairs(orders: DataFrame, details: DataFrame) -> DataFrame:
-    """JOI1: full outer join with ``match_state`` in {both, order_only, detail_only}."""
+    """JOI1: the full outer join of orders and details with ``match_state`` in {both, order_only, detail_only}.
+
+    Written as two skew-safe joins whose union is the full outer join: details ⟕ orders gives ``both`` and
+    ``detail_only`` (AQE splits a hot order id's detail rows over several tasks — it cannot split either side of a
+    full outer join); orders ▷ distinct detail keys gives ``order_only`` (the distinct is taken map-side first,
+    so a hot order id reaches the anti join as one row per task).
+    """
     o = orders.select(F.col("id").alias("o_id"))
     d = details.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"))
-    j = o.join(d, F.col("o_id") == F.col("d_order_id"), "full_outer")
-    state = (F.when(F.col("o_id").isNotNull() & F.col("d_order_id").isNotNull(), F.lit("both"))
-             .when(F.col("o_id").isNotNull(), F.lit("order_only")).otherwise(F.lit("detail_only")))
-    return j.select(F.coalesce("o_id", "d_order_id").alias("order_id"), "order_detail_id", state.alias("match_state"))
+    with_order = d.join(o, F.col("d_order_id") == F.col("o_id"), "left")
+    state = F.when(F.col("o_id").isNotNull(), F.lit("both")).otherwise(F.lit("detail_only"))
+    matched = with_order.select(F.col("d_order_id").alias("order_id"), "order_detail_id", state.alias("match_state"))
+    keys = d.select("d_order_id").distinct()
+    # labelled as the full outer join labels it: a row with a non-null order id is order_only
+    lonely_state = F.when(F.col("o_id").isNotNull(), F.lit("order_only")).otherwise(F.lit("detail_only"))
+    lonely = (o.join(keys, F.col("o_id") == F.col("d_order_id"), "left_anti")
+              .select(F.col("o_id").alias("order_id"), F.lit(None).cast("string").alias("order_detail_id"),
+                      lonely_state.alias("match_state")))
+    return matched.unionByName(lonely)
 
 
 def with_user(sales: DataFrame, users_latest: DataFrame, as_of: str | Column) -> DataFrame:

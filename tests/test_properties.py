@@ -80,3 +80,22 @@ def test_interval_join_equals_brute_force(spark, details, ttl):
     assert got == want
     # join rows never exceed detail rows
     assert len(got) <= len(details)
+
+
+key = st.one_of(st.none(), st.sampled_from(["hot", "hot", "hot", "k1", "k2", "k3"]))
+
+
+@SETTINGS
+@given(st.lists(key, min_size=0, max_size=8), st.lists(key, min_size=0, max_size=30))
+def test_detail_pairs_equal_a_full_outer_join(spark, order_keys, detail_keys):
+    from pyspark.sql import functions as F
+    o = spark.createDataFrame([(k,) for k in order_keys], "id string")
+    d = spark.createDataFrame([(f"d{i}", k) for i, k in enumerate(detail_keys)], "id string, order_id string")
+    full = (o.select(F.col("id").alias("o_id"))
+            .join(d.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id")),
+                  F.col("o_id") == F.col("d_order_id"), "full_outer"))
+    state = (F.when(F.col("o_id").isNotNull() & F.col("d_order_id").isNotNull(), F.lit("both"))
+             .when(F.col("o_id").isNotNull(), F.lit("order_only")).otherwise(F.lit("detail_only")))
+    want = full.select(F.coalesce("o_id", "d_order_id").alias("order_id"), "order_detail_id", state.alias("s"))
+    key_of = lambda r: tuple("" if v is None else v for v in r)
+    assert sorted(map(key_of, sales.detail_pairs(o, d).collect())) == sorted(map(key_of, want.collect()))
