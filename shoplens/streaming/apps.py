@@ -56,12 +56,14 @@ def alert_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
 
 
 def sale_detail_app(spark, orders_src: str, details_src: str, out: str, users_table: str | None = None,
-                    trigger: str = jobs.BATCH_INTERVAL, checkpoint: str | None = None) -> StreamingQuery:
+                    trigger: str = jobs.BATCH_INTERVAL, checkpoint: str | None = None,
+                    salt_buckets: int = 1) -> StreamingQuery:
     users = None
     if users_table:
         from shoplens.operators.dims import latest_users
         users = latest_users(spark.read.parquet(users_table))
-    df = jobs.sale_detail_stream(source(spark, orders_src), source(spark, details_src), users_latest=users)
+    df = jobs.sale_detail_stream(source(spark, orders_src), source(spark, details_src), users_latest=users,
+                                 salt_buckets=salt_buckets)
     return jobs.start_file_sink(df, out, "sale_detail_app", partition_by="dt", trigger=trigger,
                                 checkpoint=checkpoint)
 
@@ -98,13 +100,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--database", default="shop")
     p.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
+    p.add_argument("--salt-buckets", type=int, default=1, help="sale_detail: spread each order id over k join slots")
     a = p.parse_args(argv)
 
     from shoplens.session import build_session
     spark = build_session(app_name=f"shoplens-{a.app}")
     trigger = "availableNow" if a.once else jobs.BATCH_INTERVAL
     if a.app == "sale_detail":
-        q = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger)
+        q = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger, salt_buckets=a.salt_buckets)
     elif a.app == "route_changes":
         q = route_changes_app(spark, a.source, a.out, a.database, trigger)
     else:

@@ -72,6 +72,15 @@ def test_sale_detail_stream_equals_batch(spark, scratch):
     assert stream.count() == batch.count() > 0
     assert stream.exceptAll(batch).count() == 0
 
+    # salted form (hot order ids spread over 4 join partitions): the same pairs, each once
+    salted = jobs.sale_detail_stream(file_stream(spark, osrc, 1), file_stream(spark, dsrc, 1), 100, "10 minutes",
+                                     salt_buckets=4)
+    q2 = jobs.start_memory_sink(salted, "sale_detail_salted", checkpoint=os.path.join(scratch, "ck2"))
+    jobs.run_to_end(q2)
+    got = spark.table("sale_detail_salted")
+    assert got.count() == batch.count()
+    assert got.exceptAll(batch).count() == 0
+
 
 def test_alert_stream_equals_batch(spark, scratch):
     t = Tables(spark, SF_MID)
