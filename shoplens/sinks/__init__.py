@@ -29,10 +29,18 @@ def write_dau_table(dau_rows: DataFrame, path: str, mode: str = "append") -> Non
     _by_day(dau_rows.select(*DAU_TABLE_COLUMNS), "logdate").write.mode(mode).partitionBy("logdate").parquet(path)
 
 
+def write_dau_batch(dau_rows: DataFrame, path: str, batch_id: int) -> None:
+    """SNK1 for one micro-batch: rows stored under ``logdate=<d>/batch_id=<n>``; writing the same batch again
+    replaces only that batch's folders (dynamic partition overwrite), so a replayed batch changes nothing."""
+    out = dau_rows.select(*DAU_TABLE_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    (_by_day(out, "logdate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("logdate", "batch_id").parquet(path))
+
+
 def read_dau_table(spark: SparkSession, path: str) -> DataFrame:
     """Read side of SNK1: one row per (mid, logdate) even if a device-day was appended twice (earliest wins)."""
     from shoplens.operators.dau import first_log_per_device
-    return first_log_per_device(spark.read.parquet(path))
+    return first_log_per_device(spark.read.parquet(path).select(*DAU_TABLE_COLUMNS))
 
 
 def write_order_table(orders_clean: DataFrame, path: str, mode: str = "append") -> None:

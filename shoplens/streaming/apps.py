@@ -38,7 +38,11 @@ def source(spark: SparkSession, spec: str, max_files_per_trigger: int | None = N
 
 
 def dau_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-            checkpoint: str | None = None) -> StreamingQuery:
+            checkpoint: str | None = None, form: str = "state") -> StreamingQuery:
+    """``state``: dedup state in the query (``dau_first_seen``); ``table``: the DAU table is the seen set, one
+    anti join per micro-batch after a partial aggregate (``start_dau_table_sink``; for feeds with hot devices)."""
+    if form == "table":
+        return jobs.start_dau_table_sink(source(spark, src), out, "dau_app", trigger=trigger, checkpoint=checkpoint)
     return jobs.start_file_sink(jobs.dau_first_seen(source(spark, src)), out, "dau_app", partition_by="logdate",
                                 trigger=trigger, checkpoint=checkpoint)
 
@@ -100,6 +104,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--database", default="shop")
     p.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
+    p.add_argument("--dau-form", choices=["state", "table"], default="state",
+                   help="dau: dedup state in the query, or the stored table as the seen set")
     p.add_argument("--salt-buckets", type=int, default=1, help="sale_detail: spread each order id over k join slots")
     a = p.parse_args(argv)
 
@@ -108,6 +114,8 @@ def main(argv: list[str] | None = None) -> None:
     trigger = "availableNow" if a.once else jobs.BATCH_INTERVAL
     if a.app == "sale_detail":
         q = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger, salt_buckets=a.salt_buckets)
+    elif a.app == "dau":
+        q = dau_app(spark, a.source, a.out, trigger, form=a.dau_form)
     elif a.app == "route_changes":
         q = route_changes_app(spark, a.source, a.out, a.database, trigger)
     else:
