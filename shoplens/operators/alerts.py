@@ -74,6 +74,46 @@ def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
         "uids", "item_ids", "has_click", "n_events", events_text.alias("events"))
 
 
+def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
+              slide_seconds: int = DEFAULT_SLIDE_SECONDS) -> DataFrame:
+    """WIN1 + AGG6 through panes: the same rows as ``window_fold``.
+
+    A sliding window of length W and slide S is the union of W/S consecutive S-long panes (5-second slices).
+    Events are folded per (device, pane) first — a partial aggregate, so a device sending thousands of events per
+    pane ships one row per pane and task — and only the pane rows are copied into the W/S windows holding them.
+    The expansion then grows with the number of busy panes, not with the number of events: a hot device costs
+    W/S rows per pane instead of W/S rows per event.  Needs W to be a multiple of S (5 min / 5 s is).
+    """
+    if window_seconds % slide_seconds:
+        raise ValueError("pane form needs the window length to be a multiple of the slide")
+    coupon = F.col("evid") == COUPON
+    counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
+    panes = (events.groupBy(F.window("event_time", f"{slide_seconds} seconds").start.alias("pane"), "mid")
+             .agg(F.collect_set(F.when(coupon, F.col("uid"))).alias("p_uids"),
+                  F.collect_set(F.when(coupon, F.col("itemid"))).alias("p_items"),
+                  F.bool_or(F.col("evid") == CLICK).alias("p_click"),
+                  F.count(F.lit(1)).alias("p_events"),
+                  *counts))
+    # a pane lies in a window exactly when its start does (panes are aligned to the slide)
+    sums = [F.sum(f"n_{e}").alias(f"n_{e}") for e in EVENT_IDS]
+    agg = (panes.groupBy(F.window("pane", f"{window_seconds} seconds", f"{slide_seconds} seconds"), "mid")
+           .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_uids")))).alias("uids"),
+                F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_items")))).alias("item_ids"),
+                F.coalesce(F.bool_or("p_click"), F.lit(False)).alias("has_click"),
+                F.sum("p_events").alias("n_events"),
+                *sums))
+    return agg.select(
+        "mid",
+        F.unix_millis(F.col("window.start")).alias("window_start"),
+        F.unix_millis(F.col("window.end")).alias("ts"),
+        "uids", "item_ids", "has_click", "n_events", _events_text().alias("events"))
+
+
+def _events_text():
+    return F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"), F.col(f"n_{e}").cast("string")))
+                              for e in EVENT_IDS])
+
+
 def _windows(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     """Each row once per sliding window holding it, keyed by the window's start (epoch ms, a fixed-width key)."""
     w = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
@@ -125,14 +165,15 @@ def as_documents(alerts: DataFrame, prefix: str = ALERT_INDEX_PREFIX) -> DataFra
 
 def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                   slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int = DEFAULT_MIN_UIDS,
-                  prefilter: bool = True, two_phase: bool = False) -> DataFrame:
+                  prefilter: bool = True, two_phase: bool = False, panes: bool = False) -> DataFrame:
     """WIN2 in batch: one alert document per (device, minute) — the last firing window ending in that minute.
 
     ``prefilter`` expands only candidate (device, bucket) rows.  The default fold is one aggregate over one scan;
     its only collections are the coupon users / items of a (window, device), merged map-side first.
     ``two_phase`` instead decides firing with fixed-width aggregates and collects sets for firing windows only —
     for feeds where a single device carries a large share of all coupon users — at the price of reading the
-    candidate rows three times.  All forms give the same result.
+    candidate rows three times.  ``panes`` folds events into 5-second panes before the window expansion — for
+    dense feeds, where a device sends many events per slide.  All forms give the same result.
     """
     base = _base(events)
     if prefilter:
@@ -142,6 +183,8 @@ def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECOND
                 .join(cands, ["mid", "bucket"], "left_semi").drop("bucket"))
     if two_phase:
         fired = firing_windows(base, window_seconds, slide_seconds, min_uids)
+    elif panes:
+        fired = firing(pane_fold(base, window_seconds, slide_seconds), min_uids)
     else:
         fired = firing(window_fold(base, window_seconds, slide_seconds), min_uids)
     docs = as_documents(fired)

@@ -184,6 +184,11 @@ def q_coupon_alert_naive(spark, sf_dir):
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), prefilter=False))
 
 
+def q_coupon_alert_panes(spark, sf_dir):
+    """The same alerts, folded through 5-second panes before the window expansion (the dense-feed form)."""
+    return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), prefilter=True, panes=True))
+
+
 def q_coupon_alert_strict(spark, sf_dir):
     """The '> 3 users' rule of the twin job."""
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), min_uids=4))
@@ -322,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "stored_gmv_hours": q_stored_gmv_hours,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_naive": q_coupon_alert_naive,
+    "coupon_alert_panes": q_coupon_alert_panes,
     "coupon_alert_strict": q_coupon_alert_strict,
     "alert_preview": q_alert_preview,
     "order_detail_pairs": q_order_detail_pairs,

@@ -37,6 +37,8 @@ def test_alert_forms_agree(spark, rows):
     plain = _rows(alerts.coupon_alerts(df, prefilter=False, two_phase=False))
     assert _rows(alerts.coupon_alerts(df, prefilter=True, two_phase=False)) == plain
     assert _rows(alerts.coupon_alerts(df, prefilter=True, two_phase=True)) == plain
+    assert _rows(alerts.coupon_alerts(df, prefilter=False, panes=True)) == plain
+    assert _rows(alerts.coupon_alerts(df, prefilter=True, panes=True)) == plain
     # every alert: at least 3 distinct users, no click, one per device-minute
     ids = [r[0] for r in plain]
     assert len(ids) == len(set(ids))
