@@ -88,15 +88,17 @@ def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
         raise ValueError("pane form needs the window length to be a multiple of the slide")
     coupon = F.col("evid") == COUPON
     counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
-    panes = (events.groupBy(F.window("event_time", f"{slide_seconds} seconds").start.alias("pane"), "mid")
+    panes = (events.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane"), "mid")
              .agg(F.collect_set(F.when(coupon, F.col("uid"))).alias("p_uids"),
                   F.collect_set(F.when(coupon, F.col("itemid"))).alias("p_items"),
                   F.bool_or(F.col("evid") == CLICK).alias("p_click"),
                   F.count(F.lit(1)).alias("p_events"),
                   *counts))
-    # a pane lies in a window exactly when its start does (panes are aligned to the slide)
+    # a pane lies in a window exactly when its last instant (window_time = end - 1 µs) does, since panes are
+    # aligned to the slide; window_time keeps the event-time mark, so the same code runs as a chained stream
     sums = [F.sum(f"n_{e}").alias(f"n_{e}") for e in EVENT_IDS]
-    agg = (panes.groupBy(F.window("pane", f"{window_seconds} seconds", f"{slide_seconds} seconds"), "mid")
+    agg = (panes.groupBy(F.window(F.window_time("pane"), f"{window_seconds} seconds", f"{slide_seconds} seconds"),
+                         "mid")
            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_uids")))).alias("uids"),
                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_items")))).alias("item_ids"),
                 F.coalesce(F.bool_or("p_click"), F.lit(False)).alias("has_click"),

@@ -127,12 +127,16 @@ def sale_detail_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_second
 def alert_stream(event_msgs: DataFrame, delay: str = "10 seconds",
                  window_seconds: int = alerts.DEFAULT_WINDOW_SECONDS,
                  slide_seconds: int = alerts.DEFAULT_SLIDE_SECONDS,
-                 min_uids: int = alerts.DEFAULT_MIN_UIDS) -> DataFrame:
+                 min_uids: int = alerts.DEFAULT_MIN_UIDS, panes: bool = False) -> DataFrame:
     """WIN1 → AGG6 → FLT5 → PRJ10 in append mode: each window is judged once, when the watermark closes it.
-    Several windows of one device-minute share a ``doc_id``; the keyed sink keeps the last."""
+    Several windows of one device-minute share a ``doc_id``; the keyed sink keeps the last.
+
+    ``panes`` runs the pane form as two chained stateful aggregations (5 s panes, then windows over closed panes):
+    state and expansion grow with busy panes rather than events — the form for dense feeds."""
     ev = parsed(event_msgs, EVENT_LOG).select("mid", "uid", "evid", "itemid", "ts",
                                                event_time("ts").alias("event_time"))
-    folded = alerts.window_fold(ev.withWatermark("event_time", delay), window_seconds, slide_seconds)
+    fold = alerts.pane_fold if panes else alerts.window_fold
+    folded = fold(ev.withWatermark("event_time", delay), window_seconds, slide_seconds)
     return alerts.as_documents(alerts.firing(folded, min_uids))
 
 

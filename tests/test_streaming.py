@@ -119,6 +119,15 @@ def test_alert_stream_equals_batch(spark, scratch):
     assert batch.count() > 0
     assert sorted(map(tuple, stream.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
 
+    # pane form: two chained stateful aggregations, the same alerts
+    pdocs = jobs.alert_stream(file_stream(spark, src, 1), delay="10 seconds", panes=True)
+    pout = os.path.join(scratch, "alerts_panes")
+    q2 = jobs.start_document_sink(pdocs, pout, "alert_docs_panes", trigger="availableNow",
+                                  checkpoint=os.path.join(scratch, "ck2"))
+    jobs.run_to_end(q2)
+    pstream = sinks.latest_documents(spark, pout, ("batch_id", "ts")).drop("batch_id")
+    assert sorted(map(tuple, pstream.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
+
 
 def test_routing_stream_to_topic_folders(spark, scratch):
     t = Tables(spark, SF_SMALL)
