@@ -72,3 +72,12 @@ def test_full_outer_pairs_avoid_a_full_outer_join(spark):
     # AQE cannot split a skewed key of a full outer join; JOI1 is a left join plus an anti join instead
     plan = _plan(E.queries()["order_detail_pairs"](spark, SF_SMALL))
     assert "FullOuter" not in plan
+
+
+def test_day_partitioned_writes_rebalance_on_the_day(spark):
+    # a day-partitioned write is clustered by its day first (AQE may split a hot day), not one file per day per task
+    from shoplens import sinks
+    from shoplens.plans import queries as Q
+    rows = sinks._by_day(Q._dau_rows(Q._t(spark, SF_SMALL)).select(*sinks.DAU_TABLE_COLUMNS), "logdate")
+    plan = _plan(rows)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(logdate" in plan
