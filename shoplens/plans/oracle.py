@@ -315,6 +315,7 @@ FROM orders_clean WHERE create_date = '{od}'""",
         "coupon_alert": _alert(3),
         "coupon_alert_naive": _alert(3),
         "coupon_alert_panes": _alert(3),
+        "coupon_alert_two_phase": _alert(3),
         "coupon_alert_strict": _alert(4),
         "alert_preview": f"SELECT * FROM ({_alert(3)}) ORDER BY doc_id LIMIT {P.PREVIEW_ROWS}",
         "order_detail_pairs": _with("order_info", "order_detail") + """

@@ -189,6 +189,11 @@ def q_coupon_alert_panes(spark, sf_dir):
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), prefilter=True, panes=True))
 
 
+def q_coupon_alert_two_phase(spark, sf_dir):
+    """The same alerts, firing decided by fixed-width aggregates before any set is collected (hot-device form)."""
+    return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), prefilter=True, two_phase=True))
+
+
 def q_coupon_alert_strict(spark, sf_dir):
     """The '> 3 users' rule of the twin job."""
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), min_uids=4))
@@ -328,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "coupon_alert": q_coupon_alert,
     "coupon_alert_naive": q_coupon_alert_naive,
     "coupon_alert_panes": q_coupon_alert_panes,
+    "coupon_alert_two_phase": q_coupon_alert_two_phase,
     "coupon_alert_strict": q_coupon_alert_strict,
     "alert_preview": q_alert_preview,
     "order_detail_pairs": q_order_detail_pairs,
