@@ -72,6 +72,9 @@ def test_full_outer_pairs_avoid_a_full_outer_join(spark):
     # AQE cannot split a skewed key of a full outer join; JOI1 is a left join plus an anti join instead
     plan = _plan(E.queries()["order_detail_pairs"](spark, SF_SMALL))
     assert "FullOuter" not in plan
+    assert "LeftAnti" in plan and "LeftOuter" in plan
+    # the anti join's detail keys are made distinct map-side first (a hot order id ships one row per task)
+    assert re.search(r"HashAggregate\(keys=\[d_order_id[^\]]*\], functions=\[\]", plan)
 
 
 def test_day_partitioned_writes_rebalance_on_the_day(spark):
