@@ -101,3 +101,11 @@ def test_detail_pairs_equal_a_full_outer_join(spark, order_keys, detail_keys):
     want = full.select(F.coalesce("o_id", "d_order_id").alias("order_id"), "order_detail_id", state.alias("s"))
     key_of = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(map(key_of, sales.detail_pairs(o, d).collect())) == sorted(map(key_of, want.collect()))
+
+
+@SETTINGS
+@given(st.lists(event, min_size=0, max_size=60))
+def test_pane_fold_equals_window_fold_on_every_window(spark, rows):
+    from pyspark.sql import functions as F
+    df = _events(spark, rows).withColumn("event_time", F.timestamp_millis("ts"))
+    assert _rows(alerts.pane_fold(df)) == _rows(alerts.window_fold(df))
