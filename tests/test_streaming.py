@@ -261,3 +261,22 @@ def test_apps_run_once(spark, scratch):
     q = apps.dau_app(spark, src, out, trigger="availableNow", checkpoint=os.path.join(scratch, "ck"))
     jobs.run_to_end(q)
     assert sinks.read_dau_table(spark, out).count() == dau.daily_active(logs).count()
+
+
+def test_dau_table_per_batch_with_a_hot_device(spark, scratch):
+    from shoplens.schemas import STARTUP_LOG
+    t0 = 1_704_067_200_000  # 2024-01-01
+    rows = [dict(mid="hot" if i % 3 else f"m{i % 7}", uid=str(i), appid="a", area="x", os="ios", ch="c",
+                 type="startup", vs="1", ts=t0 + i * 1_000_003) for i in range(600)]  # about 7 days
+    logs = spark.createDataFrame(rows, STARTUP_LOG)
+    src = write_chunks(logs, F.col("ts"), os.path.join(scratch, "start"), n=4)
+    path = os.path.join(scratch, "dau_table")
+    q = jobs.start_dau_table_sink(file_stream(spark, src, 1), path, "dau_hot", trigger="availableNow",
+                                  checkpoint=os.path.join(scratch, "ck"))
+    jobs.run_to_end(q)
+    want = dau.daily_active(logs).select(*sinks.DAU_TABLE_COLUMNS)
+    got = sinks.read_dau_table(spark, path).select(
+        *[F.col(c).cast("string").alias(c) if c == "logdate" else c for c in sinks.DAU_TABLE_COLUMNS])
+    assert got.where(F.col("mid") == "hot").count() == want.where(F.col("mid") == "hot").count() > 1
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
