@@ -280,3 +280,25 @@ def test_dau_table_per_batch_with_a_hot_device(spark, scratch):
     assert got.where(F.col("mid") == "hot").count() == want.where(F.col("mid") == "hot").count() > 1
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_salted_join_with_a_hot_order(spark, scratch):
+    from shoplens.schemas import ORDER_DETAIL, ORDER_INFO
+    orders = spark.createDataFrame([dict(id=str(o), create_time="2024-01-01 10:00:%02d" % o, user_id="1",
+                                         order_status="1", total_amount=1.0) for o in range(3)], ORDER_INFO)
+    # order 0 holds most lines; a few lines fall outside the 100 s band
+    details = spark.createDataFrame([dict(id=f"d{i}", order_id="0" if i % 5 else str(i % 3), sku_name="x",
+                                          sku_id="1", order_price="1.00", sku_num="1",
+                                          detail_time="2024-01-01 10:%02d:00" % (i % 4))
+                                     for i in range(80)], ORDER_DETAIL)
+    osrc = write_chunks(orders, _ts(F.col("create_time")), os.path.join(scratch, "orders"), n=1)
+    dsrc = write_chunks(details, _ts(F.col("detail_time")), os.path.join(scratch, "details"), n=2)
+    out = jobs.sale_detail_stream(file_stream(spark, osrc), file_stream(spark, dsrc), 100, "10 minutes",
+                                  salt_buckets=4)
+    q = jobs.start_memory_sink(out, "sale_detail_hot", checkpoint=os.path.join(scratch, "ck"))
+    jobs.run_to_end(q)
+    got = spark.table("sale_detail_hot")
+    want = sales.sale_details(gmv.clean_orders(orders), details, 100)
+    assert got.count() == want.count() > 0
+    assert got.select("order_detail_id").distinct().count() == got.count()
+    assert got.exceptAll(want).count() == 0
