@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, line_dedup, mixing, pieces, sharding
+from shoplens.llm import chat, fingerprint, license_scan, line_dedup, mixing, pieces, quality, sharding, topk
 from shoplens.llm.common import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(read(spark, sf_dir, "embeddings"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents the classifier keeps, with their scores."""
+    judged = quality.judge(read(spark, sf_dir, "documents"))
+    return judged.filter("__keep").select("doc_id", F.col("__score").alias("score"), F.col("__posterior").alias("weak_posterior"), F.col("__keep").alias("keep"))
+
+
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(read(spark, sf_dir, "documents"), n_shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -38,7 +56,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_quality, op4_fingerprint, op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
@@ -47,6 +65,20 @@ ORACLE_SQL: dict[str, str] = {}
 # Each turn is written as <|turn|>role<|body|>text<|end|> (23 characters besides role and text), with a backslash more
 # for each control string inside.
 _CONTROLS = r"[<\[]\\*(\|turn\|>|\|body\|>|\|end\|>|\|(image|audio|document):[0-9]+\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>)"
+
+ORACLE_SQL["op2_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
 ORACLE_SQL["op8_chat_format"] = f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
