@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fingerprint, license_scan, line_dedup, mixing, pieces, quality, sharding, topk
+from shoplens.llm import chat, fingerprint, license_scan, line_dedup, mixing, ngram_join, pieces, quality, sharding, topk
 from shoplens.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(read(spark, sf_dir, "documents"), n_shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -56,7 +60,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_quality, op4_fingerprint, op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_quality, op4_fingerprint, op5_ngram_join, op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
