@@ -1,17 +1,34 @@
-"""The corpus pipeline: quality classifier, line dedup, near-duplicate removal, mixing, encoding."""
+"""The corpus pipeline: quality classifier, line dedup, near-duplicate removal, mixing, encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; :func:`run` writes every stage's
+result as Parquet under the shared checkpoint folder and reads it back for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import line_dedup, mixing, pieces
+from shoplens.llm import line_dedup, mixing, ngram_join, pieces, quality
 from shoplens.llm.common import read, staged
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later repeated runs of lines; a document that keeps no word of its text goes."""
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Trains the classifier on ``docs`` and keeps what it accepts."""
+    return quality.judge(docs).filter("verdict.keep").select("row.*")
+
+
+def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes later repeated runs of lines; a document all of whose words were such runs goes."""
     cleaned = line_dedup.dedup_lines(docs)
-    return cleaned.filter("__n_removed = 0 OR text RLIKE '\\\\S'").select(*docs.columns)
+    kept = cleaned.filter("__n_removed = 0 OR text RLIKE '\\\\S'")
+    n_chars = F.when(F.col("__n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def copy_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies."""
+    return ngram_join.without_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,16 +37,24 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
     return pieces.encode_documents(docs, pieces.default_model())
 
 
-STAGES = [("line dedup", lines), ("mixing", mixed), ("encoding", encoded)]
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("line dedup", line_filter),
+    ("n-gram Jaccard join", copy_filter),
+    ("mixing sources to target weights", mixed),
+    ("SentencePiece encoding and decoding", encoded),
+]
 
+#: SQL can express neither the classifier nor the encoding; tests/llm hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -197,42 +197,34 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> dict:
     return {"weights": np.frombuffer(weights[0]) if weights else np.zeros(SLOTS + 1), "chance": chance, "prior": prior, "posterior": by_pattern}
 
 
-def score(docs: DataFrame, model: dict, keep_from: float = KEEP_FROM) -> DataFrame:
-    """All rows and columns of ``docs`` with ``__score`` (0 to 1), ``__posterior`` (of its votes) and ``__keep``."""
+def verdict(model: dict, keep_from: float = KEEP_FROM):
+    """A column function from a text to its verdict: struct of score (0 to 1), posterior (of its votes) and keep."""
     weights, posterior = model["weights"], model["posterior"]
-    ship_code(docs.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch.text:
-                m, n, classes = statistics(text or "")
-                if n < FEW_WORDS:  # too little to judge by
-                    out.append((1.0, posterior.get(0, 0.5), True))
-                    continue
-                slots, values = features(m, n, classes)
-                s = float(1 / (1 + np.exp(-np.clip((values * weights[slots]).sum() + weights[-1], -50, 50))))
-                cast = votes(m, n)
-                weak = posterior.get(sum(v * 3**i for i, v in enumerate(cast)), 0.5)
-                out.append((s, weak, s >= keep_from or weak >= 0.5 or 1 not in cast))
-            judged = pd.DataFrame(out, columns=["__score", "__posterior", "__keep"])
-            yield pd.concat([batch.reset_index(drop=True), judged], axis=1)
-
-    return docs.mapInPandas(run, _with(docs, "__score double, __posterior double, __keep boolean"))
-
 
-def _with(docs: DataFrame, more: str):
-    from pyspark.sql import types as T
+    @F.pandas_udf("score double, posterior double, keep boolean")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            m, n, classes = statistics(text or "")
+            if n < FEW_WORDS:  # too little to judge by
+                out.append((1.0, posterior.get(0, 0.5), True))
+                continue
+            slots, values = features(m, n, classes)
+            s = float(1 / (1 + np.exp(-np.clip((values * weights[slots]).sum() + weights[-1], -50, 50))))
+            cast = votes(m, n)
+            weak = posterior.get(sum(v * 3**i for i, v in enumerate(cast)), 0.5)
+            out.append((s, weak, s >= keep_from or weak >= 0.5 or 1 not in cast))
+        return pd.DataFrame(out, columns=["score", "posterior", "keep"])
 
-    return T.StructType(docs.schema.fields + T._parse_datatype_string(more).fields)
+    return judged
 
 
 def judge(docs: DataFrame, train_rows: int = TRAIN_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
-    """doc_id, text and the verdict on each row: __score, __posterior, __keep.
+    """Per row of ``docs``: ``row`` (its columns as a struct) and ``verdict`` (score, posterior, keep).
 
     Texts under ``FEW_WORDS`` words, null and empty ones among them, are kept with score 1.0: there is too little to
     judge them by.  Rows are judged one by one by their text, so repeated rows and shared or null ids get equal
     verdicts for equal texts.  An empty table gives no rows.  Votes and scores read whole texts.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return score(rows, train(rows, train_rows), keep_from)
+    judged = verdict(train(docs, train_rows), keep_from)
+    return docs.select(F.struct(*docs.columns).alias("row"), judged(F.col("text")).alias("verdict"))

@@ -21,8 +21,8 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents the classifier keeps, with their scores."""
-    judged = quality.judge(read(spark, sf_dir, "documents"))
-    return judged.filter("__keep").select("doc_id", F.col("__score").alias("score"), F.col("__posterior").alias("weak_posterior"), F.col("__keep").alias("keep"))
+    judged = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.filter("verdict.keep").select("row.doc_id", "verdict.score", F.col("verdict.posterior").alias("weak_posterior"), "verdict.keep")
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
