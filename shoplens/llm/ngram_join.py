@@ -307,4 +307,4 @@ def without_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
     """``docs`` with one document of each component: the one of the least doc_id (of rows without ids, each stays)."""
     found = join_documents(docs, words, threshold)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    return docs.join(gone, (F.xxhash64(docs["text"]) == F.col("gone_hash")) & docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(gone, (F.xxhash64(docs["text"]) == gone["gone_hash"]) & docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
