@@ -1,6 +1,7 @@
 """Scalar steps as built-in column expressions (JVM-side, inside whole-stage codegen; no UDFs).
 
-Null in, null out: a missing phone or time gives a null field and keeps the row.
+Null in, null out: a missing phone or time gives a null field and keeps the row.  Text that is no time, date or
+number gives null as well, never a failed task.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def text_hour(time_text: ColumnOrName = "create_time") -> Column:
 
 
 def text_to_timestamp(time_text: ColumnOrName = "create_time") -> Column:
-    return F.to_timestamp(_c(time_text), "yyyy-MM-dd HH:mm:ss")
+    return F.try_to_timestamp(_c(time_text), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 # The two phone masks.
@@ -63,7 +64,7 @@ def mask_middle4(tel: ColumnOrName = "consignee_tel") -> Column:
 
 def age_years(birthday: ColumnOrName, as_of: ColumnOrName) -> Column:
     """PRJ9: whole days between birthday and ``as_of`` integer-divided by 365 (drifts from calendar age)."""
-    days = F.datediff(_c(as_of), F.to_date(_c(birthday), "yyyy-MM-dd"))
+    days = F.datediff(_c(as_of), F.try_to_timestamp(_c(birthday), F.lit("yyyy-MM-dd")).cast("date"))
     return F.floor(days / F.lit(365)).cast("int")
 
 
@@ -94,7 +95,18 @@ def record_json(*cols: str) -> Column:
 
 def after_image_json(after: ColumnOrName = "after") -> Column:
     """PRJ7: fold a (name, value) column list into one JSON object, all values text."""
-    return F.to_json(F.map_from_entries(_c(after)))
+    return F.to_json(F.map_from_entries(last_entries(after)))
+
+
+def last_entries(after: ColumnOrName = "after") -> Column:
+    """The (name, value) list with the last entry of each name and no nameless ones."""
+    entries = _c(after)
+
+    def is_last(entry: Column, at: Column) -> Column:
+        later = F.slice(entries, at + 2, F.size(entries))
+        return entry["name"].isNotNull() & ~F.exists(later, lambda x: x["name"] == entry["name"])
+
+    return F.filter(entries, is_last)
 
 
 def receive_stamp() -> Column:
@@ -104,4 +116,4 @@ def receive_stamp() -> Column:
 
 def money(c: ColumnOrName) -> Column:
     """Money is summed exactly as DECIMAL(18,2) and handed out as DOUBLE."""
-    return _c(c).cast("decimal(18,2)")
+    return _c(c).try_cast("decimal(18,2)")

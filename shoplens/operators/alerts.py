@@ -12,9 +12,9 @@ buckets together hold ≥ ``min_uids`` distinct coupon users.  Only rows of such
 The candidate search is itself cheap and skew-proof: a distinct over (device, bucket, user) of coupon rows,
 aggregated map-side, then a count per (device, bucket pair).  Nothing is gathered per device.
 
-The fold uses only decomposable aggregates: ``collect_set`` of coupon users / items (bounded by distinct users and
-items within one window), per-event-id counts over the fixed event-id domain (the event list as a multiset, of
-fixed size), a click flag and a row count.
+The fold first aggregates per (window, device, event id) - ``collect_set`` of coupon users / items (bounded by the
+distinct users and items of one window) and a count - and then per (window, device), whose rows are as many as there are
+event ids.  So the event list holds every id that occurs, as a multiset.
 """
 
 from __future__ import annotations
@@ -26,8 +26,7 @@ from shoplens.functions.columns import dated_index, doc_id, event_time
 from shoplens.operators.keyed import latest_by_key
 from shoplens.schemas import ALERT_INDEX_PREFIX
 
-# Event ids of the event log (alphabetical) and the two the rule reads.
-EVENT_IDS = ("addCart", "addComment", "addFavor", "clickItem", "coupon")
+# The two event ids the rule reads.
 COUPON = "coupon"
 CLICK = "clickItem"
 
@@ -53,25 +52,39 @@ def candidate_buckets(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SE
     return hot.select("mid", F.explode(F.array(F.col("p"), F.col("p") + 1)).alias("bucket"))
 
 
+def _per_event_id() -> list:
+    """Aggregates of the rows of one (window or pane, device, event id)."""
+    coupon = F.col("evid") == COUPON
+    return [F.collect_set(F.when(coupon, F.col("uid"))).alias("c_uids"),
+            F.collect_set(F.when(coupon, F.col("itemid"))).alias("c_items"),
+            F.count(F.lit(1)).alias("n")]
+
+
+def _per_device() -> list:
+    """Aggregates over the event ids of one (window, device)."""
+    return [F.array_sort(F.array_distinct(F.flatten(F.collect_list("c_uids")))).alias("uids"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("c_items")))).alias("item_ids"),
+            F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("has_click"),
+            F.sum("n").alias("n_events"), _events_text()]
+
+
+def _events_text():
+    """``id:count`` of every event id, sorted by id."""
+    entry = F.when(F.col("evid").isNotNull(), F.struct("evid", "n"))
+    return F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))), ",").alias("events")
+
+
+def _folded(agg: DataFrame) -> DataFrame:
+    return agg.select("mid", F.unix_millis(F.col("window.start")).alias("window_start"),
+                      F.unix_millis(F.col("window.end")).alias("ts"), "uids", "item_ids", "has_click", "n_events", "events")
+
+
 def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                 slide_seconds: int = DEFAULT_SLIDE_SECONDS) -> DataFrame:
     """WIN1 + AGG6: per (window, device): coupon users, coupon items, event-id counts, click flag."""
-    coupon = F.col("evid") == COUPON
-    counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
-    agg = (events.groupBy(F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds"), "mid")
-           .agg(F.array_sort(F.collect_set(F.when(coupon, F.col("uid")))).alias("uids"),
-                F.array_sort(F.collect_set(F.when(coupon, F.col("itemid")))).alias("item_ids"),
-                F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("has_click"),
-                F.count(F.lit(1)).alias("n_events"),
-                *counts))
-    events_text = F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"),
-                                                                          F.col(f"n_{e}").cast("string")))
-                                     for e in EVENT_IDS])
-    return agg.select(
-        "mid",
-        F.unix_millis(F.col("window.start")).alias("window_start"),
-        F.unix_millis(F.col("window.end")).alias("ts"),
-        "uids", "item_ids", "has_click", "n_events", events_text.alias("events"))
+    window = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    per_id = events.groupBy(window.alias("window"), "mid", "evid").agg(*_per_event_id())
+    return _folded(per_id.groupBy("window", "mid").agg(*_per_device()))
 
 
 def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
@@ -79,41 +92,20 @@ def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
     """WIN1 + AGG6 through panes: the same rows as ``window_fold``.
 
     A sliding window of length W and slide S is the union of W/S consecutive S-long panes (5-second slices).
-    Events are folded per (device, pane) first — a partial aggregate, so a device sending thousands of events per
-    pane ships one row per pane and task — and only the pane rows are copied into the W/S windows holding them.
-    The expansion then grows with the number of busy panes, not with the number of events: a hot device costs
-    W/S rows per pane instead of W/S rows per event.  Needs W to be a multiple of S (5 min / 5 s is).
+    Events are folded per (device, pane, event id) first — a partial aggregate, so a device sending thousands of
+    events per pane ships a row per event id, pane and task — and only these rows are copied into the W/S windows
+    holding them.  The expansion then grows with the number of busy panes, not with the number of events.  Needs W to
+    be a multiple of S (5 min / 5 s is).
     """
     if window_seconds % slide_seconds:
         raise ValueError("pane form needs the window length to be a multiple of the slide")
-    coupon = F.col("evid") == COUPON
-    counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
-    panes = (events.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane"), "mid")
-             .agg(F.collect_set(F.when(coupon, F.col("uid"))).alias("p_uids"),
-                  F.collect_set(F.when(coupon, F.col("itemid"))).alias("p_items"),
-                  F.bool_or(F.col("evid") == CLICK).alias("p_click"),
-                  F.count(F.lit(1)).alias("p_events"),
-                  *counts))
+    panes = events.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane"), "mid", "evid").agg(*_per_event_id())
     # a pane lies in a window exactly when its last instant (window_time = end - 1 µs) does, since panes are
     # aligned to the slide; window_time keeps the event-time mark, so the same code runs as a chained stream
-    sums = [F.sum(f"n_{e}").alias(f"n_{e}") for e in EVENT_IDS]
-    agg = (panes.groupBy(F.window(F.window_time("pane"), f"{window_seconds} seconds", f"{slide_seconds} seconds"),
-                         "mid")
-           .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_uids")))).alias("uids"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_items")))).alias("item_ids"),
-                F.coalesce(F.bool_or("p_click"), F.lit(False)).alias("has_click"),
-                F.sum("p_events").alias("n_events"),
-                *sums))
-    return agg.select(
-        "mid",
-        F.unix_millis(F.col("window.start")).alias("window_start"),
-        F.unix_millis(F.col("window.end")).alias("ts"),
-        "uids", "item_ids", "has_click", "n_events", _events_text().alias("events"))
-
-
-def _events_text():
-    return F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"), F.col(f"n_{e}").cast("string")))
-                              for e in EVENT_IDS])
+    window = F.window(F.window_time("pane"), f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    per_id = panes.groupBy(window.alias("window"), "mid", "evid").agg(
+        F.flatten(F.collect_list("c_uids")).alias("c_uids"), F.flatten(F.collect_list("c_items")).alias("c_items"), F.sum("n").alias("n"))
+    return _folded(per_id.groupBy("window", "mid").agg(*_per_device()))
 
 
 def _windows(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
@@ -133,9 +125,10 @@ def firing_windows(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECON
     """
     keys = ["window_start", "mid"]
     ex = _windows(events, window_seconds, slide_seconds)
-    counts = [F.count_if(F.col("evid") == e).alias(f"n_{e}") for e in EVENT_IDS]
-    stats = (ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"), *counts)
-             .where(F.col(f"n_{CLICK}") == 0))
+    stats = (ex.groupBy(*keys, "evid").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys)
+             .agg(F.sum("n").alias("n_events"), F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("has_click"),
+                  _events_text())
+             .where(~F.col("has_click")))
     coupons = ex.where(F.col("evid") == COUPON)
     n_uids = (coupons.select(*keys, "uid").distinct()
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_uids"))
@@ -146,12 +139,9 @@ def firing_windows(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECON
             .agg(F.array_sort(F.collect_set("uid")).alias("uids"),
                  F.array_sort(F.collect_set("itemid")).alias("item_ids")))
     out = fired.join(sets, keys, "inner")
-    events_text = F.concat_ws(",", *[F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(f"{e}:"),
-                                                                          F.col(f"n_{e}").cast("string")))
-                                     for e in EVENT_IDS])
     return out.select(
         "mid", "window_start", (F.col("window_start") + window_seconds * 1000).alias("ts"),
-        "uids", "item_ids", "n_events", events_text.alias("events"))
+        "uids", "item_ids", "n_events", "events")
 
 
 def firing(folded: DataFrame, min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:

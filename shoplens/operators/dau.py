@@ -38,6 +38,15 @@ def first_log_per_device(logs: DataFrame, method: str = "aggregate") -> DataFram
             .select(*logs.columns))
 
 
+def first_times(logs: DataFrame) -> DataFrame:
+    """The time and hour of each (device, day)'s first log: ``min(ts)``, a hash aggregate over three columns.  Enough for
+    every question that counts devices by day or hour."""
+    if "logdate" not in logs.columns:
+        logs = logs.withColumn("logdate", log_date("ts"))
+    first = logs.groupBy("mid", "logdate").agg(F.min("ts").alias("ts"))
+    return first.withColumn("loghour", log_hour("ts"))
+
+
 def unseen_logs(logs: DataFrame, seen: DataFrame) -> DataFrame:
     """FLT4 / JOI6: drop logs whose device is already in the seen set of the log's own day.
 
@@ -88,6 +97,14 @@ def new_devices(dau_rows: DataFrame, date: str) -> DataFrame:
             .select(F.lit(date).alias("logdate"), "new_mid"))
 
 
+def active_and_new(dau_rows: DataFrame, date: str) -> DataFrame:
+    """AGG2 and AGG9 in one scan of the days up to ``date``: devices active on it, and those of them never seen before.
+    Per device one partial row: its first day, and whether it was active on ``date``."""
+    per = (dau_rows.where(F.col("logdate") <= F.lit(date))
+           .groupBy("mid").agg(F.min("logdate").alias("first_day"), F.bool_or(F.col("logdate") == F.lit(date)).alias("active")))
+    return per.agg(F.count_if("active").alias("dau"), F.count_if(F.col("first_day") == F.lit(date)).alias("new_mid"))
+
+
 def split_at_noon(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two 'batches' of each day: logs before 12:00 and from 12:00 on (used to exercise FLT4)."""
     logs = with_log_time(logs) if "logdate" not in logs.columns else logs

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from shoplens.operators.keyed import latest_by_key
 
 
-def latest_users(user_changes: DataFrame, order: str = "seq") -> DataFrame:
-    """One row per user ``id``: the version with the highest ``order`` (``seq``, or a Kafka (partition, offset)
-    pair in live feeds)."""
-    return latest_by_key(user_changes, ["id"], [order])
+def latest_users(user_changes: DataFrame, order: str | tuple[str, ...] = "seq") -> DataFrame:
+    """One row per user ``id``: the version with the highest ``order``: ``seq``, or ``("offset",)`` in feeds from a
+    topic (a key's messages share a partition, whose offsets are their order)."""
+    return latest_by_key(user_changes, ["id"], [order] if isinstance(order, str) else list(order))

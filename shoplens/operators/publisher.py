@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import dashboard
-from shoplens.sinks import read_dau_table
+from shoplens.sinks import read_dau_times
 
 
 def dau_table(spark: SparkSession, path: str) -> DataFrame:
-    return read_dau_table(spark, path)
+    return read_dau_times(spark, path)
 
 
 def order_table(spark: SparkSession, path: str) -> DataFrame:

@@ -36,7 +36,7 @@ def detail_side(details: DataFrame) -> DataFrame:
     """Detail fields the sale detail takes (PRJ8): price as DOUBLE, plus the detail's arrival time."""
     return details.select(
         F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"), "sku_id", "sku_name",
-        F.col("order_price").cast("double").alias("sku_price"),
+        F.col("order_price").try_cast("double").alias("sku_price"),
         text_to_timestamp("detail_time").alias("detail_ts"))
 
 

@@ -29,8 +29,9 @@ CTES["startup"] = f"""
 _EVENT_COLS = f"""
     'mid_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS VARCHAR) AS mid,
     CAST(user_id AS VARCHAR) AS uid, {_DEVICE}, 'event' AS type,
-    CASE event_type WHEN 'signup' THEN 'coupon' WHEN 'click' THEN 'clickItem' WHEN 'view' THEN 'addFavor'
-      WHEN 'purchase' THEN 'addCart' WHEN 'error' THEN 'addComment' END AS evid,
+    CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'share' WHEN event_type = 'error' THEN 'addComment'
+      WHEN event_type = 'signup' THEN 'coupon' WHEN event_type = 'click' THEN 'clickItem'
+      WHEN event_type = 'view' THEN 'addFavor' WHEN event_type = 'purchase' THEN 'addCart' END AS evid,
     CAST(event_id % 50 + 1 AS VARCHAR) AS pgid, CAST(event_id * 7 % 50 + 1 AS VARCHAR) AS npgid,
     CAST(event_id % 50 AS VARCHAR) AS itemid, epoch_us(ts) // 1000 AS ts"""
 
@@ -207,7 +208,7 @@ SELECT CASE WHEN day = '{date}' THEN 'today' ELSE 'yesterday' END AS which, day,
 FROM per GROUP BY day"""
 
 
-_ALERT_EVENT_IDS = ("addCart", "addComment", "addFavor", "clickItem", "coupon")
+_ALERT_EVENT_IDS = ("addCart", "addComment", "addFavor", "clickItem", "coupon", "share")
 
 
 def _alert(min_uids: int) -> str:
@@ -275,6 +276,12 @@ SELECT strftime(epoch_ms(ts), '%Y-%m-%d') AS dt,
 FROM raw_logs"""
 
 
+def _order_json() -> str:
+    """An order as one JSON object of its non-null fields, as Spark's to_json writes it."""
+    fields = ", ".join(f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":' || CAST(to_json({c}) AS VARCHAR) END""" for c in _ORDER_COLS)
+    return f"('{{{{' || concat_ws(',', {fields}) || '}}}}')".replace("{{", "{").replace("}}", "}")
+
+
 def oracle_sql() -> dict[str, str]:
     d, nd, od = P.EVENT_DATE, P.NEW_DEVICE_DATE, P.ORDER_DATE
     out = {
@@ -366,13 +373,26 @@ FROM raw_logs""",
 SELECT topic, table_name, event_type, after[1].value AS row_id, {_AFTER.format()} AS value
 FROM routed WHERE topic IS NOT NULL""",
         "parse_json": _with("order_info") + "SELECT * FROM order_info WHERE CAST(id AS BIGINT) % 100 <> 0",
-        "parse_json_quarantine": _with("order_info") + """
-SELECT count(*) AS n_quarantined FROM order_info WHERE CAST(id AS BIGINT) % 100 = 0""",
+        "parse_json_quarantine": _with("order_info") + f"""
+SELECT CAST(length({_order_json()}) // 2 AS BIGINT) AS n_chars, substr({_order_json()}, 1, 20) AS head
+FROM order_info WHERE CAST(id AS BIGINT) % 100 = 0""",
         "latest_documents": _with("doc_versions") + """
 SELECT doc_id, batch_id, ts, mid, uid, evid, note FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id
     ORDER BY batch_id DESC, ts DESC, mid DESC, uid DESC, evid DESC, note DESC) AS rn FROM doc_versions) WHERE rn = 1""",
     }
+    routed = "CAST(id AS BIGINT) % 20 <> 7 AND CAST(id AS BIGINT) % 10 <> 0"
+    out["chain_gmv"] = _with("orders_clean") + f"""
+SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS gmv
+FROM orders_clean WHERE create_date = '{od}' AND {routed} GROUP BY create_hour"""
+    out["chain_sale_detail"] = _with("order_info", "order_detail") + _SALE + _within(100) + """
+  AND CAST(o.id AS BIGINT) % 20 <> 7 AND CAST(o.id AS BIGINT) % 10 <> 0
+  AND (CAST(d.order_id AS BIGINT) + CAST(split_part(d.id, '-', 2) AS BIGINT)) % 20 <> 7"""
+    out["chain_user_latest"] = _with("user_log") + """
+SELECT id, login_name, user_level, birthday, gender, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM user_log
+  WHERE (CAST(id AS BIGINT) * 3 + seq) % 20 <> 7 AND NOT (CAST(id AS BIGINT) % 25 = 0 AND seq = 1 + CAST(id AS BIGINT) % 3)
+) WHERE rn = 1"""
     # the publisher's questions over the stored tables answer exactly what the same questions answer over the
     # tables they were written from
     out["stored_kpi_total"] = out["kpi_total"]

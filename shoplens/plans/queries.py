@@ -18,10 +18,11 @@ from shoplens import sinks
 from shoplens.operators import alerts, dashboard, dau, gmv, publisher, routing, sales
 from shoplens.operators.dims import latest_users
 from shoplens.operators.keyed import latest_by_key
-from shoplens.schemas import ORDER_INFO
+from shoplens.schemas import ORDER_INFO, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_USER_INFO
 from shoplens.session import checkpoint_path, ensure_utc
 from shoplens.sources import ingest, staging
 from shoplens.sources.tables import Tables
+from shoplens.streaming import jobs
 
 # Fixed query parameters (non-empty at sf 0.01).
 EVENT_DATE = "2024-01-15"
@@ -64,12 +65,16 @@ def q_dau_first_log_window(spark, sf_dir):
     return dau.first_log_per_device(dau.with_log_time(staging.startup(_t(spark, sf_dir))), method="window")
 
 
+def _dau_times(t: Tables, days: staging.Days | None = None) -> DataFrame:
+    return dau.first_times(staging.startup(t, days))
+
+
 def q_dau_total(spark, sf_dir):
-    return dau.dau_total(_dau_rows(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
+    return dau.dau_total(_dau_times(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
 
 
 def q_dau_hours(spark, sf_dir):
-    return dau.dau_hours(_dau_rows(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
+    return dau.dau_hours(_dau_times(_t(spark, sf_dir), (EVENT_DATE, EVENT_DATE)), EVENT_DATE)
 
 
 def q_dau_seen_filter(spark, sf_dir):
@@ -80,24 +85,24 @@ def q_dau_seen_filter(spark, sf_dir):
 
 
 def q_dau_new_devices(spark, sf_dir):
-    return dau.new_devices(_dau_rows(_t(spark, sf_dir), (None, NEW_DEVICE_DATE)), NEW_DEVICE_DATE)
+    return dau.new_devices(_dau_times(_t(spark, sf_dir), (None, NEW_DEVICE_DATE)), NEW_DEVICE_DATE)
 
 
 def q_dau_compare_hours(spark, sf_dir):
-    rows = _dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE))
+    rows = _dau_times(_t(spark, sf_dir), _two_days(EVENT_DATE))
     return dashboard.compare_hours(rows, EVENT_DATE, "logdate", "loghour", None, "long")
 
 
 def q_dau_hour_map(spark, sf_dir):
-    rows = _dau_rows(_t(spark, sf_dir), _two_days(EVENT_DATE))
+    rows = _dau_times(_t(spark, sf_dir), _two_days(EVENT_DATE))
     return dashboard.hour_map(rows, EVENT_DATE, "logdate", "loghour", None) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 
 # ---- orders / GMV -----------------------------------------------------------------------------------------------
 
-def _orders_clean(t: Tables, mask: str = "prefix4", days: staging.Days | None = None) -> DataFrame:
-    return gmv.clean_orders(staging.order_info(t, days), mask)
+def _orders_clean(t: Tables, mask: str = "prefix4", days: staging.Days | None = None, customer: bool = True) -> DataFrame:
+    return gmv.clean_orders(staging.order_info(t, days, customer), mask)
 
 
 def q_orders_clean(spark, sf_dir):
@@ -109,27 +114,27 @@ def q_orders_clean_middle4(spark, sf_dir):
 
 
 def q_gmv_total(spark, sf_dir):
-    return gmv.gmv_total(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE)), ORDER_DATE)
+    return gmv.gmv_total(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE), customer=False), ORDER_DATE)
 
 
 def q_gmv_hours(spark, sf_dir):
-    return gmv.gmv_hours(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE)), ORDER_DATE)
+    return gmv.gmv_hours(_orders_clean(_t(spark, sf_dir), days=(ORDER_DATE, ORDER_DATE), customer=False), ORDER_DATE)
 
 
 def q_gmv_compare_hours(spark, sf_dir):
-    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE))
+    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE), customer=False)
     return dashboard.compare_hours(orders, ORDER_DATE, "create_date", "create_hour", F.col("total_amount"), "double")
 
 
 def q_gmv_hour_map(spark, sf_dir):
-    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE))
+    orders = _orders_clean(_t(spark, sf_dir), days=_two_days(ORDER_DATE), customer=False)
     return dashboard.hour_map(orders, ORDER_DATE, "create_date", "create_hour", F.col("total_amount")) \
         .select("which", "day", "hour_text", F.col("n_hours").cast("long").alias("n_hours"))
 
 
 def q_kpi_total(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return dashboard.kpi_total(_dau_rows(t, (None, EVENT_DATE)), _orders_clean(t, days=(ORDER_DATE, ORDER_DATE)),
+    return dashboard.kpi_total(_dau_times(t, (None, EVENT_DATE)), _orders_clean(t, days=(ORDER_DATE, ORDER_DATE), customer=False),
                                EVENT_DATE, ORDER_DATE)
 
 
@@ -209,13 +214,13 @@ def q_alert_preview(spark, sf_dir):
 
 def q_order_detail_pairs(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return sales.detail_pairs(staging.order_info(t), staging.order_detail(t))
+    return sales.detail_pairs(staging.order_info(t, customer=False), staging.order_detail(t))
 
 
 def _sale_details(t: Tables, ttl: int = sales.DEFAULT_TTL_SECONDS, days: staging.Days | None = None) -> DataFrame:
     """Sale details; ``days`` restricts both sides to orders created in the range (a sale's ``dt`` is its order's
     create date, so a day's search needs no other order or line)."""
-    return sales.sale_details(gmv.clean_orders(staging.order_info(t, days)), staging.order_detail(t, days), ttl)
+    return sales.sale_details(gmv.clean_orders(staging.order_info(t, days, customer=False)), staging.order_detail(t, days), ttl)
 
 
 def q_sale_detail(spark, sf_dir):
@@ -228,7 +233,7 @@ def q_sale_detail_ttl1000(spark, sf_dir):
 
 def q_sale_detail_all(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return sales.sale_details_all(gmv.clean_orders(staging.order_info(t)), staging.order_detail(t))
+    return sales.sale_details_all(gmv.clean_orders(staging.order_info(t, customer=False)), staging.order_detail(t))
 
 
 def q_user_latest(spark, sf_dir):
@@ -304,7 +309,31 @@ def q_parse_json(spark, sf_dir):
 
 
 def q_parse_json_quarantine(spark, sf_dir):
-    return ingest.quarantine(_parsed_orders(_t(spark, sf_dir))).agg(F.count(F.lit(1)).alias("n_quarantined"))
+    return ingest.quarantine(_parsed_orders(_t(spark, sf_dir))).select(F.length("raw").cast("long").alias("n_chars"), F.substring("raw", 1, 20).alias("head"))
+
+
+# ---- change log → routing → topic → job --------------------------------------------------------------------------
+
+def _routed(t: Tables, topic: str) -> DataFrame:
+    """The messages of one topic, as the change routing writes them."""
+    return routing.route_changes(staging.change_log(t, arrival=True), staging.DATABASE).where(F.col("topic") == topic)
+
+
+def _topic_orders(t: Tables) -> DataFrame:
+    return gmv.clean_orders(jobs.parsed(_routed(t, TOPIC_ORDER_INFO), ORDER_INFO))
+
+
+def q_chain_gmv(spark, sf_dir):
+    return gmv.gmv_hours(_topic_orders(_t(spark, sf_dir)), ORDER_DATE)
+
+
+def q_chain_sale_detail(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return sales.sale_details(_topic_orders(t), jobs.order_lines(_routed(t, TOPIC_ORDER_DETAIL)))
+
+
+def q_chain_user_latest(spark, sf_dir):
+    return latest_users(jobs.user_changes(_routed(_t(spark, sf_dir), TOPIC_USER_INFO)))
 
 
 def q_latest_documents(spark, sf_dir):
@@ -356,4 +385,7 @@ QUERIES: dict[str, Query] = {
     "parse_json": q_parse_json,
     "parse_json_quarantine": q_parse_json_quarantine,
     "latest_documents": q_latest_documents,
+    "chain_gmv": q_chain_gmv,
+    "chain_sale_detail": q_chain_sale_detail,
+    "chain_user_latest": q_chain_user_latest,
 }

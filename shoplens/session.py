@@ -1,11 +1,12 @@
 """Session helpers.
 
-The library never creates a session behind the caller's back; ``build_session`` is for tests, the bench and the
-command line.  Two settings matter to correctness and are checked wherever a job starts:
+The library never creates a session behind the caller's back; ``build_session`` is the local session of tests and the
+bench, ``submitted_session`` the one spark-submit configures.  Two settings matter to correctness:
 
 - ``spark.sql.session.timeZone`` must be UTC: epoch-millisecond times are formatted into dates and hours.
-- ``spark.checkpoint.dir`` is read from the session (a shared folder on a cluster); a private scratch folder is set
-  only when the session has none, as in tests.
+  ``ensure_utc`` sets it where it differs.
+- ``spark.checkpoint.dir`` is read from the session (a shared folder on a cluster).  A scratch folder is set only where
+  the session has none and runs in local mode; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.shoplens.scan.spread", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,6 +45,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def submitted_session(app_name: str) -> SparkSession:
+    """The session that spark-submit and the cluster's defaults configure; only the time zone is ours."""
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    ensure_utc(spark)
+    return spark
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Dates/hours are derived from epoch millis in UTC, the same rule as the oracle."""
     if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
@@ -50,9 +59,11 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only when none is configured."""
+    """The cluster's shared checkpoint folder; a scratch folder only in local mode, when none is configured."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -43,6 +43,13 @@ def read_dau_table(spark: SparkSession, path: str) -> DataFrame:
     return first_log_per_device(spark.read.parquet(path).select(*DAU_TABLE_COLUMNS))
 
 
+def read_dau_times(spark: SparkSession, path: str) -> DataFrame:
+    """The DAU table as (mid, logdate, ts, loghour), one row per device-day: what counts by day and hour need, read from
+    two columns and the partition."""
+    from shoplens.operators.dau import first_times
+    return first_times(spark.read.parquet(path).select("mid", F.col("logdate").cast("string").alias("logdate"), "ts"))
+
+
 def write_order_table(orders_clean: DataFrame, path: str, mode: str = "append") -> None:
     """SNK2: all order fields, names upper-cased, partitioned by ``CREATE_DATE``."""
     from shoplens.operators.gmv import table_columns
@@ -58,7 +65,7 @@ def upsert_documents(docs: DataFrame, path: str, batch_id: int, partition_by: st
     """
     out = docs.withColumn("batch_id", F.lit(batch_id).cast("long"))
     parts = ([partition_by] if partition_by else []) + ["batch_id"]
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_day(out, parts[0]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
 
 
@@ -75,9 +82,11 @@ def documents_from_json(messages: DataFrame, schema, id_col: str = "doc_id") ->
 
 
 def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("batch_id",)) -> DataFrame:
-    """Read side of SNK3: the latest row per ``doc_id``, plus every document written without an id."""
+    """Read side of SNK3: the latest row per document - per index and ``doc_id`` where documents have an index - plus
+    every document written without an id."""
     df = spark.read.parquet(path)
-    keyed = latest_by_key(df.where(F.col("doc_id").isNotNull()), ["doc_id"], list(order))
+    key = [c for c in ("index_name", "doc_id") if c in df.columns]
+    keyed = latest_by_key(df.where(F.col("doc_id").isNotNull()), key, list(order))
     return keyed.unionByName(df.where(F.col("doc_id").isNull()))
 
 
@@ -101,10 +110,13 @@ def write_kafka(routed: DataFrame, bootstrap: str) -> None:
      .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
 
 
-def archive_lines(logs: DataFrame) -> DataFrame:
-    """SNK8 payload: (dt, value) — the log's UTC day and the log as one JSON line (null fields left out)."""
+def archive_lines(logs: DataFrame, extra: str | None = None) -> DataFrame:
+    """SNK8 payload: (dt, value) — the log's UTC day and the log as one JSON line (null fields left out), with the
+    entries of the map column ``extra``."""
     from shoplens.functions.columns import log_date
-    return logs.select(log_date("ts").alias("dt"), record_json(*logs.columns).alias("value"))
+    from shoplens.operators.routing import with_extra
+    fields = [c for c in logs.columns if c != extra]
+    return logs.select(log_date("ts").alias("dt"), with_extra(record_json(*fields), extra).alias("value"))
 
 
 def archive_logs(logs: DataFrame, path: str, mode: str = "append") -> None:

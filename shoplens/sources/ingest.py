@@ -11,14 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
 
-def topic_stream(spark: SparkSession, bootstrap: str, topic: str, starting: str = "latest") -> DataFrame:
-    """SRC1: one Kafka topic as a stream, with the Kafka source's own columns."""
-    return (spark.readStream.format("kafka")
+def topic_stream(spark: SparkSession, bootstrap: str, topic: str, starting: str = "latest",
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """SRC1: one Kafka topic as a stream, with the Kafka source's own columns; ``max_offsets_per_trigger`` limits the
+    rate of a catch-up."""
+    rate = {"maxOffsetsPerTrigger": str(max_offsets_per_trigger)} if max_offsets_per_trigger else {}
+    return (spark.readStream.format("kafka").options(**rate)
             .option("kafka.bootstrap.servers", bootstrap)
             .option("subscribe", topic)
             .option("startingOffsets", starting)
@@ -33,6 +36,18 @@ def topic_pattern_stream(spark: SparkSession, bootstrap: str, pattern: str) -> D
             .load())
 
 
+MESSAGE = "value string, timestamp timestamp, partition int, offset long"
+
+
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A topic kept as Parquet files of messages (``value``, ``timestamp``, ``partition``, ``offset``): the columns a
+    Kafka source has, so arrival time and order survive."""
+    r = spark.readStream.schema(MESSAGE)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
+
+
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stand-in for a topic: a folder of JSON-lines text files, one record per line, as ``value``."""
     r = spark.readStream.format("text")
@@ -46,15 +61,39 @@ def values(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("value"))
 
 
-def parse_records(messages: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """SRC3: typed records from JSON text; a ``_corrupt_record`` column holds the raw text of malformed rows."""
-    with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+def _typed(text, kind):
+    """A field's text as a value of ``kind``; nested kinds are JSON."""
+    if isinstance(kind, (ArrayType, StructType, MapType)):
+        return F.from_json(text, kind)
+    return text.try_cast(kind)
+
+
+def parse_records(messages: DataFrame, schema: StructType, keep: tuple[str, ...] = (), extra: str | None = None) -> DataFrame:
+    """SRC3: typed records from JSON text; a ``_corrupt_record`` column holds the raw text of malformed rows.
+
+    Fields are read as text and cast to the schema's types, so a number sent as JSON text is as good as a number (change
+    after-images are all text).  A record that is no JSON object, or has a field whose text is no value of its type, is
+    malformed.  ``keep`` carries columns of the message along (a topic's ``timestamp``, ``partition``, ``offset``);
+    ``extra`` names a map column for the fields that the schema doesn't list.
+    """
+    names = [f.name for f in schema.fields]
+    as_text = StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(text, as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = messages.select(*[F.col(k).alias(f"_keep_{k}") for k in keep], text.alias("_raw"), parsed.alias("r"))
+    typed = {f.name: _typed(F.col(f"r.{f.name}"), f.dataType) for f in schema.fields}
+    misfit = F.lit(False)
+    for f in schema.fields:
+        if f.dataType != StringType():
+            misfit = misfit | (F.col(f"r.{f.name}").isNotNull() & typed[f.name].isNull())
     # an empty or null message parses to a null struct: malformed as well
-    corrupt = F.when(F.col("r").isNull(), F.coalesce(F.col("_raw"), F.lit(""))).otherwise(F.col(f"r.{CORRUPT}"))
-    return (messages.select(*keep, text.alias("_raw"), parsed.alias("r"))
-            .select(*keep, *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], corrupt.alias(CORRUPT)))
+    corrupt = (F.when(F.col("r").isNull(), F.coalesce(F.col("_raw"), F.lit("")))
+               .when(misfit, F.col("_raw")).otherwise(F.col(f"r.{CORRUPT}")))
+    columns = [F.col(f"_keep_{k}").alias(k) for k in keep] + [typed[n].alias(n) for n in names]
+    if extra:
+        fields = F.from_json(F.col("_raw"), MapType(StringType(), StringType()))
+        columns.append(F.map_filter(fields, lambda k, v: ~k.isin(*names)).alias(extra))
+    return rows.select(*columns, corrupt.alias(CORRUPT))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import minute_of, record_json
+from shoplens.functions.columns import minute_of, record_json, text_to_timestamp
 from shoplens.sources.tables import Tables
 
 # Generator domains of the device logs, indexed by a key modulo the list length.
@@ -21,6 +21,7 @@ VERSIONS = ["1.2.0", "1.1.2", "1.1.3", "1.1.1"]
 # Test event type → device event id.
 EVID_OF_EVENT_TYPE = {"signup": "coupon", "click": "clickItem", "view": "addFavor", "purchase": "addCart",
                       "error": "addComment"}
+OTHER_EVID = "share"  # every third error: an event id that no rule knows
 APP_ID = "app1"
 IOS_CHANNEL = "appstore"
 DATABASE = "shop"
@@ -87,6 +88,7 @@ def _event_columns() -> list[Column]:
     evid = F.lit(None).cast("string")
     for src, dst in EVID_OF_EVENT_TYPE.items():
         evid = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(evid)
+    evid = F.when((F.col("event_type") == "error") & (eid % 3 == 0), F.lit(OTHER_EVID)).otherwise(evid)
     dev = _device_fields(uid)
     return [
         F.concat(F.lit("mid_"), (k % 10).cast("string")).alias("mid"),
@@ -122,15 +124,18 @@ def _create_ts(orderkey: Column, orderdate: Column) -> Column:
     return F.timestamp_add("SECOND", (orderkey * 7919) % 86400, orderdate)
 
 
-def order_info(t: Tables, days: Days | None = None) -> DataFrame:
-    """Orders enriched with their customer; create_time = order date + a key-derived time of day (under 24 h), so
+def order_info(t: Tables, days: Days | None = None, customer: bool = True) -> DataFrame:
+    """Orders enriched with their customer (without, its three columns are null and no join is needed); create_time = order date + a key-derived time of day (under 24 h), so
     ``days`` on ``create_date`` is the same range on the raw order date, pushed to the scan."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     cond = _within_days("o_orderdate", days)
     if cond is not None:
         o = o.where(cond)
-    c = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    if customer:
+        c = t.customer.select("c_custkey", "c_name", "c_nationkey")
+        j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    else:
+        j = o.select("*", *[F.lit(None).cast(k).alias(n) for n, k in (("c_custkey", "long"), ("c_name", "string"), ("c_nationkey", "int"))])
     tel = F.concat(F.lit("1"), F.lpad(((F.col("c_custkey") * 7919 + 3456789) % 10000000000).cast("string"), 10, "0"))
     null = F.lit(None).cast("string")
     return j.select(
@@ -204,8 +209,9 @@ DETAIL_AFTER = ("id", "order_id", "sku_name", "sku_id", "order_price", "sku_num"
 USER_AFTER = ("id", "login_name", "user_level", "birthday", "gender")
 
 
-def change_log(t: Tables, database: str = DATABASE) -> DataFrame:
-    """Change events of the three source tables (schema CHANGE_EVENT).
+def change_log(t: Tables, database: str = DATABASE, arrival: bool = False) -> DataFrame:
+    """Change events of the three source tables (schema CHANGE_EVENT); with ``arrival``, the ``timestamp`` and ``offset``
+    their messages carry: an order's create time, a line's arrival, a user version's number.
 
     INSERT by default; every 10th order an UPDATE; user versions after the first UPDATE, the last version of every
     25th user a DELETE; every 20th entry a transaction marker, not ROWDATA.
@@ -218,12 +224,14 @@ def change_log(t: Tables, database: str = DATABASE) -> DataFrame:
     orders = oi.select(
         F.lit("order_info").alias("table_name"), entry(okey).alias("entry_type"),
         F.when(okey % 10 == 0, F.lit("UPDATE")).otherwise(F.lit("INSERT")).alias("event_type"),
-        _after(*ORDER_AFTER, total_amount=F.col("total_amount").cast("decimal(18,2)")).alias("after"))
+        _after(*ORDER_AFTER, total_amount=F.col("total_amount").cast("decimal(18,2)")).alias("after"),
+        text_to_timestamp("create_time").alias("timestamp"), okey.alias("offset"))
     od = order_detail(t)
     dkey = F.col("order_id").cast("long") + F.split_part(F.col("id"), F.lit("-"), F.lit(2)).cast("long")
     details = od.select(
         F.lit("order_detail").alias("table_name"), entry(dkey).alias("entry_type"),
-        F.lit("INSERT").alias("event_type"), _after(*DETAIL_AFTER).alias("after"))
+        F.lit("INSERT").alias("event_type"), _after(*DETAIL_AFTER).alias("after"),
+        text_to_timestamp("detail_time").alias("timestamp"), dkey.alias("offset"))
     ul = user_log(t)
     ukey = F.col("id").cast("long")
     last = F.col("seq") == 1 + ukey % 3
@@ -231,10 +239,11 @@ def change_log(t: Tables, database: str = DATABASE) -> DataFrame:
         F.lit("user_info").alias("table_name"), entry(ukey * 3 + F.col("seq")).alias("entry_type"),
         F.when((ukey % 25 == 0) & last, F.lit("DELETE")).when(F.col("seq") > 1, F.lit("UPDATE"))
         .otherwise(F.lit("INSERT")).alias("event_type"),
-        _after(*USER_AFTER).alias("after"))
+        _after(*USER_AFTER).alias("after"),
+        F.timestamp_seconds(F.col("seq")).alias("timestamp"), F.col("seq").alias("offset"))
     out = orders.unionByName(details).unionByName(users)
     return out.select(F.concat_ws(".", F.lit(database), F.col("table_name")).alias("db_table"), "table_name",
-                      "entry_type", "event_type", "after")
+                      "entry_type", "event_type", "after", *(["timestamp", "offset"] if arrival else []))
 
 
 def doc_versions(t: Tables) -> DataFrame:

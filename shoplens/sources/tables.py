@@ -1,14 +1,8 @@
 """SRC5: table reads.  Parquet only; Catalyst prunes columns and pushes filters into the scan.
 
-Scan parallelism comes from files and row groups.  A table stored as fewer files than the session has cores (the
-test tables are one file, one row group each) would run every step up to the first shuffle in one task, so such a
-table is spread by a hash of its key over ``spark.default.parallelism`` slots.  The decision is taken per table
-from its file listing; a table of thousands of files (the cluster case) is read as is, with no extra shuffle.
-Filters and column pruning still reach the scan (they pass through the repartition).
-
-Session setting ``spark.shoplens.scan.spread``: ``auto`` (default, decide from the file count), ``always`` or
-``never``.  ``auto`` lists the table's files on the driver; on a cluster whose tables have very many files, set
-``never`` and let the scan's own splits give the parallelism.
+Scan parallelism comes from the files' splits.  The test tables are one file and one row group each, so everything up
+to the first shuffle would run in one task; tests and the bench set ``spark.shoplens.scan.spread`` to ``true``, which
+deals the scanned rows round-robin over the session's slots.  It is off unless asked for.
 """
 
 from __future__ import annotations
@@ -18,12 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-# Key used to spread a table with too few files; tiny dimensions (nation, region) are never spread.
-SPREAD_KEYS = {"events": "event_id", "orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey",
-               "part": "p_partkey", "supplier": "s_suppkey"}
-
-
+SMALL_TABLES = ("region", "nation")  # a handful of rows, never dealt out
 SPREAD_SETTING = "spark.shoplens.scan.spread"
 
 
@@ -33,13 +22,8 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    key = SPREAD_KEYS.get(name)
-    mode = spark.conf.get(SPREAD_SETTING, "auto")
-    if not spread or key is None or mode == "never":
-        return df
-    slots = spark.sparkContext.defaultParallelism
-    if mode == "always" or len(df.inputFiles()) < slots:
-        df = df.repartition(slots, key)
+    if spread and name not in SMALL_TABLES and spark.conf.get(SPREAD_SETTING, "false") == "true":
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
 

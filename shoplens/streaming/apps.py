@@ -1,7 +1,9 @@
 """The pipeline's jobs as runnable streaming applications.
 
-Each app reads its topic(s) — Kafka in service, or a folder of JSON-lines files standing in for a topic — runs the
-shared operators and writes its table, with its checkpoint under the session's ``spark.checkpoint.dir``:
+Each app reads its topic(s) — Kafka in service, or a folder standing in for a topic (JSON lines, or with ``messages:``
+Parquet files of messages with their time and offset) — runs the shared operators and writes its table.  Its checkpoint
+is ``<out>.checkpoint`` unless given, so a restart goes on where it stopped.  Malformed records go to ``<out>.rejected``.
+The session is the one spark-submit configures; the app sets nothing but the time zone.
 
 =================  ==========================  =============================================  ======================
 app                input topic(s)              output                                         operators
@@ -13,6 +15,7 @@ app                input topic(s)              output
 ``user_info``      user changes                user change table (read side: latest per id)  SNK6 / DIM1
 ``route_changes``  change events               one folder (or Kafka topic) per target topic   SRC4, FLT2, PRJ7
 ``route_logs``     raw logs                    one folder (or Kafka topic) per log topic       FLT1, PRJ6, SNK7
+``archive_logs``   raw logs                    one JSON line a log, partitioned by ``dt``      SNK8
 =================  ==========================  =============================================  ======================
 
     python -m shoplens.streaming.apps dau --source /data/topics/start --out /data/tables/dau [--once]
@@ -25,20 +28,27 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.sources.ingest import file_stream, topic_stream
+from shoplens import schemas
+from shoplens.sinks import archive_lines
+from shoplens.sources.ingest import file_stream, good_records, message_stream, parse_records, topic_pattern_stream, topic_stream
 from shoplens.streaming import jobs
 
 
 def source(spark: SparkSession, spec: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``kafka://<bootstrap>/<topic>`` or a folder of JSON-lines files."""
+    """``kafka://<bootstrap>/<topic>`` (a topic ending in ``*`` is a pattern), ``messages:<folder>`` of Parquet messages,
+    or a folder of JSON-lines files."""
     if spec.startswith("kafka://"):
         bootstrap, topic = spec[len("kafka://"):].split("/", 1)
+        if topic.endswith("*"):
+            return topic_pattern_stream(spark, bootstrap, topic)
         return topic_stream(spark, bootstrap, topic)
+    if spec.startswith("messages:"):
+        return message_stream(spark, spec[len("messages:"):], max_files_per_trigger)
     return file_stream(spark, spec, max_files_per_trigger)
 
 
 def dau_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-            checkpoint: str | None = None, form: str = "state") -> StreamingQuery:
+            checkpoint: str | None = None, form: str = "table") -> StreamingQuery:
     """``state``: dedup state in the query (``dau_first_seen``); ``table``: the DAU table is the seen set, one
     anti join per micro-batch after a partial aggregate (``start_dau_table_sink``; for feeds with hot devices)."""
     if form == "table":
@@ -54,22 +64,22 @@ def gmv_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
 
 
 def alert_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-              checkpoint: str | None = None) -> StreamingQuery:
-    return jobs.start_document_sink(jobs.alert_stream(source(spark, src)), out, "alert_app",
+              checkpoint: str | None = None, panes: bool = False) -> StreamingQuery:
+    return jobs.start_document_sink(jobs.alert_stream(source(spark, src), panes=panes), out, "alert_app",
                                     partition_by="index_name", trigger=trigger, checkpoint=checkpoint)
 
 
+SALT_BUCKETS = 8  # join slots of one order id, unless asked otherwise: streams get no skew split
+
+
 def sale_detail_app(spark, orders_src: str, details_src: str, out: str, users_table: str | None = None,
                     trigger: str = jobs.BATCH_INTERVAL, checkpoint: str | None = None,
-                    salt_buckets: int = 1) -> StreamingQuery:
-    users = None
+                    salt_buckets: int = SALT_BUCKETS) -> StreamingQuery:
+    """With ``users_table``, each micro-batch is joined to the users as they stand then."""
+    df = jobs.sale_detail_stream(source(spark, orders_src), source(spark, details_src), salt_buckets=salt_buckets)
     if users_table:
-        from shoplens.operators.dims import latest_users
-        users = latest_users(spark.read.parquet(users_table))
-    df = jobs.sale_detail_stream(source(spark, orders_src), source(spark, details_src), users_latest=users,
-                                 salt_buckets=salt_buckets)
-    return jobs.start_file_sink(df, out, "sale_detail_app", partition_by="dt", trigger=trigger,
-                                checkpoint=checkpoint)
+        return jobs.start_enriched_sink(df, users_table, out, "sale_detail_app", trigger=trigger, checkpoint=checkpoint)
+    return jobs.start_file_sink(df, out, "sale_detail_app", partition_by="dt", trigger=trigger, checkpoint=checkpoint)
 
 
 def user_info_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
@@ -78,21 +88,48 @@ def user_info_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
                                 checkpoint=checkpoint)
 
 
+def _start_topics(routed: DataFrame, out: str, name: str, trigger: str, checkpoint: str | None) -> StreamingQuery:
+    """Routed messages to Kafka (``kafka://<bootstrap>``), or to a folder per topic: Parquet with the message's time and
+    offset where it has them, else text lines."""
+    if out.startswith("kafka://"):
+        if not checkpoint:
+            raise ValueError("a Kafka output needs a checkpoint folder")
+        return jobs.start_topic_sink(routed, out[len("kafka://"):], name, checkpoint, trigger)
+    carried = [c for c in jobs.ARRIVAL if c in routed.columns]
+    return jobs.start_file_sink(routed.select("topic", "value", *carried), out, name, fmt="parquet" if carried else "text",
+                                partition_by="topic", trigger=trigger, checkpoint=checkpoint)
+
+
 def route_changes_app(spark, src: str, out: str, database: str, trigger: str = jobs.BATCH_INTERVAL,
                       checkpoint: str | None = None) -> StreamingQuery:
-    routed = jobs.routed_changes(source(spark, src), database).select("topic", "value")
-    return jobs.start_file_sink(routed, out, "route_changes_app", fmt="text", partition_by="topic",
-                                trigger=trigger, checkpoint=checkpoint)
+    return _start_topics(jobs.routed_changes(source(spark, src), database), out, "route_changes_app", trigger, checkpoint)
 
 
 def route_logs_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
                    checkpoint: str | None = None) -> StreamingQuery:
     routed = jobs.routed_logs(source(spark, src), stamp=True).select("topic", "value")
-    return jobs.start_file_sink(routed, out, "route_logs_app", fmt="text", partition_by="topic",
+    return _start_topics(routed, out, "route_logs_app", trigger, checkpoint)
+
+
+def archive_logs_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
+                     checkpoint: str | None = None) -> StreamingQuery:
+    logs = good_records(parse_records(source(spark, src), schemas.RAW_LOG, extra="_more"))
+    return jobs.start_file_sink(archive_lines(logs, extra="_more"), out, "archive_logs_app", fmt="text", partition_by="dt",
                                 trigger=trigger, checkpoint=checkpoint)
 
 
-APPS = ("dau", "gmv", "alert", "sale_detail", "user_info", "route_changes", "route_logs")
+def rejected_app(spark, app: str, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
+                 checkpoint: str | None = None) -> StreamingQuery:
+    """The malformed records of an app's source, into ``<out>.rejected``."""
+    return jobs.start_rejected_sink(source(spark, src), SOURCE_SCHEMA[app], out.rstrip("/") + ".rejected", f"{app}_rejected",
+                                    trigger=trigger, checkpoint=checkpoint)
+
+
+SOURCE_SCHEMA = {"dau": schemas.STARTUP_LOG, "gmv": schemas.ORDER_INFO, "alert": schemas.EVENT_LOG,
+                 "sale_detail": schemas.ORDER_INFO, "user_info": schemas.USER_INFO,
+                 "route_changes": schemas.CHANGE_EVENT, "route_logs": schemas.RAW_LOG, "archive_logs": schemas.RAW_LOG}
+
+APPS = ("dau", "gmv", "alert", "sale_detail", "user_info", "route_changes", "route_logs", "archive_logs")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -103,25 +140,39 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--users", help="user change table for sale_detail enrichment")
     p.add_argument("--out", required=True)
     p.add_argument("--database", default="shop")
+    p.add_argument("--checkpoint", help="default: <out>.checkpoint")
     p.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
-    p.add_argument("--dau-form", choices=["state", "table"], default="state",
-                   help="dau: dedup state in the query, or the stored table as the seen set")
-    p.add_argument("--salt-buckets", type=int, default=1, help="sale_detail: spread each order id over k join slots")
+    p.add_argument("--dau-form", choices=["state", "table"], default="table",
+                   help="dau: the stored table as the seen set (safe for hot devices), or dedup state in the query")
+    p.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="sale_detail: join slots of one order id")
+    p.add_argument("--panes", action="store_true", help="alert: fold 5 s panes before the windows (dense feeds)")
     a = p.parse_args(argv)
 
-    from shoplens.session import build_session
-    spark = build_session(app_name=f"shoplens-{a.app}")
+    from shoplens.session import submitted_session
+    spark = submitted_session(f"shoplens-{a.app}")
     trigger = "availableNow" if a.once else jobs.BATCH_INTERVAL
+    queries = start(spark, a, trigger)
+    for q in queries:
+        q.awaitTermination()
+
+
+def start(spark: SparkSession, a: argparse.Namespace, trigger: str) -> list[StreamingQuery]:
+    """The app's query, and those that keep the malformed records of its sources."""
     if a.app == "sale_detail":
-        q = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger, salt_buckets=a.salt_buckets)
-    elif a.app == "dau":
-        q = dau_app(spark, a.source, a.out, trigger, form=a.dau_form)
+        main_query = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger, a.checkpoint, a.salt_buckets)
+        lines = jobs.start_rejected_sink(source(spark, a.source2), schemas.ORDER_DETAIL, a.out.rstrip("/") + ".lines.rejected",
+                                         "sale_detail_lines_rejected", trigger=trigger)
+        return [main_query, lines, rejected_app(spark, a.app, a.source, a.out, trigger)]
+    if a.app == "dau":
+        q = dau_app(spark, a.source, a.out, trigger, a.checkpoint, form=a.dau_form)
     elif a.app == "route_changes":
-        q = route_changes_app(spark, a.source, a.out, a.database, trigger)
+        q = route_changes_app(spark, a.source, a.out, a.database, trigger, a.checkpoint)
+    elif a.app == "alert":
+        q = alert_app(spark, a.source, a.out, trigger, a.checkpoint, a.panes)
     else:
-        q = {"dau": dau_app, "gmv": gmv_app, "alert": alert_app, "user_info": user_info_app,
-             "route_logs": route_logs_app}[a.app](spark, a.source, a.out, trigger)
-    q.awaitTermination()
+        q = {"gmv": gmv_app, "user_info": user_info_app, "route_logs": route_logs_app,
+             "archive_logs": archive_logs_app}[a.app](spark, a.source, a.out, trigger, a.checkpoint)
+    return [q, rejected_app(spark, a.app, a.source, a.out, trigger)]
 
 
 if __name__ == "__main__":

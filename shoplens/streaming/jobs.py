@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,20 +28,47 @@ from shoplens.operators import alerts, dau, gmv, routing, sales
 from shoplens.schemas import CHANGE_EVENT, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, RAW_LOG, STARTUP_LOG, USER_INFO
 from shoplens.session import checkpoint_path
 from shoplens.sinks import upsert_documents
-from shoplens.sources.ingest import good_records, parse_records
+from shoplens.sources.ingest import CORRUPT, good_records, parse_records
 
 BATCH_INTERVAL = "5 seconds"
 
 
-def parsed(messages: DataFrame, schema) -> DataFrame:
-    return good_records(parse_records(messages, schema))
+ARRIVAL = ("timestamp", "partition", "offset")  # what a topic's messages carry besides their value
+
+
+def _keep(messages: DataFrame, *wanted: str) -> tuple[str, ...]:
+    return tuple(c for c in wanted if c in messages.columns)
+
+
+def parsed(messages: DataFrame, schema, *keep: str) -> DataFrame:
+    """The good records; :func:`start_rejected_sink` keeps the others."""
+    return good_records(parse_records(messages, schema, _keep(messages, *keep)))
+
+
+def order_lines(messages: DataFrame) -> DataFrame:
+    """Order lines with ``detail_time``: their own, or else the arrival time of their message."""
+    lines = parsed(messages, ORDER_DETAIL, "timestamp")
+    if "timestamp" not in lines.columns:
+        return lines
+    arrival = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    return lines.withColumn("detail_time", F.coalesce("detail_time", arrival)).drop("timestamp")
+
+
+def rejected(messages: DataFrame, schema) -> DataFrame:
+    """Malformed records: their raw text, with what their message carries."""
+    keep = _keep(messages, *ARRIVAL)
+    records = parse_records(messages, schema, keep)
+    return records.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"), *keep)
 
 
 # ---- DAU (DAU2) ---------------------------------------------------------------------------------------------------
 
 def dau_first_seen(startup_msgs: DataFrame, delay: str = "1 day") -> DataFrame:
     """DAU2, immediate form: the first log of each (device, day) to arrive, emitted in the batch it arrives in.
-    State: (mid, logdate) keys, dropped once the watermark passes them."""
+    State: (mid, logdate) keys, dropped once the watermark passes them; ``delay`` is a day at least, as a key dropped
+    within its day would count the device again."""
+    if pd.Timedelta(delay) < pd.Timedelta(days=1):
+        raise ValueError("delay must be a day or more: devices are counted once a day")
     logs = dau.with_log_time(parsed(startup_msgs, STARTUP_LOG)).withColumn("event_time", event_time("ts"))
     return (logs.withWatermark("event_time", delay)
             .dropDuplicatesWithinWatermark(["mid", "logdate"])
@@ -61,39 +90,51 @@ def start_dau_table_sink(startup_msgs: DataFrame, path: str, name: str, trigger:
     """DAU2 per micro-batch, in the reference's order (FLT4 → AGG1 → SNK5 + SNK1), skew-safe.
 
     Each micro-batch: the first log per (mid, logdate) by a partial aggregate (a device with a third of all logs
-    ships one row per task), minus the device-days already in the DAU table (an anti join; the stored table is
-    read only for the batch's day range, pruned by its ``logdate`` partitions), appended under the batch's id.
-    The stored table is the seen set, so no state grows in the query.  A replayed batch finds its own rows seen and
-    writes nothing new; ``dau_first_seen`` is the stateful form (its dedup shuffles raw rows, no map-side combine).
+    ships one row per task), minus the device-days that earlier batches stored (an anti join; only the folders of the
+    batch's own days are listed and read), stored under the batch's id.  The stored table is the seen set, so no state
+    grows in the query.  A replayed batch doesn't count its own rows as seen, so it writes the same rows again, also
+    where its first try was only partly visible; ``dau_first_seen`` is the stateful form (its dedup shuffles raw rows,
+    no map-side combine).
     """
-    from pyspark.errors import AnalysisException
-
     from shoplens.sinks import write_dau_batch
 
+    checkpoint = own_checkpoint(startup_msgs.sparkSession, path, checkpoint)
+
     logs = dau.with_log_time(parsed(startup_msgs, STARTUP_LOG))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            # one row: the batch's day range (bounded, whatever the batch size)
-            span = batch.agg(F.min("logdate").alias("lo"), F.max("logdate").alias("hi")).first()
-            if span is None or span["lo"] is None:
-                return
-            try:
-                stored = batch.sparkSession.read.parquet(path)
-                seen = (stored.where(F.col("logdate").cast("string").between(span["lo"], span["hi"]))
-                        .select("mid", F.col("logdate").cast("string").alias("logdate")))
-            except AnalysisException:  # no table yet: nothing seen
-                seen = None
+            # a row per calendar day, whatever the batch's size
+            days = [r["logdate"] for r in batch.select("logdate").where("logdate IS NOT NULL").distinct().collect()]
+            seen = None
+            for day in sorted(days):
+                stored = _stored_day(batch.sparkSession, path, day)
+                if stored is not None:
+                    earlier = stored.where(F.col("batch_id") < batch_id).select("mid", F.lit(day).alias("logdate"))
+                    seen = earlier if seen is None else seen.unionByName(earlier)
             write_dau_batch(dau.daily_active(batch, seen), path, batch_id)
         finally:
             batch.unpersist()
 
     w = (logs.writeStream.outputMode("append").queryName(name).foreachBatch(write)
-         .option("checkpointLocation", checkpoint or checkpoint_path(logs.sparkSession, name)))
+         .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
+def _stored_day(spark: SparkSession, path: str, day: str) -> DataFrame | None:
+    """One day of a DAU table written per batch; None if it has no such day yet."""
+    try:
+        stored = spark.read.parquet(f"{path}/logdate={day}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if "batch_id" not in stored.columns:
+        raise ValueError(f"{path} was written by another form of the DAU job; give each form a table of its own")
+    return stored
+
+
 # ---- order / detail join (JOI4 + JOI7) ----------------------------------------------------------------------------
 
 def sale_detail_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_seconds: int = sales.DEFAULT_TTL_SECONDS,
@@ -110,7 +151,7 @@ def sale_detail_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_second
     """
     o = (sales.order_side(gmv.clean_orders(parsed(order_msgs, ORDER_INFO)))
          .withWatermark("order_ts", delay))
-    d = sales.detail_side(parsed(detail_msgs, ORDER_DETAIL)).withWatermark("detail_ts", delay)
+    d = sales.detail_side(order_lines(detail_msgs)).withWatermark("detail_ts", delay)
     cond = (F.col("order_id") == F.col("d_order_id")) & sales.within_ttl(ttl_seconds)
     if salt_buckets > 1:
         o = o.withColumn("o_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
@@ -122,6 +163,18 @@ def sale_detail_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_second
     return out
 
 
+def order_pairs_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_seconds: int = sales.DEFAULT_TTL_SECONDS,
+                       delay: str = "2 minutes") -> DataFrame:
+    """JOI1 as a stream: orders and details that meet within ``ttl_seconds`` (``both``), and each row that met none once
+    the watermark has passed its time (``order_only``, ``detail_only``)."""
+    o = sales.order_side(gmv.clean_orders(parsed(order_msgs, ORDER_INFO))).select("order_id", "order_ts").withWatermark("order_ts", delay)
+    d = sales.detail_side(order_lines(detail_msgs)).select("order_detail_id", "d_order_id", "detail_ts").withWatermark("detail_ts", delay)
+    pairs = o.join(d, (F.col("order_id") == F.col("d_order_id")) & sales.within_ttl(ttl_seconds), "fullOuter")
+    state = (F.when(F.col("order_detail_id").isNull(), F.lit("order_only")).when(F.col("order_id").isNull(), F.lit("detail_only"))
+             .otherwise(F.lit("both")))
+    return pairs.select(F.coalesce("order_id", "d_order_id").alias("order_id"), "order_detail_id", state.alias("match_state"))
+
+
 # ---- coupon alert (WIN2) ------------------------------------------------------------------------------------------
 
 def alert_stream(event_msgs: DataFrame, delay: str = "10 seconds",
@@ -150,8 +203,12 @@ def orders_table_stream(order_msgs: DataFrame, mask: str = "prefix4") -> DataFra
 # ---- user dimension (DIM1) and routing ----------------------------------------------------------------------------
 
 def user_changes(user_msgs: DataFrame) -> DataFrame:
-    """SNK6 input: user versions as they arrive (appended; ``latest_users`` is the read side)."""
-    return parsed(user_msgs, USER_INFO)
+    """SNK6 input: user versions as they arrive (appended; ``latest_users`` is the read side).  ``seq`` is the version's
+    own, or else its message's offset: the messages of one user share a partition, so offsets give their order."""
+    users = parsed(user_msgs, USER_INFO, "offset")
+    if "offset" not in users.columns:
+        return users
+    return users.withColumn("seq", F.coalesce("seq", "offset")).drop("offset")
 
 
 def user_latest_stream(user_msgs: DataFrame) -> DataFrame:
@@ -163,13 +220,13 @@ def user_latest_stream(user_msgs: DataFrame) -> DataFrame:
 
 def routed_logs(raw_msgs: DataFrame, stamp: bool = False) -> DataFrame:
     """FLT1 + PRJ6: raw logs with their topic and JSON value (receive-time stamp optional)."""
-    logs = parsed(raw_msgs, RAW_LOG)
-    return routing.route_logs(logs, F.unix_millis(F.current_timestamp()) if stamp else None)
+    logs = good_records(parse_records(raw_msgs, RAW_LOG, extra="_more"))
+    return routing.route_logs(logs, F.unix_millis(F.current_timestamp()) if stamp else None, extra="_more")
 
 
 def routed_changes(change_msgs: DataFrame, database: str) -> DataFrame:
     """SRC4 + FLT2 + PRJ7 on a change-event stream."""
-    return routing.route_changes(parsed(change_msgs, CHANGE_EVENT), database)
+    return routing.route_changes(parsed(change_msgs, CHANGE_EVENT, *ARRIVAL), database)
 
 
 # ---- sinks --------------------------------------------------------------------------------------------------------
@@ -180,11 +237,86 @@ def _trigger(writer, trigger: str):
     return writer.trigger(processingTime=trigger)
 
 
+def own_checkpoint(spark: SparkSession, path: str, checkpoint: str | None) -> str:
+    """The checkpoint of the query that writes ``path``: the given one, or ``<path>.checkpoint``, so a restart with the
+    same output goes on where it stopped.  An output that another checkpoint has written to is refused: its files and
+    batch numbers would be taken for this query's own.  The claim is a small file beside the output."""
+    checkpoint = checkpoint or path.rstrip("/") + ".checkpoint"
+    owner = path.rstrip("/") + ".owner"
+    try:
+        claimed = [r["value"] for r in spark.read.text(owner).collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        claimed = []
+    if not claimed:
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(owner)
+    elif claimed != [checkpoint]:
+        raise ValueError(f"{path} belongs to the checkpoint {claimed[0]}; use that one, or another output")
+    return checkpoint
+
+
+def start_split_sink(messages: DataFrame, schema, transform: Callable[[DataFrame], DataFrame], path: str, rejects: str,
+                     name: str, trigger: str = BATCH_INTERVAL, checkpoint: str | None = None) -> StreamingQuery:
+    """STR8: two outputs over one parsed source, for stateless jobs.  Each micro-batch is parsed once and kept while the
+    good records go through ``transform`` to ``path`` and the malformed ones to ``rejects``, both under the batch's id."""
+    checkpoint = own_checkpoint(messages.sparkSession, path, checkpoint)
+    records = parse_records(messages, schema, _keep(messages, *ARRIVAL))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"), *_keep(batch, *ARRIVAL))
+            for rows, to in ((transform(good_records(batch)), path), (bad, rejects)):
+                (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(to))
+        finally:
+            batch.unpersist()
+
+    w = records.writeStream.outputMode("append").queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def start_rejected_sink(messages: DataFrame, schema, path: str, name: str, trigger: str = BATCH_INTERVAL,
+                        checkpoint: str | None = None) -> StreamingQuery:
+    """SRC3's side output beside a stateful job: its malformed records, as a query of its own over the same source."""
+    return start_file_sink(rejected(messages, schema), path, name, trigger=trigger, checkpoint=checkpoint)
+
+
+def start_enriched_sink(sales_rows: DataFrame, users_path: str, path: str, name: str, trigger: str = BATCH_INTERVAL,
+                        checkpoint: str | None = None, as_of=None) -> StreamingQuery:
+    """JOI7 live: each micro-batch of sale details is joined to the user table as it stands then, and stored under its
+    day and batch id (a replayed batch replaces its own folders)."""
+    from shoplens.operators.dims import latest_users
+
+    checkpoint = own_checkpoint(sales_rows.sparkSession, path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        users = latest_users(batch.sparkSession.read.schema(USER_INFO).parquet(users_path))
+        rows = sales.with_user(batch, users, as_of or F.current_date())
+        (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").parquet(path))
+
+    w = sales_rows.writeStream.outputMode("append").queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def start_topic_sink(routed: DataFrame, bootstrap: str, name: str, checkpoint: str, trigger: str = BATCH_INTERVAL) -> StreamingQuery:
+    """SNK7 live: the ``topic`` column picks each message's topic."""
+    w = (routed.select("topic", F.col("value").cast("string").alias("value")).writeStream.format("kafka").queryName(name)
+         .options(**topic_options(bootstrap, checkpoint)))
+    return _trigger(w, trigger).start()
+
+
+def topic_options(bootstrap: str, checkpoint: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap, "checkpointLocation": checkpoint}
+
+
 def start_file_sink(df: DataFrame, path: str, name: str, fmt: str = "parquet", partition_by: str | None = None,
                     trigger: str = BATCH_INTERVAL, checkpoint: str | None = None) -> StreamingQuery:
-    """Exactly-once file sink (append) with its checkpoint under the session's checkpoint folder."""
+    """Exactly-once file sink (append); its checkpoint is beside the output unless given (see ``own_checkpoint``)."""
     w = (df.writeStream.format(fmt).outputMode("append").queryName(name)
-         .option("checkpointLocation", checkpoint or checkpoint_path(df.sparkSession, name)))
+         .option("checkpointLocation", own_checkpoint(df.sparkSession, path, checkpoint)))
     if partition_by:
         w = w.partitionBy(partition_by)
     return _trigger(w, trigger).start(path)
@@ -198,7 +330,7 @@ def start_document_sink(docs: DataFrame, path: str, name: str, partition_by: str
         upsert_documents(batch, path, batch_id, partition_by)
 
     w = (docs.writeStream.outputMode("append").queryName(name).foreachBatch(write)
-         .option("checkpointLocation", checkpoint or checkpoint_path(docs.sparkSession, name)))
+         .option("checkpointLocation", own_checkpoint(docs.sparkSession, path, checkpoint)))
     return _trigger(w, trigger).start()
 
 

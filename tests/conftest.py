@@ -22,6 +22,7 @@ def spark():
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.shoplens.scan.spread", "true")
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
