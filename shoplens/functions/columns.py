@@ -104,7 +104,7 @@ def last_entries(after: ColumnOrName = "after") -> Column:
 
     def is_last(entry: Column, at: Column) -> Column:
         later = F.slice(entries, at + 2, F.size(entries))
-        return entry["name"].isNotNull() & ~F.exists(later, lambda x: x["name"] == entry["name"])
+        return entry["name"].isNotNull() & ~F.exists(later, lambda x: x["name"].eqNullSafe(entry["name"]))
 
     return F.filter(entries, is_last)
 

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from shoplens.plans.queries import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -18,7 +19,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_explosion_or_python(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     for node in FORBIDDEN:
@@ -84,3 +85,30 @@ def test_day_partitioned_writes_rebalance_on_the_day(spark):
     rows = sinks._by_day(Q._dau_rows(Q._t(spark, SF_SMALL)).select(*sinks.DAU_TABLE_COLUMNS), "logdate")
     plan = _plan(rows)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(logdate" in plan
+
+
+@pytest.mark.parametrize("name", ["dau_hours", "dau_compare_hours", "stored_dau_hours", "dau_total", "kpi_total"])
+def test_hour_questions_use_hash_aggregates(spark, name):
+    assert "SortAggregate" not in _plan(E.queries()[name](spark, SF_SMALL))
+
+
+def test_kpi_reads_the_logs_once(spark):
+    assert len(_scan_lines(_plan(E.queries()["kpi_total"](spark, SF_SMALL)), "events")) == 1
+
+
+@pytest.mark.parametrize("name", ["sale_detail", "order_detail_pairs", "gmv_hours", "kpi_total"])
+def test_orders_without_customer_columns_skip_the_join(spark, name):
+    assert not _scan_lines(_plan(E.queries()[name](spark, SF_SMALL)), "customer")
+
+
+def test_tables_are_spread_only_on_request(spark):
+    from shoplens.sources.tables import SPREAD_SETTING, read_table
+
+    before = spark.conf.get(SPREAD_SETTING)
+    try:
+        spark.conf.unset(SPREAD_SETTING)
+        assert "Exchange" not in _plan(read_table(spark, SF_SMALL, "lineitem"))
+        spark.conf.set(SPREAD_SETTING, "true")
+        assert "RoundRobin" in _plan(read_table(spark, SF_SMALL, "lineitem"))
+    finally:
+        spark.conf.set(SPREAD_SETTING, before)
