@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import ship_code, staged
 
 PIVOTS = 32
-RINGS = 64  # per pivot
+RINGS = 64  # per pivot, at most
+RING_LEAST = 512  # vectors of a ring, unless its pivot has fewer
 BLOCK = 2048  # vectors of a block
-QUERY_BLOCK = 256
+QUERY_BLOCK = 512
 FIRST_SEARCH = 512  # vectors that the first search looks at, at least
 PIVOT_SAMPLE = 2048  # vectors that the pivots are chosen from
 EXACT = 2.0**53
@@ -70,6 +71,18 @@ def _distances(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((m * m).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * m @ pivots.T, 0))
 
 
+def _merged(thin: pd.DataFrame) -> list[int]:
+    """For each thin ring, in order, the first ring of the annulus it joins: neighbours of one pivot are put together
+    until they hold ``RING_LEAST`` vectors."""
+    out, pivot, first, held = [], None, 0, 0
+    for ring, n in zip(thin.ring.tolist(), thin.n.tolist()):
+        if ring // RINGS != pivot or held >= RING_LEAST:
+            pivot, first, held = ring // RINGS, ring, 0
+        held += n
+        out.append(first)
+    return out
+
+
 class Rings:
     """The index's head: one entry per ring that holds vectors, at most ``PIVOTS * RINGS``."""
 
@@ -149,11 +162,15 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS
     reach = points_at.groupBy("pivot").agg(F.max("distance").alias("reach"))  # a row per pivot
     ring = F.col("pivot") * RINGS + F.least(F.floor(F.col("distance") / F.col("reach") * RINGS), F.lit(RINGS - 1))
     ringed = points_at.join(F.broadcast(reach), "pivot").withColumn("ring", F.coalesce(F.when(F.col("reach") > 0, ring), F.col("pivot") * RINGS).cast("long"))
-    head = Rings(points, ringed.groupBy("ring").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm2").alias("norm2"),
-                                                     F.count(F.lit(1)).alias("n")).orderBy("ring").toPandas(), width)
-    sizes = spark.createDataFrame([(int(r), int(b)) for r, b in zip(head.ring, head.blocks)], "ring long, blocks long")
+    thin = ringed.groupBy("ring").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm2").alias("norm2"),
+                                      F.count(F.lit(1)).alias("n")).orderBy("ring").toPandas()  # at most PIVOTS * RINGS rows
+    thin["merged"] = _merged(thin)
+    head = Rings(points, thin.groupby("merged").agg(low=("low", "min"), high=("high", "max"), norm2=("norm2", "max"), n=("n", "sum"))
+                 .reset_index().rename(columns={"merged": "ring"}), width)
+    block_count = dict(zip(head.ring.tolist(), head.blocks.tolist()))
+    places = spark.createDataFrame([(int(r), int(m), int(block_count[m])) for r, m in zip(thin.ring, thin.merged)], "ring long, merged long, blocks long")
     # every block has about BLOCK vectors, however many its ring has
-    blocks = ringed.join(F.broadcast(sizes), "ring").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
+    blocks = ringed.join(F.broadcast(places), "ring").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).withColumn("ring", F.col("merged"))
     blocks = blocks.groupBy("ring", "block").agg(F.sort_array(F.collect_list(F.struct("vec_id", "data"))).alias("rows"))
 
     def pack(batches):
@@ -166,12 +183,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS
 
     total = int(head.n.sum())
     ask = queries.select("vec_id", "q", F.lit(NO_LIMIT).alias("least"))
-    first = _asked(ask, head, width, first=True).join(blocks, ["ring", "block"])
+    first = _asked(ask, head, width, first=True).hint("merge").join(blocks, ["ring", "block"])
     first = _best(first.mapInPandas(lambda b: _search(b, width, k), PAIR), k)
     # the k-th best of some rows is a lower limit of the k-th best of all
     limits = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least")
     limited = queries.join(limits, "vec_id", "left").select("vec_id", "q", F.coalesce("least", F.lit(NO_LIMIT)).alias("least"))
-    again = _asked(staged(limited, "topk-limits"), head, width, first=False).join(blocks, ["ring", "block"])
+    again = _asked(staged(limited, "topk-limits"), head, width, first=False).hint("merge").join(blocks, ["ring", "block"])
     found = _best(again.mapInPandas(lambda b: _search(b, width, k), PAIR), min(k, max(total, 1)))
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
