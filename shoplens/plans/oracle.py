@@ -108,6 +108,7 @@ def _within(ttl: int) -> str:
 
 CTES["sale_detail"] = _SALE + _within(100)
 CTES["sale_detail_ttl1000"] = _SALE + _within(1000)
+CTES["sale_detail_ttl120"] = _SALE + _within(120)
 
 CTES["sale_detail_user"] = f"""
   SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
@@ -163,6 +164,7 @@ _DEPS = {
     "startup": [], "event_log": [], "raw_logs": ["startup"], "order_info": [], "order_detail": [],
     "user_log": [], "user_latest": ["user_log"], "dau": ["startup"], "orders_clean": ["order_info"],
     "sale_detail": ["order_info", "order_detail"], "sale_detail_ttl1000": ["order_info", "order_detail"],
+    "sale_detail_ttl120": ["order_info", "order_detail"],
     "sale_detail_user": ["sale_detail", "user_latest"], "search_hits": ["sale_detail_user"],
     "change_log": ["order_info", "order_detail", "user_log"], "doc_versions": [],
 }
@@ -211,14 +213,14 @@ FROM per GROUP BY day"""
 _ALERT_EVENT_IDS = ("addCart", "addComment", "addFavor", "clickItem", "coupon", "share")
 
 
-def _alert(min_uids: int) -> str:
+def _alert(min_uids: int, window: int = 300, slide: int = 5) -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE evid = '{e}') AS n_{e}" for e in _ALERT_EVENT_IDS)
     text = ", ".join(f"CASE WHEN n_{e} > 0 THEN '{e}:' || CAST(n_{e} AS VARCHAR) END" for e in _ALERT_EVENT_IDS)
     return _with("event_log") + f""",
-  win AS (SELECT mid, uid, evid, itemid, (ts // 5000) * 5000 - k * 5000 AS wstart
-          FROM event_log, range(0, 60) r(k)),
+  win AS (SELECT mid, uid, evid, itemid, (ts // {slide * 1000}) * {slide * 1000} - k * {slide * 1000} AS wstart
+          FROM event_log, range(0, {window // slide}) r(k)),
   folded AS (
-    SELECT mid, wstart, wstart + 300000 AS wend,
+    SELECT mid, wstart, wstart + {window * 1000} AS wend,
       string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'coupon') AS uids,
       string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'coupon') AS item_ids,
       count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS n_uids,
@@ -381,6 +383,19 @@ SELECT doc_id, batch_id, ts, mid, uid, evid, note FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id
     ORDER BY batch_id DESC, ts DESC, mid DESC, uid DESC, evid DESC, note DESC) AS rn FROM doc_versions) WHERE rn = 1""",
     }
+    wide = (P.WIDE_WINDOW_SECONDS, P.WIDE_SLIDE_SECONDS)
+    out["coupon_alert_strict_wide"] = _alert(4, *wide)
+    out["alert_preview_wide"] = f"SELECT * FROM ({_alert(3, *wide)}) ORDER BY doc_id LIMIT {P.PREVIEW_ROWS}"
+    out["order_detail_pairs_since"] = _with("order_info", "order_detail") + f"""
+SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS order_detail_id,
+  CASE WHEN o.id IS NOT NULL AND d.order_id IS NOT NULL THEN 'both'
+       WHEN o.id IS NOT NULL THEN 'order_only' ELSE 'detail_only' END AS match_state
+FROM (SELECT * FROM order_info WHERE split_part(create_time, ' ', 1) >= '{P.PAIRS_FROM}') o
+FULL JOIN order_detail d ON o.id = d.order_id"""
+    out["sale_detail_ttl120"] = _with("sale_detail_ttl120") + "SELECT * FROM sale_detail_ttl120"
+    out["sale_search_level"] = _with("sale_detail_user") + f"""
+SELECT * FROM sale_detail_user WHERE user_level = '{P.SEARCH_LEVEL}'
+  AND list_has_any({_TOKENS.format(c='sku_name')}, ['{P.SEARCH_KEYWORD}'])"""
     routed = "CAST(id AS BIGINT) % 20 <> 7 AND CAST(id AS BIGINT) % 10 <> 0"
     out["chain_gmv"] = _with("orders_clean") + f"""
 SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS gmv

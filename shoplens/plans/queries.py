@@ -37,6 +37,10 @@ TOP_N = 10
 MATCH_QUERY = "building machinery"
 TWIN_TTL_SECONDS = 1000
 PREVIEW_ROWS = 100
+WIDE_WINDOW_SECONDS, WIDE_SLIDE_SECONDS = 14400, 300  # windows in which the test data has many alerts
+MIDDLE_TTL_SECONDS = 120  # between the default and the widest offset of the test data
+PAIRS_FROM = "1996-06-01"
+SEARCH_LEVEL = "3"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,6 +208,20 @@ def q_coupon_alert_strict(spark, sf_dir):
     return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), min_uids=4))
 
 
+def _wide_alerts(spark, sf_dir, min_uids: int) -> DataFrame:
+    return _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir)), WIDE_WINDOW_SECONDS, WIDE_SLIDE_SECONDS, min_uids))
+
+
+def q_coupon_alert_strict_wide(spark, sf_dir):
+    """The '> 3 users' rule over four-hour windows, where it fires."""
+    return _wide_alerts(spark, sf_dir, 4)
+
+
+def q_alert_preview_wide(spark, sf_dir):
+    """ORD2 over four-hour windows, which give more alerts than the preview shows."""
+    return alerts.preview(_wide_alerts(spark, sf_dir, alerts.DEFAULT_MIN_UIDS).orderBy("doc_id"), PREVIEW_ROWS)
+
+
 def q_alert_preview(spark, sf_dir):
     """ORD2: the first 100 alert documents (in document-id order, so the preview is the same on every run)."""
     docs = _alert_out(alerts.coupon_alerts(staging.event_log(_t(spark, sf_dir))))
@@ -217,6 +235,12 @@ def q_order_detail_pairs(spark, sf_dir):
     return sales.detail_pairs(staging.order_info(t, customer=False), staging.order_detail(t))
 
 
+def q_order_detail_pairs_since(spark, sf_dir):
+    """Orders from a day on against all lines: lines of earlier orders are ``detail_only``."""
+    t = _t(spark, sf_dir)
+    return sales.detail_pairs(staging.order_info(t, (PAIRS_FROM, None), customer=False), staging.order_detail(t))
+
+
 def _sale_details(t: Tables, ttl: int = sales.DEFAULT_TTL_SECONDS, days: staging.Days | None = None) -> DataFrame:
     """Sale details; ``days`` restricts both sides to orders created in the range (a sale's ``dt`` is its order's
     create date, so a day's search needs no other order or line)."""
@@ -231,6 +255,10 @@ def q_sale_detail_ttl1000(spark, sf_dir):
     return _sale_details(_t(spark, sf_dir), TWIN_TTL_SECONDS)
 
 
+def q_sale_detail_ttl120(spark, sf_dir):
+    return _sale_details(_t(spark, sf_dir), MIDDLE_TTL_SECONDS)
+
+
 def q_sale_detail_all(spark, sf_dir):
     t = _t(spark, sf_dir)
     return sales.sale_details_all(gmv.clean_orders(staging.order_info(t, customer=False)), staging.order_detail(t))
@@ -253,6 +281,11 @@ def q_sale_search(spark, sf_dir):
     return dashboard.sale_search(rows, SEARCH_DATE, SEARCH_KEYWORD)
 
 
+def q_sale_search_level(spark, sf_dir):
+    """FLT7 over every day, for one user level."""
+    return dashboard.sale_search(_sale_detail_user(_t(spark, sf_dir)), None, SEARCH_KEYWORD, SEARCH_LEVEL)
+
+
 def q_sale_search_page(spark, sf_dir):
     rows = _sale_detail_user(_t(spark, sf_dir), (SEARCH_DATE, SEARCH_DATE))
     hits = dashboard.sale_search(rows, SEARCH_DATE, SEARCH_KEYWORD)
@@ -385,6 +418,11 @@ QUERIES: dict[str, Query] = {
     "parse_json": q_parse_json,
     "parse_json_quarantine": q_parse_json_quarantine,
     "latest_documents": q_latest_documents,
+    "coupon_alert_strict_wide": q_coupon_alert_strict_wide,
+    "alert_preview_wide": q_alert_preview_wide,
+    "order_detail_pairs_since": q_order_detail_pairs_since,
+    "sale_detail_ttl120": q_sale_detail_ttl120,
+    "sale_search_level": q_sale_search_level,
     "chain_gmv": q_chain_gmv,
     "chain_sale_detail": q_chain_sale_detail,
     "chain_user_latest": q_chain_user_latest,
