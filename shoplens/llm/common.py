@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens.session import checkpoint_dir
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def ship_code(spark: SparkSession) -> None:
     context._shoplens_shipped = True
 
 
-def bucket_count(rows: int, least: int = 16) -> int:
+def bucket_count(rows: int, least: int = 64) -> int:
     """Buckets of about ``ROWS_PER_BUCKET`` rows; at most 2^20."""
     return max(least, min(1 << 20, -(-rows // ROWS_PER_BUCKET)))
 
