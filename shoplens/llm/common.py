@@ -8,6 +8,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,31 @@ def ship_code(spark: SparkSession) -> None:
     context._shoplens_shipped = True
 
 
+FILTER_BITS = 1 << 26  # 8 MB
+
+
+def maybe_among(keys: DataFrame, key: Column):
+    """A test for rows whose 64-bit ``key`` may be among that of ``keys``: a function from the key column to a boolean
+    column, true for all of ``keys`` and for few others while these are far fewer than ``FILTER_BITS``.
+
+    The keys set bits in a bitmap of fixed size, which is broadcast: applied before a join on the key, it keeps rows
+    without a partner out of the shuffle.  The join itself still decides.
+    """
+    place = F.pmod(key, F.lit(FILTER_BITS))
+    bits = keys.select(place.alias("p")).select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, CAST(p % 64 AS INT))").alias("bit"))
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most FILTER_BITS / 64 rows
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[found.word.to_numpy(np.int64)] = found.bits.to_numpy(np.int64)
+    bitmap = keys.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def marked(places: pd.Series) -> pd.Series:
+        p = places.to_numpy(np.int64)
+        return pd.Series((bitmap.value[p >> 6] >> (p & 63)) & 1 == 1)
+
+    return lambda column: marked(F.pmod(column, F.lit(FILTER_BITS)))
+
+
 def bucket_count(rows: int, least: int = 64) -> int:
     """Buckets of about ``ROWS_PER_BUCKET`` rows; at most 2^20."""
     return max(least, min(1 << 20, -(-rows // ROWS_PER_BUCKET)))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import ship_code, staged
+from shoplens.llm.common import maybe_among, ship_code, staged
 from shoplens.llm.components import components
 
 WORDS = 5
@@ -291,7 +291,9 @@ def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
     alone = several.join(clusters, "grp", "left_anti").select("grp", F.col("own").alias("cluster"))
     chosen = classes.join(clusters.unionByName(alone), "grp").select("node", "cluster", "n", F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"))
     chosen = staged(chosen, "ngram-chosen")
-    texts = docs.withColumn("th", F.xxhash64("text"))
+    # the text hash tells the few documents in clusters from the rest before the text is shuffled
+    in_cluster = maybe_among(chosen, F.col("rep_hash"))
+    texts = docs.withColumn("th", F.xxhash64("text")).filter(in_cluster(F.col("th")))
     members = chosen.join(texts, (F.col("th") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["node"]).select("cluster", "node", "n", "text")
     members = staged(members, "ngram-members")
     linked = components(staged(verified_links(members, words, threshold), "ngram-links"))
@@ -307,4 +309,9 @@ def without_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
     """``docs`` with one document of each component: the one of the least doc_id (of rows without ids, each stays)."""
     found = join_documents(docs, words, threshold)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    return docs.join(gone, (F.xxhash64(docs["text"]) == gone["gone_hash"]) & docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = staged(gone, "ngram-gone")
+    # most rows are surely kept; only the others are shuffled to be looked up
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("th"), F.col("doc_id").cast("long").alias("id"))
+    rows = rows.withColumn("maybe", maybe_among(gone, F.col("gone_hash"))(F.col("th")))
+    looked_up = rows.filter("maybe").join(gone, (F.col("th") == F.col("gone_hash")) & F.col("id").eqNullSafe(F.col("gone_id")), "left_anti")
+    return rows.filter("NOT maybe").unionByName(looked_up).select("row.*")
