@@ -155,6 +155,18 @@ def as_documents(alerts: DataFrame, prefix: str = ALERT_INDEX_PREFIX) -> DataFra
                          *alerts.columns)
 
 
+def event_list(events: str = "events"):
+    """The event ids of an alert as an array, each as often as it occurred, from their ``id:count`` text."""
+    def repeated(entry):
+        return F.array_repeat(F.regexp_extract(entry, r"^(.*):(\d+)$", 1), F.regexp_extract(entry, r"^(.*):(\d+)$", 2).cast("int"))
+    return F.when(F.col(events) != "", F.flatten(F.transform(F.split(events, ","), repeated))).otherwise(F.array().cast("array<string>"))
+
+
+def records(alert_docs: DataFrame) -> DataFrame:
+    """Alert documents as records of ``schemas.COUPON_ALERT``, the event list written out."""
+    return alert_docs.select("mid", "uids", "item_ids", event_list().alias("events"), "ts")
+
+
 def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                   slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int = DEFAULT_MIN_UIDS,
                   prefilter: bool = True, two_phase: bool = False, panes: bool = False) -> DataFrame:

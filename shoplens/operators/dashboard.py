@@ -108,6 +108,15 @@ def page(hits: DataFrame, start: int, size: int) -> DataFrame:
             .withColumn("total", total))
 
 
+def page_after(hits: DataFrame, after: tuple[str, str] | None, size: int) -> DataFrame:
+    """ORD1 for deep pages: the ``size`` rows behind the (dt, order_detail_id) that the page before ended with (None: the
+    first page).  The position is a filter, so no task gathers the rows of earlier pages."""
+    if after is not None:
+        dt, detail = (F.lit(x) for x in after)
+        hits = hits.where((F.col("dt") > dt) | ((F.col("dt") == dt) & (F.col("order_detail_id") > detail)))
+    return hits.orderBy("dt", "order_detail_id").limit(size)
+
+
 def _share(counts: DataFrame, key: str) -> DataFrame:
     # the grouped result has a handful of rows (genders, age bands), so a global window over it is cheap
     return counts.select(key, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))

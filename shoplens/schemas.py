@@ -45,7 +45,7 @@ COUPON_ALERT = StructType([
     StructField("mid", StringType(), True),
     StructField("uids", ArrayType(StringType()), True),
     StructField("item_ids", ArrayType(StringType()), True),
-    StructField("events", StringType(), True),
+    StructField("events", ArrayType(StringType()), True),
     StructField("ts", LongType(), True),
 ])
 

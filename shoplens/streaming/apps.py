@@ -125,9 +125,9 @@ def rejected_app(spark, app: str, src: str, out: str, trigger: str = jobs.BATCH_
                                     trigger=trigger, checkpoint=checkpoint)
 
 
-SOURCE_SCHEMA = {"dau": schemas.STARTUP_LOG, "gmv": schemas.ORDER_INFO, "alert": schemas.EVENT_LOG,
-                 "sale_detail": schemas.ORDER_INFO, "user_info": schemas.USER_INFO,
-                 "route_changes": schemas.CHANGE_EVENT, "route_logs": schemas.RAW_LOG, "archive_logs": schemas.RAW_LOG}
+SOURCE_SCHEMA = {app: schemas.STREAMS[stream][1] for app, stream in
+                 (("dau", "startup"), ("gmv", "order_info"), ("alert", "event"), ("sale_detail", "order_info"), ("user_info", "user_info"))}
+SOURCE_SCHEMA |= {"route_changes": schemas.CHANGE_EVENT, "route_logs": schemas.RAW_LOG, "archive_logs": schemas.RAW_LOG}
 
 APPS = ("dau", "gmv", "alert", "sale_detail", "user_info", "route_changes", "route_logs", "archive_logs")
 

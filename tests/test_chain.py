@@ -12,7 +12,7 @@ from shoplens.functions import columns as C
 from shoplens.operators import dashboard, gmv, routing, sales
 from shoplens.operators.dims import latest_users
 from shoplens.plans.queries import QUERIES
-from shoplens.schemas import (EVENT_LOG, ORDER_INFO, RAW_LOG, STARTUP_LOG, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO,
+from shoplens.schemas import (COUPON_ALERT, EVENT_LOG, ORDER_INFO, RAW_LOG, STARTUP_LOG, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO,
                               TOPIC_USER_INFO, USER_INFO)
 from shoplens.sources import staging
 from shoplens.sources.ingest import file_stream, good_records, message_stream, parse_records, quarantine
@@ -203,6 +203,9 @@ def test_any_event_id_is_listed(spark):
     forms = [alerts.coupon_alerts(ev, **how) for how in ({}, {"panes": True}, {"two_phase": True}, {"prefilter": False})]
     for df in forms:
         assert {(r.n_events, r.events) for r in df.collect()} == {(5, "coupon:3,share:2")}
+    out = alerts.records(forms[0])
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [(f.name, f.dataType.simpleString()) for f in COUPON_ALERT]
+    assert sorted(out.first().events) == ["coupon"] * 3 + ["share"] * 2
 
 
 def test_documents_of_two_indexes(spark, scratch):
@@ -253,3 +256,13 @@ def test_message_stream_has_a_topics_columns(spark, scratch):
     os.makedirs(f"{scratch}/m")
     assert message_stream(spark, f"{scratch}/m").columns == ["value", "timestamp", "partition", "offset"]
     assert set(apps.SOURCE_SCHEMA) == set(apps.APPS)
+
+
+def test_pages_by_key_equal_pages_by_offset(spark):
+    hits = spark.createDataFrame([(f"2024-01-0{1 + i % 3}", f"d{i:02}") for i in range(17)], "dt string, order_detail_id string")
+    seen, after = [], None
+    while page := dashboard.page_after(hits, after, 5).collect():
+        seen += [tuple(r) for r in page]
+        after = tuple(page[-1])
+    assert seen == sorted(tuple(r) for r in hits.collect())
+    assert [tuple(r)[:2] for r in dashboard.page(hits, 5, 5).collect()] == seen[5:10]
