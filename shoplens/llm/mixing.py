@@ -19,7 +19,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import ROWS_PER_BUCKET, bucket_count, hash_bucket, numbered
+from shoplens.llm.common import ROWS_PER_BUCKET, bucket_count, hash_bucket, numbered, staged
 
 BLOCK_ROWS = 16
 PERIOD = 1024
@@ -105,8 +105,14 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_RO
 
 
 def in_mixed_order(docs: DataFrame, **how) -> DataFrame:
-    """All rows and columns of ``docs``, laid out in mixed order: a range of positions per file, sorted inside it."""
-    columns = tuple(docs.columns)
-    packed = docs.select(F.struct(*columns).alias("__row"), "doc_id", "source", "text")
-    mixed = mix(packed, carry=("__row",), **how)
-    return mixed.repartitionByRange("position").sortWithinPartitions("position").select("__row.*")
+    """All rows and columns of ``docs``, laid out in mixed order: a range of positions per file, sorted inside it.
+
+    Positions are found without the texts, which are shuffled twice only: to meet their positions, and into their order.
+    Rows alike in doc_id and text lie together, at the first of their positions.
+    """
+    keyed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("key_hash"))
+    places = mix(keyed, carry=("doc_id", "key_hash"), **how).groupBy("doc_id", "key_hash").agg(F.min("position").alias("place"))
+    places = staged(places.withColumnRenamed("doc_id", "key_id"), "mixed-places")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
+    found = rows.join(places, (F.col("th") == F.col("key_hash")) & F.col("id").eqNullSafe(F.col("key_id")))
+    return found.repartitionByRange("place").sortWithinPartitions("place").select("row.*")
