@@ -44,7 +44,7 @@ def ship_code(spark: SparkSession) -> None:
     context._shoplens_shipped = True
 
 
-FILTER_BITS = 1 << 26  # 8 MB
+FILTER_BITS = 1 << 24  # 2 MB
 
 
 def maybe_among(keys: DataFrame, key: Column):

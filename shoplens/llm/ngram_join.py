@@ -39,7 +39,7 @@ COMMON = 32
 SHORT = 32  # lists up to this length give pairs; not below COMMON
 COMMON_MOST = 1 << 20  # shingles that may be marked as common: 8 MB
 BLOCK = 1024  # texts
-REMEMBERED = 500_000  # word hashes or groups that a task remembers
+REMEMBERED = 150_000  # word hashes or groups that a task remembers
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

@@ -28,7 +28,7 @@ from shoplens.llm.common import ship_code
 
 MARK, SPACE = "▁", " "
 CUT = "\x01"
-REMEMBERED = 600_000  # parts, and pairs, that a task remembers
+REMEMBERED = 200_000  # parts, and pairs, that a task remembers
 LONGEST_PART = 64  # characters of a part that is remembered
 
 
