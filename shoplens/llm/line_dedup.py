@@ -1,18 +1,18 @@
-"""Line dedup by winnowing over line hashes (DataFrame functions only).
+"""Line dedup by grams of line hashes (DataFrame functions only).
 
-A document is its sequence of non-empty lines, each a hash and a number of words.  The gram at a line is the run of
-lines from it on that first reaches ``gram_words`` words.  In every window of ``window_words`` words, the gram with the
-least hash is a fingerprint; so any run of ``gram_words + window_words`` words that two places share holds a common
-fingerprint, and any common fingerprint is a shared run of at least ``gram_words`` words.
+A document is its sequence of non-empty lines, each a hash and a number of words.  The gram ahead of a line is the run of
+lines from it on that first reaches ``gram_words`` words, the gram behind it the run up to it that does.  A later place
+of a gram, by doc_id, then text hash, then line, is deleted with all its lines.
 
-Each fingerprint is joined to its first place in the corpus (by doc_id, then text hash, then line), extended line by
-line both ways as far as both places agree, and the later place's lines are deleted.  The extension needs to look no
-further than one window: any longer shared run has a fingerprint of its own there.  A deleted line always equals a
-line at an earlier place, so the first place of every line stays.
+That deletes every run of ``gram_words`` words or more that stands at any earlier place, to its ends, and nothing else:
+a line of such a run has ``gram_words`` words of the run from it on, or up to it, or lies in the gram ahead of the run's
+first line; all these are grams inside the run, so they stand at the earlier place, too.  A deleted line always equals
+a line at an earlier place, so the first place of every line stays.
 
-Scale: lines travel as hashes; a fingerprint's first place is a map-side combined minimum; the join back is between
-two shuffled tables, one of them unique in the key, so a passage in a third of all documents is split by Spark's
-skew-join handling; windows are per document.  The text is shuffled once, to meet the numbers of its deleted lines.
+Scale: lines travel as hashes; no pairs of places are made: a gram's first place is a map-side combined minimum; the
+join back is between two shuffled tables, one of them unique in the key, so a passage in a third of all documents is
+split by Spark's skew-join handling; windows are per document.  The text is shuffled once, to meet the numbers of its
+deleted lines.
 """
 
 from __future__ import annotations
@@ -23,22 +23,14 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import staged
 
 GRAM_WORDS = 25
-WINDOW_WORDS = 25
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _agreeing(a: str, b: str) -> Column:
-    """Length of the common beginning of two arrays."""
-    alike = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first_off = F.array_position(alike, False)
-    return F.when(first_off == 0, F.size(alike)).otherwise(first_off - 1).cast("int")
-
-
-def fingerprints(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """doc_id, text_hash, pos (line number), fp, and the hashes and line numbers from the line on and before it."""
+def grams(docs: DataFrame, gram_words: int = GRAM_WORDS) -> DataFrame:
+    """doc_id, text_hash, pos (line number), fp (hash of the gram ahead of or behind the line), lines (their numbers)."""
     lines = (
         docs.filter(F.col("text").isNotNull())
         .select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"),
@@ -49,42 +41,34 @@ def fingerprints(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: in
         .filter("words > 0")
     )
     doc = Window.partitionBy("doc_id", "text_hash")
-    before = lines.withColumn("at", (F.sum("words").over(doc.orderBy("pos")) - F.col("words")).cast("long"))
-    by_words = doc.orderBy("at")
-    gram = by_words.rangeBetween(0, gram_words - 1)
-    reach = by_words.rangeBetween(0, gram_words + window_words)
-    back = by_words.rangeBetween(-window_words, -1)
-    grams = before.select(
-        "doc_id", "text_hash", "pos", "at",
-        F.when(F.sum("words").over(gram) >= gram_words, F.xxhash64(F.collect_list("h").over(gram))).alias("fp"),
-        F.collect_list("h").over(reach).alias("ahead"), F.collect_list("pos").over(reach).alias("ahead_pos"),
-        F.reverse(F.collect_list("h").over(back)).alias("behind"), F.reverse(F.collect_list("pos").over(back)).alias("behind_pos"),
+    ends = lines.withColumn("till", F.sum("words").over(doc.orderBy("pos")).cast("long")).withColumn("at", F.col("till") - F.col("words"))
+    ahead = doc.orderBy("at").rangeBetween(0, gram_words - 1)
+    behind = doc.orderBy("till").rangeBetween(-(gram_words - 1), 0)
+
+    def gram(side: int, over: Window, when: Column) -> Column:
+        numbers = F.collect_list("pos").over(over)
+        return F.when(when, F.struct(F.xxhash64(F.lit(side), F.collect_list("h").over(over)).alias("fp"), numbers.alias("lines")))
+
+    found = ends.select(
+        "doc_id", "text_hash", "pos",
+        gram(0, ahead, F.sum("words").over(ahead) >= gram_words).alias("ahead"),
+        # a line that is a gram by itself is so on both sides
+        gram(1, behind, (F.col("words") < gram_words) & (F.sum("words").over(behind) >= gram_words)).alias("behind"),
     )
-    least = F.min(F.when(F.col("fp").isNotNull(), F.struct("fp", "pos")))
-    chosen = grams.withColumn("least", least.over(by_words.rangeBetween(0, window_words - 1)))
-    # a line is chosen if it is the least of some window, that is of one that begins at most a window before it
-    picked = F.array_contains(F.collect_set("least.pos").over(by_words.rangeBetween(-(window_words - 1), 0)), F.col("pos"))
-    return chosen.withColumn("picked", picked).filter("picked AND fp IS NOT NULL").drop("at", "least", "picked")
+    return found.select("doc_id", "text_hash", "pos", F.explode(F.array_compact(F.array("ahead", "behind"))).alias("gram")).select("doc_id", "text_hash", "pos", "gram.*")
 
 
-def repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS) -> DataFrame:
     """doc_id, text_hash, removed: the sorted numbers (from 0) of the lines to delete, for documents that have any."""
-    prints = staged(fingerprints(docs, gram_words, window_words), "line-prints")
-    place = F.struct("doc_id", "text_hash", "pos")
-    firsts = prints.groupBy("fp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found = staged(grams(docs, gram_words), "line-grams")
+    firsts = found.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = firsts.select(F.col("fp").alias("ffp"), F.col("first.doc_id").alias("fid"), F.col("first.text_hash").alias("fth"), F.col("first.pos").alias("fpos"))
-    source = prints.join(firsts, (F.col("text_hash") == F.col("fth")) & (F.col("pos") == F.col("fpos")) & F.col("doc_id").eqNullSafe(F.col("fid")))
-    source = staged(source.select(F.col("fp").alias("ffp"), "fid", "fth", "fpos", F.col("ahead").alias("f_ahead"), F.col("behind").alias("f_behind")), "line-firsts")
-    later = prints.join(source, F.col("fp") == F.col("ffp")).filter(
+    later = found.join(firsts, F.col("fp") == F.col("ffp")).filter(
         (F.col("text_hash") != F.col("fth")) | (F.col("pos") != F.col("fpos")) | ~F.col("doc_id").eqNullSafe(F.col("fid")))
-    runs = later.select(
-        "doc_id", "text_hash",
-        F.concat(F.slice("ahead_pos", F.lit(1), _agreeing("ahead", "f_ahead")), F.slice("behind_pos", F.lit(1), _agreeing("behind", "f_behind"))).alias("gone"),
-    )
-    return runs.select("doc_id", "text_hash", F.explode("gone").alias("pos")).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
+    return later.select("doc_id", "text_hash", F.explode("lines").alias("pos")).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS) -> DataFrame:
     """All rows and columns of ``docs``, the text without its later repeated runs, with columns ``__n_lines`` and
     ``__n_removed``.
 
@@ -93,7 +77,7 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
     Rows alike in doc_id and text are one document: both keep or lose the same lines.  Documents with the same or a
     null doc_id but other texts are told apart by the text's hash.  An empty table gives no rows.
     """
-    gone = repeated_lines(docs.select("doc_id", "text"), gram_words, window_words).select(
+    gone = repeated_lines(docs.select("doc_id", "text"), gram_words).select(
         F.col("doc_id").alias("__gid"), F.col("text_hash").alias("__gth"), "removed")
     rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
     joined = rows.join(gone, (F.xxhash64("__text") == F.col("__gth")) & F.col("__id").eqNullSafe(F.col("__gid")), "left")

@@ -523,6 +523,49 @@ def test_line_dedup_against_all_pairs(spark):
     assert GRAM_WORDS == 25
 
 
+def whole_runs(data, gram_words):
+    """Brute force: per (doc_id, text) the numbers of the lines in equal runs, to both true ends, with an earlier place."""
+    docs = sorted({(i, t) for i, t, _ in data}, key=lambda d: d[0])
+    lines = [[(n, x.strip(" ")) for n, x in enumerate(t.split("\n")) if x.split()] for _, t in docs]
+    gone = defaultdict(set)
+    for b in range(len(docs)):
+        for a in range(b + 1):
+            for shift in range(-len(lines[a]), len(lines[b])):  # a diagonal: line k of a beside line k + shift of b
+                if a == b and shift <= 0:
+                    continue
+                run = []
+                for k in range(len(lines[a]) + 1):
+                    if k < len(lines[a]) and 0 <= k + shift < len(lines[b]) and lines[a][k][1] == lines[b][k + shift][1]:
+                        run.append(k + shift)
+                        continue
+                    if sum(len(lines[b][j][1].split()) for j in run) >= gram_words:
+                        gone[docs[b]] |= {lines[b][j][0] for j in run}
+                    run = []
+    return gone
+
+
+def test_line_dedup_against_whole_runs(spark):
+    """Runs go to their true ends, beyond long lines, whichever earlier place holds them."""
+    from shoplens.llm.line_dedup import dedup_lines
+
+    r = random.Random(5)
+    line = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    text = lambda *sizes: [line(n) for n in sizes]
+    tailed, headed, four = text(10, 22, 93, 2), text(5, 360, 7), line(31)
+    turns = [line(11)] + [four] * 4 + [line(20)]  # every copy of the line meets its first place first
+    shared = text(8, 8, 30, 8, 8)
+    data = [(1, tailed), (2, tailed), (3, headed), (4, text(30) + headed + text(30)), (5, turns), (6, turns),
+            (7, text(9) + shared[2:3] + text(9)), (8, text(9) + shared + text(9)), (9, text(9) + shared + ["", " "] + text(9)), (10, shared[1:4] * 2)]
+    pool = text(2, 3, 6, 6, 9, 14, 26, 60)
+    data += [(20 + i, [r.choice(pool) if r.random() < 0.8 else line(7) for _ in range(r.randrange(1, 15))]) for i in range(40)]
+    data = [(i, "\n".join(x), "s") for i, x in data]
+    got = {x.doc_id: x.text for x in dedup_lines(frame(spark, data)).collect()}
+    gone = whole_runs(data, 25)
+    assert got[2] == got[6] == "" and got[4].count("\n") == 1
+    for i, t, _ in data:
+        assert got[i] == "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i, t]), i
+
+
 # ---- queries and pipeline -----------------------------------------------------------------------------------------
 
 def test_oracles(spark):
