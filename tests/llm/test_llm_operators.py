@@ -566,6 +566,19 @@ def test_line_dedup_against_whole_runs(spark):
         assert got[i] == "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i, t]), i
 
 
+def test_line_dedup_meets_every_earlier_place(spark):
+    """The first holder of a gram need not be the one that holds the run around it."""
+    from shoplens.llm.line_dedup import dedup_lines
+
+    r = random.Random(6)
+    line = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    gram, before, after, four, last = line(26), line(20), line(20), line(31), line(20)
+    data = [(1, [line(9), gram, line(9)]), (2, [before, gram, after]), (3, [line(9), before, gram, after, line(9)]),
+            (4, [line(11), four, four, four, four, last]), (5, [four, last, line(9)])]
+    got = {x.doc_id: x["__n_removed"] for x in dedup_lines(frame(spark, [(i, "\n".join(x), "s") for i, x in data])).collect()}
+    assert got == {1: 0, 2: 1, 3: 3, 4: 3, 5: 2}
+
+
 # ---- queries and pipeline -----------------------------------------------------------------------------------------
 
 def test_oracles(spark):
