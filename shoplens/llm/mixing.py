@@ -5,26 +5,29 @@ Each source is shuffled by a seeded hash and cut into blocks.  With weight ``w``
 after the other.  As the weights sum to one, every block lands inside its window, so before any slot each source is
 less than one block from its target share.
 
-Weights are rounded to multiples of ``1 / period`` (each source at least one), and the schedule then repeats every
-``period`` slots.  So only one period is scheduled one block after the other - a table of ``period`` rows, whatever
-the input's size - and Spark finds every block's slot by arithmetic.  A source that has run out leaves its slots empty; the others
-move up, keeping their weights among themselves.  Every row is placed exactly once.
+The weights are exact fractions, so this holds against the weights as given, over any number of blocks.  One task runs
+through the schedule as a stream - a step per block of ``BLOCK_ROWS`` rows, with one entry per source in memory - and
+Spark joins its table of blocks to the rows.  A source that has run out leaves the schedule; the others keep their
+windows.  Every row is placed exactly once.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import ROWS_PER_BUCKET, bucket_count, hash_bucket, numbered, staged
+from shoplens.llm.common import bucket_count, hash_bucket, numbered, ship_code, staged
 
 BLOCK_ROWS = 16
 PERIOD = 1024
 ALPHA = 0.7
-MAX_SOURCES = 10_000
+BATCH = 20_000  # blocks
 
 
 def quantised(weights: dict, period: int) -> dict:
@@ -43,17 +46,7 @@ def quantised(weights: dict, period: int) -> dict:
 
 def pfair(slots: dict) -> list[tuple]:
     """(source, block, release, deadline, slot) over one period of ``sum(slots)`` slots, earliest deadline first."""
-    period = sum(slots.values())
-    due = sorted((i * period // k, -(-(i + 1) * period // k), str(s), s, i) for s, k in slots.items() for i in range(k))
-    ready, out, at = [], [], 0
-    for t in range(period):
-        while at < len(due) and due[at][0] <= t:
-            release, deadline, name, s, i = due[at]
-            heapq.heappush(ready, (deadline, name, i, release, s is None, s))
-            at += 1
-        deadline, _, i, release, _, s = heapq.heappop(ready)
-        out.append((s, i, release, deadline, t))
-    return out
+    return list(schedule(slots, slots))
 
 
 def target_weights(counts: dict, alpha: float = ALPHA) -> dict:
@@ -61,47 +54,79 @@ def target_weights(counts: dict, alpha: float = ALPHA) -> dict:
     return {s: float(n) ** alpha for s, n in counts.items()}
 
 
-def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD,
+def whole_weights(counts: dict, weights: dict | None = None, period: int | None = None) -> dict:
+    """Whole numbers in the exact proportions of the weights; see :func:`mix`."""
+    given = target_weights(counts) if weights is None else {s: w for s, w in weights.items() if s in counts and w > 0}
+    lacking = counts.keys() - given.keys()
+    least = max(period or PERIOD, 8 * len(counts))
+    if period:
+        return quantised(given, least - len(lacking)) | {s: 1 for s in lacking}
+    exact = {s: Fraction(w) for s, w in given.items()}
+    one = sum(exact.values()) / (least - len(lacking)) or Fraction(1)
+    exact |= {s: one for s in lacking}
+    whole = math.lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * whole) for s, w in exact.items()}
+
+
+def schedule(blocks: dict, weights: dict) -> Iterator[tuple]:
+    """(source, block, release, deadline, slot) of ``blocks[source]`` blocks of each source, slot by slot, earliest
+    deadline first among released blocks; ``weights`` are whole numbers."""
+    whole = sum(weights.values())
+    names = sorted(blocks, key=lambda s: (s is None, str(s)))
+    later = [(0, k) for k, s in enumerate(names) if blocks[s]]  # (release, source) of each source's next block
+    ready, done, t = [], [0] * len(names), 0
+    while later or ready:
+        if not ready:
+            t = max(t, later[0][0])
+        while later and later[0][0] <= t:
+            release, k = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(done[k] + 1) * whole // weights[names[k]]), k, release))
+        deadline, k, release = heapq.heappop(ready)
+        yield names[k], done[k], release, deadline, t
+        done[k] += 1
+        if done[k] < blocks[names[k]]:
+            heapq.heappush(later, (done[k] * whole // weights[names[k]], k))
+        t += 1
+
+
+def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None,
         seed: int = 23, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``carry`` and source, with: block (in its source), release, deadline, slot (in slots) and position
     (gapless from 0, the mixed order).
 
     ``weights`` maps sources to positive numbers; None takes :func:`target_weights` of the row counts over all rows.
-    Sources of the table that ``weights`` lacks get one slot a period; null is a source like any other.  Within a
-    source the order is by a seeded hash of doc_id, then doc_id, then the text's hash; rows alike in these are
-    interchangeable.  Null texts and ids take part.  An empty table gives no rows.  More than ``MAX_SOURCES`` sources
-    are refused, as the schedule of one period lists each.
+    They are followed exactly; ``period`` rounds them to multiples of ``1 / period`` first (each source at least one).
+    Sources of the table that ``weights`` lacks get one slot in ``period``, or else in ``PERIOD`` (in eight times the
+    number of sources, if that is more); null is a source like any other.  Within a source the order is by a seeded hash
+    of doc_id, then doc_id, then the text's hash; rows alike in these are interchangeable.  Null texts and ids take
+    part.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    counted = docs.groupBy("source").count().limit(MAX_SOURCES + 1).collect()
-    if len(counted) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    counts = {r["source"]: r["count"] for r in counted}
-    period = max(period, 8 * len(counts))
-    given = target_weights(counts) if weights is None else {s: w for s, w in weights.items() if s in counts and w > 0}
-    slots = quantised(given, period - len(counts.keys() - given.keys()))
-    slots |= {s: 1 for s in counts if s not in slots}
-    period = sum(slots.values())
-
-    table = spark.createDataFrame(
-        [(s, slots[s], i, r, d, t) for s, i, r, d, t in pfair(slots)],
-        "__s string, __k long, __i long, __release long, __deadline long, __slot long")
-    widths = spark.createDataFrame(list(slots.items()), "__ws string, __width long")
+    ship_code(docs.sparkSession)
+    counts = staged(docs.groupBy("source").count(), "mixed-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = {s: int(c) for batch in batches for s, c in zip(batch.source.astype(object).where(batch.source.notna(), None), batch["count"])}
+        rows, start = [], 0
+        for s, block, release, deadline, slot in schedule({s: -(-c // block_rows) for s, c in n.items()}, whole_weights(n, weights, period)):
+            rows.append((s, block, release, deadline, slot, start))
+            start += min(block_rows, n[s] - block * block_rows)
+            if len(rows) == BATCH:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+        yield pd.DataFrame(rows, columns=columns)
+
+    columns = ["__s", "__block", "release", "deadline", "slot", "__start"]
+    table = counts.repartition(1).mapInPandas(run, "__s string, __block long, release long, deadline long, slot long, __start long")
+    table = staged(table, "mixed-schedule")
     rows = docs.select(*carry, *({"source"} - set(carry)), F.xxhash64(F.lit(seed), F.col("doc_id")).alias("__h"),
                        F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"))
-    total = sum(counts.values())
     rows = rows.withColumn("__b", hash_bucket(F.col("__h"), bucket_count(total)))
     ranked = numbered(rows, "__b", [F.col("__h"), F.col("__id"), F.col("__th")], "__rank", by=("source",))
-    # both tables have at most ``period`` rows
-    ranked = ranked.join(F.broadcast(widths), F.col("source").eqNullSafe(F.col("__ws")))
     ranked = ranked.withColumn("block", F.expr(f"__rank div {block_rows}"))
-    ranked = ranked.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") % F.col("__width") == F.col("__i")))
-    turn = F.expr(f"(block div __width) * {period}L")
-    placed = ranked.select(*carry, *({"source"} - set(carry)), "block", "__rank",
-                           (turn + F.col("__release")).alias("release"), (turn + F.col("__deadline")).alias("deadline"),
-                           (turn + F.col("__slot")).alias("slot"))
-    placed = placed.withColumn("__sb", F.expr(f"slot div {max(1, ROWS_PER_BUCKET // block_rows)}"))
-    return numbered(placed, "__sb", [F.col("slot"), F.col("__rank")], "position").drop("__sb", "__rank")
+    placed = ranked.join(table, F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__block")))
+    return placed.select(*carry, *({"source"} - set(carry)), "block", "release", "deadline", "slot",
+                         (F.col("__start") + F.col("__rank") % block_rows).alias("position"))
 
 
 def in_mixed_order(docs: DataFrame, **how) -> DataFrame:

@@ -448,6 +448,37 @@ def test_pfair_windows():
         assert all(release <= t < deadline for _, _, release, deadline, t in made)
 
 
+def test_mixing_follows_the_given_weights(spark):
+    """Over many periods' worth of slots, no source strays a block from its exact weight, with one source hot or not."""
+    from shoplens.llm import mixing
+
+    for counts in ({f"s{i}": 50_000 for i in range(20)}, {f"s{i}": 100 for i in range(1000)} | {"hot": 100_000, None: 40}):
+        weights = mixing.target_weights(counts)
+        blocks, whole = {s: -(-n // 16) for s, n in counts.items()}, sum(weights.values())
+        done, worst = Counter(), 0
+        for s, block, release, deadline, t in mixing.schedule(blocks, mixing.whole_weights(counts)):
+            assert block == done[s] and t == done.total() and release <= t < deadline
+            worst = max(worst, abs(done[s] - weights[s] / whole * t), abs(done[s] + 1 - weights[s] / whole * (t + 1)))
+            done[s] += 1
+            if done[s] == blocks[s]:
+                break
+        assert worst < 1 and done.total() > 3000, (worst, done.total())
+
+    rows = [(i, f"t{i}", f"s{i % 20}") for i in range(6000)] + [(10_000 + i, "x", "hot") for i in range(3000)]
+    got = sorted(mixing.mix(frame(spark, rows), block_rows=1).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(9000)) and {r.doc_id for r in got} == {i for i, _, _ in rows}
+    weights = mixing.target_weights(Counter(s for _, _, s in rows))
+    share, done = {s: w / sum(weights.values()) for s, w in weights.items()}, Counter()
+    for t, r in enumerate(got):
+        assert r.block == done[r.source] and r.release <= r.slot < r.deadline
+        done[r.source] += 1
+        if t % 100 == 99:
+            assert all(abs(done[s] - share[s] * (t + 1)) < 1 for s in share), t
+        if done[r.source] == (3000 if r.source == "hot" else 300):
+            break
+    assert t > 5000
+
+
 def test_mixed_layout_keeps_rows(spark, rows):
     from shoplens.llm import mixing
 
