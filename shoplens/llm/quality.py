@@ -6,8 +6,9 @@ vote for good and for bad documents, and the share of bad ones; no labels are re
 
 The posteriors of a bounded sample (``TRAIN_ROWS`` documents, the first by a hash of doc_id and text) train a linear
 scorer over hashed features: pairs of neighbouring character classes, and binned statistics of the words.  Every
-document is scored over its whole text; a document goes if its score and the posterior of its votes call it bad and
-some labeller does.
+document is scored over its whole text and goes if the scorer calls it bad, whatever the labellers say.  The scorer is
+trained on texts of ``SOME_WORDS`` words or more; a shorter one goes only if the posterior of its votes and some labeller
+call it bad, too.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ TRAIN_ROWS = 20_000
 SLOTS = 1 << 12
 KEEP_FROM = 0.5
 FEW_WORDS = 6  # shorter texts are not judged
+SPAN = 500  # words of a run whose variety is measured
 SOME_WORDS = 20  # labellers that need a longer text say nothing below this
 ROUNDS = 60
 
@@ -49,22 +51,33 @@ _PLAIN = np.isin(np.arange(256), list(b" \n\t\r.,;:'\"-?()0123456789")) | _LETTE
 LABELLERS = ("symbols", "capitals", "shouting", "variety", "repeats", "function words", "word length")
 
 
+def variety(words: list[bytes]) -> float:
+    """The lesser of the share of distinct words, as the mean over runs of ``SPAN`` words, and the share of distinct runs
+    of five words in the whole text: neither falls with the length alone, as the share of distinct words would."""
+    n = len(words)
+    if n <= SPAN:
+        return len(set(words)) / n
+    starts = range(0, n - SPAN + 1, SPAN)
+    near = sum(len(set(words[i:i + SPAN])) for i in starts) / (len(starts) * SPAN)
+    return min(near, len(set(zip(words, words[1:], words[2:], words[3:], words[4:]))) / (n - 4))
+
+
 def statistics(text: str) -> tuple[np.ndarray, int, np.ndarray]:
     """Seven measures (see ``LABELLERS``), the number of words, and the byte classes of a text."""
     data = text.encode()
     codes = np.frombuffer(data, np.uint8)
     hist = np.bincount(codes, minlength=256)
-    words = data.split()
+    words = data.lower().split()
     n = len(words)
     if not n:
         return np.zeros(7), 0, _CLASS[codes]
     letters = max(1, int(hist[_LETTER].sum()))
-    lower = [w.lower().strip(b".,") for w in words] if n < 200_000 else words
+    lower = [w.strip(b".,") for w in words]
     return np.array([
         int(hist[~_PLAIN].sum() - hist[ord("!")]) / len(data),
         int(hist[ord("A"):ord("Z") + 1].sum()) / letters,
         int(hist[ord("!")]) / n,
-        len(set(lower)) / n,
+        variety(lower),
         sum(map(eq, lower, lower[1:])) / n,
         sum(map(FUNCTION_WORDS.__contains__, lower)) / n,
         len(data) / n,
@@ -85,7 +98,7 @@ def votes(m: np.ndarray, n: int) -> list[int]:
         vote(symbols < 0.005, symbols > 0.03),
         vote(capitals < 0.15, capitals > 0.5),
         vote(shouting < 0.02, shouting > 0.4),
-        vote(long and variety > 0.3, long and variety < 0.12 and n < 2000),
+        vote(long and variety > 0.3, long and variety < 0.12),
         vote(repeats < 0.05, repeats > 0.2),
         vote(long and function > 0.08, long and function < 0.005),
         vote(long and 4 < length < 12, long and (length < 3 or length > 20)),
@@ -213,7 +226,8 @@ def verdict(model: dict, keep_from: float = KEEP_FROM):
             s = float(1 / (1 + np.exp(-np.clip((values * weights[slots]).sum() + weights[-1], -50, 50))))
             cast = votes(m, n)
             weak = posterior.get(sum(v * 3**i for i, v in enumerate(cast)), 0.5)
-            out.append((s, weak, s >= keep_from or weak >= 0.5 or 1 not in cast))
+            untrained = n < SOME_WORDS and (weak >= 0.5 or 1 not in cast)
+            out.append((s, weak, s >= keep_from or untrained))
         return pd.DataFrame(out, columns=["score", "posterior", "keep"])
 
     return judged

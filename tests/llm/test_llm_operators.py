@@ -152,6 +152,30 @@ def test_quality_odd_rows(spark, rows):
     assert quality.judge(frame(spark, [])).collect() == []
 
 
+def test_quality_has_no_size_switch(spark):
+    """Votes do not turn with the length alone, and the scorer rejects where no labeller does."""
+    from shoplens.llm import quality as Q
+
+    at = Q.LABELLERS.index("variety")
+    spam, passage = "click here for the best offer ".split(), words(1, 100)
+    for n in (60, 1998, 2004, 20_004, 250_002):
+        assert Q.votes(*Q.statistics(" ".join((spam * (n // 6 + 1))[:n]))[:2])[at] == 1, n
+    for n in (1900, 2100, 210_000):
+        assert Q.votes(*Q.statistics(" ".join((passage * (n // 100 + 1))[:n]))[:2])[at] == 1, n
+    r = random.Random(8)
+    long = [f"The, word{r.randrange(3000)}. THE" for _ in range(70_000)]
+    short, whole = (Q.statistics(" ".join(long[:k]))[0] for k in (60_000, 70_000))
+    assert abs(short - whole).max() < 0.01 and Q.votes(whole, 210_000)[at] == 2
+
+    m, n, _ = Q.statistics(prose(1))
+    assert 1 not in Q.votes(m, n)
+    pattern = sum(v * 3**i for i, v in enumerate(Q.votes(m, n)))
+    for bias, expected in ((-3.0, False), (3.0, True)):
+        weights = [0.0] * Q.SLOTS + [bias]
+        judged = Q.verdict({"weights": Q.np.array(weights), "posterior": {pattern: 0.9}})
+        assert frame(spark, [(1, prose(1), "s")]).select(judged("text").alias("v")).first().v.keep is expected
+
+
 def test_em_finds_accuracies():
     import numpy as np
 
