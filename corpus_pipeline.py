@@ -6,7 +6,7 @@ result as Parquet under the shared checkpoint folder and reads it back for the n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.llm import line_dedup, mixing, ngram_join, pieces, quality
@@ -36,9 +36,26 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_mixed_order(docs)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``position`` of ``docs``: gapless numbers from 0 in the order of its files, and of the rows in each.
+
+    A scan may pack files in any order, so a row's place is its file's number and its row's in the file.  What is not a
+    table of files as they are is written first, a file for each partition.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = staged(docs, "pipeline-order")
+    place = (F.regexp_extract("_metadata.file_name", "part-(\\d+)", 1).alias("__part"), F.col("_metadata.file_name").alias("__file"),
+             F.col("_metadata.row_index").alias("__row"))
+    rows = docs.select("doc_id", "text", *place)
+    before = Window.orderBy(F.length("__part"), "__part", "__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("__part", "__file").agg(F.count(F.lit(1)).alias("__n"))  # a row for each file
+    files = files.select(F.col("__file").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return rows.join(F.broadcast(files), F.col("__file") == F.col("__of")).select("doc_id", "text", (F.col("__start") + F.col("__row")).alias("position"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    return pieces.encode_documents(docs, pieces.default_model())
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and position (in the mixed order) of every document."""
+    return pieces.encode_documents(in_file_order(docs), pieces.default_model(), carry=("position",))
 
 
 STAGES = [

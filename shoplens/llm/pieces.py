@@ -235,15 +235,15 @@ def codec(model_file: str) -> PieceCodec:
     return _CODECS[model_file]
 
 
-def encode_documents(docs: DataFrame, model_file: str, with_ids: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``with_ids`` ids and
-    decoded.
+def encode_documents(docs: DataFrame, model_file: str, with_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256, with ``with_ids`` ids and decoded, and
+    the columns ``carry`` (whole numbers) of the row.
 
     Null and empty texts have no ids (digests of the empty string).  Ids and repeated rows need no care, as each row is
     encoded by itself; null doc_ids stay null; other columns are ignored; an empty table gives no rows.  A very long
     text is held by one task, with about ten bytes a character.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids + "".join(f", {c} long" for c in carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = codec(model_file)
@@ -257,10 +257,10 @@ def encode_documents(docs: DataFrame, model_file: str, with_ids: bool = False) -
                 rows.append(row + ((ids, decoded) if with_ids else ()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids)
             out.insert(0, "doc_id", batch.doc_id.astype("Int64"))
-            yield out
+            yield out.assign(**{c: batch[c].astype("Int64") for c in carry})
 
     ship_code(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", *carry).mapInPandas(run, schema)
 
 
 def default_model() -> str:

@@ -697,3 +697,29 @@ def test_pipeline_stages_take_odd_tables(spark, rows, stage):
     out = C.STAGES[stage][1](spark, spark.createDataFrame(made, plain).repartition(3), SMALL)
     assert 0 < out.count() <= len(rows)
     assert C.STAGES[stage][1](spark, spark.createDataFrame([], plain), SMALL).count() == 0
+
+
+def test_pipeline_gives_the_mixed_order(spark, monkeypatch):
+    """Positions of the result follow the target weights, also when the mixing stage wrote several files of many sizes."""
+    import corpus_pipeline as C
+
+    from shoplens.llm import mixing
+
+    data = [(i, f"text {i} " + "word " * (i * 37 % 400), "hot" if i % 3 else f"s{i % 4}") for i in range(900)]
+    docs = frame(spark, data)
+    target = mixing.target_weights(Counter(s for _, _, s in data))
+    share = {s: w / sum(target.values()) for s, w in target.items()}
+    place = {r.doc_id: r.position for r in mixing.mix(docs).collect()}
+    order = sorted(place, key=place.get)
+    monkeypatch.setattr(C, "read", lambda *_: docs)
+    monkeypatch.setattr(C, "STAGES", C.STAGES[-2:])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(C.run(spark, SMALL).collect(), key=lambda r: r.position)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.position for r in got] == list(range(len(data))) and [r.doc_id for r in got] == order
+    source, done = {i: s for i, _, s in data}, Counter()
+    for t, r in enumerate(got[:300], 1):
+        done[source[r.doc_id]] += 1
+        assert all(abs(done[s] - share[s] * t) < 2 * mixing.BLOCK_ROWS for s in share)
