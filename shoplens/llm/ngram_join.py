@@ -269,14 +269,8 @@ def verified_links(members: DataFrame, words: int, threshold: int) -> DataFrame:
     return dealt.mapInPandas(run, "a long, b long")
 
 
-def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id (the least doc_id reachable by links of a Jaccard
-    similarity of ``threshold`` per cent or more, its own included).
-
-    Texts without words, empty or null ones have no shingles and no links: their component is their doc_id.  Rows alike
-    in text are linked, whatever their ids; rows of a null doc_id take part, and their component is null only if it has
-    no other id.  An empty table gives no rows; other columns are ignored.
-    """
+def _joined(docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Columns of :func:`join_documents`, and component: a number for each component, null for texts without words."""
     ship_code(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sketched = staged(sketches(docs, words, threshold), "ngram-sketches")
@@ -300,18 +294,41 @@ def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
 
     ids = classes.join(linked, "node", "left").select("set_hash", "least_id", F.coalesce("component", "node").alias("component"))
     least = ids.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = staged(ids.join(least, "component").select(F.col("set_hash").alias("sh"), "component_id"), "ngram-ids")
+    ids = staged(ids.join(least, "component").select(F.col("set_hash").alias("sh"), "component", "component_id"), "ngram-ids")
     return sketched.join(ids, F.col("set_hash") == F.col("sh"), "left").select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")
+
+
+def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id (the least doc_id reachable by links of a Jaccard
+    similarity of ``threshold`` per cent or more, its own included).
+
+    Texts without words, empty or null ones have no shingles and no links: their component is their doc_id.  Rows alike
+    in text are linked, whatever their ids; rows of a null doc_id take part, and their component is null only if it has
+    no other id.  An empty table gives no rows; other columns are ignored.
+    """
+    return _joined(docs, words, threshold).drop("component")
 
 
 def without_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each component: the one of the least doc_id (of rows without ids, each stays)."""
-    found = join_documents(docs, words, threshold)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    gone = staged(gone, "ngram-gone")
+    """``docs`` with one row of each component: the first by doc_id (null last), then text hash; of rows alike in both,
+    any one.
+
+    Texts without words are no copies of each other: of those, only rows alike in text and in an id that is not null
+    count as one.
+    """
+    alike = staged(_joined(docs, words, threshold).groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "ngram-alike")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    firsts = alike.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first")).withColumnRenamed("component", "of")
+    found = alike.join(firsts, F.col("component") == F.col("of"), "left")
+    stays = F.col("component").isNull() | (F.col("first.id").eqNullSafe(F.col("doc_id")) & (F.col("first.hash") == F.col("text_hash")))
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), stays.alias("stays"),
+                         ((F.col("n") > 1) & (F.col("component").isNotNull() | F.col("doc_id").isNotNull())).alias("repeated"))
+    found = staged(found.filter("NOT stays OR repeated"), "ngram-found")
     # most rows are surely kept; only the others are shuffled to be looked up
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("th"), F.col("doc_id").cast("long").alias("id"))
-    rows = rows.withColumn("maybe", maybe_among(gone, F.col("gone_hash"))(F.col("th")))
-    looked_up = rows.filter("maybe").join(gone, (F.col("th") == F.col("gone_hash")) & F.col("id").eqNullSafe(F.col("gone_id")), "left_anti")
-    return rows.filter("NOT maybe").unionByName(looked_up).select("row.*")
+    rows = rows.withColumn("maybe", maybe_among(found, F.col("found_hash"))(F.col("th")))
+    looked_up = rows.filter("maybe").join(found, (F.col("th") == F.col("found_hash")) & F.col("id").eqNullSafe(F.col("found_id")), "left")
+    single = looked_up.filter("stays IS NULL").select("row")
+    repeated = looked_up.filter("stays").dropDuplicates(["id", "th"]).select("row")
+    return rows.filter("NOT maybe").select("row").unionByName(single).unionByName(repeated).select("row.*")

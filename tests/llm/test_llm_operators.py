@@ -307,6 +307,19 @@ def test_without_copies_keeps_one_of_each(spark, rows):
     assert ids[100] == ids[101] == ids[102] == 1  # nothing to compare
 
 
+def test_without_copies_drops_repeated_rows(spark):
+    """One row of a component stays where copies share an id, lack one, or are rows alike."""
+    from shoplens.llm import ngram_join as N
+
+    near = prose(80).replace("river", "flood", 1)
+    data = ([(1, prose(81), "a")] * 3 + [(2, prose(80), "a"), (2, near, "b"), (2, near, "b"), (3, near, "c")]
+            + [(None, prose(82), "a")] * 2 + [(None, prose(83), "a"), (4, prose(83), "a"), (5, prose(84), "a")]
+            + [(6, "", "a")] * 2 + [(7, "", "a"), (None, "", "a"), (None, "", "a")])
+    for table in (data, data + data):
+        kept = Counter(r.doc_id for r in N.without_copies(frame(spark, table)).collect())
+        assert kept.pop(None) == 1 + 2 * len(table) // len(data) and kept == {1: 1, 2: 1, 4: 1, 5: 1, 6: 1, 7: 1}
+
+
 def test_components_against_union_find(spark):
     from shoplens.llm.components import components
 
