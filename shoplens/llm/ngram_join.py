@@ -14,7 +14,7 @@ last; two sets of Jaccard similarity ``t`` share a shingle among their first ``n
 4. Clusters - components of the surviving pairs and long lists - are expanded to their classes, whose texts are fetched
    once, and verified in blocks: intersections of whole sets by one product of incidence matrices for each pair of
    blocks.  Blocks are cut by set size, so pairs of blocks whose sizes can't match are skipped.  A block pair gives at
-   most one link less than it has members, enough for the components.
+   most one link less than it has members, enough for the components, and the number of links of each member.
 
 No task holds more than two blocks of texts, and the pairs of a large group of near copies are never rows.
 """
@@ -190,8 +190,8 @@ def candidate_pairs(sketched: DataFrame, threshold: int) -> DataFrame:
     return long.unionByName(pairs.filter(sizes & (F.col("shared") + outside >= overlap)).select("a", "b"))
 
 
-def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """A spanning forest of the similar pairs with one member in each block (rows ``left`` and ``right``)."""
+def _similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: int) -> np.ndarray:
+    """Which pairs with one member in each block (rows ``left`` and ``right``) are similar."""
     sizes = np.array([len(s) for s in sets], np.int64)
     of = np.repeat(np.arange(len(sets)), sizes)
     _, token, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -213,8 +213,12 @@ def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
         y[place_r[d[in_r]], t[in_r]] = 1
         both += x @ y.T
     inter = np.rint(both).astype(np.int64)
-    similar = 100 * inter >= threshold * (sizes[left][:, None] + sizes[right][None, :] - inter)
-    root = list(range(len(sets)))
+    return 100 * inter >= threshold * (sizes[left][:, None] + sizes[right][None, :] - inter)
+
+
+def _forest(similar: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the similar pairs."""
+    root = list(range(max(left.max(), right.max()) + 1))
 
     def find(i):
         while root[i] != i:
@@ -232,8 +236,10 @@ def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
     return out
 
 
-def verified_links(members: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Links a, b (enough for the components) among ``members`` (cluster, node, n, text), cluster by cluster."""
+def verified_links(members: DataFrame, words: int, threshold: int, every: bool = False) -> DataFrame:
+    """Links a, b among ``members`` (cluster, node, n, rows, text), cluster by cluster: with ``every`` all of them, else
+    enough for the components.  Rows of a null b give node a's links to other members in a pair of blocks, as a number
+    of ``rows``."""
     place = F.row_number().over(Window.partitionBy("cluster").orderBy("n", "node")) - 1
     keys = staged(members.select("cluster", "node", "n").withColumn("block", F.floor(place / BLOCK)), "ngram-blocks")
     spans = keys.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -245,63 +251,81 @@ def verified_links(members: DataFrame, words: int, threshold: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def done(key, rows):
-            nodes, blocks, sets = zip(*rows)
+            nodes, blocks, times, sets = zip(*rows)
             _, i, j = key
-            block = np.array(blocks)
-            found = _links(list(sets), np.flatnonzero(block == i), np.flatnonzero(block == j), threshold)
-            return [(nodes[a], nodes[b]) for a, b in found]
+            block, times = np.array(blocks), np.array(times, np.float64)  # whole numbers up to 2^53
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            similar = _similar(list(sets), left, right, threshold)
+            if i == j:
+                np.fill_diagonal(similar, False)
+            n = similar @ times[right]
+            counts = [(left, n)] if i == j else [(left, n), (right, times[left] @ similar)]
+            found = [(left[x], right[y]) for x, y in zip(*np.nonzero(np.triu(similar) if i == j else similar))] if every else _forest(similar, left, right)
+            return [(nodes[a], nodes[b], 0) for a, b in found] + [(nodes[a], None, int(k)) for side, ks in counts for a, k in zip(side, ks) if k]
+
+        def framed(out):
+            return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"b": "Int64"})
 
         now, rows, out = None, [], []
         for batch in batches:
-            for cluster, i, j, node, block, text in zip(batch.cluster, batch.i, batch.j, batch.node, batch.block, batch.text):
+            for cluster, i, j, node, block, times, text in zip(batch.cluster, batch.i, batch.j, batch.node, batch.block, batch.rows, batch.text):
                 if (cluster, i, j) != now:
                     if len(rows) > 1:
                         out += done(now, rows)
                     now, rows = (cluster, i, j), []
-                rows.append((node, block, shingles(text, words)))
+                rows.append((node, block, times, shingles(text, words)))
             if out:
-                yield pd.DataFrame(out, columns=["a", "b"])
+                yield framed(out)
                 out = []
         if len(rows) > 1:
-            yield pd.DataFrame(done(now, rows), columns=["a", "b"])
+            yield framed(done(now, rows))
 
-    dealt = dealt.select("cluster", "i", "j", "node", "block", "text").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return dealt.mapInPandas(run, "a long, b long")
+    dealt = dealt.select("cluster", "i", "j", "node", "block", "rows", "text").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return dealt.mapInPandas(run, "a long, b long, n long")
 
 
-def _joined(docs: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Columns of :func:`join_documents`, and component: a number for each component, null for texts without words."""
+def _members(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketches of all rows, the classes of equal sets, and the classes that may have links, with a text of each."""
     ship_code(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sketched = staged(sketches(docs, words, threshold), "ngram-sketches")
     classes = sketched.filter("set_hash IS NOT NULL").groupBy("set_hash").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("grp").alias("grp"), F.min("n").alias("n"))
-    classes = staged(classes.select("set_hash", "least_id", "rep.*", "grp", "n").withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
+        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("grp").alias("grp"), F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    classes = staged(classes.select("set_hash", "least_id", "rep.*", "grp", "n", "rows").withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
 
     edges = staged(candidate_pairs(sketched, threshold), "ngram-candidates")
     several = classes.groupBy("grp").count().filter("count > 1").select("grp", F.col("grp").alias("own"))
     clusters = components(edges).select(F.col("node").alias("grp"), F.col("component").alias("cluster"))
     # a group outside all pairs that holds several classes is a cluster of its own
     alone = several.join(clusters, "grp", "left_anti").select("grp", F.col("own").alias("cluster"))
-    chosen = classes.join(clusters.unionByName(alone), "grp").select("node", "cluster", "n", F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"))
+    chosen = classes.join(clusters.unionByName(alone), "grp").select("node", "cluster", "n", "rows", F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash"))
     chosen = staged(chosen, "ngram-chosen")
     # the text hash tells the few documents in clusters from the rest before the text is shuffled
     in_cluster = maybe_among(chosen, F.col("rep_hash"))
     texts = docs.withColumn("th", F.xxhash64("text")).filter(in_cluster(F.col("th")))
-    members = chosen.join(texts, (F.col("th") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["node"]).select("cluster", "node", "n", "text")
-    members = staged(members, "ngram-members")
-    linked = components(staged(verified_links(members, words, threshold), "ngram-links"))
+    members = chosen.join(texts, (F.col("th") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["node"]).select("cluster", "node", "n", "rows", "text")
+    return sketched, classes, staged(members, "ngram-members")
+
 
-    ids = classes.join(linked, "node", "left").select("set_hash", "least_id", F.coalesce("component", "node").alias("component"))
+def _joined(docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Columns of :func:`join_documents`, and component: a number for each component, null for texts without words."""
+    sketched, classes, members = _members(docs, words, threshold)
+    links = staged(verified_links(members, words, threshold), "ngram-links")
+    linked = components(links.filter("b IS NOT NULL").select("a", "b"))
+    others = links.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+
+    ids = classes.join(linked, "node", "left").join(others, "node", "left").select(
+        "set_hash", "least_id", F.coalesce("component", "node").alias("component"), (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     least = ids.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = staged(ids.join(least, "component").select(F.col("set_hash").alias("sh"), "component", "component_id"), "ngram-ids")
+    ids = staged(ids.join(least, "component").select(F.col("set_hash").alias("sh"), "component", "component_id", "n_links"), "ngram-ids")
     return sketched.join(ids, F.col("set_hash") == F.col("sh"), "left").select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component")
 
 
 def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id (the least doc_id reachable by links of a Jaccard
-    similarity of ``threshold`` per cent or more, its own included).
+    similarity of ``threshold`` per cent or more, its own included), n_links (the other rows it has such a link to).
 
     Texts without words, empty or null ones have no shingles and no links: their component is their doc_id.  Rows alike
     in text are linked, whatever their ids; rows of a null doc_id take part, and their component is null only if it has
@@ -310,6 +334,17 @@ def join_documents(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
     return _joined(docs, words, threshold).drop("component")
 
 
+def similar_classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """Every link between different shingle sets, once: doc_id and text_hash of the sets' representatives (the least
+    doc_id, then text hash; null first), and the same of the other one, other_id and other_hash.  Their number can grow
+    with the square of a group of near copies."""
+    _, classes, members = _members(docs, words, threshold)
+    links = verified_links(members, words, threshold, every=True).filter("b IS NOT NULL")
+    one = classes.select(F.col("node").alias("a"), "doc_id", "text_hash")
+    other = classes.select(F.col("node").alias("b"), F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash"))
+    return links.join(one, "a").join(other, "b").select("doc_id", "text_hash", "other_id", "other_hash")
+
+
 def without_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each component: the first by doc_id (null last), then text hash; of rows alike in both,
     any one.

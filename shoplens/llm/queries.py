@@ -30,7 +30,7 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngram_join.join_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,6 +296,35 @@ def test_long_lists_and_several_blocks(spark, monkeypatch):
     assert sorted(listed(got), key=str) == brute_components(data)
 
 
+def test_ngram_join_counts_every_link(spark, rows, monkeypatch):
+    """A chain and a triangle differ in their links; every link between different sets is given once."""
+    from shoplens.llm import ngram_join as N
+
+    monkeypatch.setattr(N, "BLOCK", 7)
+    w = [f"a{i}" for i in range(100)]
+    chain = [" ".join(w[k:k + 60]) for k in (0, 6, 12)]  # neighbours share 50 of 62 shingles, the ends 44 of 68
+    triangle = [" ".join(f"b{i}" for i in range(k, k + 60)) for k in (0, 2, 4)]
+    data = rows + [(300 + i, t, "s") for i, t in enumerate(near_copies(1, 40, 12) + near_copies(1, 40, 12)[:5] + chain + triangle)]
+
+    def shingled(t):
+        v = (t or "").encode().lower().split()
+        return frozenset(tuple(v[i:i + 5]) for i in range(len(v) - 4)) if len(v) >= 5 else frozenset([tuple(v)] if v else [])
+
+    sets = [shingled(t) for _, t, _ in data]
+    alike = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    expected = sorted(((d[0], sum(alike(a, b) for k, b in enumerate(sets) if k != i) if a else 0) for i, (d, a) in enumerate(zip(data, sets))), key=str)
+    got = sorted(listed(N.join_documents(frame(spark, data)).select("doc_id", "n_links")), key=str)
+    assert got == expected
+    by_id = dict(got)
+    assert [by_id[345 + k] for k in range(6)] == [1, 2, 1, 2, 2, 2]
+
+    classes = list({s for s in sets if s})
+    pairs = {frozenset([a, b]) for i, a in enumerate(classes) for b in classes[:i] if alike(a, b)}
+    text = {d[0]: s for d, s in zip(data, sets)}
+    found = [frozenset([text[r.doc_id], text[r.other_id]]) for r in N.similar_classes(frame(spark, data)).collect()]
+    assert len(found) == len(pairs) and set(found) == pairs
+
+
 def test_without_copies_keeps_one_of_each(spark, rows):
     from shoplens.llm import ngram_join as N
 
