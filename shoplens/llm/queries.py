@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, fingerprint, license_scan, line_dedup, mixing, ngram_join, pieces, quality, sharding, topk
+from shoplens.llm import chat, fingerprint, grid_order, license_scan, line_dedup, mixing, ngram_join, pieces, quality, ranked, repair, sharding, topk
 from shoplens.llm.common import read
 
 
@@ -59,8 +59,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order.link_vectors(read(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_quality, op4_fingerprint, op5_ngram_join, op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_quality, op4_fingerprint, op5_ngram_join, op6_sharding, op7_piece_encoding, op8_chat_format, op9_pfair_mixing, op10_line_dedup,
+                            op11_ranked_search, op12_embedding_dedup, op13_structure_repair)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
@@ -96,3 +109,51 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(23 + length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROLS}')) + len(regexp_extract_all(text, '{_CONTROLS}'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERMS}')"
+
+
+ORACLE_SQL["op11_ranked_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT r, doc_id, unnest({_terms("text")}) AS term FROM d
+), c AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM w GROUP BY ALL
+), l AS (
+  SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM c GROUP BY r
+), g AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM l
+), q AS (
+  SELECT DISTINCT item_id, unnest({_terms("text")}) AS term FROM benchmark
+), f AS (
+  SELECT c.term, CAST(floor(1000 * ln(CAST(2 * any_value(g.docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS wt
+  FROM c, g WHERE c.term IN (SELECT term FROM q) GROUP BY c.term
+), s AS (
+  SELECT q.item_id, c.doc_id, CAST(sum(f.wt * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (50 + ((50 * l.n * g.docs) // g.terms))))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN c USING (term) JOIN l USING (r), g GROUP BY q.item_id, c.doc_id, c.r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+ORACLE_SQL["op12_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0
+), e AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+), reach AS (
+  SELECT r, vec_id AS m FROM v UNION SELECT e.b, reach.m FROM reach JOIN e ON e.a = reach.r
+), c AS (
+  SELECT r, min(m) AS component_id FROM reach GROUP BY r
+), n AS (
+  SELECT a AS r, count(*) AS links FROM e GROUP BY a
+)
+SELECT vec_id, coalesce(n.links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+"""
