@@ -85,14 +85,19 @@ def dau_hours(dau_rows: DataFrame, date: str) -> DataFrame:
             .groupBy("loghour").agg(F.count(F.lit(1)).alias("dau")))
 
 
+def _day_number():
+    """The day as a whole number: text has no fixed width, which would turn its minimum into a sort of all rows."""
+    return F.unix_date(F.to_date("logdate"))
+
+
 def new_devices(dau_rows: DataFrame, date: str) -> DataFrame:
     """AGG9 (our semantics): devices whose first-ever active day is ``date``.
 
     The first day per device is a partial ``min``; only days up to ``date`` are read (pushed filter).
     """
     firsts = (dau_rows.where(F.col("logdate") <= F.lit(date))
-              .groupBy("mid").agg(F.min("logdate").alias("first_day")))
-    return (firsts.where(F.col("first_day") == F.lit(date))
+              .groupBy("mid").agg(F.min(_day_number()).alias("first_day")))
+    return (firsts.where(F.col("first_day") == F.unix_date(F.to_date(F.lit(date))))
             .agg(F.count(F.lit(1)).alias("new_mid"))
             .select(F.lit(date).alias("logdate"), "new_mid"))
 
@@ -100,9 +105,10 @@ def new_devices(dau_rows: DataFrame, date: str) -> DataFrame:
 def active_and_new(dau_rows: DataFrame, date: str) -> DataFrame:
     """AGG2 and AGG9 in one scan of the days up to ``date``: devices active on it, and those of them never seen before.
     Per device one partial row: its first day, and whether it was active on ``date``."""
+    today = F.unix_date(F.to_date(F.lit(date)))
     per = (dau_rows.where(F.col("logdate") <= F.lit(date))
-           .groupBy("mid").agg(F.min("logdate").alias("first_day"), F.bool_or(F.col("logdate") == F.lit(date)).alias("active")))
-    return per.agg(F.count_if("active").alias("dau"), F.count_if(F.col("first_day") == F.lit(date)).alias("new_mid"))
+           .groupBy("mid").agg(F.min(_day_number()).alias("first_day"), F.bool_or(F.col("logdate") == F.lit(date)).alias("active")))
+    return per.agg(F.count_if("active").alias("dau"), F.count_if(F.col("first_day") == today).alias("new_mid"))
 
 
 def split_at_noon(logs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -400,14 +400,20 @@ SELECT * FROM sale_detail_user WHERE user_level = '{P.SEARCH_LEVEL}'
     out["chain_gmv"] = _with("orders_clean") + f"""
 SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS gmv
 FROM orders_clean WHERE create_date = '{od}' AND {routed} GROUP BY create_hour"""
-    out["chain_sale_detail"] = _with("order_info", "order_detail") + _SALE + _within(100) + """
+    routed_pair = """
   AND CAST(o.id AS BIGINT) % 20 <> 7 AND CAST(o.id AS BIGINT) % 10 <> 0
   AND (CAST(d.order_id AS BIGINT) + CAST(split_part(d.id, '-', 2) AS BIGINT)) % 20 <> 7"""
-    out["chain_user_latest"] = _with("user_log") + """
-SELECT id, login_name, user_level, birthday, gender, seq FROM (
+    out["chain_sale_detail"] = _with("order_info", "order_detail") + _SALE + _within(100) + routed_pair
+    routed_users = """
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM user_log
   WHERE (CAST(id AS BIGINT) * 3 + seq) % 20 <> 7 AND NOT (CAST(id AS BIGINT) % 25 = 0 AND seq = 1 + CAST(id AS BIGINT) % 3)
-) WHERE rn = 1"""
+"""
+    out["chain_user_latest"] = _with("user_log") + f"""
+SELECT id, login_name, user_level, birthday, gender, seq FROM ({routed_users}) WHERE rn = 1"""
+    # the same two chains, joined
+    out["chain_sale_detail_user"] = _with("order_info", "order_detail", "user_log") + f""", sale_detail AS ({_SALE}{_within(100)}{routed_pair}
+), user_latest AS (SELECT * FROM ({routed_users}) WHERE rn = 1)
+""" + CTES["sale_detail_user"]
     # the publisher's questions over the stored tables answer exactly what the same questions answer over the
     # tables they were written from
     out["stored_kpi_total"] = out["kpi_total"]

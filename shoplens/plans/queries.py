@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from shoplens import sinks
 from shoplens.operators import alerts, dashboard, dau, gmv, publisher, routing, sales
-from shoplens.operators.dims import latest_users
+from shoplens.operators.dims import latest_users, version_order
 from shoplens.operators.keyed import latest_by_key
 from shoplens.schemas import ORDER_INFO, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_USER_INFO
 from shoplens.session import checkpoint_path, ensure_utc
+from shoplens.sinks import keyed_table
 from shoplens.sources import ingest, staging
 from shoplens.sources.tables import Tables
 from shoplens.streaming import jobs
@@ -366,7 +367,25 @@ def q_chain_sale_detail(spark, sf_dir):
 
 
 def q_chain_user_latest(spark, sf_dir):
-    return latest_users(jobs.user_changes(_routed(_t(spark, sf_dir), TOPIC_USER_INFO)))
+    users = latest_users(jobs.user_changes(_routed(_t(spark, sf_dir), TOPIC_USER_INFO)))
+    # the routed payload has no version number; the change log's time is one
+    return users.select("id", "login_name", "user_level", "birthday", "gender", F.unix_seconds("timestamp").alias("seq"))
+
+
+def _topic_users(t: Tables) -> str:
+    """The bucketed user table, as the user job writes it from its topic in three micro-batches."""
+    versions = jobs.user_changes(_routed(t, TOPIC_USER_INFO))
+    path = checkpoint_path(t.spark, f"users-{uuid.uuid4().hex}")
+    for batch in range(3):
+        keyed_table.write_keyed(versions.where(F.unix_seconds("timestamp") % 3 == batch), path, batch, jobs.USER_KEYS, version_order(versions.columns))
+    return path
+
+
+def q_chain_sale_detail_user(spark, sf_dir):
+    """The sale job over the topics, each sale with its user from the bucketed user table."""
+    t = _t(spark, sf_dir)
+    details = sales.sale_details(_topic_orders(t), jobs.order_lines(_routed(t, TOPIC_ORDER_DETAIL)))
+    return sales.with_user(details, jobs.users_of(details, _topic_users(t)), AS_OF)
 
 
 def q_latest_documents(spark, sf_dir):
@@ -426,4 +445,5 @@ QUERIES: dict[str, Query] = {
     "chain_gmv": q_chain_gmv,
     "chain_sale_detail": q_chain_sale_detail,
     "chain_user_latest": q_chain_user_latest,
+    "chain_sale_detail_user": q_chain_sale_detail_user,
 }

@@ -104,9 +104,16 @@ def write_topics(routed: DataFrame, path: str, mode: str = "append") -> None:
     routed.select("topic", "value").write.mode(mode).partitionBy("topic").text(path)
 
 
+def topic_messages(routed: DataFrame) -> DataFrame:
+    """What a topic sink takes: topic, value, and the changed row's id as key where the routing knows it, so that all
+    versions of a row go to one partition, in order."""
+    key = [F.col("row_id").cast("string").alias("key")] if "row_id" in routed.columns else []
+    return routed.select("topic", *key, F.col("value").cast("string").alias("value"))
+
+
 def write_kafka(routed: DataFrame, bootstrap: str) -> None:
     """SNK7 (Kafka form): the ``topic`` column picks each row's topic."""
-    (routed.select("topic", F.col("value").cast("string"))
+    (topic_messages(routed)
      .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
 
 

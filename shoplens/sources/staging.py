@@ -210,8 +210,9 @@ USER_AFTER = ("id", "login_name", "user_level", "birthday", "gender")
 
 
 def change_log(t: Tables, database: str = DATABASE, arrival: bool = False) -> DataFrame:
-    """Change events of the three source tables (schema CHANGE_EVENT); with ``arrival``, the ``timestamp`` and ``offset``
-    their messages carry: an order's create time, a line's arrival, a user version's number.
+    """Change events of the three source tables (schema CHANGE_EVENT); with ``arrival``, the ``timestamp``, ``partition``
+    and ``offset`` their messages carry: an order's create time, a line's arrival, a user version's number as time.  The
+    log has two partitions with offsets of their own: a user's versions alternate, those of partition 0 standing far on.
 
     INSERT by default; every 10th order an UPDATE; user versions after the first UPDATE, the last version of every
     25th user a DELETE; every 20th entry a transaction marker, not ROWDATA.
@@ -225,13 +226,13 @@ def change_log(t: Tables, database: str = DATABASE, arrival: bool = False) -> Da
         F.lit("order_info").alias("table_name"), entry(okey).alias("entry_type"),
         F.when(okey % 10 == 0, F.lit("UPDATE")).otherwise(F.lit("INSERT")).alias("event_type"),
         _after(*ORDER_AFTER, total_amount=F.col("total_amount").cast("decimal(18,2)")).alias("after"),
-        text_to_timestamp("create_time").alias("timestamp"), okey.alias("offset"))
+        text_to_timestamp("create_time").alias("timestamp"), (okey % 2).cast("int").alias("partition"), okey.alias("offset"))
     od = order_detail(t)
     dkey = F.col("order_id").cast("long") + F.split_part(F.col("id"), F.lit("-"), F.lit(2)).cast("long")
     details = od.select(
         F.lit("order_detail").alias("table_name"), entry(dkey).alias("entry_type"),
         F.lit("INSERT").alias("event_type"), _after(*DETAIL_AFTER).alias("after"),
-        text_to_timestamp("detail_time").alias("timestamp"), dkey.alias("offset"))
+        text_to_timestamp("detail_time").alias("timestamp"), (dkey % 2).cast("int").alias("partition"), dkey.alias("offset"))
     ul = user_log(t)
     ukey = F.col("id").cast("long")
     last = F.col("seq") == 1 + ukey % 3
@@ -240,10 +241,11 @@ def change_log(t: Tables, database: str = DATABASE, arrival: bool = False) -> Da
         F.when((ukey % 25 == 0) & last, F.lit("DELETE")).when(F.col("seq") > 1, F.lit("UPDATE"))
         .otherwise(F.lit("INSERT")).alias("event_type"),
         _after(*USER_AFTER).alias("after"),
-        F.timestamp_seconds(F.col("seq")).alias("timestamp"), F.col("seq").alias("offset"))
+        F.timestamp_seconds(F.col("seq")).alias("timestamp"), ((ukey + F.col("seq")) % 2).cast("int").alias("partition"),
+        (F.col("seq") + F.when((ukey + F.col("seq")) % 2 == 0, 900).otherwise(0)).cast("long").alias("offset"))
     out = orders.unionByName(details).unionByName(users)
     return out.select(F.concat_ws(".", F.lit(database), F.col("table_name")).alias("db_table"), "table_name",
-                      "entry_type", "event_type", "after", *(["timestamp", "offset"] if arrival else []))
+                      "entry_type", "event_type", "after", *(["timestamp", "partition", "offset"] if arrival else []))
 
 
 def doc_versions(t: Tables) -> DataFrame:

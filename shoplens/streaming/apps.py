@@ -12,7 +12,7 @@ app                input topic(s)              output
 ``gmv``            orders                      order table, partitioned by ``CREATE_DATE``     PRJ2-4, SNK2
 ``alert``          event logs                  alert documents, one folder per dated index    WIN2 (SNK4)
 ``sale_detail``    orders + order lines        sale details, partitioned by ``dt``             JOI4 (+ JOI7)
-``user_info``      user changes                user change table (read side: latest per id)  SNK6 / DIM1
+``user_info``      user changes                user table in hash buckets (or all versions)   SNK6 / DIM1
 ``route_changes``  change events               one folder (or Kafka topic) per target topic   SRC4, FLT2, PRJ7
 ``route_logs``     raw logs                    one folder (or Kafka topic) per log topic       FLT1, PRJ6, SNK7
 ``archive_logs``   raw logs                    one JSON line a log, partitioned by ``dt``      SNK8
@@ -83,7 +83,10 @@ def sale_detail_app(spark, orders_src: str, details_src: str, out: str, users_ta
 
 
 def user_info_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-                  checkpoint: str | None = None) -> StreamingQuery:
+                  checkpoint: str | None = None, form: str = "table") -> StreamingQuery:
+    """``table``: the latest version of each user, in hash buckets; ``log``: every version."""
+    if form == "table":
+        return jobs.start_user_table_sink(source(spark, src), out, "user_info_app", trigger=trigger, checkpoint=checkpoint)
     return jobs.start_file_sink(jobs.user_changes(source(spark, src)), out, "user_info_app", trigger=trigger,
                                 checkpoint=checkpoint)
 
@@ -144,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
     p.add_argument("--dau-form", choices=["state", "table"], default="table",
                    help="dau: the stored table as the seen set (safe for hot devices), or dedup state in the query")
+    p.add_argument("--user-form", choices=["table", "log"], default="table",
+                   help="user_info: the latest version of each user in hash buckets, or every version")
     p.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="sale_detail: join slots of one order id")
     p.add_argument("--panes", action="store_true", help="alert: fold 5 s panes before the windows (dense feeds)")
     a = p.parse_args(argv)
@@ -169,8 +174,10 @@ def start(spark: SparkSession, a: argparse.Namespace, trigger: str) -> list[Stre
         q = route_changes_app(spark, a.source, a.out, a.database, trigger, a.checkpoint)
     elif a.app == "alert":
         q = alert_app(spark, a.source, a.out, trigger, a.checkpoint, a.panes)
+    elif a.app == "user_info":
+        q = user_info_app(spark, a.source, a.out, trigger, a.checkpoint, a.user_form)
     else:
-        q = {"gmv": gmv_app, "user_info": user_info_app, "route_logs": route_logs_app,
+        q = {"gmv": gmv_app, "route_logs": route_logs_app,
              "archive_logs": archive_logs_app}[a.app](spark, a.source, a.out, trigger, a.checkpoint)
     return [q, rejected_app(spark, a.app, a.source, a.out, trigger)]
 

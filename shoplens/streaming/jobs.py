@@ -27,7 +27,7 @@ from shoplens.functions.columns import event_time
 from shoplens.operators import alerts, dau, gmv, routing, sales
 from shoplens.schemas import CHANGE_EVENT, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, RAW_LOG, STARTUP_LOG, USER_INFO
 from shoplens.session import checkpoint_path
-from shoplens.sinks import upsert_documents
+from shoplens.sinks import keyed_table, topic_messages, upsert_documents
 from shoplens.sources.ingest import CORRUPT, good_records, parse_records
 
 BATCH_INTERVAL = "5 seconds"
@@ -203,12 +203,10 @@ def orders_table_stream(order_msgs: DataFrame, mask: str = "prefix4") -> DataFra
 # ---- user dimension (DIM1) and routing ----------------------------------------------------------------------------
 
 def user_changes(user_msgs: DataFrame) -> DataFrame:
-    """SNK6 input: user versions as they arrive (appended; ``latest_users`` is the read side).  ``seq`` is the version's
-    own, or else its message's offset: the messages of one user share a partition, so offsets give their order."""
-    users = parsed(user_msgs, USER_INFO, "offset")
-    if "offset" not in users.columns:
-        return users
-    return users.withColumn("seq", F.coalesce("seq", "offset")).drop("offset")
+    """SNK6 input: user versions as they arrive, with their messages' ``timestamp``, ``partition`` and ``offset`` where the
+    source has them; ``latest_users`` is the read side."""
+    users = parsed(user_msgs, USER_INFO, *ARRIVAL)
+    return users.select(*USER_INFO.names, *_keep(users, *ARRIVAL))
 
 
 def user_latest_stream(user_msgs: DataFrame) -> DataFrame:
@@ -287,23 +285,63 @@ def start_enriched_sink(sales_rows: DataFrame, users_path: str, path: str, name:
                         checkpoint: str | None = None, as_of=None) -> StreamingQuery:
     """JOI7 live: each micro-batch of sale details is joined to the user table as it stands then, and stored under its
     day and batch id (a replayed batch replaces its own folders)."""
-    from shoplens.operators.dims import latest_users
-
     checkpoint = own_checkpoint(sales_rows.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        users = latest_users(batch.sparkSession.read.schema(USER_INFO).parquet(users_path))
-        rows = sales.with_user(batch, users, as_of or F.current_date())
-        (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").parquet(path))
+        batch = batch.persist()
+        try:
+            rows = sales.with_user(batch, users_of(batch, users_path), as_of or F.current_date())
+            (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").parquet(path))
+        finally:
+            batch.unpersist()
 
     w = sales_rows.writeStream.outputMode("append").queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def users_of(batch: DataFrame, users_path: str) -> DataFrame:
+    """The latest users that the batch's ``user_id`` name: from a bucketed table only the buckets they fall in, from a
+    plain table of versions the whole of it.  Before the table is there, nobody is known."""
+    from shoplens.operators.dims import latest_users, version_order
+
+    spark = batch.sparkSession
+    if keyed_table.exists(spark, users_path):
+        asked = batch.select(F.col("user_id").alias("id")).where("id IS NOT NULL")
+        schema = keyed_table.with_arrival(USER_INFO)
+        return keyed_table.lookup(asked, users_path, schema, USER_KEYS, version_order(schema.names))
+    try:
+        versions = spark.read.schema(USER_INFO).parquet(users_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        versions = spark.createDataFrame([], USER_INFO)
+    return latest_users(versions)
+
+
+USER_KEYS = ("id",)
+
+
+def start_user_table_sink(user_msgs: DataFrame, path: str, name: str, trigger: str = BATCH_INTERVAL,
+                          checkpoint: str | None = None, n_buckets: int = keyed_table.N_BUCKETS) -> StreamingQuery:
+    """DIM1 / SNK6 live: each micro-batch of user versions goes into the buckets its ids fall in."""
+    from shoplens.operators.dims import version_order
+
+    checkpoint = own_checkpoint(user_msgs.sparkSession, path, checkpoint)
+    schema = keyed_table.with_arrival(USER_INFO)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        have = set(batch.columns)
+        rows = batch.select(*(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
+        keyed_table.write_keyed(rows, path, batch_id, USER_KEYS, version_order(schema.names), n_buckets)
+
+    w = user_changes(user_msgs).writeStream.outputMode("append").queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def start_topic_sink(routed: DataFrame, bootstrap: str, name: str, checkpoint: str, trigger: str = BATCH_INTERVAL) -> StreamingQuery:
     """SNK7 live: the ``topic`` column picks each message's topic."""
-    w = (routed.select("topic", F.col("value").cast("string").alias("value")).writeStream.format("kafka").queryName(name)
+    w = (topic_messages(routed).writeStream.format("kafka").queryName(name)
          .options(**topic_options(bootstrap, checkpoint)))
     return _trigger(w, trigger).start()
 

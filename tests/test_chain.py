@@ -10,8 +10,9 @@ from conftest import SF_SMALL
 from shoplens import sinks
 from shoplens.functions import columns as C
 from shoplens.operators import dashboard, gmv, routing, sales
-from shoplens.operators.dims import latest_users
+from shoplens.operators.dims import latest_users, version_order
 from shoplens.plans.queries import QUERIES
+from shoplens.sinks import keyed_table
 from shoplens.schemas import (COUPON_ALERT, EVENT_LOG, ORDER_INFO, RAW_LOG, STARTUP_LOG, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO,
                               TOPIC_USER_INFO, USER_INFO)
 from shoplens.sources import staging
@@ -31,8 +32,8 @@ def topics(spark, tmp_path_factory):
     """Topic folders, as ``route_changes_app`` writes them from the change log's messages."""
     root = str(tmp_path_factory.mktemp("chain"))
     changes = staging.change_log(Tables(spark, SF_SMALL), arrival=True)
-    body = [c for c in changes.columns if c not in ("timestamp", "offset")]
-    messages = changes.select(F.to_json(F.struct(*body)).alias("value"), "timestamp", F.lit(0).alias("partition"), "offset")
+    body = [c for c in changes.columns if c not in ("timestamp", "partition", "offset")]
+    messages = changes.select(F.to_json(F.struct(*body)).alias("value"), "timestamp", "partition", "offset")
     messages.orderBy("timestamp").coalesce(2).write.parquet(f"{root}/changes")
     jobs.run_to_end(apps.route_changes_app(spark, f"messages:{root}/changes", f"{root}/topics", "shop", ONCE))
     return root
@@ -60,11 +61,94 @@ def test_lines_meet_orders_by_arrival_time(spark, topics):
     assert rows(got) == rows(want) and want.count() > 0
 
 
-def test_users_take_their_order_from_offsets(spark, topics):
-    out = f"{topics}/users"
-    jobs.run_to_end(apps.user_info_app(spark, f"messages:{topics}/topics/topic={TOPIC_USER_INFO}", out, ONCE))
-    want = QUERIES["chain_user_latest"](spark, SF_SMALL)
-    assert rows(latest_users(spark.read.parquet(out)).select(*want.columns)) == rows(want)
+def test_users_take_their_order_from_their_messages(spark, topics):
+    """Versions of one user stand in both partitions of the change log: times order them, not offsets."""
+    src, want = f"messages:{topics}/topics/topic={TOPIC_USER_INFO}", QUERIES["chain_user_latest"](spark, SF_SMALL)
+    named = lambda users: users.select("id", "login_name", "user_level", "birthday", "gender", F.unix_seconds("timestamp").alias("seq"))
+    jobs.run_to_end(apps.user_info_app(spark, src, f"{topics}/user_log", ONCE, form="log"))
+    versions = spark.read.parquet(f"{topics}/user_log")
+    assert rows(named(latest_users(versions))) == rows(want)
+    by_offset = versions.groupBy("id").agg(F.max_by("user_level", "offset").alias("user_level"))
+    assert rows(by_offset) != rows(want.select("id", "user_level"))
+    jobs.run_to_end(apps.user_info_app(spark, src, f"{topics}/users", ONCE))
+    schema = keyed_table.with_arrival(USER_INFO)
+    assert rows(named(keyed_table.read_keyed(spark, f"{topics}/users", schema, ("id",), version_order(schema.names)))) == rows(want)
+
+
+def test_a_late_version_of_another_partition_does_not_win(spark):
+    msgs = spark.createDataFrame([('{"id": "1", "user_level": "1"}', "2024-01-01 00:00:00", 0, 900), ('{"id": "1", "user_level": "2"}', "2024-01-02 00:00:00", 1, 3)],
+                                 "value string, timestamp string, partition int, offset long").withColumn("timestamp", F.to_timestamp("timestamp"))
+    assert [r.user_level for r in latest_users(jobs.user_changes(msgs)).collect()] == ["2"]
+
+
+def test_topic_messages_have_the_row_as_key(spark):
+    changes = staging.change_log(Tables(spark, SF_SMALL))
+    out = sinks.topic_messages(routing.route_changes(changes, "shop"))
+    assert out.columns == ["topic", "key", "value"] and out.where("key <> get_json_object(value, '$.id')").count() == 0
+    assert sinks.topic_messages(spark.createDataFrame([("t", "v")], "topic string, value string")).columns == ["topic", "value"]
+
+
+# ---- the bucketed user table --------------------------------------------------------------------------------------
+
+VERSIONS = "id string, v long, n long"
+
+
+def versions(spark, *found):
+    return spark.createDataFrame([(i, v, n) for i, v, n in found], VERSIONS)
+
+
+def latest(spark, path):
+    return {r.id: r.v for r in keyed_table.read_keyed(spark, path, versions(spark).schema, ("id",), ("n",)).collect()}
+
+
+def test_keyed_table_against_a_dictionary(spark, scratch):
+    import random
+
+    r, path, want = random.Random(3), f"{scratch}/t", {}
+    for batch in range(12):
+        made = [(f"u{r.randrange(40)}", r.randrange(1000), batch * 100 + i) for i in range(r.randrange(0, 15))]
+        rows_ = versions(spark, *made)
+        keyed_table.write_keyed(rows_, path, batch, ("id",), ("n",), n_buckets=5, merge_at=3)
+        if batch % 4 == 0:  # a replayed batch changes nothing
+            keyed_table.write_keyed(rows_, path, batch, ("id",), ("n",), n_buckets=5, merge_at=3)
+        want |= {i: v for i, v, _ in made}
+        if batch % 3 == 2:
+            assert latest(spark, path) == want
+    now, _ = keyed_table.head(spark, path)
+    assert now["batch"] == 11 and all(1 <= len(b) < 3 for b in now["buckets"].values())
+
+
+def test_keyed_table_reads_only_the_buckets_asked_for(spark, scratch):
+    path = f"{scratch}/t"
+    keyed_table.write_keyed(versions(spark, *((f"u{i}", i, 1) for i in range(200))), path, 0, ("id",), ("n",), n_buckets=16)
+    one = versions(spark, ("u7", 70, 2))
+    keyed_table.write_keyed(one, path, 1, ("id",), ("n",))
+    bucket = one.select(keyed_table.bucket_of(["id"], 16).alias("b")).first().b
+    now, _ = keyed_table.head(spark, path)
+    assert now["buckets"][str(bucket)] == [0, 1] and all(b == [0] for k, b in now["buckets"].items() if k != str(bucket))
+    found = keyed_table.lookup(one.select("id"), path, one.schema, ("id",), ("n",))
+    assert {f.split("bucket=")[1].split("/")[0] for f in keyed_table._stored(spark, path, one.schema, now["buckets"], [bucket]).inputFiles()} == {str(bucket)}
+    assert {f.split("/bucket=")[1].split("/")[0] for f in found.inputFiles() if "/bucket=" in f} == {str(bucket)}
+    assert [tuple(r) for r in found.collect()] == [("u7", 70, 2)]
+
+
+def test_a_write_that_died_leaves_the_table_as_it_was(spark, scratch):
+    path = f"{scratch}/t"
+    keyed_table.write_keyed(versions(spark, ("a", 1, 1), ("b", 1, 1)), path, 0, ("id",), ("n",), n_buckets=2)
+    # batch 1 stored its rows, but not the head
+    versions(spark, ("a", 2, 2)).withColumn("bucket", keyed_table.bucket_of(["id"], 2)).withColumn("batch", F.lit(1)).write.mode("append").partitionBy("batch", "bucket").parquet(f"{path}/data")
+    assert latest(spark, path) == {"a": 1, "b": 1}
+    keyed_table.write_keyed(versions(spark, ("a", 3, 2)), path, 1, ("id",), ("n",))
+    assert latest(spark, path) == {"a": 3, "b": 1}
+
+
+def test_enrichment_without_a_user_table(spark, scratch):
+    """Before the table is there, sales have no user; then its buckets are looked up."""
+    sale = spark.createDataFrame([("1",), ("2",), (None,)], "user_id string")
+    assert jobs.users_of(sale, f"{scratch}/users").count() == 0
+    spark.createDataFrame([('{"id": "1", "user_level": "3"}',), ('{"id": "9", "user_level": "4"}',)], "value string").write.text(f"{scratch}/src")
+    jobs.run_to_end(apps.user_info_app(spark, f"{scratch}/src", f"{scratch}/users", ONCE))
+    assert [(r.id, r.user_level) for r in jobs.users_of(sale, f"{scratch}/users").collect()] == [("1", "3")]
 
 
 def test_enrichment_sees_users_that_come_later(spark, scratch):

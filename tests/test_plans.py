@@ -87,7 +87,7 @@ def test_day_partitioned_writes_rebalance_on_the_day(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(logdate" in plan
 
 
-@pytest.mark.parametrize("name", ["dau_hours", "dau_compare_hours", "stored_dau_hours", "dau_total", "kpi_total"])
+@pytest.mark.parametrize("name", ["dau_hours", "dau_compare_hours", "stored_dau_hours", "dau_total", "kpi_total", "dau_new_devices", "stored_kpi_total"])
 def test_hour_questions_use_hash_aggregates(spark, name):
     assert "SortAggregate" not in _plan(E.queries()[name](spark, SF_SMALL))
 
