@@ -12,14 +12,18 @@ buckets together hold ≥ ``min_uids`` distinct coupon users.  Only rows of such
 The candidate search is itself cheap and skew-proof: a distinct over (device, bucket, user) of coupon rows,
 aggregated map-side, then a count per (device, bucket pair).  Nothing is gathered per device.
 
-The fold first aggregates per (window, device, event id) - ``collect_set`` of coupon users / items (bounded by the
+``block_fold`` is the fold of the batch form: panes merged into windows as prefixes and suffixes of window-long blocks,
+two copies of a pane.  The live form (``streaming.jobs.alert_ring``) keeps each device's panes as state.  ``window_fold``
+copies events into their windows: it first aggregates per (window, device, event id) - ``collect_set`` of coupon users / items (bounded by the
 distinct users and items of one window) and a count - and then per (window, device), whose rows are as many as there are
 event ids.  So the event list holds every id that occurs, as a multiset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.columns import dated_index, doc_id, event_time
@@ -108,6 +112,96 @@ def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
     return _folded(per_id.groupBy("window", "mid").agg(*_per_device()))
 
 
+def block_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS, slide_seconds: int = DEFAULT_SLIDE_SECONDS,
+               min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:
+    """WIN1 + AGG6 + FLT5 through blocks of panes: of the firing windows, each constant stretch's last and those that are
+    the last of a minute - all that WIN2 can keep.
+
+    Time is cut into panes of a slide and blocks of a window's length, so the window that ends with pane e holds the
+    panes of e's block up to e and those of the block before that have not left it: a prefix of one block and a suffix of
+    the other.  A pane is copied twice, into its own block, which it enters at its place, and into the next, which it
+    leaves a window's length later.  A window's content changes at these places only, so there is one fold for each of
+    them and for each block's start, and it holds until the next.  A (device, block) has as many panes as a window at most,
+    however many events.  Needs the window to be a multiple of the slide.
+    """
+    if window_seconds % slide_seconds:
+        raise ValueError("block form needs the window length to be a multiple of the slide")
+    k, slide = window_seconds // slide_seconds, slide_seconds * 1000
+    timed = events.where(F.col("ts").isNotNull()).withColumn("pane", F.floor(F.col("ts") / slide))
+    per_id = timed.groupBy("mid", "pane", "evid").agg(*_per_event_id())
+    panes = per_id.groupBy("mid", "pane").agg(
+        F.flatten(F.collect_list("c_uids")).alias("c_uids"), F.flatten(F.collect_list("c_items")).alias("c_items"),
+        F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("click"), F.collect_list(F.struct("evid", "n")).alias("ids"))
+    block = F.floor(F.col("pane") / k)
+
+    def place(at, e, enters):
+        return F.struct(at.cast("long").alias("block"), e.cast("long").alias("e"), F.lit(enters).cast("boolean").alias("enters"))
+
+    places = F.array(place(block, F.col("pane"), True), place(block + 1, F.col("pane") + k, False), place(block + 1, (block + 1) * k, None))
+    rows = panes.select("mid", F.explode(places).alias("at"), "c_uids", "c_items", "click", "ids").select("mid", "at.*", "c_uids", "c_items", "click", "ids")
+    w = Window.partitionBy("mid", "block").orderBy("e")
+    upto, beyond = w.rangeBetween(Window.unboundedPreceding, 0), w.rangeBetween(1, Window.unboundedFollowing)
+
+    def held(column: str, distinct: bool):
+        both = F.concat(F.collect_list(F.when(F.col("enters"), F.col(column))).over(upto), F.collect_list(F.when(~F.col("enters"), F.col(column))).over(beyond))
+        return F.array_sort(F.array_distinct(F.flatten(both))) if distinct else F.flatten(both)
+
+    click = F.coalesce(F.bool_or(F.col("enters") & F.col("click")).over(upto), F.lit(False)) | F.coalesce(F.bool_or(~F.col("enters") & F.col("click")).over(beyond), F.lit(False))
+    folds = rows.select("mid", "e", F.coalesce(F.min("e").over(beyond), (F.col("block") + 1) * k).alias("till"), F.lag("e").over(w).alias("before"),
+                        held("c_uids", True).alias("uids"), click.alias("click"), held("c_items", True).alias("item_ids"), held("ids", False).alias("ids"))
+    fired = folds.where((F.size("uids") >= min_uids) & ~F.col("click") & ~F.col("e").eqNullSafe(F.col("before")))
+
+    def minute(e):
+        return F.floor((e + 1) * slide / 60000)
+
+    ends = F.filter(F.sequence("e", F.col("till") - 1), lambda e: (e == F.col("till") - 1) | (minute(e) < minute(e + 1)))
+    names = F.array_sort(F.array_distinct(F.filter(F.transform("ids", lambda x: x["evid"]), lambda x: x.isNotNull())))
+
+    def counted(name):
+        own = F.filter("ids", lambda x: x["evid"] == name)
+        return F.concat(name, F.lit(":"), F.aggregate(own, F.lit(0).cast("long"), lambda n, x: n + x["n"]).cast("string"))
+
+    total = F.aggregate("ids", F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    out = fired.select("mid", F.explode(ends).alias("e"), "uids", "item_ids", total.alias("n_events"), F.array_join(F.transform(names, counted), ",").alias("events"))
+    ts = (F.col("e") + 1) * slide
+    return out.select("mid", (ts - window_seconds * 1000).cast("long").alias("window_start"), ts.cast("long").alias("ts"), "uids", "item_ids", "n_events", "events")
+
+
+def judge_ring(panes: dict[int, list], first: int, last: int, k: int, slide_ms: int, min_uids: int) -> list[tuple]:
+    """WIN1 + AGG6 + FLT5 over one device's panes (number → [coupon users, coupon items, event id → count]): of the windows
+    that end with the panes ``first`` .. ``last``, the last firing one of each minute, as (end pane, users, items, events, count).
+
+    Walks the places where a pane enters or leaves and keeps counts, so each pane is added once and taken out once."""
+    places = sorted({first, *(p for p in panes if first < p <= last), *(p + k for p in panes if first < p + k <= last)})
+    uids, items, ids = Counter(), Counter(), Counter()
+    found: dict[int, tuple] = {}
+    for p in (p for p in panes if p < first < p + k):
+        _merge(panes[p], uids, items, ids, 1)
+    for e, till in zip(places, [*places[1:], last + 1]):
+        if e in panes:
+            _merge(panes[e], uids, items, ids, 1)
+        if e - k in panes and e > first:
+            _merge(panes[e - k], uids, items, ids, -1)
+        if len(uids) >= min_uids and not ids[CLICK]:
+            events = ",".join(f"{i}:{n}" for i, n in sorted(ids.items()) if n and i is not None)
+            fold = (sorted(uids), sorted(items), events, sum(ids.values()))
+            for minute in range((e + 1) * slide_ms // 60000, till * slide_ms // 60000 + 1):
+                end = min(till - 1, -(-(minute + 1) * 60000 // slide_ms) - 2)  # the last window of the minute
+                if end >= e:
+                    found[minute] = (end, *fold)
+    return [found[m] for m in sorted(found)]
+
+
+def _merge(pane: list, uids: Counter, items: Counter, ids: Counter, sign: int) -> None:
+    for held, own in ((uids, pane[0]), (items, pane[1])):
+        for x in own:
+            held[x] += sign
+            if not held[x]:
+                del held[x]
+    for i, n in pane[2].items():
+        ids[i] += sign * n
+
+
 def _windows(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     """Each row once per sliding window holding it, keyed by the window's start (epoch ms, a fixed-width key)."""
     w = F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
@@ -169,11 +263,12 @@ def records(alert_docs: DataFrame) -> DataFrame:
 
 def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                   slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int = DEFAULT_MIN_UIDS,
-                  prefilter: bool = True, two_phase: bool = False, panes: bool = False) -> DataFrame:
+                  prefilter: bool = True, two_phase: bool = False, panes: bool = False, blocks: bool = True) -> DataFrame:
     """WIN2 in batch: one alert document per (device, minute) — the last firing window ending in that minute.
 
-    ``prefilter`` expands only candidate (device, bucket) rows.  The default fold is one aggregate over one scan;
-    its only collections are the coupon users / items of a (window, device), merged map-side first.
+    ``prefilter`` folds only candidate (device, bucket) rows.  The default fold goes through blocks of panes, two copies of
+    a pane instead of one of each event for every window; it needs the window to be a multiple of the slide, else, or with
+    ``blocks=False``, events are copied into their windows and folded there, one aggregate over one scan.
     ``two_phase`` instead decides firing with fixed-width aggregates and collects sets for firing windows only —
     for feeds where a single device carries a large share of all coupon users — at the price of reading the
     candidate rows three times.  ``panes`` folds events into 5-second panes before the window expansion — for
@@ -189,6 +284,8 @@ def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECOND
         fired = firing_windows(base, window_seconds, slide_seconds, min_uids)
     elif panes:
         fired = firing(pane_fold(base, window_seconds, slide_seconds), min_uids)
+    elif blocks and window_seconds % slide_seconds == 0:
+        fired = block_fold(base, window_seconds, slide_seconds, min_uids)
     else:
         fired = firing(window_fold(base, window_seconds, slide_seconds), min_uids)
     docs = as_documents(fired)

@@ -34,7 +34,8 @@ def _rows(df):
 @given(st.lists(event, min_size=0, max_size=60))
 def test_alert_forms_agree(spark, rows):
     df = _events(spark, rows)
-    plain = _rows(alerts.coupon_alerts(df, prefilter=False, two_phase=False))
+    plain = _rows(alerts.coupon_alerts(df, prefilter=False, two_phase=False, blocks=False))
+    assert _rows(alerts.coupon_alerts(df, prefilter=False)) == plain
     assert _rows(alerts.coupon_alerts(df, prefilter=True, two_phase=False)) == plain
     assert _rows(alerts.coupon_alerts(df, prefilter=True, two_phase=True)) == plain
     assert _rows(alerts.coupon_alerts(df, prefilter=False, panes=True)) == plain
