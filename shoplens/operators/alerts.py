@@ -128,10 +128,8 @@ def block_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
         raise ValueError("block form needs the window length to be a multiple of the slide")
     k, slide = window_seconds // slide_seconds, slide_seconds * 1000
     timed = events.where(F.col("ts").isNotNull()).withColumn("pane", F.floor(F.col("ts") / slide))
-    per_id = timed.groupBy("mid", "pane", "evid").agg(*_per_event_id())
-    panes = per_id.groupBy("mid", "pane").agg(
-        F.flatten(F.collect_list("c_uids")).alias("c_uids"), F.flatten(F.collect_list("c_items")).alias("c_items"),
-        F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("click"), F.collect_list(F.struct("evid", "n")).alias("ids"))
+    panes = timed.groupBy("mid", "pane", "evid").agg(*_per_event_id())  # a row for each event id of a pane
+    panes = panes.select("mid", "pane", "c_uids", "c_items", F.coalesce(F.col("evid") == CLICK, F.lit(False)).alias("click"), F.array(F.struct("evid", "n")).alias("ids"))
     block = F.floor(F.col("pane") / k)
 
     def place(at, e, enters):
@@ -183,11 +181,11 @@ def judge_ring(panes: dict[int, list], first: int, last: int, k: int, slide_ms:
         if e - k in panes and e > first:
             _merge(panes[e - k], uids, items, ids, -1)
         if len(uids) >= min_uids and not ids[CLICK]:
-            events = ",".join(f"{i}:{n}" for i, n in sorted(ids.items()) if n and i is not None)
+            events = ",".join(f"{i}:{n}" for i, n in sorted((i, n) for i, n in ids.items() if n and i is not None))
             fold = (sorted(uids), sorted(items), events, sum(ids.values()))
             for minute in range((e + 1) * slide_ms // 60000, till * slide_ms // 60000 + 1):
                 end = min(till - 1, -(-(minute + 1) * 60000 // slide_ms) - 2)  # the last window of the minute
-                if end >= e:
+                if end >= e and (end + 1) * slide_ms // 60000 == minute:
                     found[minute] = (end, *fold)
     return [found[m] for m in sorted(found)]
 

@@ -76,11 +76,14 @@ def kpi_total(dau_rows: DataFrame, orders_clean: DataFrame, date: str, order_dat
 
     ``order_date`` defaults to ``date`` (one date for all three, as the dashboard asks).
     """
-    order_date = order_date or date
-    counts = active_and_new(dau_rows, date)
+    return kpi_rows(active_and_new(dau_rows, date), gmv_total(orders_clean, order_date or date))
+
+
+def kpi_rows(counts: DataFrame, gmv: DataFrame) -> DataFrame:
+    """AGG8 from one row (dau, new_mid) and one (gmv)."""
     entries = F.array(*(F.struct(F.lit(k).alias("id"), F.col(k).cast("double").alias("value")) for k in ("dau", "new_mid")))
     devices = counts.select(F.inline(entries))
-    gmv = gmv_total(orders_clean, order_date).select(F.lit("order_amount").alias("id"), F.col("gmv").alias("value"))
+    gmv = gmv.select(F.lit("order_amount").alias("id"), F.col("gmv").alias("value"))
     names = F.create_map(*[x for k, n in KPI_NAMES.items() for x in (F.lit(k), F.lit(n))])
     return (devices.unionByName(gmv)
             .select("id", names[F.col("id")].alias("name"), "value"))

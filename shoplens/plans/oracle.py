@@ -419,4 +419,6 @@ SELECT id, login_name, user_level, birthday, gender, seq FROM ({routed_users}) W
     out["stored_kpi_total"] = out["kpi_total"]
     out["stored_dau_hours"] = out["dau_compare_hours"]
     out["stored_gmv_hours"] = out["gmv_compare_hours"]
+    out["rollup_kpi_total"] = out["kpi_total"]
+    out["rollup_gmv_hours"] = out["gmv_compare_hours"]
     return out

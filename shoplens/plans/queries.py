@@ -178,6 +178,33 @@ def q_stored_gmv_hours(spark, sf_dir):
     return publisher.realtime_hours(spark, *_stored_tables(spark, sf_dir), "order_amount", ORDER_DATE)
 
 
+ROLLED_BATCHES = 3
+
+
+def _rolled_tables(spark, sf_dir, logs: bool = True, orders: bool = True) -> tuple[str, str]:
+    """The roll-ups that the DAU and order jobs leave, from the whole tables in three micro-batches."""
+    t = _t(spark, sf_dir)
+    root = checkpoint_path(spark, f"rolled-{uuid.uuid4().hex}")
+    dau_path, orders_path = f"{root}/dau", f"{root}/orders"
+    for batch in range(ROLLED_BATCHES):
+        if logs:
+            rows = dau.with_log_time(staging.startup(t)).where(F.pmod(F.col("ts"), F.lit(ROLLED_BATCHES)) == batch)
+            jobs.store_dau_batch(rows, dau_path, batch, buckets=1)
+        if orders:
+            rows = _orders_clean(t, customer=False).where(F.pmod(F.col("id").cast("long"), F.lit(ROLLED_BATCHES)) == batch)
+            jobs.store_order_amounts(rows, orders_path, batch)
+    return dau_path, orders_path
+
+
+def q_rollup_kpi_total(spark, sf_dir):
+    """The KPI list from roll-ups alone."""
+    return publisher.rollup_total(spark, *_rolled_tables(spark, sf_dir), EVENT_DATE, ORDER_DATE)
+
+
+def q_rollup_gmv_hours(spark, sf_dir):
+    return publisher.rollup_hours(spark, *_rolled_tables(spark, sf_dir, logs=False), "order_amount", ORDER_DATE)
+
+
 # ---- coupon alert ------------------------------------------------------------------------------------------------
 
 def _alert_out(df: DataFrame) -> DataFrame:
@@ -446,4 +473,6 @@ QUERIES: dict[str, Query] = {
     "chain_sale_detail": q_chain_sale_detail,
     "chain_user_latest": q_chain_user_latest,
     "chain_sale_detail_user": q_chain_sale_detail_user,
+    "rollup_kpi_total": q_rollup_kpi_total,
+    "rollup_gmv_hours": q_rollup_gmv_hours,
 }

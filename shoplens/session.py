@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +60,19 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once an application, unless PYTHONPATH has it there already."""
+    root, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_shoplens_shipped", False):
+        return
+    packed = Path(tempfile.mkdtemp(prefix="shoplens-code-"), "shoplens_code.zip")  # the driver serves it to executors
+    with zipfile.ZipFile(packed, "w") as out:
+        for f in sorted((root / "shoplens").rglob("*.py")):
+            out.write(f, f.relative_to(root))
+    context.addPyFile(str(packed))
+    context._shoplens_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a scratch folder only in local mode, when none is configured."""
     current = spark.conf.get("spark.checkpoint.dir", None)

@@ -51,6 +51,10 @@ def head(spark: SparkSession, path: str, before: int | None = None) -> tuple[dic
     return newest, 1 - slot
 
 
+def write_head(spark: SparkSession, path: str, slot: int, made: dict) -> None:
+    spark.createDataFrame([(json.dumps(made),)], "value string").coalesce(1).write.mode("overwrite").text(_slot(path, slot))
+
+
 def _folders(path: str, buckets: dict[str, list[int]], wanted) -> list[str]:
     return [f"{path.rstrip('/')}/data/batch={n}/bucket={b}" for b in wanted for n in buckets.get(str(b), [])]
 
@@ -85,8 +89,7 @@ def write_keyed(rows: DataFrame, path: str, batch_id: int, keys: tuple[str, ...]
     finally:
         fresh.unpersist()
     buckets = buckets | {str(b): [batch_id] if b in due else [*buckets.get(str(b), []), batch_id] for b in touched}
-    made = json.dumps({"batch": batch_id, "n_buckets": n_buckets, "buckets": buckets})
-    spark.createDataFrame([(made,)], "value string").coalesce(1).write.mode("overwrite").text(_slot(path, slot))
+    write_head(spark, path, slot, {"batch": batch_id, "n_buckets": n_buckets, "buckets": buckets})
 
 
 def read_keyed(spark: SparkSession, path: str, schema: StructType, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
@@ -96,11 +99,11 @@ def read_keyed(spark: SparkSession, path: str, schema: StructType, keys: tuple[s
     return latest_by_key(_stored(spark, path, schema, now["buckets"] if now else {}, wanted), keys, order)
 
 
-def lookup(asked: DataFrame, path: str, schema: StructType, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+def lookup(asked: DataFrame, path: str, schema: StructType, keys: tuple[str, ...], order: tuple[str, ...], before: int | None = None) -> DataFrame:
     """The latest rows of the buckets that the keys in ``asked`` fall in (columns named as ``keys``): what a join with
-    ``asked`` needs.  Empty if nothing was written yet."""
+    ``asked`` needs.  ``before`` gives the table as it was before that batch.  Empty if nothing was written yet."""
     spark = asked.sparkSession
-    now, _ = head(spark, path)
+    now, _ = head(spark, path, before)
     if now is None:
         return spark.createDataFrame([], schema)
     found = asked.select(bucket_of(keys, now["n_buckets"]).alias("bucket")).distinct().collect()  # n_buckets at most

@@ -59,8 +59,7 @@ def dau_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
 
 def gmv_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
             checkpoint: str | None = None) -> StreamingQuery:
-    return jobs.start_file_sink(jobs.orders_table_stream(source(spark, src)), out, "gmv_app",
-                                partition_by="CREATE_DATE", trigger=trigger, checkpoint=checkpoint)
+    return jobs.start_order_table_sink(source(spark, src), out, "gmv_app", trigger=trigger, checkpoint=checkpoint)
 
 
 def alert_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,

@@ -6,7 +6,7 @@ operator functions the batch queries use → a sink with its own checkpoint.  Ev
 
 - DAU: (device, day) keys for the watermark delay (one day by default).
 - Order/detail join: rows within ``ttl`` + the watermark delay on each side.
-- Alert: open windows per device (window length + delay), holding only the fold's partial aggregates.
+- Alert: the panes of each device that are still in an open window (window length + delay).
 
 Triggers: ``processingTime='5 seconds'`` (the 5 s batch interval) in service, ``availableNow`` in tests and
 back-fills.  Sinks are exactly-once file sinks or idempotent keyed appends, so a restarted query resumes from its
@@ -15,19 +15,23 @@ checkpoint without loss or visible duplicates.
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from shoplens.functions.columns import event_time
+from shoplens.functions.columns import event_time, money
 from shoplens.operators import alerts, dau, gmv, routing, sales
 from shoplens.schemas import CHANGE_EVENT, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, RAW_LOG, STARTUP_LOG, USER_INFO
-from shoplens.session import checkpoint_path
-from shoplens.sinks import keyed_table, topic_messages, upsert_documents
+from shoplens.session import checkpoint_path, ship_code
+from shoplens.sinks import keyed_table, runs, topic_messages, upsert_documents
 from shoplens.sources.ingest import CORRUPT, good_records, parse_records
 
 BATCH_INTERVAL = "5 seconds"
@@ -85,54 +89,93 @@ def dau_earliest(startup_msgs: DataFrame, delay: str = "1 day") -> DataFrame:
             .select("mid", "logdate", "_first.*"))
 
 
-def start_dau_table_sink(startup_msgs: DataFrame, path: str, name: str, trigger: str = BATCH_INTERVAL,
-                         checkpoint: str | None = None) -> StreamingQuery:
-    """DAU2 per micro-batch, in the reference's order (FLT4 → AGG1 → SNK5 + SNK1), skew-safe.
-
-    Each micro-batch: the first log per (mid, logdate) by a partial aggregate (a device with a third of all logs
-    ships one row per task), minus the device-days that earlier batches stored (an anti join; only the folders of the
-    batch's own days are listed and read), stored under the batch's id.  The stored table is the seen set, so no state
-    grows in the query.  A replayed batch doesn't count its own rows as seen, so it writes the same rows again, also
-    where its first try was only partly visible; ``dau_first_seen`` is the stateful form (its dedup shuffles raw rows,
-    no map-side combine).
-    """
-    from shoplens.sinks import write_dau_batch
+SEEN_BUCKETS = 4  # of a day's devices
+FIRST = StructType([StructField("mid", StringType()), StructField("first_day", StringType()), StructField("earlier", LongType())])
 
-    checkpoint = own_checkpoint(startup_msgs.sparkSession, path, checkpoint)
 
-    logs = dau.with_log_time(parsed(startup_msgs, STARTUP_LOG))
+NO_DAY = "none"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            # a row per calendar day, whatever the batch's size
-            days = [r["logdate"] for r in batch.select("logdate").where("logdate IS NOT NULL").distinct().collect()]
-            seen = None
-            for day in sorted(days):
-                stored = _stored_day(batch.sparkSession, path, day)
-                if stored is not None:
-                    earlier = stored.where(F.col("batch_id") < batch_id).select("mid", F.lit(day).alias("logdate"))
-                    seen = earlier if seen is None else seen.unionByName(earlier)
-            write_dau_batch(dau.daily_active(batch, seen), path, batch_id)
-        finally:
-            batch.unpersist()
 
-    w = (logs.writeStream.outputMode("append").queryName(name).foreachBatch(write)
-         .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+def month_of(day) -> Column:
+    """The group of a day's roll-up rows: its month, or that of rows without a day."""
+    return F.coalesce(F.substring(day, 1, 7), F.lit(NO_DAY))
+
+
+def store_dau_batch(logs: DataFrame, path: str, batch_id: int, buckets: int = SEEN_BUCKETS) -> None:
+    """DAU2 for one micro-batch, in the reference's order (FLT4 → AGG1 → SNK5 + SNK1), and what the dashboard reads.
 
+    Beside the table ``path`` stand ``.seen`` (the device-days stored so far, in merged runs by day and bucket: only those
+    the batch falls in are opened), ``.first`` (each device's first day, in hash buckets), ``.hours`` (devices by day and
+    hour) and ``.new`` (new devices by day), the last two as roll-ups.  A late log that moves a device's first day back
+    takes it out of the day that had it.  All are stored under the batch's id and read as they were before it, so a
+    replayed batch writes the same rows again.
+    """
+    from shoplens.sinks import write_dau_batch
 
-def _stored_day(spark: SparkSession, path: str, day: str) -> DataFrame | None:
-    """One day of a DAU table written per batch; None if it has no such day yet."""
+    spark, path = logs.sparkSession, path.rstrip("/")
+    day = F.coalesce("logdate", F.lit(NO_DAY))
+    group = F.concat_ws("_", day, F.pmod(F.xxhash64("mid"), F.lit(buckets)).cast("string"))
+    logs = logs.withColumn("grp", group).persist()
+    fresh = None
+    try:
+        groups = [r["grp"] for r in logs.select("grp").distinct().collect()]  # days of the batch times buckets
+        if not keyed_table.exists(spark, f"{path}.seen"):  # a table that was written before there was a seen set
+            _seed_seen(spark, path, batch_id, buckets)
+        seen = runs.read_runs(spark, f"{path}.seen", "mid string", groups, before=batch_id).select(F.col("mid").alias("s_mid"), F.col("grp").alias("s_grp"))
+        unseen = logs.join(seen, F.col("mid").eqNullSafe(F.col("s_mid")) & (F.col("grp") == F.col("s_grp")), "left_anti")
+        fresh = dau.daily_active(unseen.drop("grp")).persist()
+        write_dau_batch(fresh, path, batch_id)
+
+        days = fresh.select("mid", F.col("logdate").alias("first_day")).where("first_day IS NOT NULL AND mid IS NOT NULL")
+        days = days.groupBy("mid").agg(F.max(-F.unix_date(F.to_date("first_day"))).cast("long").alias("earlier"))
+        days = days.withColumn("first_day", F.date_format(F.date_from_unix_date((-F.col("earlier")).cast("int")), "yyyy-MM-dd")).select(*FIRST.names)
+        known = keyed_table.lookup(days, f"{path}.first", FIRST, ("mid",), ("earlier",), before=batch_id)
+        known = known.select(F.col("mid").alias("k_mid"), F.col("first_day").alias("k_day"), F.col("earlier").alias("k_earlier"))
+        moved = days.join(known, F.col("mid") == F.col("k_mid"), "left").where("k_mid IS NULL OR earlier > k_earlier")
+        change = F.when(F.col("k_mid").isNull(), F.array(F.struct(F.col("first_day").alias("logdate"), F.lit(1).cast("long").alias("n"))))
+        change = change.otherwise(F.array(F.struct(F.col("first_day").alias("logdate"), F.lit(1).cast("long").alias("n")), F.struct(F.col("k_day").alias("logdate"), F.lit(-1).cast("long").alias("n"))))
+        firsts = moved.select(F.inline(change)).select(month_of("logdate").alias("grp"), "logdate", "n")
+        hours = fresh.select(month_of("logdate").alias("grp"), "logdate", "loghour", F.lit(1).cast("long").alias("n"))
+        runs.append_run(firsts, f"{path}.new", batch_id, runs.summed("logdate"))
+        runs.append_run(hours, f"{path}.hours", batch_id, runs.summed("logdate", "loghour"))
+        keyed_table.write_keyed(moved.select(*FIRST.names), f"{path}.first", batch_id, ("mid",), ("earlier",))
+        runs.append_run(fresh.select(group.alias("grp"), "mid"), f"{path}.seen", batch_id, runs.distinct)
+    finally:
+        logs.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
+
+
+def _seed_seen(spark: SparkSession, path: str, batch_id: int, buckets: int) -> None:
+    """The seen set, roll-ups and first days of a DAU table that has none, from its rows before ``batch_id``."""
     try:
-        stored = spark.read.parquet(f"{path}/logdate={day}")
+        stored = spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
     if "batch_id" not in stored.columns:
         raise ValueError(f"{path} was written by another form of the DAU job; give each form a table of its own")
-    return stored
+    stored = stored.where(F.col("batch_id") < batch_id).withColumn("logdate", F.col("logdate").cast("string"))
+    group = F.concat_ws("_", F.coalesce("logdate", F.lit(NO_DAY)), F.pmod(F.xxhash64("mid"), F.lit(buckets)).cast("string"))
+    days = stored.where("logdate IS NOT NULL AND mid IS NOT NULL").groupBy("mid").agg(F.max(-F.unix_date(F.to_date("logdate"))).cast("long").alias("earlier"))
+    days = days.withColumn("first_day", F.date_format(F.date_from_unix_date((-F.col("earlier")).cast("int")), "yyyy-MM-dd")).select(*FIRST.names)
+    before = batch_id - 1
+    runs.append_run(days.select(month_of("first_day").alias("grp"), F.col("first_day").alias("logdate"), F.lit(1).cast("long").alias("n")), f"{path}.new", before, runs.summed("logdate"))
+    runs.append_run(stored.select(month_of("logdate").alias("grp"), "logdate", "loghour", F.lit(1).cast("long").alias("n")), f"{path}.hours", before, runs.summed("logdate", "loghour"))
+    keyed_table.write_keyed(days, f"{path}.first", before, ("mid",), ("earlier",))
+    runs.append_run(stored.select(group.alias("grp"), "mid"), f"{path}.seen", before, runs.distinct)
+
+
+def start_dau_table_sink(startup_msgs: DataFrame, path: str, name: str, trigger: str = BATCH_INTERVAL,
+                         checkpoint: str | None = None) -> StreamingQuery:
+    """DAU2 per micro-batch (``store_dau_batch``), skew-safe: a device with a third of all logs ships one row per task, and no
+    state grows in the query.  ``dau_first_seen`` is the stateful form (its dedup shuffles raw rows, no map-side combine)."""
+    checkpoint = own_checkpoint(startup_msgs.sparkSession, path, checkpoint)
+    logs = dau.with_log_time(parsed(startup_msgs, STARTUP_LOG))
+    w = (logs.writeStream.outputMode("append").queryName(name).foreachBatch(lambda batch, batch_id: store_dau_batch(batch, path, batch_id))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
 
 
 # ---- order / detail join (JOI4 + JOI7) ----------------------------------------------------------------------------
@@ -180,21 +223,108 @@ def order_pairs_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_second
 def alert_stream(event_msgs: DataFrame, delay: str = "10 seconds",
                  window_seconds: int = alerts.DEFAULT_WINDOW_SECONDS,
                  slide_seconds: int = alerts.DEFAULT_SLIDE_SECONDS,
-                 min_uids: int = alerts.DEFAULT_MIN_UIDS, panes: bool = False) -> DataFrame:
+                 min_uids: int = alerts.DEFAULT_MIN_UIDS, panes: bool = False, ring: bool = True) -> DataFrame:
     """WIN1 → AGG6 → FLT5 → PRJ10 in append mode: each window is judged once, when the watermark closes it.
     Several windows of one device-minute share a ``doc_id``; the keyed sink keeps the last.
 
-    ``panes`` runs the pane form as two chained stateful aggregations (5 s panes, then windows over closed panes):
-    state and expansion grow with busy panes rather than events — the form for dense feeds."""
+    The default keeps each device's panes as state (``alert_ring``); it needs the window to be a multiple of the slide.
+    With ``ring=False`` windows are stateful aggregates over copied events; ``panes`` runs them as two chained
+    aggregations (5 s panes, then windows over closed panes)."""
     ev = parsed(event_msgs, EVENT_LOG).select("mid", "uid", "evid", "itemid", "ts",
                                                event_time("ts").alias("event_time"))
+    if ring and not panes and window_seconds % slide_seconds == 0:
+        return alerts.as_documents(alert_ring(ev, delay, window_seconds, slide_seconds, min_uids))
     fold = alerts.pane_fold if panes else alerts.window_fold
     folded = fold(ev.withWatermark("event_time", delay), window_seconds, slide_seconds)
     return alerts.as_documents(alerts.firing(folded, min_uids))
 
 
+RING_OUT = "mid string, window_start long, ts long, uids array<string>, item_ids array<string>, n_events long, events string"
+RING_STATE = "panes string, judged long"
+
+
+def alert_ring(events: DataFrame, delay: str, window_seconds: int, slide_seconds: int, min_uids: int) -> DataFrame:
+    """WIN2 live over keyed state with timers: per device its panes that are still in an open window - a ring of a window's
+    panes, and those ahead of the watermark.  An event is added to its pane alone.  When the watermark passes the end of
+    windows, those not judged yet are judged in one walk over the panes, and panes that have left the last of them go.
+
+    Yields, as the batch form does, a minute's last firing window; where a minute's windows close in several
+    micro-batches, its later alert replaces the earlier in the keyed sink.
+    """
+    ship_code(events.sparkSession)
+    k, slide = window_seconds // slide_seconds, slide_seconds * 1000
+    span = window_seconds * 1000
+    # An event matters as long as one of its windows is open, a window's length behind the watermark of the ends.  Rows
+    # are dropped by the query's own watermark, so that one lies a window's length further back.
+    lag = f"{int(pd.Timedelta(delay).total_seconds() * 1000) + span} milliseconds"
+
+    def run(key, batches, state):
+        panes, judged = {}, None
+        if state.exists:
+            text, judged = state.get
+            panes = {int(p): [set(u), set(i), Counter({None if e == "" else e[1:]: n for e, n in ids.items()})] for p, (u, i, ids) in json.loads(text).items()}
+        for batch in batches:
+            for uid, evid, item, ts in zip(batch.uid, batch.evid, batch.itemid, batch.ts):
+                pane = panes.setdefault(int(ts) // slide, [set(), set(), Counter()])
+                pane[2][evid] += 1
+                if evid == alerts.COUPON:
+                    pane[0].update(x for x in (uid,) if x is not None)
+                    pane[1].update(x for x in (item,) if x is not None)
+        closed = (state.getCurrentWatermarkMs() + span) // slide - 1  # the last pane that a closed window ends with
+        first = min(panes, default=closed + 1) if judged is None or judged < 0 else judged + 1
+        for p in [p for p in panes if p + k - 1 < first and judged is not None and judged >= 0]:
+            del panes[p]  # late: all its windows are closed
+        found = []
+        if panes and first <= closed:
+            last = min(closed, max(panes) + k - 1)
+            found = alerts.judge_ring(panes, max(first, min(panes)), last, k, slide, min_uids)
+        judged = max(closed, -1 if judged is None else judged)
+        panes = {p: v for p, v in panes.items() if p + k - 1 > judged}
+        if panes:
+            held = {p: [sorted(u), sorted(i), {"" if e is None else "=" + e: n for e, n in ids.items()}] for p, (u, i, ids) in panes.items()}
+            state.update((json.dumps(held), judged))
+            # the end of the next window that holds anything, by the query's own watermark
+            state.setTimeoutTimestamp((max(judged + 1, min(panes)) + 1) * slide - span)
+        elif state.exists:
+            state.remove()
+        if found:
+            yield pd.DataFrame([(key[0], (e + 1) * slide - span, (e + 1) * slide, u, i, n, text) for e, u, i, text, n in found],
+                               columns=["mid", "window_start", "ts", "uids", "item_ids", "n_events", "events"])
+
+    timed = events.where(F.col("event_time").isNotNull()).withWatermark("event_time", lag)
+    return timed.groupBy("mid").applyInPandasWithState(run, RING_OUT, RING_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
 # ---- orders (GMV job: PRJ2-4 + SNK2) ------------------------------------------------------------------------------
 
+
+def store_order_amounts(orders_clean: DataFrame, path: str, batch_id: int) -> None:
+    """AGG4, AGG5 for one micro-batch: the orders' amounts by day and hour, as a roll-up beside the order table."""
+    rows = orders_clean.select(month_of("create_date").alias("grp"), "create_date", "create_hour", money("total_amount").cast("decimal(38,2)").alias("amount"),
+                               F.lit(1).cast("long").alias("n"))
+    runs.append_run(rows, f"{path.rstrip('/')}.amounts", batch_id, runs.summed("create_date", "create_hour"))
+
+
+def start_order_table_sink(order_msgs: DataFrame, path: str, name: str, trigger: str = BATCH_INTERVAL,
+                           checkpoint: str | None = None, mask: str = "prefix4") -> StreamingQuery:
+    """SNK2 live: each micro-batch's cleaned orders, under their day and the batch's id, and their amounts as a roll-up."""
+    checkpoint = own_checkpoint(order_msgs.sparkSession, path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            table = gmv.table_columns(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            (table.hint("rebalance", "CREATE_DATE").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("CREATE_DATE", "batch_id").parquet(path))
+            store_order_amounts(batch, path, batch_id)
+        finally:
+            batch.unpersist()
+
+    orders = gmv.clean_orders(parsed(order_msgs, ORDER_INFO), mask)
+    w = orders.writeStream.outputMode("append").queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def orders_table_stream(order_msgs: DataFrame, mask: str = "prefix4") -> DataFrame:
     """Cleaned orders with the order table's upper-case column names; write with ``partition_by='CREATE_DATE'``."""
     return gmv.table_columns(gmv.clean_orders(parsed(order_msgs, ORDER_INFO), mask))

@@ -12,7 +12,7 @@ from shoplens.functions import columns as C
 from shoplens.operators import dashboard, gmv, routing, sales
 from shoplens.operators.dims import latest_users, version_order
 from shoplens.plans.queries import QUERIES
-from shoplens.sinks import keyed_table
+from shoplens.sinks import keyed_table, runs
 from shoplens.schemas import (COUPON_ALERT, EVENT_LOG, ORDER_INFO, RAW_LOG, STARTUP_LOG, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO,
                               TOPIC_USER_INFO, USER_INFO)
 from shoplens.sources import staging
@@ -88,6 +88,93 @@ def test_topic_messages_have_the_row_as_key(spark):
     assert sinks.topic_messages(spark.createDataFrame([("t", "v")], "topic string, value string")).columns == ["topic", "value"]
 
 
+# ---- merged runs: the seen set, first days and roll-ups ------------------------------------------------------------
+
+def test_runs_stay_few_over_many_batches():
+    """A group's runs are bounded by the fan-out times the levels, and a batch's rows are rewritten once a level."""
+    runs_, held, rewritten = [], {}, {}
+    for batch in range(1000):
+        runs_, due = runs.planned(runs_, batch, 8)
+        held[batch] = {batch}.union(*(held.pop(n) for n in due))
+        for n in held[batch]:
+            rewritten[n] = rewritten.get(n, 0) + 1
+        assert [r[0] for r in runs_] == sorted(held) and sum(map(len, held.values())) == batch + 1
+        assert len(runs_) <= 7 * 4
+    assert max(rewritten.values()) <= 4
+
+
+def test_runs_against_a_sum(spark, scratch):
+    import random
+    from collections import Counter
+
+    r, want, path = random.Random(4), Counter(), f"{scratch}/t"
+    schema = "grp string, k string, n long"
+    for batch in range(11):
+        made = [(f"2024-0{r.randrange(1, 4)}", r.choice("abc"), r.randrange(9)) for _ in range(r.randrange(0, 8))]
+        rows_ = spark.createDataFrame(made, schema)
+        for _ in range(2 if batch % 5 == 3 else 1):  # some batches are written again
+            runs.append_run(rows_, path, batch, runs.summed("k"), fanout=3)
+        for g, k, n in made:
+            want[g, k] += n
+    got = Counter()
+    for x in runs.read_runs(spark, path, "k string, n long").collect():
+        got[x.grp, x.k] += x.n
+    assert got == want
+    one = runs.read_runs(spark, path, "k string, n long", ["2024-02", "1999-01"])
+    assert {f.split("grp=")[1].split("/")[0] for f in one.inputFiles()} == {"2024-02"} and len(one.inputFiles()) <= 3 * 3
+    assert {x.grp for x in one.collect()} == {"2024-02"}
+    assert runs.read_runs(spark, f"{scratch}/none", "k string").count() == 0
+
+
+def _day(n):
+    return 1_704_067_200_000 + n * 86_400_000
+
+
+def test_dau_batches_keep_first_days_and_hours(spark, scratch):
+    """Late logs move a first day back; replays change nothing; logs without a time or device are stored once."""
+    from shoplens.operators import publisher
+
+    batches = [[("a", 1), ("b", 1), ("b", 1), (None, 1)], [("a", 2), ("c", 2), ("b", 0)], [("a", 0), ("d", 2), ("x", None), (None, 1)], [("x", None), ("c", 2)]]
+    path = f"{scratch}/dau"
+    logs = lambda found: dau.with_log_time(spark.createDataFrame([dict(mid=m, uid="1", type="startup", ts=None if d is None else _day(d) + i) for i, (m, d) in enumerate(found)], STARTUP_LOG))
+    from shoplens.operators import dau
+
+    for n, found in enumerate(batches):
+        for _ in range(2 if n in (1, 2) else 1):
+            jobs.store_dau_batch(logs(found), path, n)
+    everything = logs([x for b in batches for x in b])
+    table = spark.read.parquet(path).select("mid", F.col("logdate").cast("string"))
+    assert rows(table) == rows(everything.select("mid", "logdate").distinct())
+    per_day = everything.where("mid IS NOT NULL AND logdate IS NOT NULL").groupBy("mid").agg(F.min("logdate").alias("d"))
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        got = {r.id: r.value for r in publisher.rollup_total(spark, path, f"{scratch}/orders", day).collect()}
+        assert got == {"dau": everything.where(F.col("logdate") == day).select("mid").distinct().count(), "new_mid": per_day.where(F.col("d") == day).count(), "order_amount": 0.0}
+    hours = {r.hour: (r.today, r.yesterday) for r in publisher.rollup_hours(spark, path, "", "dau", "2024-01-03").collect()}
+    assert hours["00"] == (3, 3) and len(hours) == 24
+
+
+def test_a_dau_table_without_a_seen_set_gets_one(spark, scratch):
+    from shoplens.operators import dau, publisher
+
+    path = f"{scratch}/dau"
+    logs = lambda *found: dau.with_log_time(spark.createDataFrame([dict(mid=m, uid="1", type="startup", ts=_day(d)) for m, d in found], STARTUP_LOG))
+    sinks.write_dau_batch(dau.daily_active(logs(("a", 0), ("b", 0))), path, 0)
+    jobs.store_dau_batch(logs(("a", 0), ("c", 0), ("a", 1)), path, 1)
+    assert rows(spark.read.parquet(path).select("mid", F.col("logdate").cast("string"))) == rows(logs(("a", 0), ("b", 0), ("c", 0), ("a", 1)).select("mid", "logdate"))
+    assert {r.id: r.value for r in publisher.rollup_total(spark, path, f"{scratch}/o", "2024-01-01").collect()}["new_mid"] == 3
+
+
+def test_the_order_job_keeps_amounts(spark, topics, scratch):
+    from shoplens.operators import publisher
+
+    out = f"{scratch}/orders"
+    jobs.run_to_end(apps.gmv_app(spark, f"messages:{topics}/topics/topic={TOPIC_ORDER_INFO}", out, ONCE))
+    orders = spark.read.parquet(out).withColumn("CREATE_DATE", F.col("CREATE_DATE").cast("string")).toDF(*[c.lower() for c in spark.read.parquet(out).columns])
+    day = orders.select("create_date").first()[0]
+    want = dashboard.compare_hours(orders, day, "create_date", "create_hour", F.col("total_amount"), "double")
+    assert rows(publisher.rollup_hours(spark, "", out, "order_amount", day)) == rows(want)
+
+
 # ---- the bucketed user table --------------------------------------------------------------------------------------
 
 VERSIONS = "id string, v long, n long"
@@ -209,7 +296,7 @@ def test_forms_of_the_dau_job_do_not_mix(spark, scratch):
 
     sinks.write_dau_table(dau.daily_active(logs), f"{scratch}/dau")
     with pytest.raises(ValueError, match="another form"):
-        jobs._stored_day(spark, f"{scratch}/dau", "2024-01-01")
+        jobs.store_dau_batch(dau.with_log_time(logs), f"{scratch}/dau", 0)
 
 
 def test_short_delays_are_refused(spark, scratch):
