@@ -157,3 +157,31 @@ WITH RECURSIVE v AS (
 )
 SELECT vec_id, coalesce(n.links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)
 """
+
+ORACLE_SQL["op10_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, unnest(range(len(ls))) AS pos, trim(unnest(ls), ' ') AS line FROM d WHERE text IS NOT NULL
+), w AS (
+  SELECT *, len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) AS words FROM l
+), c AS (
+  SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) AS till FROM w WHERE words > 0
+), b AS (
+  SELECT *, till - words AS start FROM c
+), runs AS (
+  SELECT doc_id, list(line) OVER f AS run, list(pos) OVER f AS lines, sum(words) OVER f AS n FROM b
+  WINDOW f AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 24 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, list(line) OVER f, list(pos) OVER f, sum(words) OVER f FROM b
+  WINDOW f AS (PARTITION BY doc_id ORDER BY till RANGE BETWEEN 24 PRECEDING AND CURRENT ROW)
+), places AS (
+  SELECT doc_id, lines, first_value(doc_id) OVER g AS first_id, first_value(lines[1]) OVER g AS first_line FROM runs WHERE n >= 25
+  WINDOW g AS (PARTITION BY run ORDER BY doc_id, lines[1])
+), gone AS (
+  SELECT doc_id, list(DISTINCT pos) AS removed FROM (SELECT doc_id, unnest(lines) AS pos FROM places WHERE doc_id <> first_id OR lines[1] <> first_line) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(removed), 0) AS n_removed,
+       CASE WHEN removed IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda x, i: NOT list_contains(removed, i - 1)), chr(10)) END AS text
+FROM d LEFT JOIN gone USING (doc_id)
+"""

@@ -676,13 +676,46 @@ def test_line_dedup_meets_every_earlier_place(spark):
     assert got == {1: 0, 2: 1, 3: 3, 4: 3, 5: 2}
 
 
+def test_line_dedup_winnows(spark):
+    """Fingerprints are the windows' least lines; only windows of a shared one are compared; adjacent windows share theirs."""
+    from shoplens.llm.line_dedup import shared_fingerprints, windows
+
+    r = random.Random(8)
+    line = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    passage = [line(n) for n in (9, 12, 7, 30, 3)]
+    data = [(i, "\n".join([line(r.randrange(2, 20)) for _ in range(12)] + passage * (i in (3, 8)) + [line(4)]), "s") for i in range(12)] + [(None, "\n".join(passage), "s")]
+    found = windows(frame(spark, data)).collect()
+    texts = {i: t.split("\n") for i, t, _ in data}
+    for w in found:
+        own = texts[w.doc_id]
+        assert w.fp_pos in w.lines and len(own[w.fp_pos].split()) == max(len(own[n].split()) for n in w.lines)
+        assert sum(len(own[n].split()) for n in w.lines) >= 25 and list(w.lines) == list(range(w.lines[0], w.lines[-1] + 1))
+        assert len(w.lines) == 1 or min(sum(len(own[n].split()) for n in part) for part in (w.lines[1:], w.lines[:-1])) < 25
+    chosen = {(w.doc_id, w.fp_pos) for w in found}
+    assert len(chosen) < 0.75 * len(found)
+    shared = {x.sfp for x in shared_fingerprints(windows(frame(spark, data))).collect()}
+    assert {(w.doc_id, texts[w.doc_id][w.fp_pos]) for w in found if w.fp in shared} <= {(i, x) for i in (3, 8, None) for x in passage}
+    runs = Counter(tuple(texts[w.doc_id][n] for n in w.lines) for w in found)
+    assert all(w.fp in shared for w in found if len({v.doc_id for v in found if v.w1 == w.w1}) > 1) and max(runs.values()) >= 3
+
+
+def test_line_dedup_long_texts_and_odd_columns(spark):
+    from shoplens.llm.line_dedup import dedup_lines
+
+    r = random.Random(3)
+    long = "\n".join(" ".join(f"w{r.randrange(10**6)}" for _ in range(8)) for _ in range(20_000))
+    docs = spark.createDataFrame([(1, long, 1, 2, 3), (2, "head line\n" + long, 1, 2, 3), (3, "word " * 300_000, 1, 2, 3)], "doc_id long, text string, `a.b` int, __n_removed int, removed int")
+    got = {x[0]: x for x in dedup_lines(docs.drop("__n_removed")).collect()}
+    assert got[1].text == long and got[2].text == "head line" and got[2]["__n_removed"] == 20_000 and got[3]["__n_removed"] == 0
+
+
 # ---- queries and pipeline -----------------------------------------------------------------------------------------
 
 def test_oracles(spark):
     from shoplens.llm.queries import ORACLE_SQL, QUERIES
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         got = QUERIES[name](spark, SMALL).toPandas()
