@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import staged
+from shoplens.llm.common import named, staged
 
 GRAM_WORDS = 25
 
@@ -89,9 +89,9 @@ def repeated_lines(docs: DataFrame, window_words: int = GRAM_WORDS) -> DataFrame
     return later.select("doc_id", "text_hash", F.explode("lines").alias("pos")).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, window_words: int = GRAM_WORDS) -> DataFrame:
-    """All rows and columns of ``docs``, the text without its later repeated runs, with columns ``__n_lines`` and
-    ``__n_removed``.
+def dedup_lines(docs: DataFrame, window_words: int = GRAM_WORDS, counts: tuple[str, str] = ("__n_lines", "__n_removed")) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its later repeated runs, with two columns named by ``counts`` (other
+    names than those of ``docs``): its lines, and how many of them were removed.
 
     Null text stays null (no lines); an empty text has no words and stays; lines are compared without the spaces
     around them; empty lines are never deleted; documents of fewer than ``window_words`` words stay as they are.
@@ -100,7 +100,7 @@ def dedup_lines(docs: DataFrame, window_words: int = GRAM_WORDS) -> DataFrame:
     """
     gone = repeated_lines(docs.select("doc_id", "text"), window_words).select(
         F.col("doc_id").alias("__gid"), F.col("text_hash").alias("__gth"), "removed")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    rows = docs.select(F.struct(*named(docs)).alias("__row"), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
     joined = rows.join(gone, (F.xxhash64("__text") == F.col("__gth")) & F.col("__id").eqNullSafe(F.col("__gid")), "left")
     joined = joined.withColumn("__lines", F.when(F.col("removed").isNotNull(), _lines(F.col("__text"))))
     # the kept lines are the gaps between deleted ones: linear in the document's lines
@@ -110,7 +110,7 @@ def dedup_lines(docs: DataFrame, window_words: int = GRAM_WORDS) -> DataFrame:
                   "slice(__lines, __cuts[i - 1] + 2, __cuts[i] - __cuts[i - 1] - 1))), '\n')")
     text = F.when(F.col("removed").isNotNull(), kept).otherwise(F.col("__text"))
     return joined.select(
-        *(text.alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns),
-        F.when(F.col("__text").isNull(), 0).otherwise(F.regexp_count("__text", F.lit("\n")) + 1).cast("long").alias("__n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("__n_removed"),
+        *(text.alias(c) if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns),
+        F.when(F.col("__text").isNull(), 0).otherwise(F.regexp_count("__text", F.lit("\n")) + 1).cast("long").alias(counts[0]),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias(counts[1]),
     )

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import bucket_count, hash_bucket, numbered, ship_code, staged
+from shoplens.llm.common import bucket_count, hash_bucket, named, numbered, ship_code, staged
 
 BLOCK_ROWS = 16
 PERIOD = 1024
@@ -138,6 +138,6 @@ def in_mixed_order(docs: DataFrame, **how) -> DataFrame:
     keyed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("key_hash"))
     places = mix(keyed, carry=("doc_id", "key_hash"), **how).groupBy("doc_id", "key_hash").agg(F.min("position").alias("place"))
     places = staged(places.withColumnRenamed("doc_id", "key_id"), "mixed-places")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
+    rows = docs.select(F.struct(*named(docs)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
     found = rows.join(places, (F.col("th") == F.col("key_hash")) & F.col("id").eqNullSafe(F.col("key_id")))
     return found.repartitionByRange("place").sortWithinPartitions("place").select("row.*")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import maybe_among, ship_code, staged
+from shoplens.llm.common import bucket_count, maybe_among, named, numbered, ship_code, staged
 from shoplens.llm.components import components
 
 WORDS = 5
@@ -240,8 +240,11 @@ def verified_links(members: DataFrame, words: int, threshold: int, every: bool =
     """Links a, b among ``members`` (cluster, node, n, rows, text), cluster by cluster: with ``every`` all of them, else
     enough for the components.  Rows of a null b give node a's links to other members in a pair of blocks, as a number
     of ``rows``."""
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy("n", "node")) - 1
-    keys = staged(members.select("cluster", "node", "n").withColumn("block", F.floor(place / BLOCK)), "ngram-blocks")
+    own = staged(members.select("cluster", "node", "n"), "ngram-members")
+    parts = bucket_count(own.count(), least=1)  # a cluster of any size is numbered in buckets, by set size and a hash
+    own = own.withColumn("__b", F.col("n").cast("long") * parts + F.pmod(F.xxhash64("node"), F.lit(parts)))
+    placed = numbered(own, "__b", [F.col("node")], "place", by=("cluster",))
+    keys = staged(placed.select("cluster", "node", "n", F.floor(F.col("place") / BLOCK).alias("block")), "ngram-blocks")
     spans = keys.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = spans.select(F.col("cluster").alias("c2"), F.col("block").alias("j"), F.col("low").alias("low2"))
     # pairs of blocks i <= j of one cluster whose sizes can match
@@ -361,7 +364,7 @@ def without_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHO
                          ((F.col("n") > 1) & (F.col("component").isNotNull() | F.col("doc_id").isNotNull())).alias("repeated"))
     found = staged(found.filter("NOT stays OR repeated"), "ngram-found")
     # most rows are surely kept; only the others are shuffled to be looked up
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("th"), F.col("doc_id").cast("long").alias("id"))
+    rows = docs.select(F.struct(*named(docs)).alias("row"), F.xxhash64("text").alias("th"), F.col("doc_id").cast("long").alias("id"))
     rows = rows.withColumn("maybe", maybe_among(found, F.col("found_hash"))(F.col("th")))
     looked_up = rows.filter("maybe").join(found, (F.col("th") == F.col("found_hash")) & F.col("id").eqNullSafe(F.col("found_id")), "left")
     single = looked_up.filter("stays IS NULL").select("row")

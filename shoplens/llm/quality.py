@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import ship_code, staged
+from shoplens.llm.common import named, ship_code, staged
 
 TRAIN_ROWS = 20_000
 SLOTS = 1 << 12
@@ -241,4 +241,4 @@ def judge(docs: DataFrame, train_rows: int = TRAIN_ROWS, keep_from: float = KEEP
     verdicts for equal texts.  An empty table gives no rows.  Votes and scores read whole texts.
     """
     judged = verdict(train(docs, train_rows), keep_from)
-    return docs.select(F.struct(*docs.columns).alias("row"), judged(F.col("text")).alias("verdict"))
+    return docs.select(F.struct(*named(docs)).alias("row"), judged(F.col("text")).alias("verdict"))

@@ -767,10 +767,11 @@ def test_pipeline(spark):
 def test_pipeline_stages_take_odd_tables(spark, rows, stage):
     import corpus_pipeline as C
 
-    plain = "doc_id long, text string, lang string, source string, n_chars long, __row string, gone_id long"
-    made = [(i, t, "en", s, None if t is None else len(t), "x", 1) for i, t, s in rows]
-    out = C.STAGES[stage][1](spark, spark.createDataFrame(made, plain).repartition(3), SMALL)
-    assert 0 < out.count() <= len(rows)
+    plain = "doc_id long, text string, lang string, source string, n_chars long, __row string, gone_id long, __n_removed int, `a.b` int"
+    made = [(i, t, "en", s, None if t is None else len(t), "x", 1, 5, 6) for i, t, s in rows]
+    docs = spark.createDataFrame(made, plain).repartition(3)
+    out = C.STAGES[stage][1](spark, docs, SMALL)
+    assert 0 < out.count() <= len(rows) and (stage == 4 or out.columns == docs.columns)
     assert C.STAGES[stage][1](spark, spark.createDataFrame([], plain), SMALL).count() == 0
 
 
