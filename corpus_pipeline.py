@@ -19,11 +19,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later repeated runs of lines; a document all of whose words were such runs goes."""
-    cleaned = line_dedup.dedup_lines(docs)
-    kept = cleaned.filter("__n_removed = 0 OR text RLIKE '\\\\S'")
-    n_chars = F.when(F.col("__n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+    """Deletes later repeated runs of lines; a document all of whose words were such runs goes.  A document that loses lines
+    gets a new n_chars."""
+    counts = tuple(f"line_dedup {c} {len(docs.columns)}" for c in ("lines", "removed"))
+    while set(counts) & set(docs.columns):
+        counts = tuple(c + "_" for c in counts)
+    cleaned = line_dedup.dedup_lines(docs, counts=counts)
+    removed = F.col(f"`{counts[1]}`")
+    kept = cleaned.filter((removed == 0) | F.col("text").rlike(r"\S"))
+    n_chars = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    return kept.withColumn("n_chars", n_chars).drop(*counts)
 
 
 def copy_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
