@@ -59,7 +59,7 @@ def rollup_total(spark: SparkSession, dau_path: str, orders_path: str, date: str
     zero = F.lit(0).cast("long")
     counts = (hours.select(F.col("n").alias("dau"), zero.alias("new_mid")).unionByName(new.select(zero.alias("dau"), F.col("n").alias("new_mid")))
               .agg(F.coalesce(F.sum("dau"), zero).alias("dau"), F.coalesce(F.sum("new_mid"), zero).alias("new_mid")))
-    return dashboard.kpi_rows(counts, amounts.agg(F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("gmv")))
+    return dashboard.kpi_rows(counts, amounts.agg(F.sum("amount").cast("double").alias("gmv")))
 
 
 def rollup_hours(spark: SparkSession, dau_path: str, orders_path: str, kpi_id: str, date: str) -> DataFrame:

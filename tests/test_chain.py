@@ -148,7 +148,7 @@ def test_dau_batches_keep_first_days_and_hours(spark, scratch):
     per_day = everything.where("mid IS NOT NULL AND logdate IS NOT NULL").groupBy("mid").agg(F.min("logdate").alias("d"))
     for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
         got = {r.id: r.value for r in publisher.rollup_total(spark, path, f"{scratch}/orders", day).collect()}
-        assert got == {"dau": everything.where(F.col("logdate") == day).select("mid").distinct().count(), "new_mid": per_day.where(F.col("d") == day).count(), "order_amount": 0.0}
+        assert got == {"dau": everything.where(F.col("logdate") == day).select("mid").distinct().count(), "new_mid": per_day.where(F.col("d") == day).count(), "order_amount": None}
     hours = {r.hour: (r.today, r.yesterday) for r in publisher.rollup_hours(spark, path, "", "dau", "2024-01-03").collect()}
     assert hours["00"] == (3, 3) and len(hours) == 24
 
