@@ -120,6 +120,51 @@ def page_after(hits: DataFrame, after: tuple[str, str] | None, size: int) -> Dat
     return hits.orderBy("dt", "order_detail_id").limit(size)
 
 
+PAGE_PREFIXES = (4, 8, 12)  # leading characters of order_detail_id that name ever smaller ranges of a day
+
+
+def page_by_ranges(hits: DataFrame, start: int, size: int, prefixes: tuple[int, ...] = PAGE_PREFIXES) -> DataFrame:
+    """ORD1 for any page, asked by its number: the rows of :func:`page`, found through counted ranges.
+
+    Days are counted first, then the ranges of (day, leading characters of the id) within the days that the page covers,
+    and so on; each step leaves a contiguous region and the number of hits before it.  Only the last region is sorted, so
+    no task gathers the rows of the pages before.  ``hits`` should be a stored table: each step is a small count over it
+    (two columns, the region pushed down), and one row comes back to the driver.  ``order_detail_id`` must be unique and
+    not null, as for ``page``.
+    """
+    total, skip = None, start
+    region = hits
+    for prefix in (None, *prefixes):
+        cut = F.lit("") if prefix is None else F.substring("order_detail_id", 1, prefix)
+        counts = region.groupBy("dt", cut.alias("cut")).agg(F.count(F.lit(1)).alias("n"))
+        order = Window.partitionBy().orderBy("dt", "cut")  # one row a range of the region, not of the hits
+        ranges = counts.withColumn("upto", F.sum("n").over(order))
+        covered = (F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + size)
+        key = F.struct("dt", "cut")
+        found = ranges.agg(F.sum("n").alias("n"), F.min(F.when(covered, key)).alias("low"), F.max(F.when(covered, key)).alias("high"),
+                           F.min(F.when(covered, F.col("upto") - F.col("n"))).alias("before")).first()
+        total = found["n"] or 0 if total is None else total
+        if found["low"] is None:
+            return hits.where(F.lit(False)).withColumn("total", F.lit(total).cast("long"))
+        skip -= found["before"]
+        (first_day, first), (last_day, last) = found["low"], found["high"]
+        region = region.where(_from(first_day, cut, first) & _upto(last_day, cut, last))
+    return region.orderBy("dt", "order_detail_id").offset(skip).limit(size).withColumn("total", F.lit(total).cast("long"))
+
+
+def _from(day: str | None, cut: Column, first: str) -> Column:
+    """Rows at or behind (day, first); a null day sorts first."""
+    if day is None:
+        return F.col("dt").isNotNull() | (cut >= F.lit(first))
+    return (F.col("dt") >= F.lit(day)) & ((F.col("dt") > F.lit(day)) | (cut >= F.lit(first)))
+
+
+def _upto(day: str | None, cut: Column, last: str) -> Column:
+    if day is None:
+        return F.col("dt").isNull() & (cut <= F.lit(last))
+    return F.col("dt").isNull() | ((F.col("dt") <= F.lit(day)) & ((F.col("dt") < F.lit(day)) | (cut <= F.lit(last))))
+
+
 def _share(counts: DataFrame, key: str) -> DataFrame:
     # the grouped result has a handful of rows (genders, age bands), so a global window over it is cheap
     return counts.select(key, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))

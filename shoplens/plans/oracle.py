@@ -259,6 +259,24 @@ SELECT *, (SELECT count(*) FROM search_hits) AS total FROM search_hits
 ORDER BY dt, order_detail_id LIMIT {P.PAGE_SIZE} OFFSET {P.PAGE_START}"""
 
 
+def _ranked() -> str:
+    """BM25 of every document, k1 = 1.2 and b = 0.75."""
+    asked = ", ".join(f"'{t}'" for t in P.RANKED_QUERY.split())
+    return f"""
+WITH words AS (SELECT doc_id, list_filter({_TOKENS.format(c='text')}, lambda w: w <> '') AS words FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT doc_id, words, len(words) AS length FROM words WHERE len(words) > 0),
+totals AS (SELECT count(*) AS n_docs, sum(length) / count(*) AS mean FROM docs),
+asked AS (SELECT unnest([{asked}]) AS token),
+hits AS (SELECT doc_id, token, length, len(list_filter(words, lambda w: w = token)) AS tf FROM docs CROSS JOIN asked WHERE list_contains(words, token)),
+dfs AS (SELECT token, count(*) AS df FROM hits GROUP BY token),
+scores AS (
+  SELECT doc_id, CAST(sum(ln(1 + (n_docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
+    * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean)))) AS DECIMAL(18,6)) AS score
+  FROM hits JOIN dfs USING (token) CROSS JOIN totals GROUP BY doc_id)
+SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, CAST(score AS DOUBLE) AS score
+FROM scores ORDER BY score DESC, doc_id LIMIT {P.TOP_N}"""
+
+
 def _share(key_expr: str, key: str) -> str:
     return _with("sale_detail_user") + f"""
 SELECT {key}, n, n / sum(n) OVER () AS share FROM (
@@ -414,6 +432,10 @@ SELECT id, login_name, user_level, birthday, gender, seq FROM ({routed_users}) W
     out["chain_sale_detail_user"] = _with("order_info", "order_detail", "user_log") + f""", sale_detail AS ({_SALE}{_within(100)}{routed_pair}
 ), user_latest AS (SELECT * FROM ({routed_users}) WHERE rn = 1)
 """ + CTES["sale_detail_user"]
+    out["sale_search_deep_page"] = f"""
+WITH hits AS ({out["sale_search_level"]})
+SELECT *, (SELECT count(*) FROM hits) AS total FROM hits ORDER BY dt, order_detail_id LIMIT {P.PAGE_SIZE} OFFSET {P.DEEP_START}"""
+    out["match_ranked"] = _ranked()
     # the publisher's questions over the stored tables answer exactly what the same questions answer over the
     # tables they were written from
     out["stored_kpi_total"] = out["kpi_total"]

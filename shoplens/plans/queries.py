@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import sinks
-from shoplens.operators import alerts, dashboard, dau, gmv, publisher, routing, sales
+from shoplens.operators import alerts, dashboard, dau, gmv, publisher, routing, sales, search_index
 from shoplens.operators.dims import latest_users, version_order
 from shoplens.operators.keyed import latest_by_key
 from shoplens.schemas import ORDER_INFO, TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_USER_INFO
@@ -42,6 +42,8 @@ WIDE_WINDOW_SECONDS, WIDE_SLIDE_SECONDS = 14400, 300  # windows in which the tes
 MIDDLE_TTL_SECONDS = 120  # between the default and the widest offset of the test data
 PAIRS_FROM = "1996-06-01"
 SEARCH_LEVEL = "3"
+DEEP_START = 80
+RANKED_QUERY = "public license data"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +322,13 @@ def q_sale_search_page(spark, sf_dir):
     return dashboard.page(hits, PAGE_START, PAGE_SIZE)
 
 
+def q_sale_search_deep_page(spark, sf_dir):
+    """ORD1 far behind the first page, over the stored hits of every day."""
+    path = checkpoint_path(spark, f"hits-{uuid.uuid4().hex}")
+    q_sale_search_level(spark, sf_dir).hint("rebalance").sortWithinPartitions("dt", "order_detail_id").write.parquet(path)
+    return dashboard.page_by_ranges(spark.read.parquet(path), DEEP_START, PAGE_SIZE)
+
+
 def q_gender_share(spark, sf_dir):
     return dashboard.gender_share(_sale_detail_user(_t(spark, sf_dir)))
 
@@ -345,6 +354,13 @@ def q_match_max(spark, sf_dir):
     return dashboard.match_max(_t(spark, sf_dir).customer, "c_mktsegment", MATCH_QUERY, "c_acctbal")
 
 
+def q_match_ranked(spark, sf_dir):
+    """FLT6 by relevance, over an index of all documents."""
+    path = checkpoint_path(spark, f"index-{uuid.uuid4().hex}")
+    search_index.write_index(_t(spark, sf_dir).documents, "doc_id", "text", path)
+    return search_index.match_ranked(spark, path, RANKED_QUERY, TOP_N).withColumnRenamed("key", "doc_id")
+
+
 # ---- routing, ingest, keyed documents ---------------------------------------------------------------------------
 
 def q_route_logs(spark, sf_dir):
@@ -475,4 +491,6 @@ QUERIES: dict[str, Query] = {
     "chain_sale_detail_user": q_chain_sale_detail_user,
     "rollup_kpi_total": q_rollup_kpi_total,
     "rollup_gmv_hours": q_rollup_gmv_hours,
+    "sale_search_deep_page": q_sale_search_deep_page,
+    "match_ranked": q_match_ranked,
 }

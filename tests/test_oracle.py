@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from shoplens.plans.queries import QUERIES
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
 def _norm(v):
