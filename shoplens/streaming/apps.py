@@ -2,7 +2,9 @@
 
 Each app reads its topic(s) — Kafka in service, or a folder standing in for a topic (JSON lines, or with ``messages:``
 Parquet files of messages with their time and offset) — runs the shared operators and writes its table.  Its checkpoint
-is ``<out>.checkpoint`` unless given, so a restart goes on where it stopped.  Malformed records go to ``<out>.rejected``.
+is ``<out>.checkpoint`` unless given, so a restart goes on where it stopped.  An app started from the command line reads
+each topic once, into ``<out>.intake``; its outputs stream from there: the main one, malformed records in
+``<out>.rejected`` and, for jobs with event-time state, rows that came too late in ``<out>.late``.
 The session is the one spark-submit configures; the app sets nothing but the time zone.
 
 =================  ==========================  =============================================  ======================
@@ -30,13 +32,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
 from shoplens.sinks import archive_lines
-from shoplens.sources.ingest import file_stream, good_records, message_stream, parse_records, topic_pattern_stream, topic_stream
-from shoplens.streaming import jobs
+from shoplens.sources.ingest import file_stream, message_stream, topic_pattern_stream, topic_stream
+from shoplens.streaming import intake, jobs
 
 
-def source(spark: SparkSession, spec: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def source(spark: SparkSession, spec: str | DataFrame, max_files_per_trigger: int | None = None) -> DataFrame:
     """``kafka://<bootstrap>/<topic>`` (a topic ending in ``*`` is a pattern), ``messages:<folder>`` of Parquet messages,
-    or a folder of JSON-lines files."""
+    a folder of JSON-lines files, or the records of an intake."""
+    if isinstance(spec, DataFrame):
+        return spec
     if spec.startswith("kafka://"):
         bootstrap, topic = spec[len("kafka://"):].split("/", 1)
         if topic.endswith("*"):
@@ -115,18 +119,11 @@ def route_logs_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL
 
 def archive_logs_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
                      checkpoint: str | None = None) -> StreamingQuery:
-    logs = good_records(parse_records(source(spark, src), schemas.RAW_LOG, extra="_more"))
+    logs = jobs.parsed(source(spark, src), schemas.RAW_LOG, extra="_more")
     return jobs.start_file_sink(archive_lines(logs, extra="_more"), out, "archive_logs_app", fmt="text", partition_by="dt",
                                 trigger=trigger, checkpoint=checkpoint)
 
 
-def rejected_app(spark, app: str, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-                 checkpoint: str | None = None) -> StreamingQuery:
-    """The malformed records of an app's source, into ``<out>.rejected``."""
-    return jobs.start_rejected_sink(source(spark, src), SOURCE_SCHEMA[app], out.rstrip("/") + ".rejected", f"{app}_rejected",
-                                    trigger=trigger, checkpoint=checkpoint)
-
-
 SOURCE_SCHEMA = {app: schemas.STREAMS[stream][1] for app, stream in
                  (("dau", "startup"), ("gmv", "order_info"), ("alert", "event"), ("sale_detail", "order_info"), ("user_info", "user_info"))}
 SOURCE_SCHEMA |= {"route_changes": schemas.CHANGE_EVENT, "route_logs": schemas.RAW_LOG, "archive_logs": schemas.RAW_LOG}
@@ -160,25 +157,59 @@ def main(argv: list[str] | None = None) -> None:
         q.awaitTermination()
 
 
+def side_path(out: str, checkpoint: str | None) -> str:
+    """What the names of side outputs start with: the output, or the checkpoint of an output that is no folder."""
+    return (checkpoint if out.startswith("kafka://") else out).rstrip("/")
+
+
+def lateness_of(a: argparse.Namespace) -> dict[str, intake.Lateness]:
+    """Per input of the app ("" or ".lines"), what makes a row late; jobs without event-time state have none."""
+    if a.app == "alert":
+        return {"": intake.alert_lateness(panes=a.panes)}
+    if a.app == "dau" and a.dau_form == "state":
+        return {"": intake.log_lateness()}
+    if a.app == "sale_detail":
+        return {"": intake.text_lateness("create_time"), ".lines": intake.text_lateness("detail_time")}
+    return {}
+
+
+def taken_in(spark: SparkSession, a: argparse.Namespace, src: str, tag: str, schema, trigger: str) -> tuple[DataFrame, list[StreamingQuery]]:
+    """The good records of one topic, and the queries that read it and keep its other records."""
+    base, late = side_path(a.out, a.checkpoint) + tag, lateness_of(a).get(tag)
+    messages = source(spark, src)
+    carried = tuple(c for c in intake.CARRIED if c in messages.columns)
+    if late and tag and "timestamp" in carried:
+        late = intake.text_lateness("detail_time", arrival="timestamp")
+    extra = "_more" if schema is schemas.RAW_LOG else None
+    path, name = f"{base}.intake", f"{a.app}{tag.replace('.', '_')}"
+    queries = [intake.start_intake(messages, schema, path, f"{name}_intake", late, extra, trigger)]
+    if trigger == "availableNow":
+        queries[0].awaitTermination()  # what is behind it ends with what is there now
+    for kind in (intake.REJECTED, *((intake.LATE,) if late else ())):
+        rows = intake.records(spark, path, schema, kind, carried, extra)
+        queries.append(jobs.start_file_sink(rows, f"{base}.{kind}", f"{name}_{kind}", trigger=trigger))
+    return intake.records(spark, path, schema, intake.GOOD, carried, extra), queries
+
+
 def start(spark: SparkSession, a: argparse.Namespace, trigger: str) -> list[StreamingQuery]:
-    """The app's query, and those that keep the malformed records of its sources."""
+    """The app's query, and those that take its topics in and keep their malformed and late records."""
+    src, queries = taken_in(spark, a, a.source, "", SOURCE_SCHEMA[a.app], trigger)
     if a.app == "sale_detail":
-        main_query = sale_detail_app(spark, a.source, a.source2, a.out, a.users, trigger, a.checkpoint, a.salt_buckets)
-        lines = jobs.start_rejected_sink(source(spark, a.source2), schemas.ORDER_DETAIL, a.out.rstrip("/") + ".lines.rejected",
-                                         "sale_detail_lines_rejected", trigger=trigger)
-        return [main_query, lines, rejected_app(spark, a.app, a.source, a.out, trigger)]
-    if a.app == "dau":
-        q = dau_app(spark, a.source, a.out, trigger, a.checkpoint, form=a.dau_form)
+        lines, more = taken_in(spark, a, a.source2, ".lines", schemas.ORDER_DETAIL, trigger)
+        queries += more
+        q = sale_detail_app(spark, src, lines, a.out, a.users, trigger, a.checkpoint, a.salt_buckets)
+    elif a.app == "dau":
+        q = dau_app(spark, src, a.out, trigger, a.checkpoint, form=a.dau_form)
     elif a.app == "route_changes":
-        q = route_changes_app(spark, a.source, a.out, a.database, trigger, a.checkpoint)
+        q = route_changes_app(spark, src, a.out, a.database, trigger, a.checkpoint)
     elif a.app == "alert":
-        q = alert_app(spark, a.source, a.out, trigger, a.checkpoint, a.panes)
+        q = alert_app(spark, src, a.out, trigger, a.checkpoint, a.panes)
     elif a.app == "user_info":
-        q = user_info_app(spark, a.source, a.out, trigger, a.checkpoint, a.user_form)
+        q = user_info_app(spark, src, a.out, trigger, a.checkpoint, a.user_form)
     else:
         q = {"gmv": gmv_app, "route_logs": route_logs_app,
-             "archive_logs": archive_logs_app}[a.app](spark, a.source, a.out, trigger, a.checkpoint)
-    return [q, rejected_app(spark, a.app, a.source, a.out, trigger)]
+             "archive_logs": archive_logs_app}[a.app](spark, src, a.out, trigger, a.checkpoint)
+    return [q, *queries]
 
 
 if __name__ == "__main__":

@@ -44,9 +44,11 @@ def _keep(messages: DataFrame, *wanted: str) -> tuple[str, ...]:
     return tuple(c for c in wanted if c in messages.columns)
 
 
-def parsed(messages: DataFrame, schema, *keep: str) -> DataFrame:
-    """The good records; :func:`start_rejected_sink` keeps the others."""
-    return good_records(parse_records(messages, schema, _keep(messages, *keep)))
+def parsed(messages: DataFrame, schema, *keep: str, extra: str | None = None) -> DataFrame:
+    """The good records; an intake (``streaming.intake``) keeps the others, and its rows are parsed already."""
+    if "value" not in messages.columns:
+        return messages.select(*schema.names, *_keep(messages, *keep), *((extra,) if extra else ()))
+    return good_records(parse_records(messages, schema, _keep(messages, *keep), extra))
 
 
 def order_lines(messages: DataFrame) -> DataFrame:
@@ -58,13 +60,6 @@ def order_lines(messages: DataFrame) -> DataFrame:
     return lines.withColumn("detail_time", F.coalesce("detail_time", arrival)).drop("timestamp")
 
 
-def rejected(messages: DataFrame, schema) -> DataFrame:
-    """Malformed records: their raw text, with what their message carries."""
-    keep = _keep(messages, *ARRIVAL)
-    records = parse_records(messages, schema, keep)
-    return records.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"), *keep)
-
-
 # ---- DAU (DAU2) ---------------------------------------------------------------------------------------------------
 
 def dau_first_seen(startup_msgs: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -348,7 +343,7 @@ def user_latest_stream(user_msgs: DataFrame) -> DataFrame:
 
 def routed_logs(raw_msgs: DataFrame, stamp: bool = False) -> DataFrame:
     """FLT1 + PRJ6: raw logs with their topic and JSON value (receive-time stamp optional)."""
-    logs = good_records(parse_records(raw_msgs, RAW_LOG, extra="_more"))
+    logs = parsed(raw_msgs, RAW_LOG, extra="_more")
     return routing.route_logs(logs, F.unix_millis(F.current_timestamp()) if stamp else None, extra="_more")
 
 
@@ -405,12 +400,6 @@ def start_split_sink(messages: DataFrame, schema, transform: Callable[[DataFrame
     return _trigger(w, trigger).start()
 
 
-def start_rejected_sink(messages: DataFrame, schema, path: str, name: str, trigger: str = BATCH_INTERVAL,
-                        checkpoint: str | None = None) -> StreamingQuery:
-    """SRC3's side output beside a stateful job: its malformed records, as a query of its own over the same source."""
-    return start_file_sink(rejected(messages, schema), path, name, trigger=trigger, checkpoint=checkpoint)
-
-
 def start_enriched_sink(sales_rows: DataFrame, users_path: str, path: str, name: str, trigger: str = BATCH_INTERVAL,
                         checkpoint: str | None = None, as_of=None) -> StreamingQuery:
     """JOI7 live: each micro-batch of sale details is joined to the user table as it stands then, and stored under its
