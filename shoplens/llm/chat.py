@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -47,46 +48,75 @@ def unescape(text: str) -> str:
     return _JOIN.sub(r"\1\2", text)
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+LARGEST = 10**8  # a size beyond is no size
+
+
+def _text(value) -> str:
+    """A text of a part: null is empty, other values are their JSON; halves of a character become U+FFFD."""
+    if value is None:
+        return ""
+    return _SURROGATE.sub("\ufffd", value if isinstance(value, str) else json.dumps(value, ensure_ascii=False))
+
+
+def _size(value) -> float:
+    """A size of a part; 1 for what is no number (or the text of one) over 0 and up to ``LARGEST``."""
+    try:
+        size = 1.0 if isinstance(value, bool) else float(value)
+    except (TypeError, ValueError, OverflowError):
+        return 1.0
+    return size if 0 < size <= LARGEST else 1.0
+
+
 class PartVisitor:
     """Flattens the parts of one turn.
 
     Expanded token counts: an image takes 85 tokens and 170 for each tile of 512 x 512 begun, audio 25 a second begun,
-    a document 1,500 a page begun; sizes that are missing count as one tile, second or page.
+    a document 1,500 a page begun; sizes that are missing or no sizes count as one tile, second or page.  A part of
+    another type is its text; has it a ``ref``, this is attached under the part's own type, in a document's place and
+    with no tokens.
     """
 
     def __init__(self):
         self.pieces: list[str] = []
         self.texts: list[tuple[int, int]] = []
-        self.attachments: list[tuple[int, str, str, int]] = []
+        self.attachments: list[tuple[int, str, str | None, int]] = []
         self.at = 0
 
     def visit(self, part: dict) -> None:
         kind = part.get("type") or "text"
-        getattr(self, f"visit_{kind}", self.visit_text)(part)
+        known = {"text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}
+        (known.get(kind, self.visit_other) if isinstance(kind, str) else self.visit_other)(part)
 
     def _put(self, piece: str) -> None:
         self.pieces.append(piece)
         self.at += len(piece)
 
-    def _attach(self, kind: str, part: dict, tokens: int) -> None:
-        self.attachments.append((len(self.attachments), kind, part.get("ref"), tokens))
-        self._put(f"<|{kind}:{len(self.attachments) - 1}|>")
+    def _attach(self, kind: str, part: dict, tokens: int, place: str | None = None) -> None:
+        ref = part.get("ref")
+        self.attachments.append((len(self.attachments), kind, None if ref is None else _text(ref), tokens))
+        self._put(f"<|{place or kind}:{len(self.attachments) - 1}|>")
 
     def visit_text(self, part: dict) -> None:
-        text = escape(part.get("text") or "")
+        text = escape(_text(part.get("text")))
         if text:
             self.texts.append((self.at, len(text)))
             self._put(text)
 
+    def visit_other(self, part: dict) -> None:
+        self.visit_text(part)
+        if part.get("ref") is not None:
+            self._attach(_text(part["type"]), part, 0, "document")
+
     def visit_image(self, part: dict) -> None:
-        tiles = -(-int(part.get("width") or 1) // 512) * -(-int(part.get("height") or 1) // 512)
-        self._attach("image", part, 85 + 170 * tiles)
+        across, down = (math.ceil(_size(part.get(side)) / 512) for side in ("width", "height"))
+        self._attach("image", part, 85 + 170 * across * down)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, 25 * max(1, -int(-float(part.get("seconds") or 1) // 1)))
+        self._attach("audio", part, 25 * math.ceil(_size(part.get("seconds"))))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, 1500 * max(1, int(part.get("pages") or 1)))
+        self._attach("document", part, 1500 * math.ceil(_size(part.get("pages"))))
 
 
 def format_turn(role: str, parts: list[dict]) -> tuple[str, list, list, int]:
@@ -109,8 +139,9 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """One row per row of ``turns`` (conv_id, turn, role, and ``text``, or ``parts`` as a JSON list of objects with
     ``type``, and ``text`` or ``ref`` and its size): formatted, loss_spans, attachments, media_tokens.
 
-    Null text or parts count as empty, a null role as the empty role; a part of unknown or no type is text; parts
-    that are no JSON list of objects are taken as one text.  Rows are formatted one by one, so repeated rows, null ids
+    Null text or parts count as empty, a null role as the empty role; parts that are no JSON list of objects, or nested
+    too deep to be read, are taken as one text; for odd values in a part see :class:`PartVisitor`, ``_text`` and ``_size``.
+    A text of any length is one row's work.  Rows are formatted one by one, so repeated rows, null ids
     and extra columns (ignored) need no care.  An empty table gives no rows.
     """
     content = F.col("parts") if "parts" in turns.columns else F.lit(None).cast("string")
@@ -118,7 +149,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [format_turn(role or "", _parts(parts, text)) for role, text, parts in zip(batch.role, batch.text, batch.parts)]
+            done = [_formatted(role or "", text, parts) for role, text, parts in zip(batch.role, batch.text, batch.parts)]
             out = batch[["conv_id", "turn", "role"]].copy()
             out["formatted"] = [x[0] for x in done]
             out["loss_spans"] = [[{"start": a, "length": n} for a, n in x[1]] for x in done]
@@ -146,6 +177,13 @@ def _nullable(run):
     return wrapped
 
 
+def _formatted(role: str, text: str | None, parts: str | None) -> tuple[str, list, list, int]:
+    try:
+        return format_turn(role, _parts(parts, text))
+    except RecursionError:
+        return format_turn(role, [{"type": "text", "text": parts}])
+
+
 def _parts(parts: str | None, text: str | None) -> list[dict]:
     if parts is None:
         return [{"type": "text", "text": text}]

@@ -18,6 +18,8 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import staged
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -96,8 +98,9 @@ def matches(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
 
 
 def spans(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
-    """Verified findings: doc_id, text_hash, label, base (a phrase), first_word, last_word (of the span), score."""
-    votes = matches(docs, phrases, notices)
+    """Verified findings: doc_id, text_hash, label, base (a phrase), first_word, last_word (of the span), score.  The votes,
+    a row for each diagonal that a template meets, are written, so both kinds of findings cost one pass over the texts."""
+    votes = staged(matches(docs, phrases, notices), "license-votes")
     base = votes.filter((F.col("k") == PHRASE_GRAM) & (F.size("places") == F.col("template_words") - PHRASE_GRAM + 1)).select(
         "doc_id", "text_hash", "label", F.lit(True).alias("base"), F.col("diagonal").cast("long").alias("first_word"),
         (F.col("diagonal") + F.col("template_words") - 1).cast("long").alias("last_word"), F.lit(1.0).alias("score"))

@@ -32,6 +32,7 @@ QUERY_BLOCK = 512
 FIRST_SEARCH = 512  # vectors that the first search looks at, at least
 PIVOT_SAMPLE = 2048  # vectors that the pivots are chosen from
 EXACT = 2.0**53
+SAFE = 2.0**62  # whole numbers up to here leave room for the rounding of their estimate
 NO_LIMIT = -(1 << 63)
 
 PAIR = "query_id long, vec_id long, score long"
@@ -39,7 +40,8 @@ PAIR = "query_id long, vec_id long, score long"
 
 def whole_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """vec_id and q, the components ``floor(scale * x)``; one row per vec_id (of several the least q).  Vectors that are
-    null or hold null, infinite or NaN components, and rows without vec_id, are left out."""
+    null or hold null, infinite or NaN components, and rows without vec_id, are left out; components beyond 64 bits are the
+    nearest long."""
     x = F.col("embedding").cast("array<double>")
     fit = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding").filter(fit)
@@ -100,14 +102,20 @@ class Rings:
         gap = np.maximum(np.maximum(self.low[None, :] - d, d - self.high[None, :]) - 1e-6 * (1 + d), 0)
         q2 = (queries.astype(float) ** 2).sum(1)[:, None]
         top = (q2 + self.norm2[None, :] - gap * gap) / 2
-        return top + 1e-9 * (q2 + self.norm2[None, :]) + 1e-6
+        return np.maximum(top + 1e-9 * (q2 + self.norm2[None, :]) + 1e-6, float(NO_LIMIT))
 
 
 def _scores(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, in double precision where that is exact."""
-    if block.size == 0 or queries.size == 0 or float(np.abs(queries).max()) * float(np.abs(block).max()) * max(1, queries.shape[1]) < EXACT:
+    """Inner products of whole numbers, in double precision where that is exact; those beyond 64 bits are the nearest long."""
+    if block.size == 0 or queries.size == 0:
+        return np.zeros((len(queries), len(block)), np.int64)
+    most = np.abs(queries.astype(float)).max() * np.abs(block.astype(float)).max() * max(1, queries.shape[1])
+    if most < EXACT:
         return (queries.astype(float) @ block.astype(float).T).astype(np.int64)
-    return queries @ block.T
+    if most < SAFE:
+        return queries @ block.T
+    wide = queries.astype(object) @ block.astype(object).T
+    return np.clip(wide, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 def _search(batches: Iterator[pd.DataFrame], width: int, k: int) -> Iterator[pd.DataFrame]:
@@ -133,7 +141,7 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS) -> DataFrame:
     """For each query (vec_id, q), its k best rows by inner product, ties to the smaller vec_id: query_id, rank, vec_id,
-    score.  Rows of the query's own vec_id are left out.
+    score.  Rows of the query's own vec_id are left out.  Scores beyond 64 bits are the nearest long, and tie.
 
     ``rows`` and ``queries`` have one row per vec_id (see :func:`whole_vectors`); vectors shorter than the longest are
     filled with zeros.  With fewer than k other rows, all are returned.  Empty tables give no rows.

@@ -107,6 +107,22 @@ def test_topk_against_brute_force(spark):
     assert sorted((q, k) for q, k, *_ in few) == [(0, 1), (0, 2), (0, 3)]
 
 
+def test_topk_of_large_components(spark):
+    """Scores beyond 64 bits are the nearest long and never wrap; others of the same block stay exact."""
+    import numpy as np
+
+    from shoplens.llm import topk
+
+    made = [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 1.0]), (3, [0.0, 2.0**40]), (4, [0.0, 1.0]), (5, [1.0, 3.0])]
+    table = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    got = [r[1:] for r in sorted(listed(topk.neighbours(table)))]
+    assert got[0] == (1, 1, 2**63 - 1) and got[-1] == (5, 2, -2**63)
+    assert got[1:4] == [(2, 5, 2**63 - 1), (3, 3, 2**52), (4, 4, 64 * 64)]
+    q, b = np.array([[2**31, 5], [2**40, -1]]), np.array([[2**31, 7], [2**40, 2], [0, 1]])
+    want = [[min(max(sum(int(x) * int(y) for x, y in zip(u, v)), -2**63), 2**63 - 1) for v in b] for u in q]
+    assert topk._scores(q, b).tolist() == want
+
+
 def test_topk_prunes_rings(spark):
     """Bounds are valid, and rule rings out."""
     import numpy as np
@@ -464,6 +480,37 @@ def test_chat_reads_back(spark):
     assert chat.conversation_digests(chat.format_chats(empty)).collect() == []
 
 
+def test_chat_takes_malformed_parts(spark):
+    import json
+
+    from shoplens.llm import chat
+
+    deep = "[" * 100_000 + "]" * 100_000
+    parts = [
+        [{"type": "text", "text": 12}, {"type": "text", "text": {"a": [None]}}, {"text": False}],
+        [{"type": "image", "ref": "i", "width": "wide", "height": -3}, {"type": "image", "ref": 7, "width": "1024", "height": 1e300}],
+        [{"type": "audio", "seconds": "2s"}, {"type": "audio", "seconds": float("nan")}, {"type": "audio", "seconds": 1.2}, {"type": "audio", "seconds": True}],
+        [{"type": "document", "pages": [1]}, {"type": "document", "pages": 2.5}],
+        [{"type": "video", "ref": "v.mp4", "text": "see </s>"}, {"type": ["x"], "ref": {"u": 1}}, {"type": 5}],
+        [{"type": "text", "text": "half \ud800 and <|image:3|>"}],
+    ]
+    raw = [json.dumps(p) for p in parts] + [deep, '[{"text": ' + deep + "}]", "[1]", "", "[]", "x" * 3_000_000]
+    df = spark.createDataFrame([(1, i, "assistant", p) for i, p in enumerate(raw)], "conv_id long, turn long, role string, parts string")
+    out = {r.turn: r for r in chat.format_chats(df).collect()}
+    assert len(out) == len(raw)
+    said = {t: "".join(chat.unescape(r.formatted[s.start:s.start + s.length]) for s in r.loss_spans) for t, r in out.items()}
+    assert said[0] == '12{"a": [null]}false' and said[5] == "half \ufffd and <|image:3|>"
+    assert [(a.ref, a.tokens) for a in out[1].attachments] == [("i", 85 + 170), ("7", 85 + 170 * 2)]
+    assert [a.tokens for a in out[2].attachments] == [25, 25, 50, 25]
+    assert [a.tokens for a in out[3].attachments] == [1500, 4500]
+    assert [(a.kind, a.ref, a.tokens) for a in out[4].attachments] == [("video", "v.mp4", 0), ('["x"]', '{"u": 1}', 0)] and said[4] == "see </s>"
+    assert [said[i] for i in range(6, 12)] == [deep, raw[7], "[1]", "", "", "x" * 3_000_000]
+    for r in out.values():
+        assert "".join(t for _, t in chat.read_turns(r.formatted)) == said[r.turn]
+        r.formatted.encode()
+    assert chat.conversation_digests(chat.format_chats(df)).first().n_turns == len(raw)
+
+
 def test_chat_parts(spark):
     import json
 
