@@ -3,7 +3,7 @@
 A match query is the OR of its tokens: a row matches when its text shares at least one token with the query.
 Tokens are maximal runs of letters/digits, lower-cased.  Text without word breaks (e.g. CJK) cannot be split
 into words without a dictionary, so a query token of such a script matches as a substring.
-Relevance ranking of a search engine is not reproduced.
+Ranking by relevance is in ``operators.search_index``.
 """
 
 from __future__ import annotations

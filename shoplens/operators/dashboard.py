@@ -209,7 +209,7 @@ def product_top(details: DataFrame, n: int = 10) -> DataFrame:
 
 def match_search(docs: DataFrame, text_col: str, query: str, order_by: str, n: int = 10) -> DataFrame:
     """FLT6: documents whose ``text_col`` matches ``query`` — the first ``n`` hits in ``order_by`` order, each with
-    the total hit count (relevance ranking of a search engine is not reproduced; the order is a stable key)."""
+    the total hit count (in the order of a stable key; by relevance: ``search_index.match_ranked``)."""
     hits = docs.where(matches(text_col, query))
     total = hits.agg(F.count(F.lit(1))).scalar()
     return hits.orderBy(order_by).limit(n).withColumn("total", total)
