@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import ship_code
@@ -29,7 +30,7 @@ LEAST, NORMAL, MOST = 16, 32, 128
 WIDTH = 16  # bytes that the 16-bit hash depends on
 STRICT, LOOSE = 1 << (16 - 6), 1 << (16 - 4)  # below: 6 or 4 upper bits are zero
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), seed=20) & 0xFFFF for b in range(256)], np.uint16)
-CELLS = 1 << 14
+QUANTILE_STEPS = 20  # a partition's rows are counted to one part in this many
 OUT_ROWS = 500
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -124,37 +125,48 @@ class Print:
                 likeness(self.set, chunks), likeness(self.set, following.set))
 
 
+def _limits(docs: DataFrame) -> list[tuple]:
+    """Starts (has an id, id, text hash) of all partitions but the first, of about equal row counts, from counted quantiles
+    of the ids.  An id, or rows without one, that fill several partitions are cut by text hash as often."""
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    size = max(1, -(-rows // parts))
+    spread = Counter({(False, 0): -(-(rows - ids) // size)})
+    shares = [i * size / ids for i in range(1, -(-ids // size))] if ids else []
+    if ids:
+        cuts = docs.agg(F.percentile_approx("doc_id", [0.0, *shares], QUANTILE_STEPS * parts)).first()[0]
+        spread += Counter((True, int(c)) for c in cuts)
+    starts = sorted((has, key, -(1 << 63) + (1 << 64) * j // n) for (has, key), n in spread.items() for j in range(n))
+    return starts[1:]
+
+
 def _in_order(docs: DataFrame) -> DataFrame:
     """Rows by doc_id in partitions of about equal row counts, sorted, the first row of the following partition (after
     the last, of the first) behind each.
 
-    Counts over ``CELLS`` equal cells of the id range give the partition limits, so the driver holds that many numbers
-    and the text is shuffled once.
+    The driver holds a few numbers for each partition; the texts are shuffled once, and read twice more where they lie, for
+    the first row of each partition.  Rows alike in id and text lie in one partition.
     """
     spark = docs.sparkSession
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    key: Column = F.coalesce(F.col("doc_id"), F.lit(low - 1))  # null ids stand first
-    cell = F.floor((key.cast("double") - float(low) + 1) / (float(high) - float(low) + 2) * CELLS).cast("long")
-    found = sorted(docs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).collect())
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    size = max(1, -(-sum(r.n for r in found) // parts))
-    limits, filled, first = [], 0, {}
-    for r in found:
-        part = filled // size
-        filled += r.n
-        first.setdefault(part, r["first"])
-        limits.append((r.cell, part))
-    used = sorted(first)
-    before = dict(zip(used, used[-1:] + used[:-1]))
-    table = spark.createDataFrame([(c, p, first[p], before[p]) for c, p in limits] or [(0, 0, 0, 0)], "__cell long, __part int, __first long, __before int")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("__key"), cell.alias("__c"))
-    rows = rows.join(F.broadcast(table), F.col("__c") == F.col("__cell"))  # at most CELLS rows
-    places = F.when(F.col("__key") == F.col("__first"), F.array(F.struct(F.col("__part").alias("part"), F.lit(0).alias("guest")), F.struct(F.col("__before").alias("part"), F.lit(1).alias("guest")))
-                    ).otherwise(F.array(F.struct(F.col("__part").alias("part"), F.lit(0).alias("guest"))))
-    rows = rows.withColumn("__at", F.explode(places)).select("__at.part", "__at.guest", "__key", "doc_id", "text")
-    rows = rows.withColumn("th", F.xxhash64("text")).repartitionById(max(1, len(used)), "part")
-    return rows.sortWithinPartitions("part", "guest", "__key", "th", "text").select("part", "guest", "doc_id", "text")
+    limits = _limits(docs)
+
+    @F.pandas_udf("int")
+    def part_of(has: pd.Series, key: pd.Series, th: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(limits, at) for at in zip(has.tolist(), key.tolist(), th.tolist())], dtype="int32")
+
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.col("doc_id").isNotNull().alias("has"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("key"),
+                       F.xxhash64(text).alias("th"))
+    rows = rows.withColumn("part", part_of("has", "key", "th"))
+    found = sorted(rows.groupBy("part").agg(F.min(F.struct("has", "key", "th")).alias("at")).collect())  # a row for each partition
+    used = [r.part for r in found]
+    following = zip(used[-1:] + used[:-1], (tuple(r["at"]) for r in found))
+    firsts = spark.createDataFrame([(p, *at) for p, at in following], "part int, has boolean, key long, th long")
+    guests = rows.drop("part").join(F.broadcast(firsts), ["has", "key", "th"])  # as many rows as partitions
+    guests = guests.groupBy("part", "has", "key", "th").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    own = rows.withColumn("guest", F.lit(0))
+    both = own.unionByName(guests.withColumn("guest", F.lit(1))).repartitionById(len(limits) + 1, "part")
+    return both.sortWithinPartitions("part", "guest", "has", "key", "th", "text").select("part", "guest", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -173,8 +185,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for p, guest, doc_id, text in zip(batch.part, batch.guest, batch.doc_id, batch.text):
                 if p != part:
                     part, last = p, None
-                if guest and last is None:
-                    continue  # a further guest of the same id
                 now = Print(None if pd.isna(doc_id) else int(doc_id), text)
                 if last is not None:
                     rows.append(last.row(now))

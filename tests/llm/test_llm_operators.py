@@ -232,6 +232,43 @@ def test_fingerprints_against_brute_force(spark, rows):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and alone.near_next == 1.0
 
 
+def test_fingerprints_of_hot_and_outlying_ids(spark):
+    """One outlying id, a third of all rows without id and a third with one id are spread over the partitions."""
+    from shoplens.llm import fingerprint as P
+
+    least = -(1 << 63)
+    data = [(None, f"no id {i} " + prose(i, 12), "s") for i in range(120)] + [(7, f"hot {i} " + prose(i, 12), "s") for i in range(120)]
+    data += [(i * 3 + 100, f"own {i} " + prose(i, 12), "s") for i in range(120)] + [(least, "the least id", "s"), (1 << 62, "far out", "s")]
+    docs = frame(spark, data)
+    laid = P._in_order(docs.select("doc_id", "text")).collect()
+    sizes = Counter(r.part for r in laid if not r.guest)
+    assert sum(sizes.values()) == len(data) and max(sizes.values()) <= 4 * len(data) / 16
+    assert sorted(r.part for r in laid if r.guest) == sorted(sizes)
+    order = {}
+    for r in docs.select("doc_id", "text", F.xxhash64("text").alias("th")).collect():
+        order[r.text] = (r.doc_id is not None, r.doc_id or 0, r.th)
+    texts = sorted(order, key=order.get)
+    got = {r.edited_sha256 for r in P.fingerprints(docs).collect()}
+    want = {hashlib.sha256((t[:len(t) - len(t) // 4] + after[:len(t) // 4]).encode()).hexdigest() for t, after in zip(texts, texts[1:] + texts[:1])}
+    assert got == want
+
+
+def test_ranks_of_rows_without_ids_are_spread(spark):
+    """Rows that share an id, or have none, fall into many buckets of the shuffle by hash."""
+    from shoplens.llm import common, mixing, sharding
+
+    taken = []
+    real = common.numbered
+    data = [(None, f"text {i}", "s") for i in range(400)]
+    for module, call in ((sharding, lambda d: sharding.assign_shards(d)), (mixing, lambda d: mixing.mix(d))):
+        module.numbered = lambda df, bucket, *a, **k: taken.append(df.select(bucket).distinct().count()) or real(df, bucket, *a, **k)
+        try:
+            assert call(frame(spark, data)).count() == 400
+        finally:
+            module.numbered = real
+    assert len(taken) == 3 and min(taken) > 50
+
+
 def test_chunks_resist_shifts():
     from shoplens.llm import fingerprint as P
 
