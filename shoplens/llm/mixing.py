@@ -98,7 +98,7 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_RO
     They are followed exactly; ``period`` rounds them to multiples of ``1 / period`` first (each source at least one).
     Sources of the table that ``weights`` lacks get one slot in ``period``, or else in ``PERIOD`` (in eight times the
     number of sources, if that is more); null is a source like any other.  Within a source the order is by a seeded hash
-    of doc_id, then doc_id, then the text's hash; rows alike in these are interchangeable.  Null texts and ids take
+    of doc_id and text, then doc_id, then the text's hash; rows alike in these are interchangeable.  Null texts and ids take
     part.  An empty table gives no rows.
     """
     ship_code(docs.sparkSession)
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_RO
     columns = ["__s", "__block", "release", "deadline", "slot", "__start"]
     table = counts.repartition(1).mapInPandas(run, "__s string, __block long, release long, deadline long, slot long, __start long")
     table = staged(table, "mixed-schedule")
-    rows = docs.select(*carry, *({"source"} - set(carry)), F.xxhash64(F.lit(seed), F.col("doc_id")).alias("__h"),
+    rows = docs.select(*carry, *({"source"} - set(carry)), F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
                        F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"))
     rows = rows.withColumn("__b", hash_bucket(F.col("__h"), bucket_count(total)))
     ranked = numbered(rows, "__b", [F.col("__h"), F.col("__id"), F.col("__th")], "__rank", by=("source",))

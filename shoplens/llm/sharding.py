@@ -1,6 +1,6 @@
 """Sharding by proportional stratified interleaving (DataFrame functions only).
 
-Rows of each source are shuffled by a seeded hash and ranked; a row's fractional rank ``(rank + 0.5) / rows of its
+Rows of each source are shuffled by a seeded hash of id and text and ranked; a row's fractional rank ``(rank + 0.5) / rows of its
 source`` spreads every source evenly over [0, 1).  All rows sorted by fractional rank are cut into shards of equal row
 counts, so each shard holds each source in its share of the whole, up to a row or two.
 
@@ -32,7 +32,7 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, seed: int = 17) -> DataFr
         F.col("doc_id"), F.col("source"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-        F.xxhash64(F.lit(seed), F.col("doc_id")).alias("__h"),
+        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
     )
     n = docs.count()
     buckets = bucket_count(n)
