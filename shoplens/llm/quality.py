@@ -52,14 +52,13 @@ LABELLERS = ("symbols", "capitals", "shouting", "variety", "repeats", "function
 
 
 def variety(words: list[bytes]) -> float:
-    """The lesser of the share of distinct words, as the mean over runs of ``SPAN`` words, and the share of distinct runs
-    of five words in the whole text: neither falls with the length alone, as the share of distinct words would."""
-    n = len(words)
-    if n <= SPAN:
-        return len(set(words)) / n
-    starts = range(0, n - SPAN + 1, SPAN)
-    near = sum(len(set(words[i:i + SPAN])) for i in starts) / (len(starts) * SPAN)
-    return min(near, len(set(zip(words, words[1:], words[2:], words[3:], words[4:]))) / (n - 4))
+    """The lesser of the share of distinct words, as the mean over runs of ``SPAN`` words (of all words, if they are fewer;
+    the last run ends with the text), and the share of distinct runs of five words in the whole text: neither falls with the
+    length alone, as the share of distinct words would."""
+    n, run, five = len(words), min(SPAN, len(words)), min(5, len(words))
+    starts = [*range(0, n - run, run), n - run]
+    near = sum(len(set(words[i:i + run])) for i in starts) / (len(starts) * run)
+    return min(near, len(set(zip(*(words[i:] for i in range(five))))) / (n - five + 1))
 
 
 def statistics(text: str) -> tuple[np.ndarray, int, np.ndarray]:
