@@ -173,14 +173,14 @@ def sketches(docs: DataFrame, words: int, threshold: int) -> DataFrame:
 def candidate_pairs(sketched: DataFrame, threshold: int) -> DataFrame:
     """Edges a, b between groups that may hold linked documents."""
     groups = sketched.filter("grp IS NOT NULL").groupBy("grp").agg(F.min("n").alias("n"))
-    posted = sketched.filter("prefix IS NOT NULL").select("grp", F.explode("prefix").alias("shingle")).repartition("shingle").dropDuplicates(["shingle", "grp"])
-    lists = Window.partitionBy("shingle")
-    shared = posted.withColumn("length", F.count(F.lit(1)).over(lists)).filter("length > 1")
-    by_group = lists.orderBy("grp")
-    shared = shared.select("grp", "length", F.min("grp").over(lists).alias("least"), F.collect_list("grp").over(by_group.rowsBetween(-(SHORT - 1), -1)).alias("before"))
-    shared = staged(shared, "ngram-shared")
+    posted = sketched.filter("prefix IS NOT NULL").select("grp", F.explode("prefix").alias("shingle")).dropDuplicates(["shingle", "grp"])
+    # lists are counted map-side and joined back, which Spark splits where one is long; only short ones meet in one task
+    lists = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("length"), F.min("grp").alias("least")).filter("length > 1")
+    shared = staged(posted.join(lists, "shingle"), "ngram-shared")
     long = shared.filter((F.col("length") > SHORT) & (F.col("grp") != F.col("least"))).select(F.col("grp").alias("a"), F.col("least").alias("b")).distinct()
-    pairs = shared.filter(F.col("length") <= SHORT).select(F.col("grp").alias("a"), F.explode("before").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    earlier = Window.partitionBy("shingle").orderBy("grp").rowsBetween(-(SHORT - 1), -1)
+    short = shared.filter(F.col("length") <= SHORT).select("grp", F.collect_list("grp").over(earlier).alias("before"))
+    pairs = short.select(F.col("grp").alias("a"), F.explode("before").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     pairs = pairs.join(groups.select(F.col("grp").alias("a"), F.col("n").alias("na")), "a").join(groups.select(F.col("grp").alias("b"), F.col("n").alias("nb")), "b")
     # shingles outside the prefix
     outside = F.greatest(*(F.expr(f"({threshold} * n{x} + 99) div 100 - 1") for x in "ab"))
