@@ -85,15 +85,36 @@ _CONTROLS = r"[<\[]\\*(\|turn\|>|\|body\|>|\|end\|>|\|(image|audio|document):[0-
 
 ORACLE_SQL["op2_topk_search"] = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS q FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+  SELECT a.vec_id AS query_id, a.q, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND (a.vec_id <> b.vec_id OR a.q <> b.q)
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+  SELECT *, row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+ORACLE_SQL["op5_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END AS s FROM d
+), x AS (
+  SELECT r, len(s) AS n, unnest(s) AS shingle FROM s
+), p AS (
+  SELECT a.r AS a, b.r AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.r <> b.r
+  GROUP BY a.r, b.r HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT r, doc_id AS m FROM s UNION SELECT p.b, reach.m FROM reach JOIN p ON p.a = reach.r
+), c AS (
+  SELECT r, min(m) AS component_id FROM reach GROUP BY r
+), n AS (
+  SELECT a AS r, count(*) AS links FROM p GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(links, 0) AS BIGINT) AS n_links FROM s JOIN c USING (r) LEFT JOIN n USING (r)
 """
 
 ORACLE_SQL["op8_chat_format"] = f"""

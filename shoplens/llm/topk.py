@@ -3,7 +3,8 @@
 Every vector is keyed by its nearest pivot and its distance to it.  The distances of a pivot are cut into rings (sorted
 annuli); a ring's vectors are packed into blocks of bounded size, and its distance range and greatest norm are kept.
 For a query q and a vector v of a ring, the triangle inequality gives ``|q - v| >= d``, the gap between q's distance to
-the pivot and the ring's range, so ``q.v = (|q|^2 + |v|^2 - |q - v|^2) / 2 <= (|q|^2 + norm^2 - d^2) / 2``.
+the pivot and the ring's range, so ``q.v = (|q|^2 + |v|^2 - |q - v|^2) / 2 <= (|q|^2 + norm^2 - d^2) / 2``.  A ring keeps
+its range of distances to every other pivot, too, and the widest of these gaps counts.
 
 Each query first searches its best rings until they hold enough vectors, which gives the score its k-th best must at
 least have; then its search expands over all rings in the order of their bounds and stops at the first bound below that
@@ -35,18 +36,22 @@ EXACT = 2.0**53
 SAFE = 2.0**62  # whole numbers up to here leave room for the rounding of their estimate
 NO_LIMIT = -(1 << 63)
 
-PAIR = "query_id long, vec_id long, score long"
+PAIR = "query_row long, query_id long, row long, vec_id long, score long"
 
 
 def whole_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """vec_id and q, the components ``floor(scale * x)``; one row per vec_id (of several the least q).  Vectors that are
-    null or hold null, infinite or NaN components, and rows without vec_id, are left out; components beyond 64 bits are the
-    nearest long."""
+    """vec_id and q, the components ``floor(scale * x)``; rows alike in both are one row, another vector of the same vec_id
+    is a row of its own.  Vectors that are null or hold null, infinite or NaN components, and rows without vec_id, are left
+    out; components beyond 64 bits are the nearest long."""
     x = F.col("embedding").cast("array<double>")
     fit = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding").filter(fit)
-    rows = rows.select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda v: F.floor(v * scale).cast("long")).alias("q"))
-    return rows.groupBy("vec_id").agg(F.min("q").alias("q"))
+    return rows.select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda v: F.floor(v * scale).cast("long")).alias("q")).distinct()
+
+
+def numbered_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
+    """:func:`whole_vectors` as a written table, with ``row``, a number of each row's own."""
+    return staged(whole_vectors(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "topk-rows")
 
 
 def _matrix(arrays, width: int) -> np.ndarray:
@@ -88,7 +93,9 @@ def _merged(thin: pd.DataFrame) -> list[int]:
 class Rings:
     """The index's head: one entry per ring that holds vectors, at most ``PIVOTS * RINGS``."""
 
-    def __init__(self, pivots: np.ndarray, table: pd.DataFrame, width: int):
+    def __init__(self, pivots: np.ndarray, table: pd.DataFrame, width: int, ranges: tuple[np.ndarray, np.ndarray] | None = None):
+        """``ranges``: least and greatest distance of each ring (rows) to each pivot (columns)."""
+        self.ranges = ranges
         self.pivots, self.width = pivots, width
         self.ring = table.ring.to_numpy(np.int64)
         self.pivot = self.ring // RINGS
@@ -98,12 +105,18 @@ class Rings:
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """For each query and ring, a score that no vector of the ring exceeds."""
-        d = _distances(queries, self.pivots)[:, self.pivot]
-        gap = np.maximum(np.maximum(self.low[None, :] - d, d - self.high[None, :]) - 1e-6 * (1 + d), 0)
+        to_pivots = _distances(queries, self.pivots)
+        gap = self._gap(to_pivots[:, self.pivot], self.low, self.high)
+        for k, (low, high) in enumerate(zip(*(x.T for x in self.ranges)) if self.ranges else ()):
+            gap = np.maximum(gap, self._gap(to_pivots[:, [k]], low, high))
         q2 = (queries.astype(float) ** 2).sum(1)[:, None]
         top = (q2 + self.norm2[None, :] - gap * gap) / 2
         return np.maximum(top + 1e-9 * (q2 + self.norm2[None, :]) + 1e-6, float(NO_LIMIT))
 
+    @staticmethod
+    def _gap(d: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return np.maximum(np.maximum(low - d, d - high) - 1e-6 * (1 + d + high), 0)
+
 
 def _scores(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers, in double precision where that is exact; those beyond 64 bits are the nearest long."""
@@ -119,97 +132,131 @@ def _scores(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
 
 
 def _search(batches: Iterator[pd.DataFrame], width: int, k: int) -> Iterator[pd.DataFrame]:
-    """Rows hold a block of vectors and a block of queries, with the scores their k-th best have at least."""
+    """Rows hold a block of vectors and a block of queries, with the scores their k-th best have at least; ``ids`` and
+    ``qids`` are pairs (row, vec_id)."""
     for batch in batches:
         for ids, data, qids, qdata, least in zip(batch.ids, batch.data, batch.qids, batch.qdata, batch.least):
-            ids, qids = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
+            own, ids = np.frombuffer(ids, np.int64).reshape(-1, 2).T
             block, queries = np.frombuffer(data, np.int64).reshape(-1, width), np.frombuffer(qdata, np.int64).reshape(-1, width)
             scores, least = _scores(queries, block), np.frombuffer(least, np.int64)
             found = []
-            for row, qid, floor in zip(scores, qids, least):
-                fit = np.flatnonzero((row >= floor) & (ids != qid))
+            for row, (qrow, qid), floor in zip(scores, np.frombuffer(qids, np.int64).reshape(-1, 2), least):
+                fit = np.flatnonzero((row >= floor) & (own != qrow))
                 if len(fit) > k:
-                    fit = fit[np.lexsort((ids[fit], -row[fit]))[:k]]
-                found.append((np.full(len(fit), qid), ids[fit], row[fit]))
-            yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(("query_id", "vec_id", "score"), zip(*found))})
+                    fit = fit[np.lexsort((own[fit], ids[fit], -row[fit]))[:k]]
+                found.append((np.full(len(fit), qrow), np.full(len(fit), qid), own[fit], ids[fit], row[fit]))
+            yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(("query_row", "query_id", "row", "vec_id", "score"), zip(*found))})
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+class Index:
+    """The rows of a table from :func:`numbered_vectors` in blocks, each of one ring, and the rings."""
+
+    def __init__(self, rows: DataFrame, width: int, pivots: int = PIVOTS):
+        spark, self.width = rows.sparkSession, width
+        ship_code(spark)
+        points = _pivots(rows, width, pivots)
+
+        def keyed(batches):
+            for batch in batches:
+                if not len(batch):
+                    continue
+                m = _matrix(batch.q, width)
+                d = _distances(m, points)
+                nearest = d.argmin(1)
+                yield pd.DataFrame({"row": batch.row, "vec_id": batch.vec_id, "pivot": nearest, "distance": d[np.arange(len(d)), nearest],
+                                    "norm2": (m.astype(float) ** 2).sum(1), "distances": list(d.astype(np.float32)), "data": [v.tobytes() for v in m]})
+
+        points_at = rows.select("row", "vec_id", "q").mapInPandas(
+            keyed, "row long, vec_id long, pivot int, distance double, norm2 double, distances array<float>, data binary")
+        points_at = staged(points_at, "topk-keyed")
+        reach = points_at.groupBy("pivot").agg(F.max("distance").alias("reach"))  # a row per pivot
+        ring = F.col("pivot") * RINGS + F.least(F.floor(F.col("distance") / F.col("reach") * RINGS), F.lit(RINGS - 1))
+        ringed = points_at.join(F.broadcast(reach), "pivot").withColumn("ring", F.coalesce(F.when(F.col("reach") > 0, ring), F.col("pivot") * RINGS).cast("long"))
+        at = range(len(points))
+        thin = ringed.groupBy("ring").agg(
+            F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm2").alias("norm2"), F.count(F.lit(1)).alias("n"),
+            *(F.min(F.col("distances")[i]).alias(f"low{i}") for i in at), *(F.max(F.col("distances")[i]).alias(f"high{i}") for i in at),
+        ).orderBy("ring").toPandas()  # at most PIVOTS * RINGS rows
+        thin["merged"] = _merged(thin)
+        by = thin.groupby("merged")
+        ranges = tuple(getattr(by[[f"{which}{i}" for i in at]], how)().to_numpy(float) for which, how in (("low", "min"), ("high", "max")))
+        self.head = Rings(points, by.agg(low=("low", "min"), high=("high", "max"), norm2=("norm2", "max"), n=("n", "sum"))
+                          .reset_index().rename(columns={"merged": "ring"}), width, ranges)
+        block_count = dict(zip(self.head.ring.tolist(), self.head.blocks.tolist()))
+        places = spark.createDataFrame([(int(r), int(m), int(block_count[m])) for r, m in zip(thin.ring, thin.merged)], "ring long, merged long, blocks long")
+        # every block has about BLOCK vectors, however many its ring has
+        blocks = ringed.join(F.broadcast(places), "ring").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).withColumn("ring", F.col("merged"))
+        blocks = blocks.groupBy("ring", "block").agg(F.sort_array(F.collect_list(F.struct("row", "vec_id", "data"))).alias("rows"))
+
+        def pack(batches):
+            for batch in batches:
+                yield pd.DataFrame({"ring": batch.ring, "block": batch.block,
+                                    "ids": [np.array([(r["row"], r["vec_id"]) for r in x], np.int64).tobytes() for x in batch.rows],
+                                    "data": [b"".join(bytes(r["data"]) for r in x) for x in batch.rows]})
+
+        self.blocks = staged(blocks.mapInPandas(pack, "ring long, block long, ids binary, data binary"), "topk-blocks")
+
+    def found(self, queries: DataFrame, k: int, first: bool) -> DataFrame:
+        width = self.width
+        asked = _asked(queries, self.head, first).hint("merge").join(self.blocks, ["ring", "block"])
+        return _best(asked.mapInPandas(lambda b: _search(b, width, k), PAIR), k)
+
+    def limited(self, queries: DataFrame, k: int) -> DataFrame:
+        """``queries`` with ``least``, a score that their k-th best have at least: the k-th best of some rows."""
+        first = self.found(queries.select("row", "vec_id", "q", F.lit(NO_LIMIT).alias("least")), k, first=True)
+        limits = first.groupBy("query_row").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+        limits = limits.select(F.col("query_row").alias("row"), "least")
+        return staged(queries.join(limits, "row", "left").select("row", "vec_id", "q", F.coalesce("least", F.lit(NO_LIMIT)).alias("least")), "topk-limits")
+
+    def searched(self, limited: DataFrame) -> DataFrame:
+        """How many vectors the search of each query looks at once it has its limit: query_id, searched."""
+        head, width = self.head, self.width
+
+        def run(batches):
+            for batch in batches:
+                if len(batch):
+                    need = head.bounds(_matrix(batch.q, width)) >= batch.least.to_numpy(float)[:, None]
+                    yield pd.DataFrame({"query_id": batch.vec_id, "searched": (need * head.n).sum(1)})
+
+        return limited.mapInPandas(run, "query_id long, searched long")
+
+
+def widest(*tables: DataFrame) -> int | None:
+    """The greatest number of components; None if some table is empty."""
+    widths = [t.agg(F.max(F.size("q"))).first()[0] for t in tables]
+    return None if None in widths else max(*widths, 1)
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS) -> DataFrame:
-    """For each query (vec_id, q), its k best rows by inner product, ties to the smaller vec_id: query_id, rank, vec_id,
-    score.  Rows of the query's own vec_id are left out.  Scores beyond 64 bits are the nearest long, and tie.
+    """For each query (row, vec_id, q), its k best rows by inner product, ties to the smaller vec_id: query_id, rank, vec_id,
+    score.  The query's own ``row`` is left out.  Scores beyond 64 bits are the nearest long, and tie.
 
-    ``rows`` and ``queries`` have one row per vec_id (see :func:`whole_vectors`); vectors shorter than the longest are
-    filled with zeros.  With fewer than k other rows, all are returned.  Empty tables give no rows.
+    ``rows`` is a table from :func:`numbered_vectors`, ``queries`` are rows of it, or have ``row`` numbers that it lacks;
+    vectors shorter than the longest are filled with zeros.  Of two queries with one vec_id each has ranks from 1.  With
+    fewer than k other rows, all are returned.  Empty tables give no rows.
     """
-    spark = rows.sparkSession
-    ship_code(spark)
-    rows, queries = staged(rows, "topk-rows"), staged(queries, "topk-queries")
-    width = rows.agg(F.max(F.size("q"))).first()[0]
-    queries_width = queries.agg(F.max(F.size("q"))).first()[0]
-    if width is None or queries_width is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width = max(width, queries_width, 1)
-    points = _pivots(rows, width, pivots)
-
-    def keyed(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            m = _matrix(batch.q, width)
-            d = _distances(m, points)
-            nearest = d.argmin(1)
-            yield pd.DataFrame({"vec_id": batch.vec_id, "pivot": nearest, "distance": d[np.arange(len(d)), nearest],
-                                "norm2": (m.astype(float) ** 2).sum(1), "data": [v.tobytes() for v in m]})
-
-    points_at = staged(rows.mapInPandas(keyed, "vec_id long, pivot int, distance double, norm2 double, data binary"), "topk-keyed")
-    reach = points_at.groupBy("pivot").agg(F.max("distance").alias("reach"))  # a row per pivot
-    ring = F.col("pivot") * RINGS + F.least(F.floor(F.col("distance") / F.col("reach") * RINGS), F.lit(RINGS - 1))
-    ringed = points_at.join(F.broadcast(reach), "pivot").withColumn("ring", F.coalesce(F.when(F.col("reach") > 0, ring), F.col("pivot") * RINGS).cast("long"))
-    thin = ringed.groupBy("ring").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm2").alias("norm2"),
-                                      F.count(F.lit(1)).alias("n")).orderBy("ring").toPandas()  # at most PIVOTS * RINGS rows
-    thin["merged"] = _merged(thin)
-    head = Rings(points, thin.groupby("merged").agg(low=("low", "min"), high=("high", "max"), norm2=("norm2", "max"), n=("n", "sum"))
-                 .reset_index().rename(columns={"merged": "ring"}), width)
-    block_count = dict(zip(head.ring.tolist(), head.blocks.tolist()))
-    places = spark.createDataFrame([(int(r), int(m), int(block_count[m])) for r, m in zip(thin.ring, thin.merged)], "ring long, merged long, blocks long")
-    # every block has about BLOCK vectors, however many its ring has
-    blocks = ringed.join(F.broadcast(places), "ring").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).withColumn("ring", F.col("merged"))
-    blocks = blocks.groupBy("ring", "block").agg(F.sort_array(F.collect_list(F.struct("vec_id", "data"))).alias("rows"))
-
-    def pack(batches):
-        for batch in batches:
-            yield pd.DataFrame({"ring": batch.ring, "block": batch.block,
-                                "ids": [np.array([r["vec_id"] for r in x], np.int64).tobytes() for x in batch.rows],
-                                "data": [b"".join(bytes(r["data"]) for r in x) for x in batch.rows]})
-
-    blocks = staged(blocks.mapInPandas(pack, "ring long, block long, ids binary, data binary"), "topk-blocks")
-
-    total = int(head.n.sum())
-    ask = queries.select("vec_id", "q", F.lit(NO_LIMIT).alias("least"))
-    first = _asked(ask, head, width, first=True).hint("merge").join(blocks, ["ring", "block"])
-    first = _best(first.mapInPandas(lambda b: _search(b, width, k), PAIR), k)
-    # the k-th best of some rows is a lower limit of the k-th best of all
-    limits = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least")
-    limited = queries.join(limits, "vec_id", "left").select("vec_id", "q", F.coalesce("least", F.lit(NO_LIMIT)).alias("least"))
-    again = _asked(staged(limited, "topk-limits"), head, width, first=False).hint("merge").join(blocks, ["ring", "block"])
-    found = _best(again.mapInPandas(lambda b: _search(b, width, k), PAIR), min(k, max(total, 1)))
+    width = widest(rows, queries)
+    if width is None:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    index = Index(rows, width, pivots)
+    found = index.found(index.limited(queries, k), k, first=False)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
-def _asked(queries: DataFrame, head: Rings, width: int, first: bool) -> DataFrame:
+def _asked(queries: DataFrame, head: Rings, first: bool) -> DataFrame:
     """Blocks of queries for each vector block they must see: ring, block, qids, qdata, least."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), QUERY_BLOCK):
                 part = batch.iloc[at:at + QUERY_BLOCK]
-                m = _matrix(part.q, width)
-                bounds = head.bounds(m)
+                m = _matrix(part.q, head.width)
+                bounds, least = head.bounds(m), part.least.to_numpy(np.int64)
                 if first:  # the best rings, until they hold enough vectors; of a large ring one block
                     order = np.argsort(-bounds, axis=1, kind="stable")
                     held = np.cumsum(np.minimum(head.n, BLOCK)[order], axis=1)
@@ -217,11 +264,9 @@ def _asked(queries: DataFrame, head: Rings, width: int, first: bool) -> DataFram
                     upto = (held < FIRST_SEARCH).sum(1) + 1
                     for i, n in enumerate(upto):
                         need[i, order[i, :n]] = True
-                    least = np.full(len(part), NO_LIMIT)
                 else:
-                    least = part.least.to_numpy(np.int64)
                     need = bounds >= least[:, None].astype(float)
-                ids = part.vec_id.to_numpy(np.int64)
+                ids = part[["row", "vec_id"]].to_numpy(np.int64)
                 rows = []
                 for j in np.flatnonzero(need.any(0)):
                     of = need[:, j]
@@ -230,10 +275,24 @@ def _asked(queries: DataFrame, head: Rings, width: int, first: bool) -> DataFram
                 for i in range(0, len(rows), 64):
                     yield pd.DataFrame(rows[i:i + 64], columns=["ring", "block", "qids", "qdata", "least"])
 
-    return queries.repartition("vec_id").mapInPandas(run, "ring long, block long, qids binary, qdata binary, least binary")
+    asked = queries.select("row", "vec_id", "q", "least").repartition("row")
+    return asked.mapInPandas(run, "ring long, block long, qids binary, qdata binary, least binary")
 
 
 def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64) -> DataFrame:
     """The k best rows of each row whose vec_id is divisible by ``every``, against all rows."""
-    rows = whole_vectors(vectors, scale)
+    rows = numbered_vectors(vectors, scale)
     return top_k(rows, rows.filter(F.col("vec_id") % every == 0), k)
+
+
+def searched_share(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64) -> float:
+    """The share of all vectors that a query's search looks at after the first one, as the mean over the queries: 1.0 where
+    the bounds rule nothing out (also for empty tables)."""
+    rows = numbered_vectors(vectors, scale)
+    queries = rows.filter(F.col("vec_id") % every == 0)
+    width = widest(rows, queries)
+    if width is None:
+        return 1.0
+    index = Index(rows, width)
+    mean = index.searched(index.limited(queries, k)).agg(F.avg("searched")).first()[0]
+    return float(mean) / float(index.head.n.sum())

@@ -107,6 +107,38 @@ def test_topk_against_brute_force(spark):
     assert sorted((q, k) for q, k, *_ in few) == [(0, 1), (0, 2), (0, 3)]
 
 
+def test_topk_of_repeated_ids(spark):
+    """Another vector of the same vec_id is a row of its own, as a candidate and as a query."""
+    from shoplens.llm import topk
+
+    r = random.Random(6)
+    made = [(i, [float(r.randrange(-9, 9)) for _ in range(5)], 0, "a", 1) for i in range(80)]
+    made += [(i, [float(r.randrange(-9, 9)) for _ in range(5)], 0, "a", 1) for i in (0, 0, 20, 33, 33)] + made[:30]
+    got = defaultdict(list)
+    for q, rank, v, s in sorted(listed(topk.neighbours(vectors(spark, made))), key=lambda x: (x[0], x[1])):
+        got[q].append((rank, v, s))
+    whole = sorted({(i, tuple(int(64 * x) for x in e)) for i, e, *_ in made})
+    want = defaultdict(list)
+    for q, u in whole:
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(u, v)), i) for i, v in whole if (i, v) != (q, u))[:20]
+            want[q] += [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()} and len(got[0]) == 60
+
+
+def test_topk_searched_share(spark):
+    """Far clusters: the bounds leave each query little more than its own cluster."""
+    import numpy as np
+
+    from shoplens.llm import topk
+
+    r = np.random.default_rng(2)
+    centres = r.normal(0, 40, (16, 4))
+    made = [(i, [float(x) for x in centres[i % 16] + r.normal(0, 0.3, 4)], 0, "a", 1) for i in range(16_000)]
+    assert topk.searched_share(vectors(spark, made), every=200) < 0.25
+    assert topk.searched_share(vectors(spark, [])) == 1.0
+
+
 def test_topk_of_large_components(spark):
     """Scores beyond 64 bits are the nearest long and never wrap; others of the same block stay exact."""
     import numpy as np
@@ -141,6 +173,11 @@ def test_topk_prunes_rings(spark):
     for j, k in enumerate(table.ring):
         assert (scores[:, ring == k] <= bounds[:, [j]]).all()
     assert (bounds < np.sort(scores, axis=1)[:, [-20]]).mean() > 0.3
+    ranges = tuple(np.array([how(d[ring == k], axis=0) for k in table.ring]) for how in (np.min, np.max))
+    closer = topk.Rings(centres, table, 4, ranges).bounds(points)  # by all pivots
+    for j, k in enumerate(table.ring):
+        assert (scores[:, ring == k] <= closer[:, [j]]).all()
+    assert (closer <= bounds).all() and closer.mean() < bounds.mean()
 
 
 # ---- 3: quality ---------------------------------------------------------------------------------------------------
@@ -192,6 +229,88 @@ def test_quality_has_no_size_switch(spark):
         assert frame(spark, [(1, prose(1), "s")]).select(judged("text").alias("v")).first().v.keep is expected
 
 
+def brute_quality(texts):
+    """(score, posterior, keep) of each text, by plain loops: labellers by their rules, EM document by document, and
+    gradient descent over a dense matrix."""
+    import math
+
+    import numpy as np
+    import xxhash
+
+    from shoplens.llm import quality as Q
+
+    def measures(text):
+        w = [x.strip(".,") for x in re.findall(r"[^ \t\n\r\f\v]+", re.sub("[A-Z]", lambda x: x[0].lower(), text))]
+        n, size = len(w), len(text.encode())
+        if not n:
+            return [0.0] * 7, 0
+        odd = sum(1 for c in text if c < "\x80" and not re.match(r"[A-Za-z0-9 \n\t\r.,;:'\"?()!-]", c))
+        ascii_letters, wide = len(re.findall("[A-Za-z]", text)), sum(len(c.encode()) for c in text if c >= "\x80")
+        spans = [w[i:i + 500] for i in range(0, n - 500, 500)] + [w[-500:]]
+        fives = [tuple(w[i:i + 5]) for i in range(max(1, n - 4))]
+        near = sum(len(set(x)) for x in spans) / sum(map(len, spans))
+        return [odd / size, len(re.findall("[A-Z]", text)) / max(1, ascii_letters + wide), text.count("!") / n, min(near, len(set(fives)) / len(fives)),
+                sum(a == b for a, b in zip(w, w[1:])) / n, sum(x.encode() in Q.FUNCTION_WORDS for x in w) / n, size / n], n
+
+    def cast(m, n):
+        good = [m[0] < 0.005, m[1] < 0.15, m[2] < 0.02, n >= 20 and m[3] > 0.3, m[4] < 0.05, n >= 20 and m[5] > 0.08, n >= 20 and 4 < m[6] < 12]
+        bad = [m[0] > 0.03, m[1] > 0.5, m[2] > 0.4, n >= 20 and m[3] < 0.12, m[4] > 0.2, n >= 20 and m[5] < 0.005, n >= 20 and (m[6] < 3 or m[6] > 20)]
+        return [0] * 7 if n < 6 else [1 if b else 2 if g else 0 for g, b in zip(good, bad)]
+
+    found = [measures(t) for t in texts]
+    voted = [cast(m, n) for m, n in found]
+    post = [0.1 if 1 in v else 0.95 if 2 in v else 0.9 for v in voted]
+    for _ in range(60):
+        share, chance = sum(post) / len(post), {}
+        for k, belief in ((0, (0.4, 0.3, 0.3)), (1, (0.4, 0.01, 0.59))):
+            weight = [p if k else 1 - p for p in post]
+            for i in range(7):
+                counts = [sum(w for w, v in zip(weight, voted) if v[i] == x) + belief[x] * 0.01 * len(post) for x in range(3)]
+                for x in range(3):
+                    chance[k, i, x] = counts[x] / sum(counts)
+        share = min(max(share, 0.5), 0.99)
+        odds = [math.log(share / (1 - share)) + sum(math.log(chance[1, i, x] / chance[0, i, x]) for i, x in enumerate(v)) for v in voted]
+        post = [1 / (1 + math.exp(-max(-50, min(50, o)))) for o in odds]
+
+    x = np.zeros((len(texts), 4097))
+    for row, text, (m, n) in zip(x, texts, found):
+        classes = [ord("a") if c >= 128 or chr(c).islower() else ord("A") if chr(c).isupper() else ord("0") if chr(c).isdigit() else 32 if c in (9, 11, 12, 13) else c
+                   for c in text.encode()]
+        pairs = Counter(((a * 256 + b) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 52 for a, b in zip(classes, classes[1:]))
+        for slot, count in pairs.items():
+            row[slot] += math.sqrt(count / (len(classes) - 1))
+        if n >= 6:
+            for name, value in zip(Q.LABELLERS, m):
+                row[xxhash.xxh32_intdigest(f"{name}>{sum(b < value for b in Q._BINS)}", seed=3) % 4096] += 0.5
+        row[-1] = 1
+    taught = np.array([n >= 20 for _, n in found])
+    target = np.array(post)[taught]
+    weight = (target / max(target.sum(), 1) + (1 - target) / max((1 - target).sum(), 1))
+    weight /= weight.sum()
+    w, seen = np.zeros(4097), np.full(4097, 1e-6)
+    for _ in range(200):
+        g = x[taught].T @ (weight * (1 / (1 + np.exp(-np.clip(x[taught] @ w, -50, 50))) - target)) + 1e-5 * w
+        seen += g * g
+        w -= 0.2 * g / np.sqrt(seen)
+    scores = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
+    return [(1.0, p, True) if n < 6 else (float(s), p, bool(s >= 0.5 or n < 20 and (p >= 0.5 or 1 not in v))) for s, p, v, (_, n) in zip(scores, post, voted, found)]
+
+
+def test_quality_against_brute_force(spark, rows):
+    from shoplens.llm import quality
+
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").collect()
+    data = [tuple(r) for r in given] + [(10_000 + i, t, s) for i, (_, t, s) in enumerate(rows) if len(t or "") < 50_000]
+    got = {r.doc_id: (r.score, r.posterior, r.keep) for r in quality.judge(frame(spark, data)).select("row.doc_id", "verdict.*").collect()}
+    want = brute_quality([t or "" for _, t, _ in data])
+    assert len(got) == len(data)
+    for (i, _, _), (score, post, keep) in zip(data, want):
+        assert got[i][1] == pytest.approx(post, abs=1e-6), i
+        assert got[i][0] == pytest.approx(score, abs=1e-4), i
+        assert got[i][2] is keep or abs(score - 0.5) < 1e-4, i
+    assert {k for _, _, k in got.values()} == {True, False}
+
+
 def test_em_finds_accuracies():
     import numpy as np
 
