@@ -14,6 +14,7 @@ app                input topic(s)              output
 ``gmv``            orders                      order table, partitioned by ``CREATE_DATE``     PRJ2-4, SNK2
 ``alert``          event logs                  alert documents, one folder per dated index    WIN2 (SNK4)
 ``sale_detail``    orders + order lines        sale details, partitioned by ``dt``             JOI4 (+ JOI7)
+``order_pairs``    orders + order lines        pairs and rows without one, by match state      JOI1
 ``user_info``      user changes                user table in hash buckets (or all versions)   SNK6 / DIM1
 ``route_changes``  change events               one folder (or Kafka topic) per target topic   SRC4, FLT2, PRJ7
 ``route_logs``     raw logs                    one folder (or Kafka topic) per log topic       FLT1, PRJ6, SNK7
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens import schemas
+from shoplens.operators import alerts
 from shoplens.sinks import archive_lines
 from shoplens.sources.ingest import file_stream, message_stream, topic_pattern_stream, topic_stream
 from shoplens.streaming import intake, jobs
@@ -67,17 +69,17 @@ def gmv_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
 
 
 def alert_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
-              checkpoint: str | None = None, panes: bool = False) -> StreamingQuery:
-    return jobs.start_document_sink(jobs.alert_stream(source(spark, src), panes=panes), out, "alert_app",
-                                    partition_by="index_name", trigger=trigger, checkpoint=checkpoint)
-
-
-SALT_BUCKETS = 8  # join slots of one order id, unless asked otherwise: streams get no skew split
+              checkpoint: str | None = None, panes: bool = False, event_lists: bool = False) -> StreamingQuery:
+    """``event_lists``: documents hold every event id as a list, as often as it occurred, in place of their counts."""
+    docs = jobs.alert_stream(source(spark, src), panes=panes)
+    if event_lists:
+        docs = docs.withColumn("events", alerts.event_list())
+    return jobs.start_document_sink(docs, out, "alert_app", partition_by="index_name", trigger=trigger, checkpoint=checkpoint)
 
 
 def sale_detail_app(spark, orders_src: str, details_src: str, out: str, users_table: str | None = None,
                     trigger: str = jobs.BATCH_INTERVAL, checkpoint: str | None = None,
-                    salt_buckets: int = SALT_BUCKETS) -> StreamingQuery:
+                    salt_buckets: int = jobs.SALT_BUCKETS) -> StreamingQuery:
     """With ``users_table``, each micro-batch is joined to the users as they stand then."""
     df = jobs.sale_detail_stream(source(spark, orders_src), source(spark, details_src), salt_buckets=salt_buckets)
     if users_table:
@@ -85,6 +87,13 @@ def sale_detail_app(spark, orders_src: str, details_src: str, out: str, users_ta
     return jobs.start_file_sink(df, out, "sale_detail_app", partition_by="dt", trigger=trigger, checkpoint=checkpoint)
 
 
+def order_pairs_app(spark, orders_src: str, details_src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
+                    checkpoint: str | None = None) -> StreamingQuery:
+    """JOI1 live: what met within the join's time, and what met nothing once its time is over."""
+    pairs = jobs.order_pairs_stream(source(spark, orders_src), source(spark, details_src))
+    return jobs.start_file_sink(pairs, out, "order_pairs_app", partition_by="match_state", trigger=trigger, checkpoint=checkpoint)
+
+
 def user_info_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERVAL,
                   checkpoint: str | None = None, form: str = "table") -> StreamingQuery:
     """``table``: the latest version of each user, in hash buckets; ``log``: every version."""
@@ -125,17 +134,19 @@ def archive_logs_app(spark, src: str, out: str, trigger: str = jobs.BATCH_INTERV
 
 
 SOURCE_SCHEMA = {app: schemas.STREAMS[stream][1] for app, stream in
-                 (("dau", "startup"), ("gmv", "order_info"), ("alert", "event"), ("sale_detail", "order_info"), ("user_info", "user_info"))}
+                 (("dau", "startup"), ("gmv", "order_info"), ("alert", "event"), ("sale_detail", "order_info"), ("order_pairs", "order_info"), ("user_info", "user_info"))}
 SOURCE_SCHEMA |= {"route_changes": schemas.CHANGE_EVENT, "route_logs": schemas.RAW_LOG, "archive_logs": schemas.RAW_LOG}
 
-APPS = ("dau", "gmv", "alert", "sale_detail", "user_info", "route_changes", "route_logs", "archive_logs")
+PAIRED = ("sale_detail", "order_pairs")  # apps with a second topic, of order lines
+
+APPS = ("dau", "gmv", "alert", *PAIRED, "user_info", "route_changes", "route_logs", "archive_logs")
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="shoplens.streaming.apps")
     p.add_argument("app", choices=APPS)
     p.add_argument("--source", required=True, help="kafka://host:port/topic or a folder of JSON lines")
-    p.add_argument("--source2", help="order-line source for sale_detail")
+    p.add_argument("--source2", help="order-line source for sale_detail and order_pairs")
     p.add_argument("--users", help="user change table for sale_detail enrichment")
     p.add_argument("--out", required=True)
     p.add_argument("--database", default="shop")
@@ -145,9 +156,12 @@ def main(argv: list[str] | None = None) -> None:
                    help="dau: the stored table as the seen set (safe for hot devices), or dedup state in the query")
     p.add_argument("--user-form", choices=["table", "log"], default="table",
                    help="user_info: the latest version of each user in hash buckets, or every version")
-    p.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="sale_detail: join slots of one order id")
+    p.add_argument("--salt-buckets", type=int, default=jobs.SALT_BUCKETS, help="sale_detail: join slots of one order id")
     p.add_argument("--panes", action="store_true", help="alert: fold 5 s panes before the windows (dense feeds)")
+    p.add_argument("--event-lists", action="store_true", help="alert: every event id as a list in place of the counts")
     a = p.parse_args(argv)
+    if a.app in PAIRED and not a.source2:
+        p.error(f"{a.app} needs --source2")
 
     from shoplens.session import submitted_session
     spark = submitted_session(f"shoplens-{a.app}")
@@ -168,7 +182,7 @@ def lateness_of(a: argparse.Namespace) -> dict[str, intake.Lateness]:
         return {"": intake.alert_lateness(panes=a.panes)}
     if a.app == "dau" and a.dau_form == "state":
         return {"": intake.log_lateness()}
-    if a.app == "sale_detail":
+    if a.app in PAIRED:
         return {"": intake.text_lateness("create_time"), ".lines": intake.text_lateness("detail_time")}
     return {}
 
@@ -194,16 +208,19 @@ def taken_in(spark: SparkSession, a: argparse.Namespace, src: str, tag: str, sch
 def start(spark: SparkSession, a: argparse.Namespace, trigger: str) -> list[StreamingQuery]:
     """The app's query, and those that take its topics in and keep their malformed and late records."""
     src, queries = taken_in(spark, a, a.source, "", SOURCE_SCHEMA[a.app], trigger)
-    if a.app == "sale_detail":
+    if a.app in PAIRED:
         lines, more = taken_in(spark, a, a.source2, ".lines", schemas.ORDER_DETAIL, trigger)
         queries += more
-        q = sale_detail_app(spark, src, lines, a.out, a.users, trigger, a.checkpoint, a.salt_buckets)
+        if a.app == "order_pairs":
+            q = order_pairs_app(spark, src, lines, a.out, trigger, a.checkpoint)
+        else:
+            q = sale_detail_app(spark, src, lines, a.out, a.users, trigger, a.checkpoint, a.salt_buckets)
     elif a.app == "dau":
         q = dau_app(spark, src, a.out, trigger, a.checkpoint, form=a.dau_form)
     elif a.app == "route_changes":
         q = route_changes_app(spark, src, a.out, a.database, trigger, a.checkpoint)
     elif a.app == "alert":
-        q = alert_app(spark, src, a.out, trigger, a.checkpoint, a.panes)
+        q = alert_app(spark, src, a.out, trigger, a.checkpoint, a.panes, a.event_lists)
     elif a.app == "user_info":
         q = user_info_app(spark, src, a.out, trigger, a.checkpoint, a.user_form)
     else:

@@ -175,9 +175,12 @@ def start_dau_table_sink(startup_msgs: DataFrame, path: str, name: str, trigger:
 
 # ---- order / detail join (JOI4 + JOI7) ----------------------------------------------------------------------------
 
+SALT_BUCKETS = 8  # join slots of one order id, unless asked otherwise: streams get no skew split
+
+
 def sale_detail_stream(order_msgs: DataFrame, detail_msgs: DataFrame, ttl_seconds: int = sales.DEFAULT_TTL_SECONDS,
                        delay: str = "2 minutes", users_latest: DataFrame | None = None,
-                       as_of: str | None = None, salt_buckets: int = 1) -> DataFrame:
+                       as_of: str | None = None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """JOI4 as a stream-stream inner join with event-time bounds; optional JOI7 against a static user table.
 
     Both sides are projected before the join, so join state holds only the sale-detail fields.

@@ -21,7 +21,7 @@ def put(spark, path, found):
 
 def run(spark, *argv):
     import argparse
-    a = argparse.Namespace(source2=None, users=None, database="shop", checkpoint=None, dau_form="table", user_form="table", salt_buckets=2, panes=False)
+    a = argparse.Namespace(source2=None, users=None, database="shop", checkpoint=None, dau_form="table", user_form="table", salt_buckets=2, panes=False, event_lists=False)
     vars(a).update(dict(zip(argv[::2], argv[1::2])))
     queries = apps.start(spark, a, ONCE)
     for q in queries:
@@ -97,6 +97,46 @@ def test_late_orders_and_lines_are_kept(spark, scratch):
     assert sum(jobs.dropped_by_watermark(q) for q in queries) == 0
 
 
+def test_order_pairs_as_an_app(spark, scratch):
+    """JOI1 live from its topics: pairs, and rows that met nothing once the watermark is past them; late rows are kept."""
+    args = ("app", "order_pairs", "source", f"{scratch}/o", "source2", f"{scratch}/d", "out", f"{scratch}/out")
+    order = lambda i, t: {"id": i, "create_time": f"2024-01-01 {t}"}
+    line = lambda i, t: {"id": f"d{i}", "order_id": i, "detail_time": f"2024-01-01 {t}"}
+    put(spark, f"{scratch}/o", [order("1", "10:00:00"), order("2", "10:00:00")])
+    put(spark, f"{scratch}/d", [line("1", "10:00:30"), line("9", "10:00:00"), "no line"])
+    queries = run(spark, *args)
+    put(spark, f"{scratch}/o", [order("z", "12:00:00")])
+    put(spark, f"{scratch}/d", [line("z", "12:00:00")])
+    queries += run(spark, *args)
+    put(spark, f"{scratch}/o", [order("late", "10:00:00")])
+    put(spark, f"{scratch}/d", [line("y", "12:30:00")])
+    queries += run(spark, *args)
+    got = {(r.order_id, r.order_detail_id, r.match_state) for r in spark.read.parquet(f"{scratch}/out").collect()}
+    assert {g for g in got if g[0] in "129"} == {("1", "d1", "both"), ("2", None, "order_only"), ("9", "d9", "detail_only")}
+    assert ("z", "dz", "both") in got
+    assert [r.id for r in spark.read.parquet(f"{scratch}/out.late").collect()] == ["late"]
+    assert [r.raw for r in spark.read.parquet(f"{scratch}/out.lines.rejected").collect()] == ["no line"]
+    assert sum(jobs.dropped_by_watermark(q) for q in queries) == 0
+
+
+def test_alert_documents_with_event_lists(spark, scratch):
+    args = ("app", "alert", "source", f"{scratch}/src", "out", f"{scratch}/out", "event_lists", True)
+    base = T0 - T0 % 5000
+    put(spark, f"{scratch}/src", [event("m", f"u{i}", base + i) for i in range(3)] + [event("m", "u0", base + 9, "share")] * 2)
+    run(spark, *args)
+    put(spark, f"{scratch}/src", [event("x", "u", base + 2_000_000)])
+    run(spark, *args)
+    found = spark.read.parquet(f"{scratch}/out").where("mid = 'm'")
+    assert dict(found.dtypes)["events"] == "array<string>"
+    assert {tuple(sorted(r.events)) for r in found.collect()} == {("coupon",) * 3 + ("share",) * 2}
+
+
+def test_a_second_topic_is_asked_for(capsys):
+    with pytest.raises(SystemExit):
+        apps.main(["order_pairs", "--source", "/nowhere", "--out", "/nowhere/out"])
+    assert "--source2" in capsys.readouterr().err
+
+
 def test_a_batch_that_is_tried_again_changes_nothing(spark, scratch):
     def batch(*found):
         return parse_records(spark.createDataFrame([(json.dumps(x),) for x in found], "value string"), STARTUP_LOG)
