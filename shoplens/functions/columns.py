@@ -99,14 +99,20 @@ def after_image_json(after: ColumnOrName = "after") -> Column:
 
 
 def last_entries(after: ColumnOrName = "after") -> Column:
-    """The (name, value) list with the last entry of each name and no nameless ones."""
-    entries = _c(after)
+    """The (name, value) list with the last entry of each name and no nameless ones.
 
-    def is_last(entry: Column, at: Column) -> Column:
-        later = F.slice(entries, at + 2, F.size(entries))
-        return entry["name"].isNotNull() & ~F.exists(later, lambda x: x["name"].eqNullSafe(entry["name"]))
+    The list is bound to a lambda's variable, so it is made once a row even where the optimizer puts the expressions that
+    build it in its place; only a list that repeats a name is searched entry by entry."""
+    def last(entries: Column) -> Column:
+        def is_last(entry: Column, at: Column) -> Column:
+            later = F.slice(entries, at + 2, F.size(entries))
+            return ~F.exists(later, lambda x: x["name"].eqNullSafe(entry["name"]))
 
-    return F.filter(entries, is_last)
+        names = F.array_distinct(F.transform(entries, lambda x: x["name"]))
+        return F.when(F.size(names) == F.size(entries), entries).otherwise(F.filter(entries, is_last))
+
+    named = F.filter(_c(after), lambda x: x["name"].isNotNull())
+    return F.element_at(F.transform(F.array(named), last), 1)
 
 
 def receive_stamp() -> Column:

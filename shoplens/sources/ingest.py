@@ -75,12 +75,16 @@ def parse_records(messages: DataFrame, schema: StructType, keep: tuple[str, ...]
     after-images are all text).  A record that is no JSON object, or has a field whose text is no value of its type, is
     malformed.  ``keep`` carries columns of the message along (a topic's ``timestamp``, ``partition``, ``offset``);
     ``extra`` names a map column for the fields that the schema doesn't list.
+
+    The parsed record comes out of a generator (of one row): filters on its fields stay above it, so a text is parsed once,
+    not once for each place that a filter pushed below names a field.
     """
     names = [f.name for f in schema.fields]
     as_text = StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = messages.select(*[F.col(k).alias(f"_keep_{k}") for k in keep], text.alias("_raw"), parsed.alias("r"))
+    parsed = F.from_json("_raw", as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = messages.select(*[F.col(k).alias(f"_keep_{k}") for k in keep], text.alias("_raw"))
+    rows = rows.select("*", F.explode(F.array(parsed)).alias("r"))
     typed = {f.name: _typed(F.col(f"r.{f.name}"), f.dataType) for f in schema.fields}
     misfit = F.lit(False)
     for f in schema.fields:
