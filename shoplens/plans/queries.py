@@ -425,9 +425,12 @@ def _topic_users(t: Tables) -> str:
 
 
 def q_chain_sale_detail_user(spark, sf_dir):
-    """The sale job over the topics, each sale with its user from the bucketed user table."""
+    """The sale job over the topics, each sale with its user from the bucketed user table.  The sales are stored once: the
+    lookup reads their user ids twice and the join reads them whole."""
     t = _t(spark, sf_dir)
-    details = sales.sale_details(_topic_orders(t), jobs.order_lines(_routed(t, TOPIC_ORDER_DETAIL)))
+    path = checkpoint_path(spark, f"sales-{uuid.uuid4().hex}")
+    sales.sale_details(_topic_orders(t), jobs.order_lines(_routed(t, TOPIC_ORDER_DETAIL))).write.parquet(path)
+    details = spark.read.parquet(path)
     return sales.with_user(details, jobs.users_of(details, _topic_users(t)), AS_OF)
 
 

@@ -38,3 +38,9 @@ def test_filters_after_parsing_keep_their_results(spark):
     assert _optimized(ingest.good_records(parsed).where(F.col("id") == "1")).count("from_json(") == 1
     assert [(r.id, r.total_amount) for r in ingest.good_records(parsed).where("id IS NOT NULL").collect()] == [("1", 2.5)]
     assert sorted(r.raw for r in ingest.quarantine(parsed).collect()) == sorted([texts[1], "[]", "", ""])
+
+
+def test_sales_with_users_are_made_once(spark):
+    # the lookup and the join read the stored sales; neither goes back to the change log
+    plan = _optimized(E.queries()["chain_sale_detail_user"](spark, SF_SMALL))
+    assert "l_orderkey" not in plan and "from_json(" not in plan
