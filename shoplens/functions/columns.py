@@ -6,12 +6,19 @@ number gives null as well, never a failed task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value as a lambda's variable: it is made once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -112,7 +119,7 @@ def last_entries(after: ColumnOrName = "after") -> Column:
         return F.when(F.size(names) == F.size(entries), entries).otherwise(F.filter(entries, is_last))
 
     named = F.filter(_c(after), lambda x: x["name"].isNotNull())
-    return F.element_at(F.transform(F.array(named), last), 1)
+    return bound(named, last)
 
 
 def receive_stamp() -> Column:

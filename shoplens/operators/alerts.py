@@ -26,7 +26,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import dated_index, doc_id, event_time
+from shoplens.functions.columns import bound, dated_index, doc_id, event_time
 from shoplens.operators.keyed import latest_by_key
 from shoplens.schemas import ALERT_INDEX_PREFIX
 
@@ -92,17 +92,57 @@ def window_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
 
 
 def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
-              slide_seconds: int = DEFAULT_SLIDE_SECONDS) -> DataFrame:
-    """WIN1 + AGG6 through panes: the same rows as ``window_fold``.
+              slide_seconds: int = DEFAULT_SLIDE_SECONDS, min_uids: int | None = None) -> DataFrame:
+    """WIN1 + AGG6 through panes: the same rows as ``window_fold``; with ``min_uids`` (batch) those of firing windows only.
 
     A sliding window of length W and slide S is the union of W/S consecutive S-long panes (5-second slices).
     Events are folded per (device, pane, event id) first — a partial aggregate, so a device sending thousands of
-    events per pane ships a row per event id, pane and task — and only these rows are copied into the W/S windows
-    holding them.  The expansion then grows with the number of busy panes, not with the number of events.  Needs W to
-    be a multiple of S (5 min / 5 s is).
+    events per pane ships a row per event id, pane and task.  Needs W to be a multiple of S (5 min / 5 s is).
+
+    Windows are dealt by the W-long block that their last pane lies in.  A pane is in windows of its own block and the
+    next, so two copies of it are shuffled, not one for each window.  A (device, block) holds the panes of two window
+    lengths at most and is folded into its windows there; which of them fire is decided by clicks and coupon users alone,
+    before anything else is put together.  A stream copies closed panes into their windows instead.
     """
     if window_seconds % slide_seconds:
         raise ValueError("pane form needs the window length to be a multiple of the slide")
+    if events.isStreaming:
+        return _pane_stream(events, window_seconds, slide_seconds)
+    k, slide = window_seconds // slide_seconds, slide_seconds * 1000
+    timed = events.where(F.col("event_time").isNotNull()).withColumn("pane", F.floor(F.unix_millis("event_time") / slide))
+    panes = timed.groupBy("mid", "pane", "evid").agg(*_per_event_id())
+    block = F.floor(F.col("pane") / k)
+    copies = panes.select("mid", F.explode(F.array(block, block + 1)).alias("block"), F.struct("pane", "evid", "c_uids", "c_items", "n").alias("x"))
+    held = copies.groupBy("mid", "block").agg(F.collect_list("x").alias("xs"))
+    ends = F.sequence(F.col("block") * k, F.col("block") * k + (k - 1))
+
+    def lies(pane, e):
+        return (pane > e - k) & (pane <= e)
+
+    def distinct(rows, column):
+        return F.array_distinct(F.flatten(F.transform(rows, lambda x: x[column])))
+
+    if min_uids is None:
+        wanted = F.filter(ends, lambda e: F.exists("xs", lambda x: lies(x["pane"], e)))
+    else:
+        clicks = F.transform(F.filter("xs", lambda x: x["evid"] == CLICK), lambda x: x["pane"])
+        coupons = F.filter("xs", lambda x: F.size(x["c_uids"]) > 0)
+        unclicked = bound(clicks, lambda ps: F.filter(ends, lambda e: ~F.exists(ps, lambda p: lies(p, e))))
+        wanted = bound(coupons, lambda xs: F.filter(unclicked, lambda e: F.size(distinct(F.filter(xs, lambda x: lies(x["pane"], e)), "c_uids")) >= min_uids))
+
+    def fold(e):
+        return bound(F.filter("xs", lambda x: lies(x["pane"], e)), lambda rows: F.struct(
+            e.alias("e"), F.array_sort(distinct(rows, "c_uids")).alias("uids"), F.array_sort(distinct(rows, "c_items")).alias("item_ids"),
+            F.exists(rows, lambda x: F.coalesce(x["evid"] == CLICK, F.lit(False))).alias("has_click"),
+            _n_events(rows).alias("n_events"), _counts_text(rows).alias("events")))
+
+    ts = (F.col("w.e") + 1) * slide
+    return held.select("mid", F.explode(F.transform(wanted, fold)).alias("w")).select(
+        "mid", (ts - window_seconds * 1000).cast("long").alias("window_start"), ts.cast("long").alias("ts"),
+        "w.uids", "w.item_ids", "w.has_click", "w.n_events", "w.events")
+
+
+def _pane_stream(events: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     panes = events.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane"), "mid", "evid").agg(*_per_event_id())
     # a pane lies in a window exactly when its last instant (window_time = end - 1 µs) does, since panes are
     # aligned to the slide; window_time keeps the event-time mark, so the same code runs as a chained stream
@@ -112,6 +152,17 @@ def pane_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
     return _folded(per_id.groupBy("window", "mid").agg(*_per_device()))
 
 
+def _n_events(ids):
+    """Events in a list of (event id, count) entries."""
+    return F.aggregate(ids, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+
+
+def _counts_text(ids):
+    """``id:count`` of every event id in a list of (event id, count) entries, sorted by id."""
+    names = F.array_sort(F.array_distinct(F.filter(F.transform(ids, lambda x: x["evid"]), lambda x: x.isNotNull())))
+    return F.array_join(F.transform(names, lambda name: F.concat(name, F.lit(":"), _n_events(F.filter(ids, lambda x: x["evid"] == name)).cast("string"))), ",")
+
+
 def block_fold(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS, slide_seconds: int = DEFAULT_SLIDE_SECONDS,
                min_uids: int = DEFAULT_MIN_UIDS) -> DataFrame:
     """WIN1 + AGG6 + FLT5 through blocks of panes: of the firing windows, each constant stretch's last and those that are
@@ -269,7 +320,7 @@ def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECOND
     ``blocks=False``, events are copied into their windows and folded there, one aggregate over one scan.
     ``two_phase`` instead decides firing with fixed-width aggregates and collects sets for firing windows only —
     for feeds where a single device carries a large share of all coupon users — at the price of reading the
-    candidate rows three times.  ``panes`` folds events into 5-second panes before the window expansion — for
+    candidate rows three times.  ``panes`` folds events into 5-second panes and these into windows — for
     dense feeds, where a device sends many events per slide.  All forms give the same result.
     """
     base = _base(events)
@@ -281,7 +332,7 @@ def coupon_alerts(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECOND
     if two_phase:
         fired = firing_windows(base, window_seconds, slide_seconds, min_uids)
     elif panes:
-        fired = firing(pane_fold(base, window_seconds, slide_seconds), min_uids)
+        fired = firing(pane_fold(base, window_seconds, slide_seconds, min_uids), min_uids)
     elif blocks and window_seconds % slide_seconds == 0:
         fired = block_fold(base, window_seconds, slide_seconds, min_uids)
     else:

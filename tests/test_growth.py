@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from shoplens.functions import columns as C
+from shoplens.operators import alerts
 from shoplens.schemas import ORDER_INFO
 from shoplens.sources import ingest
 
@@ -44,3 +45,20 @@ def test_sales_with_users_are_made_once(spark):
     # the lookup and the join read the stored sales; neither goes back to the change log
     plan = _optimized(E.queries()["chain_sale_detail_user"](spark, SF_SMALL))
     assert "l_orderkey" not in plan and "from_json(" not in plan
+
+
+def test_panes_are_not_copied_into_windows(spark):
+    plan = _optimized(E.queries()["coupon_alert_panes"](spark, SF_SMALL))
+    assert "Expand" not in plan and "explode(array(" in plan  # two copies of a pane
+
+
+def test_panes_of_firing_windows_equal_firing_windows(spark):
+    rows = [("m", f"u{i % 5}" if i % 7 else None, ["coupon", "addCart", None, "coupon", "share", "clickItem"][i % 6 if i % 4 == 0 else i % 5], f"i{i % 3}", t)
+            for i, t in enumerate([-700_000, -1, 0, 1, 4_999, 5_000, 5_000, 295_000, 299_999, 300_000, 304_999, 305_000, 600_001, 610_000, 611_000, 899_999] * 3)]
+    rows += [(None, f"u{i}", "coupon", None, 2_000_000 + 1000 * i) for i in range(9)] + [("m", "u1", "coupon", "i", None)]
+    events = alerts._base(spark.createDataFrame(rows, "mid string, uid string, evid string, itemid string, ts long"))
+    show = lambda df: sorted(map(str, df.collect()))
+    assert show(alerts.pane_fold(events)) == show(alerts.window_fold(events))
+    for n in (1, 3, 4):
+        want = show(alerts.firing(alerts.window_fold(events), n))
+        assert want and show(alerts.firing(alerts.pane_fold(events, min_uids=n), n)) == want
