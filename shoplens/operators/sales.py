@@ -68,7 +68,8 @@ def detail_pairs(orders: DataFrame, details: DataFrame) -> DataFrame:
     Written as two skew-safe joins whose union is the full outer join: details ⟕ orders gives ``both`` and
     ``detail_only`` (AQE splits a hot order id's detail rows over several tasks — it cannot split either side of a
     full outer join); orders ▷ distinct detail keys gives ``order_only`` (the distinct is taken map-side first,
-    so a hot order id reaches the anti join as one row per task).
+    so a hot order id reaches the anti join as one row per task).  The orders without lines are dealt out anew: left as
+    they lie, they have the matched rows' partitioning, and Spark puts both joins, with all their sorts, into one task.
     """
     o = orders.select(F.col("id").alias("o_id"))
     d = details.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"))
@@ -81,7 +82,7 @@ def detail_pairs(orders: DataFrame, details: DataFrame) -> DataFrame:
     lonely = (o.join(keys, F.col("o_id") == F.col("d_order_id"), "left_anti")
               .select(F.col("o_id").alias("order_id"), F.lit(None).cast("string").alias("order_detail_id"),
                       lonely_state.alias("match_state")))
-    return matched.unionByName(lonely)
+    return matched.unionByName(lonely.hint("rebalance"))
 
 
 def with_user(sales: DataFrame, users_latest: DataFrame, as_of: str | Column) -> DataFrame:

@@ -47,6 +47,13 @@ def test_sales_with_users_are_made_once(spark):
     assert "l_orderkey" not in plan and "from_json(" not in plan
 
 
+def test_pair_joins_lie_in_stages_of_their_own(spark):
+    # with like partitioning on both sides, the union would run both joins and their four sorts in one task
+    plan = E.queries()["order_detail_pairs_since"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    lonely = plan[:plan.index("LeftAnti")].rsplit("Exchange", 1)[1]
+    assert "REBALANCE" in lonely
+
+
 def test_panes_are_not_copied_into_windows(spark):
     plan = _optimized(E.queries()["coupon_alert_panes"](spark, SF_SMALL))
     assert "Expand" not in plan and "explode(array(" in plan  # two copies of a pane
