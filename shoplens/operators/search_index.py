@@ -26,6 +26,7 @@ from shoplens.functions.text import query_tokens
 K1, B = 1.2, 0.75
 BLOCK_DOCS = 128
 TOKEN_FILES = 64
+BOUNDS_TOKENS = 4_000_000  # tokens of the texts for each task that folds postings into bounds
 SCALE = "decimal(18,6)"  # scores are compared to six places
 SLACK = 1e-5  # more than rounding a score can move it
 
@@ -82,10 +83,18 @@ def write_index(docs: DataFrame, key: str, text: str, path: str) -> None:
     (postings.hint("rebalance", "folder").sortWithinPartitions("folder", "token", "block").write.mode("overwrite")
      .partitionBy("folder").parquet(f"{path}/postings"))
     stored = spark.read.schema(_POSTINGS.format(key_type)).parquet(f"{path}/postings")
-    bounds = stored.groupBy("folder", "token", "block").agg(F.max("gain").alias("best"), F.count(F.lit(1)).alias("n"))
+    bounds = block_bounds(stored, -(-n_tokens // BOUNDS_TOKENS))
     bounds.hint("rebalance", "folder").sortWithinPartitions("folder", "token").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/bounds")
 
 
+def block_bounds(postings: DataFrame, tasks: int) -> DataFrame:
+    """The greatest gain and the number of postings of each token in each block.  The postings are dealt by these before any
+    hash table, to as many tasks as their number asks for: few share a token and a block, so folding each task's share of
+    the files first would hold nearly all of it at once and save no shuffle."""
+    keys = ("folder", "token", "block")
+    return postings.select(*keys, "gain").repartition(max(1, tasks), *keys).groupBy(*keys).agg(F.max("gain").alias("best"), F.count(F.lit(1)).alias("n"))
+
+
 _POSTINGS = "token string, block string, key {}, gain double, folder int"
 _BOUNDS = "token string, block string, best double, n long, folder int"
 

@@ -1,11 +1,13 @@
 """What a query's work grows with: records parsed once, sales made once, windows folded without copies, bounded sorts."""
 
+import re
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from shoplens.functions import columns as C
-from shoplens.operators import alerts
+from shoplens.operators import alerts, search_index
 from shoplens.schemas import ORDER_INFO
 from shoplens.sources import ingest
 
@@ -69,3 +71,11 @@ def test_panes_of_firing_windows_equal_firing_windows(spark):
     for n in (1, 3, 4):
         want = show(alerts.firing(alerts.window_fold(events), n))
         assert want and show(alerts.firing(alerts.pane_fold(events, min_uids=n), n)) == want
+
+
+def test_block_bounds_are_dealt_before_they_are_folded(spark):
+    rows = [(0, "a", "1-0", 1, 0.5), (0, "a", "1-0", 2, 0.75), (0, "a", "1-1", 3, 0.25), (1, None, "1-0", 1, 0.5)]
+    df = search_index.block_bounds(spark.createDataFrame(rows, "folder int, token string, block string, key long, gain double"), 2)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(0, "a", "1-0", 0.75, 2), (0, "a", "1-1", 0.25, 1), (1, None, "1-0", 0.5, 1)], key=str)
+    steps = re.findall(r"Exchange|HashAggregate", df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1])
+    assert steps[-1] == "Exchange" and steps.count("Exchange") == 1  # from the top down: the exchange comes first
